@@ -1,8 +1,8 @@
 """Registry of named queries over the testdata.
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` and runs over the whole
-derived tables (the date range spans all of the data); the task parameters
-below are the conditions of the demonstration task, not row caps.
+derived tables (the task's date range spans all of the data); the task
+parameters below are the conditions of the demonstration task, not row caps.
 """
 
 from __future__ import annotations
@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clicklens.operators import bands, sessions
+from clicklens.operators import ads, areas, bands, categories, funnel, sampling, sessions, upserts
 from clicklens.params import TaskParams
 from clicklens.sources import fixtures, tables
 
-# Fixed values of the demonstration task (mirrored in oracle/sql.py).
+# Fixed values of the demonstration tasks (mirrored in oracle/sql.py).
 SESSION_TASK = TaskParams(
     task_id=1,
     start_date="2024-01-01",
@@ -24,11 +25,37 @@ SESSION_TASK = TaskParams(
     end_age=50,
     target_page_flow=[1, 2, 3, 4],
 )
+FILTER_ALL_TASK = TaskParams(
+    task_id=2, start_date="2024-01-01", end_date="2024-01-30", start_age=20, end_age=50,
+    sex=["male"], category_ids=[1, 2, 3, 4, 5, 6, 7, 8],
+)
+FILTER_TASKS = {
+    "filter_age": TaskParams(start_age=20, end_age=50),
+    "filter_professional": TaskParams(professionals=["BUILDING", "MACHINERY"]),
+    "filter_city": TaskParams(cities=["NATION_1", "NATION_7", "NATION_13"]),
+    "filter_sex": TaskParams(sex=["female"]),
+    "filter_keywords": TaskParams(keywords=["kw1", "kw3"]),
+    "filter_categories": TaskParams(category_ids=[1, 2, 3, 4, 5, 6, 7, 8]),
+}
+FILTER_EQUAL = ("professional", "AUTOMOBILE")
+SAMPLE_SIZE = 2000
+SAMPLE_SEED = "clicklens"
+TOP_CATEGORIES = 10
+TOP_SESSIONS = 10
+TOP_PRODUCTS = 3
+AD_BLACKLIST_THRESHOLD = 2
+# two overlapping ad batches for the write-rule queries
+AD_OLD_LAST_DAY = "2024-01-15"
+AD_NEW_FIRST_DAY = "2024-01-10"
 
 Query = Callable[[SparkSession, str], DataFrame]
+TASK = SESSION_TASK
+
 
+# ---- inputs ------------------------------------------------------------------
 
-def actions(spark: SparkSession, sf: str, p: TaskParams = SESSION_TASK) -> DataFrame:
+
+def actions(spark: SparkSession, sf: str, p: TaskParams = TASK) -> DataFrame:
     return tables.read_actions(spark, fixtures.user_visit_action(spark, sf), p.start_date, p.end_date)
 
 
@@ -36,25 +63,266 @@ def users(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_users(spark, fixtures.user_info(spark, sf))
 
 
-def kept(spark: SparkSession, sf: str, p: TaskParams = SESSION_TASK) -> DataFrame:
+def enriched(spark: SparkSession, sf: str) -> DataFrame:
+    return sessions.session_user_join(sessions.session_aggregate(actions(spark, sf)), users(spark, sf))
+
+
+def kept(spark: SparkSession, sf: str, p: TaskParams = TASK) -> DataFrame:
     return sessions.kept_sessions(actions(spark, sf, p), users(spark, sf), p)
 
 
-def q_session_aggregate(spark, sf):
-    return sessions.session_aggregate(actions(spark, sf)).select(*sessions.SESSION_COLUMNS)
+def kept_category_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Per (session, category) counts of the kept sessions."""
+    return categories.for_sessions(categories.session_category_counts(actions(spark, sf)), kept(spark, sf))
+
+
+def top10(spark: SparkSession, sf: str) -> DataFrame:
+    return categories.top_categories(categories.category_counts(kept_category_counts(spark, sf)), TOP_CATEGORIES)
+
+
+def top_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    return categories.top_sessions_per_category(
+        kept_category_counts(spark, sf), top10(spark, sf), TOP_SESSIONS, TOP_CATEGORIES, TASK.task_id
+    )
+
+
+def sampled(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.sample_sessions(kept(spark, sf), SAMPLE_SIZE, SAMPLE_SEED, TASK.num_days())
+
+
+def transitions(spark: SparkSession, sf: str) -> DataFrame:
+    return funnel.page_transitions(actions(spark, sf))
+
+
+def steps(spark: SparkSession) -> DataFrame:
+    return funnel.flow_steps(spark, TASK.target_page_flow)
+
+
+def clicks_scan(spark: SparkSession, sf: str) -> DataFrame:
+    raw = tables.normalize_actions(fixtures.user_visit_action(spark, sf))
+    return tables.read_click_products(raw, TASK.start_date, TASK.end_date)
+
+
+def cities(spark: SparkSession, sf: str) -> DataFrame:
+    return fixtures.city_info(spark, sf)
+
+
+def products(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read_products(spark, fixtures.product_info(spark, sf))
+
+
+def ad_log(spark: SparkSession, sf: str) -> DataFrame:
+    return ads.parse_ad_log(fixtures.ad_log_lines(spark, sf))
+
+
+def ad_counts(spark: SparkSession, sf: str, clicks: DataFrame | None = None) -> DataFrame:
+    return ads.ad_user_click_count(clicks if clicks is not None else ad_log(spark, sf))
+
+
+def ad_blacklist(spark: SparkSession, sf: str, clicks: DataFrame | None = None) -> DataFrame:
+    return ads.ad_blacklist(ad_counts(spark, sf, clicks), AD_BLACKLIST_THRESHOLD)
+
 
+def ad_allowed(spark: SparkSession, sf: str, clicks: DataFrame | None = None) -> DataFrame:
+    c = clicks if clicks is not None else ad_log(spark, sf)
+    return ads.drop_blacklisted(c, ad_blacklist(spark, sf, c))
 
-def q_session_band_counts(spark, sf):
-    return bands.session_band_counts(kept(spark, sf))
 
+def ad_batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    log = ads.with_time_keys(ad_log(spark, sf))
+    old = log.where(F.col("date") <= AD_OLD_LAST_DAY).drop("date", "hour", "minute")
+    new = log.where(F.col("date") >= AD_NEW_FIRST_DAY).drop("date", "hour", "minute")
+    return old, new
 
-def q_session_band_ratios(spark, sf):
-    return bands.session_band_ratios(bands.session_band_counts(kept(spark, sf)), SESSION_TASK.task_id)
+
+ACTION_COLUMNS = sessions.DETAIL_COLUMNS
+ENRICHED_COLUMNS = sessions.SESSION_COLUMNS + ["age", "professional", "city", "sex"]
+
+
+def ad_click_columns() -> list:
+    return [F.unix_millis("ts").alias("epoch_ms"), "province", "city", "user_id", "ad_id"]
+
+
+def _filter(key: str) -> Query:
+    def run(spark, sf):
+        return sessions.filter_sessions(enriched(spark, sf), FILTER_TASKS[key]).select(*sessions.SESSION_COLUMNS)
+
+    return run
+
+
+def _kind_count(kind: str) -> Query:
+    def run(spark, sf):
+        detail = sessions.session_detail(actions(spark, sf), kept(spark, sf))
+        return categories.kind_count(detail, kind)
+
+    return run
+
+
+def _only(column: str) -> Query:
+    def run(spark, sf):
+        return actions(spark, sf).where(F.col(column).isNotNull()).select(*ACTION_COLUMNS)
+
+    return run
+
+
+# ---- the registry ------------------------------------------------------------
 
 
 def registry() -> dict[str, Query]:
-    return {
-        "session_aggregate": q_session_aggregate,
-        "session_band_counts": q_session_band_counts,
-        "session_band_ratios": q_session_band_ratios,
-    }
+    q: dict[str, Query] = {}
+
+    # sources
+    q["actions_by_date"] = lambda s, sf: actions(s, sf).select(
+        "session_date", "user_id", "session_id", "page_id", "action_time", "search_keyword", "click_category_id",
+        "click_product_id", "order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids", "city_id",
+    )
+    q["user_info"] = users
+    q["product_info"] = products
+    q["area_click_scan"] = clicks_scan
+    q["ad_click_lookup"] = lambda s, sf: tables.ad_click_lookup(
+        ad_counts(s, sf), fixtures.ad_non_click_keys(s, sf).distinct()
+    )
+
+    # projections / filters
+    for key in FILTER_TASKS:
+        q[key] = _filter(key)
+    q["filter_equal"] = lambda s, sf: enriched(s, sf).where(
+        sessions.equal_predicate(*FILTER_EQUAL)
+    ).select(*sessions.SESSION_COLUMNS)
+    q["filter_all"] = lambda s, sf: sessions.filter_sessions(enriched(s, sf), FILTER_ALL_TASK).select(
+        *sessions.SESSION_COLUMNS
+    )
+    q["clicks_only"] = _only("click_category_id")
+    q["orders_only"] = _only("order_category_ids")
+    q["pays_only"] = _only("pay_category_ids")
+    q["start_page_only"] = lambda s, sf: actions(s, sf).where(
+        F.col("page_id") == TASK.target_page_flow[0]
+    ).select(*ACTION_COLUMNS)
+    q["flow_match"] = lambda s, sf: funnel.matched_splits(transitions(s, sf), steps(s), len(TASK.target_page_flow))
+
+    # joins
+    q["session_user_join"] = lambda s, sf: enriched(s, sf).select(*ENRICHED_COLUMNS)
+    q["session_detail"] = lambda s, sf: sessions.detail_rows(
+        sessions.session_detail(actions(s, sf), kept(s, sf)), TASK.task_id
+    )
+    q["category_counts"] = lambda s, sf: categories.category_counts(kept_category_counts(s, sf))
+    q["top_category_session_join"] = lambda s, sf: kept_category_counts(s, sf).where(
+        F.col("click_count") > 0
+    ).join(F.broadcast(top10(s, sf).select("category_id")), "category_id", "left_semi").select(
+        "category_id", "session_id", "click_count"
+    )
+    q["top10_session_detail"] = lambda s, sf: sessions.detail_rows(
+        sessions.session_detail(actions(s, sf), top_sessions(s, sf)), TASK.task_id
+    )
+    q["sample_session_detail"] = lambda s, sf: sessions.detail_rows(
+        sessions.session_detail(actions(s, sf), sampled(s, sf)), TASK.task_id
+    )
+    q["sample_index_lookup"] = lambda s, sf: sampling.with_date_hour(kept(s, sf)).join(
+        sampling.sample_quota(kept(s, sf), SAMPLE_SIZE).select("date", "hour", "quota"), ["date", "hour"]
+    ).select("session_id", "date", "hour", "quota")
+    q["flow_broadcast"] = lambda s, sf: transitions(s, sf).join(
+        F.broadcast(steps(s)),
+        (F.col("page_id") == F.col("from_page")) & (F.col("next_page_id") == F.col("to_page")),
+    ).select("session_id", "page_id", "next_page_id", "step")
+    q["area_city_join"] = lambda s, sf: areas.area_city_join(clicks_scan(s, sf), cities(s, sf)).select(
+        "city_id", "product_id", "city_name", "area"
+    )
+    q["area_product_join"] = lambda s, sf: areas.area_product_join(
+        areas.top_products_per_area(
+            areas.area_product_clicks(areas.area_city_join(clicks_scan(s, sf), cities(s, sf))), TOP_PRODUCTS
+        ),
+        products(s, sf),
+    ).select("area", "product_id", "click_count", "city_infos", "product_name", "product_status")
+    q["ad_blacklist_filter"] = lambda s, sf: ad_allowed(s, sf).select(*ad_click_columns())
+
+    # aggregations
+    q["session_aggregate"] = lambda s, sf: sessions.session_aggregate(actions(s, sf)).select(*sessions.SESSION_COLUMNS)
+    q["session_band_counts"] = lambda s, sf: bands.session_band_counts(kept(s, sf))
+    q["session_band_ratios"] = lambda s, sf: bands.session_band_ratios(
+        bands.session_band_counts(kept(s, sf)), TASK.task_id
+    )
+    q["total_detail_count"] = lambda s, sf: sessions.session_detail(actions(s, sf), kept(s, sf)).agg(
+        F.count(F.lit(1)).alias("detail_count")
+    )
+    q["visited_categories"] = lambda s, sf: categories.visited_categories(kept_category_counts(s, sf))
+    q["category_click_count"] = _kind_count("click")
+    q["category_order_count"] = _kind_count("order")
+    q["category_pay_count"] = _kind_count("pay")
+    q["sessions_per_hour"] = lambda s, sf: sampling.sessions_per_hour(kept(s, sf))
+    q["sessions_per_day"] = lambda s, sf: sampling.sessions_per_day(sampling.sessions_per_hour(kept(s, sf)))
+    q["category_session_clicks"] = lambda s, sf: kept_category_counts(s, sf).where(
+        F.col("click_count") > 0
+    ).select("category_id", "session_id", "click_count")
+    q["page_split_pv"] = lambda s, sf: funnel.page_split_pv(transitions(s, sf), steps(s), len(TASK.target_page_flow))
+    q["start_page_pv"] = lambda s, sf: funnel.start_page_pv(actions(s, sf), TASK.target_page_flow)
+    q["area_product_clicks"] = lambda s, sf: areas.area_product_clicks(
+        areas.area_city_join(clicks_scan(s, sf), cities(s, sf))
+    )
+    q["ad_user_click_count"] = ad_counts
+    q["ad_blacklist"] = ad_blacklist
+    q["ad_stat"] = lambda s, sf: ads.ad_stat(ad_allowed(s, sf))
+    q["ad_click_trend"] = lambda s, sf: ads.ad_click_trend(ad_allowed(s, sf))
+
+    # per-group operators
+    q["top10_session"] = top_sessions
+    q["sample_quota"] = lambda s, sf: sampling.sample_quota(kept(s, sf), SAMPLE_SIZE)
+    q["sample_sessions"] = lambda s, sf: sampling.random_extract_rows(sampled(s, sf), TASK.task_id)
+    q["page_splits"] = transitions
+    q["page_convert_rate"] = lambda s, sf: funnel.page_convert_rate(actions(s, sf), TASK.target_page_flow, TASK.task_id)
+    q["area_top3_product"] = lambda s, sf: areas.area_top3_product(
+        clicks_scan(s, sf), cities(s, sf), products(s, sf), TASK.task_id, TOP_PRODUCTS
+    )
+    q["ad_province_top3"] = lambda s, sf: ads.ad_province_top3(ads.ad_stat(ad_allowed(s, sf)))
+
+    # sorts / top-k
+    q["top10_category"] = lambda s, sf: categories.top_categories(
+        categories.category_counts(kept_category_counts(s, sf)), TOP_CATEGORIES, TASK.task_id
+    )
+    q["session_time_sort"] = lambda s, sf: funnel.session_positions(actions(s, sf)).select(
+        "session_id", "step_index", "page_id", F.col("tie").alias("event_id")
+    )
+
+    # write rules
+    q["sink_page_split_convert_rate"] = lambda s, sf: funnel.render_convert_rate(
+        funnel.page_convert_rate(actions(s, sf), TASK.target_page_flow), TASK.task_id
+    )
+
+    def upsert_counts(s, sf):
+        old, new = ad_batches(s, sf)
+        return upserts.upsert_add(
+            ads.ad_user_click_count(old), ads.ad_user_click_count(new), ["date", "user_id", "ad_id"], "click_count"
+        )
+
+    def replace_stat(s, sf):
+        old, new = ad_batches(s, sf)
+        return upserts.upsert_replace(ads.ad_stat(old), ads.ad_stat(new), ["date", "province", "city", "ad_id"])
+
+    def replace_trend(s, sf):
+        old, new = ad_batches(s, sf)
+        return upserts.upsert_replace(
+            ads.ad_click_trend(old), ads.ad_click_trend(new), ["date", "hour", "minute", "ad_id"]
+        )
+
+    def replace_top3(s, sf):
+        old, new = ad_batches(s, sf)
+        return upserts.replace_groups(
+            ads.ad_province_top3(ads.ad_stat(old)), ads.ad_province_top3(ads.ad_stat(new)), ["date", "province"]
+        )
+
+    def append_blacklist(s, sf):
+        old, new = ad_batches(s, sf)
+        return upserts.append_new(
+            ads.ad_blacklist(ads.ad_user_click_count(old), AD_BLACKLIST_THRESHOLD),
+            ads.ad_blacklist(ads.ad_user_click_count(new), AD_BLACKLIST_THRESHOLD),
+            ["user_id"],
+        )
+
+    q["sink_ad_user_click_count"] = upsert_counts
+    q["sink_ad_stat"] = replace_stat
+    q["sink_ad_click_trend"] = replace_trend
+    q["sink_ad_province_top3"] = replace_top3
+    q["sink_ad_blacklist"] = append_blacklist
+
+    # streaming twins (batch form of the per-batch logic)
+    q["parse_ad_log"] = lambda s, sf: ad_log(s, sf).select(*ad_click_columns())
+    return q

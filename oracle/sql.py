@@ -1,9 +1,11 @@
 """Independent DuckDB SQL for every registered query.
 
 DuckDB sees only the raw testdata views, so each statement starts with the
-same fixture CTEs that derive the model's inputs (written separately from
-the Spark code, in DuckDB's dialect). Ratios use integer arithmetic, lists
-are sorted, counts are BIGINT and every column is aliased to the Spark name.
+fixture CTEs that derive the model's inputs (written separately from the
+Spark code, in DuckDB's dialect). Ratios use integer arithmetic, lists are
+sorted, counts are BIGINT and every column is aliased to the Spark name.
+Per-session order uses a plain window over the session here; the Spark side
+uses range partitioning, so the two are independent.
 """
 
 from __future__ import annotations
@@ -12,8 +14,15 @@ from __future__ import annotations
 START_DATE = "2024-01-01"
 END_DATE = "2024-01-30"
 TASK_ID = 1
+START_AGE, END_AGE = 20, 50
+FLOW = [1, 2, 3, 4]
+SAMPLE_SIZE = 2000
+SAMPLE_SEED = "clicklens"
+BLACKLIST_THRESHOLD = 2
+AD_OLD_LAST_DAY = "2024-01-15"
+AD_NEW_FIRST_DAY = "2024-01-10"
 
-FIXTURE_CTES = r"""
+CTES = r"""
 ev AS (
   SELECT event_id, user_id, event_type,
          CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k,
@@ -26,9 +35,10 @@ uva AS (
   SELECT session_date, user_id,
          CAST(user_id AS VARCHAR) || '_' || session_date AS session_id,
          k % 10 AS page_id,
+         session_date || ' ' || CAST(sec // 3600 AS VARCHAR) || ':' || lpad(CAST((sec % 3600) // 60 AS VARCHAR), 2, '0')
+           || ':' || lpad(CAST(sec % 60 AS VARCHAR), 2, '0') AS action_time,
          CAST(session_date AS TIMESTAMP) + to_seconds(sec) AS action_ts,
          event_id AS tie,
-         event_id,
          CASE WHEN event_type = 'view' THEN 'kw' || CAST(k % 10 AS VARCHAR) END AS search_keyword,
          CASE WHEN event_type = 'click' THEN k % 20 END AS click_category_id,
          CASE WHEN event_type = 'click' THEN k END AS click_product_id,
@@ -74,24 +84,150 @@ enriched AS (
 kept AS (
   SELECT * FROM enriched WHERE age BETWEEN {start_age} AND {end_age}
 ),
+detail AS (
+  SELECT * FROM acts WHERE session_id IN (SELECT session_id FROM kept)
+),
+cev AS (
+  SELECT session_id, click_category_id AS category_id, 1 AS clicks, 0 AS orders, 0 AS pays
+  FROM acts WHERE click_category_id IS NOT NULL
+  UNION ALL
+  SELECT session_id, CAST(trim(x) AS BIGINT), 0, 1, 0
+  FROM (SELECT session_id, unnest(string_split(order_category_ids, ',')) AS x FROM acts WHERE order_category_ids IS NOT NULL)
+  UNION ALL
+  SELECT session_id, CAST(trim(x) AS BIGINT), 0, 0, 1
+  FROM (SELECT session_id, unnest(string_split(pay_category_ids, ',')) AS x FROM acts WHERE pay_category_ids IS NOT NULL)
+),
+kscc AS (
+  SELECT session_id, category_id, CAST(sum(clicks) AS BIGINT) AS click_count,
+         CAST(sum(orders) AS BIGINT) AS order_count, CAST(sum(pays) AS BIGINT) AS pay_count
+  FROM cev WHERE session_id IN (SELECT session_id FROM kept)
+  GROUP BY session_id, category_id
+),
+catc AS (
+  SELECT category_id, CAST(sum(click_count) AS BIGINT) AS click_count, CAST(sum(order_count) AS BIGINT) AS order_count,
+         CAST(sum(pay_count) AS BIGINT) AS pay_count
+  FROM kscc GROUP BY category_id
+  HAVING sum(click_count) > 0 OR sum(order_count) > 0 OR sum(pay_count) > 0
+),
+top10 AS (
+  SELECT * FROM catc ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10
+),
+topsess AS (
+  SELECT category_id, session_id, click_count FROM (
+    SELECT category_id, session_id, click_count,
+           row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn
+    FROM kscc WHERE click_count > 0 AND category_id IN (SELECT category_id FROM top10)
+  ) WHERE rn <= 10
+),
+kdh AS (
+  SELECT *, strftime(start_ts, '%Y-%m-%d') AS date, strftime(start_ts, '%H') AS hour FROM kept
+),
+ph AS (
+  SELECT date, hour, count(*) AS hour_count FROM kdh GROUP BY date, hour
+),
+pd AS (
+  SELECT date, CAST(sum(hour_count) AS BIGINT) AS day_total, count(*) OVER () AS num_days FROM ph GROUP BY date
+),
+quota AS (
+  SELECT ph.date, ph.hour, ph.hour_count, pd.day_total,
+         least(ph.hour_count, CAST(floor(CAST(ph.hour_count AS DOUBLE) / CAST(pd.day_total AS DOUBLE)
+                                          * CAST({sample} // pd.num_days AS DOUBLE)) AS BIGINT)) AS quota
+  FROM ph JOIN pd ON ph.date = pd.date
+),
+sampled AS (
+  SELECT * FROM (
+    SELECT k.*, q.quota,
+           row_number() OVER (PARTITION BY k.date, k.hour ORDER BY md5('{seed}' || k.session_id), k.session_id) AS rn
+    FROM kdh k JOIN quota q ON k.date = q.date AND k.hour = q.hour
+  ) WHERE rn <= quota
+),
+trn AS (
+  SELECT * FROM (
+    SELECT session_id, page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_ts, tie) AS next_page_id
+    FROM acts
+  ) WHERE next_page_id IS NOT NULL
+),
+steps AS (
+  SELECT * FROM (VALUES {steps}) t(step, from_page, to_page, page_split)
+),
+matched AS (
+  SELECT t.session_id, s.page_split
+  FROM trn t JOIN (SELECT DISTINCT from_page, to_page, page_split FROM steps) s
+    ON t.page_id = s.from_page AND t.next_page_id = s.to_page
+),
+pv AS (
+  SELECT page_split, count(*) AS split_pv FROM matched GROUP BY page_split
+),
+spv AS (
+  SELECT count(*) AS start_page_pv FROM acts WHERE page_id = {first_page}
+),
+rates AS (
+  SELECT step, page_split, split_pv,
+         CAST((200 * split_pv + prev) // nullif(2 * prev, 0) AS DOUBLE) / 100.0 AS convert_rate
+  FROM (
+    SELECT s.step, s.page_split, coalesce(pv.split_pv, 0) AS split_pv,
+           coalesce(lag(coalesce(pv.split_pv, 0)) OVER (ORDER BY s.step), (SELECT start_page_pv FROM spv)) AS prev
+    FROM steps s LEFT JOIN pv ON s.page_split = pv.page_split
+  )
+),
+aclicks AS (
+  SELECT city_id, click_product_id AS product_id FROM uva
+  WHERE click_product_id IS NOT NULL AND session_date BETWEEN '{start}' AND '{end}'
+),
+acj AS (
+  SELECT a.city_id, a.product_id, c.city_name, c.area FROM aclicks a JOIN cities c ON a.city_id = c.city_id
+),
+apc AS (
+  SELECT area, product_id, count(*) AS click_count,
+         array_to_string(list_sort(list_distinct(list(CAST(city_id AS VARCHAR) || ':' || city_name))), ',') AS city_infos
+  FROM acj GROUP BY area, product_id
+),
+top3 AS (
+  SELECT area, product_id, click_count, city_infos FROM (
+    SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) AS rn FROM apc
+  ) WHERE rn <= 3
+),
 ad AS (
-  SELECT CAST(ts AS TIMESTAMP) AS ts,
+  SELECT make_timestamp((epoch_us(e.ts) // 1000) * 1000) AS ts, epoch_us(e.ts) // 1000 AS epoch_ms,
          replace(c.area, ' ', '_') AS province, replace(c.city_name, ' ', '_') AS city,
          e.user_id, e.k % 10 AS ad_id
   FROM ev e JOIN cities c ON e.user_id % 25 = c.city_id
   WHERE e.event_type = 'click'
-)
+),
+adk AS (
+  SELECT *, strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute FROM ad
+),
+aucc AS (
+  SELECT date, user_id, ad_id, count(*) AS click_count FROM adk GROUP BY date, user_id, ad_id
+),
+abl AS (
+  SELECT DISTINCT user_id FROM aucc WHERE click_count >= {threshold}
+),
+adf AS (
+  SELECT * FROM adk WHERE user_id NOT IN (SELECT user_id FROM abl)
+),
+astat AS (
+  SELECT date, province, city, ad_id, count(*) AS click_count FROM adf GROUP BY date, province, city, ad_id
+),
+old_ad AS (SELECT * FROM adk WHERE date <= '{old_last}'),
+new_ad AS (SELECT * FROM adk WHERE date >= '{new_first}')
 """
 
-SESSION_TASK_AGES = (20, 50)
-
 
 def with_fixtures(body: str) -> str:
-    ctes = FIXTURE_CTES.format(start=START_DATE, end=END_DATE, start_age=SESSION_TASK_AGES[0], end_age=SESSION_TASK_AGES[1])
-    return "WITH " + ctes.strip() + "\n" + body.strip()
+    steps = ", ".join(f"({i}, {FLOW[i - 1]}, {FLOW[i]}, '{FLOW[i - 1]}_{FLOW[i]}')" for i in range(1, len(FLOW)))
+    ctes = CTES.format(
+        start=START_DATE, end=END_DATE, start_age=START_AGE, end_age=END_AGE, sample=SAMPLE_SIZE, seed=SAMPLE_SEED,
+        steps=steps, first_page=FLOW[0], threshold=BLACKLIST_THRESHOLD, old_last=AD_OLD_LAST_DAY,
+        new_first=AD_NEW_FIRST_DAY,
+    )
+    body = body.strip()
+    if body.upper().startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
+    return "WITH " + ctes.strip() + "\n" + body
 
 
-def _visit_bands():
+def _bands():
     from clicklens.operators.bands import STEP_BANDS, VISIT_BANDS
 
     return VISIT_BANDS, STEP_BANDS
@@ -102,7 +238,7 @@ def _band_expr(col: str, lo: int, hi: int | None) -> str:
 
 
 def band_counts_select(source: str) -> str:
-    visit, step = _visit_bands()
+    visit, step = _bands()
     parts = ["CAST(count(*) AS BIGINT) AS session_count"]
     parts += [f"CAST(count(*) FILTER (WHERE {_band_expr('visit_length', lo, hi)}) AS BIGINT) AS visit_length_{n}" for n, lo, hi in visit]
     parts += [f"CAST(count(*) FILTER (WHERE {_band_expr('step_length', lo, hi)}) AS BIGINT) AS step_length_{n}" for n, lo, hi in step]
@@ -110,20 +246,196 @@ def band_counts_select(source: str) -> str:
 
 
 def band_ratios_select(counts: str) -> str:
-    visit, step = _visit_bands()
+    visit, step = _bands()
     names = [f"visit_length_{n}" for n, _, _ in visit] + [f"step_length_{n}" for n, _, _ in step]
     ratio = lambda c: f"CAST((200 * {c} + session_count) // nullif(2 * session_count, 0) AS DOUBLE) / 100.0 AS {c}_ratio"
     return f"SELECT CAST({TASK_ID} AS BIGINT) AS task_id, session_count, {', '.join(ratio(c) for c in names)} FROM {counts}"
 
 
 SESSION_COLS = "session_id, user_id, search_keywords, click_category_ids, visit_length, step_length, start_time"
+ACTION_COLS = ("user_id, session_id, page_id, action_time, search_keyword, click_category_id, click_product_id, "
+               "order_category_ids, order_product_ids, pay_category_ids, pay_product_ids")
+DETAIL_COLS = f"CAST({TASK_ID} AS BIGINT) AS task_id, {ACTION_COLS}"
+AD_COLS = "epoch_ms, province, city, user_id, ad_id"
+
+
+def _kind(kind: str) -> str:
+    col = {"click": "clicks", "order": "orders", "pay": "pays"}[kind]
+    return with_fixtures(
+        f"SELECT category_id, count(*) AS {kind}_count FROM cev "
+        f"WHERE {col} = 1 AND session_id IN (SELECT session_id FROM kept) GROUP BY category_id"
+    )
+
+
+def _province_top3(source: str) -> str:
+    return f"""
+      SELECT date, province, ad_id, click_count FROM (
+        SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, ad_id) AS rn FROM (
+          SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count FROM ({source}) GROUP BY date, province, ad_id
+        )
+      ) WHERE rn <= 3"""
+
+
+def _stat(src: str) -> str:
+    return f"SELECT date, province, city, ad_id, count(*) AS click_count FROM {src} GROUP BY date, province, city, ad_id"
+
+
+def _trend(src: str) -> str:
+    return f"SELECT date, hour, minute, ad_id, count(*) AS click_count FROM {src} GROUP BY date, hour, minute, ad_id"
+
+
+def _ucount(src: str) -> str:
+    return f"SELECT date, user_id, ad_id, count(*) AS click_count FROM {src} GROUP BY date, user_id, ad_id"
 
 
 def statements() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["session_aggregate"] = with_fixtures(f"SELECT {SESSION_COLS} FROM sess")
-    q["session_band_counts"] = with_fixtures(band_counts_select("kept"))
-    q["session_band_ratios"] = with_fixtures(
-        f"SELECT * FROM ({band_ratios_select('(' + band_counts_select('kept') + ') c')})"
+    W = with_fixtures
+
+    # sources
+    q["actions_by_date"] = W(
+        "SELECT session_date, user_id, session_id, page_id, action_time, search_keyword, click_category_id, "
+        "click_product_id, order_category_ids, order_product_ids, pay_category_ids, pay_product_ids, city_id FROM acts"
+    )
+    q["user_info"] = W("SELECT user_id, age, professional, city, sex FROM users")
+    q["product_info"] = W("SELECT product_id, product_name, product_status FROM products")
+    q["area_click_scan"] = W("SELECT city_id, product_id FROM aclicks")
+    q["ad_click_lookup"] = W(
+        """SELECT k.date, k.user_id, k.ad_id, coalesce(c.click_count, 0) AS click_count
+           FROM (SELECT DISTINCT session_date AS date, user_id, k % 10 AS ad_id FROM ev WHERE event_type <> 'click') k
+           LEFT JOIN aucc c ON k.date = c.date AND k.user_id = c.user_id AND k.ad_id = c.ad_id"""
+    )
+
+    # filters
+    q["filter_age"] = W(f"SELECT {SESSION_COLS} FROM enriched WHERE age BETWEEN 20 AND 50")
+    q["filter_professional"] = W(f"SELECT {SESSION_COLS} FROM enriched WHERE professional IN ('BUILDING', 'MACHINERY')")
+    q["filter_city"] = W(f"SELECT {SESSION_COLS} FROM enriched WHERE city IN ('NATION_1', 'NATION_7', 'NATION_13')")
+    q["filter_sex"] = W(f"SELECT {SESSION_COLS} FROM enriched WHERE sex = 'female'")
+    q["filter_keywords"] = W(f"SELECT {SESSION_COLS} FROM enriched WHERE list_has_any(keyword_list, ['kw1', 'kw3'])")
+    q["filter_categories"] = W(
+        f"SELECT {SESSION_COLS} FROM enriched WHERE list_has_any(category_list, [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[])"
+    )
+    q["filter_equal"] = W(f"SELECT {SESSION_COLS} FROM enriched WHERE professional = 'AUTOMOBILE'")
+    q["filter_all"] = W(
+        f"SELECT {SESSION_COLS} FROM enriched WHERE age BETWEEN 20 AND 50 AND sex = 'male' "
+        "AND list_has_any(category_list, [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[])"
+    )
+    q["clicks_only"] = W(f"SELECT {ACTION_COLS} FROM acts WHERE click_category_id IS NOT NULL")
+    q["orders_only"] = W(f"SELECT {ACTION_COLS} FROM acts WHERE order_category_ids IS NOT NULL")
+    q["pays_only"] = W(f"SELECT {ACTION_COLS} FROM acts WHERE pay_category_ids IS NOT NULL")
+    q["start_page_only"] = W(f"SELECT {ACTION_COLS} FROM acts WHERE page_id = {FLOW[0]}")
+    q["flow_match"] = W("SELECT session_id, page_split FROM matched")
+
+    # joins
+    q["session_user_join"] = W(f"SELECT {SESSION_COLS}, age, professional, city, sex FROM enriched")
+    q["session_detail"] = W(f"SELECT {DETAIL_COLS} FROM detail")
+    q["category_counts"] = W("SELECT category_id, click_count, order_count, pay_count FROM catc")
+    q["top_category_session_join"] = W(
+        "SELECT category_id, session_id, click_count FROM kscc "
+        "WHERE click_count > 0 AND category_id IN (SELECT category_id FROM top10)"
+    )
+    q["top10_session_detail"] = W(
+        f"SELECT {DETAIL_COLS} FROM acts WHERE session_id IN (SELECT session_id FROM topsess)"
+    )
+    q["sample_session_detail"] = W(
+        f"SELECT {DETAIL_COLS} FROM acts WHERE session_id IN (SELECT session_id FROM sampled)"
+    )
+    q["sample_index_lookup"] = W(
+        "SELECT k.session_id, k.date, k.hour, q.quota FROM kdh k JOIN quota q ON k.date = q.date AND k.hour = q.hour"
+    )
+    q["flow_broadcast"] = W(
+        "SELECT t.session_id, t.page_id, t.next_page_id, s.step FROM trn t "
+        "JOIN steps s ON t.page_id = s.from_page AND t.next_page_id = s.to_page"
     )
+    q["area_city_join"] = W("SELECT city_id, product_id, city_name, area FROM acj")
+    q["area_product_join"] = W(
+        "SELECT t.area, t.product_id, t.click_count, t.city_infos, p.product_name, p.product_status "
+        "FROM top3 t LEFT JOIN products p ON t.product_id = p.product_id"
+    )
+    q["ad_blacklist_filter"] = W(f"SELECT {AD_COLS} FROM adf")
+
+    # aggregations
+    q["session_aggregate"] = W(f"SELECT {SESSION_COLS} FROM sess")
+    q["session_band_counts"] = W(band_counts_select("kept"))
+    q["session_band_ratios"] = W(f"SELECT * FROM ({band_ratios_select('(' + band_counts_select('kept') + ') c')})")
+    q["total_detail_count"] = W("SELECT count(*) AS detail_count FROM detail")
+    q["visited_categories"] = W("SELECT DISTINCT category_id FROM catc")
+    q["category_click_count"] = _kind("click")
+    q["category_order_count"] = _kind("order")
+    q["category_pay_count"] = _kind("pay")
+    q["sessions_per_hour"] = W("SELECT date, hour, hour_count FROM ph")
+    q["sessions_per_day"] = W("SELECT date, day_total, num_days FROM pd")
+    q["category_session_clicks"] = W("SELECT category_id, session_id, click_count FROM kscc WHERE click_count > 0")
+    q["page_split_pv"] = W("SELECT page_split, split_pv FROM pv")
+    q["start_page_pv"] = W("SELECT start_page_pv FROM spv")
+    q["area_product_clicks"] = W("SELECT area, product_id, click_count, city_infos FROM apc")
+    q["ad_user_click_count"] = W("SELECT date, user_id, ad_id, click_count FROM aucc")
+    q["ad_blacklist"] = W("SELECT user_id FROM abl")
+    q["ad_stat"] = W("SELECT * FROM astat")
+    q["ad_click_trend"] = W(_trend("adf"))
+
+    # per-group operators
+    q["top10_session"] = W(f"SELECT CAST({TASK_ID} AS BIGINT) AS task_id, category_id, session_id, click_count FROM topsess")
+    q["sample_quota"] = W("SELECT date, hour, hour_count, day_total, quota FROM quota")
+    q["sample_sessions"] = W(
+        f"SELECT CAST({TASK_ID} AS BIGINT) AS task_id, session_id, start_time, search_keywords, click_category_ids FROM sampled"
+    )
+    q["page_splits"] = W("SELECT session_id, page_id, next_page_id FROM trn")
+    q["page_convert_rate"] = W(
+        f"SELECT CAST({TASK_ID} AS BIGINT) AS task_id, step, page_split, split_pv, convert_rate FROM rates"
+    )
+    q["area_top3_product"] = W(
+        f"""SELECT CAST({TASK_ID} AS BIGINT) AS task_id, t.area, CAST(NULL AS VARCHAR) AS area_level, t.product_id,
+                  t.city_infos, t.click_count, p.product_name, p.product_status
+           FROM top3 t LEFT JOIN products p ON t.product_id = p.product_id"""
+    )
+    q["ad_province_top3"] = W(_province_top3("SELECT * FROM astat"))
+
+    # sorts / top-k
+    q["top10_category"] = W(
+        f"SELECT CAST({TASK_ID} AS BIGINT) AS task_id, category_id, click_count, order_count, pay_count FROM top10"
+    )
+    q["session_time_sort"] = W(
+        "SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY action_ts, tie) AS step_index, "
+        "page_id, tie AS event_id FROM acts"
+    )
+
+    # write rules
+    q["sink_page_split_convert_rate"] = W(
+        f"""SELECT CAST({TASK_ID} AS BIGINT) AS task_id,
+                  string_agg(page_split || '=' || coalesce(CAST(convert_rate AS VARCHAR), 'null'), '|' ORDER BY step) AS convert_rate
+           FROM rates"""
+    )
+    q["sink_ad_user_click_count"] = W(
+        f"""SELECT date, user_id, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count FROM (
+              {_ucount('old_ad')} UNION ALL {_ucount('new_ad')}
+           ) GROUP BY date, user_id, ad_id"""
+    )
+    q["sink_ad_stat"] = W(
+        f"""WITH o AS ({_stat('old_ad')}), n AS ({_stat('new_ad')})
+           SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.date = o.date AND n.province = o.province
+                                             AND n.city = o.city AND n.ad_id = o.ad_id)
+           UNION ALL SELECT * FROM n"""
+    )
+    q["sink_ad_click_trend"] = W(
+        f"""WITH o AS ({_trend('old_ad')}), n AS ({_trend('new_ad')})
+           SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.date = o.date AND n.hour = o.hour
+                                             AND n.minute = o.minute AND n.ad_id = o.ad_id)
+           UNION ALL SELECT * FROM n"""
+    )
+    q["sink_ad_province_top3"] = W(
+        f"""WITH o AS ({_province_top3(_stat('old_ad'))}), n AS ({_province_top3(_stat('new_ad'))})
+           SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.date = o.date AND n.province = o.province)
+           UNION ALL SELECT * FROM n"""
+    )
+    q["sink_ad_blacklist"] = W(
+        f"""SELECT DISTINCT user_id FROM (
+              SELECT user_id FROM ({_ucount('old_ad')}) WHERE click_count >= {BLACKLIST_THRESHOLD}
+              UNION ALL
+              SELECT user_id FROM ({_ucount('new_ad')}) WHERE click_count >= {BLACKLIST_THRESHOLD}
+           )"""
+    )
+
+    # streaming twins
+    q["parse_ad_log"] = W(f"SELECT {AD_COLS} FROM ad")
     return q
