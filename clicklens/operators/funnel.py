@@ -52,7 +52,19 @@ def _ranged(actions: DataFrame, num_ranges: int | None) -> DataFrame:
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = actions.select("session_id", "page_id", "action_ts", "tie")
     ranged = cols.repartitionByRange(n, *ORDER).withColumn("rng", F.spark_partition_id())
-    return ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(ranged)
+    return ranged
+
+
+_PERSISTED: list[DataFrame] = []
+
+
+def release() -> None:
+    """Unpersist the range-partitioned frames built so far (call after the
+    results that use them are written)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
 
 
 def page_transitions(actions: DataFrame, num_ranges: int | None = None) -> DataFrame:
