@@ -68,14 +68,14 @@ def age_predicate(p: TaskParams) -> Column | None:
     missing age fails the condition."""
     if p.start_age is None or p.end_age is None:
         return None
-    return F.coalesce(F.col("age").between(p.start_age, p.end_age), F.lit(False))
+    return F.col("age").between(p.start_age, p.end_age)
 
 
 def in_predicate(column: str, values: list | None) -> Column | None:
     """Value is one of ``values``; no condition when ``values`` is None."""
     if not values:
         return None
-    return F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+    return F.col(column).isin(list(values))
 
 
 def overlap_predicate(array_column: str, values: list | None, element_type: str) -> Column | None:
@@ -83,19 +83,23 @@ def overlap_predicate(array_column: str, values: list | None, element_type: str)
     if not values:
         return None
     wanted = F.array(*[F.lit(v).cast(element_type) for v in values])
-    return F.coalesce(F.arrays_overlap(F.col(array_column), wanted), F.lit(False))
+    return F.arrays_overlap(F.col(array_column), wanted)
 
 
 def equal_predicate(column: str, value) -> Column | None:
     """Exact equality; no condition when ``value`` is None."""
     if value is None:
         return None
-    return F.coalesce(F.col(column) == F.lit(value), F.lit(False))
+    return F.col(column) == F.lit(value)
 
 
 def session_predicates(p: TaskParams) -> list[Column]:
     """The six session conditions in order: age, professional, city, sex,
-    keywords, categories. Absent parameters add no condition."""
+    keywords, categories. Absent parameters add no condition.
+
+    The predicates are plain comparisons (a NULL rejects the row in a
+    filter), so the user-column ones translate into Parquet pushed filters.
+    """
     preds = [
         age_predicate(p),
         in_predicate("professional", p.professionals),

@@ -16,7 +16,7 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 
