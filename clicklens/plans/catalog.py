@@ -12,9 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import uuid
+
 from clicklens.operators import ads, areas, bands, categories, funnel, sampling, sessions, upserts
 from clicklens.params import TaskParams
 from clicklens.sources import fixtures, tables
+from clicklens.spark import ensure_checkpoint_dir
+from clicklens.streaming import ad_stream
 
 # Fixed values of the demonstration tasks (mirrored in oracle/sql.py).
 SESSION_TASK = TaskParams(
@@ -47,6 +51,9 @@ AD_BLACKLIST_THRESHOLD = 2
 # two overlapping ad batches for the write-rule queries
 AD_OLD_LAST_DAY = "2024-01-15"
 AD_NEW_FIRST_DAY = "2024-01-10"
+# the ad stream reads the log in micro-batches of this many days
+AD_STREAM_ORIGIN = "2024-01-01"
+AD_STREAM_DAYS_PER_BATCH = 5
 
 Query = Callable[[SparkSession, str], DataFrame]
 TASK = SESSION_TASK
@@ -165,6 +172,36 @@ def _only(column: str) -> Query:
     return run
 
 
+_STREAM_OUTPUTS: dict[tuple[str, str], str] = {}
+
+
+def streamed_ad_tables(spark: SparkSession, sf: str) -> ad_stream.AdTables:
+    """Run the ad stream once over the whole ad log and return its tables.
+
+    The log is staged as one text file per group of
+    ``AD_STREAM_DAYS_PER_BATCH`` days (written in time order under the shared
+    checkpoint folder) and read with ``maxFilesPerTrigger=1``, so every
+    micro-batch is one group and the blacklist grows batch by batch. The run
+    is shared by the streaming keys of one session.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STREAM_OUTPUTS:
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ad-stream-{uuid.uuid4().hex}"
+        lines = fixtures.ad_log_lines(spark, sf, with_date=True).withColumn(
+            "grp", F.floor(F.datediff(F.col("date"), F.lit(AD_STREAM_ORIGIN)) / AD_STREAM_DAYS_PER_BATCH).cast("int")
+        )
+        groups = [r.grp for r in lines.select("grp").distinct().orderBy("grp").collect()]  # one per batch
+        for g in groups:
+            lines.where(F.col("grp") == g).select("value").coalesce(1).write.text(f"{base}/in/{g:06d}")
+        source = ad_stream.read_ad_log(spark, f"{base}/in/*", max_files_per_trigger=1)
+        q = ad_stream.start_ad_stream(spark, source, f"{base}/out", AD_BLACKLIST_THRESHOLD, f"{base}/ckpt")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        _STREAM_OUTPUTS[key] = f"{base}/out"
+    return ad_stream.AdTables.at(spark, _STREAM_OUTPUTS[key])
+
+
 # ---- the registry ------------------------------------------------------------
 
 
@@ -323,6 +360,11 @@ def registry() -> dict[str, Query]:
     q["sink_ad_province_top3"] = replace_top3
     q["sink_ad_blacklist"] = append_blacklist
 
-    # streaming twins (batch form of the per-batch logic)
+    # streaming: the batch twin of parsing, and the stream's own tables
     q["parse_ad_log"] = lambda s, sf: ad_log(s, sf).select(*ad_click_columns())
+    q["ad_user_counts_stream"] = lambda s, sf: streamed_ad_tables(s, sf).counts.read()
+    q["blacklist_update"] = lambda s, sf: streamed_ad_tables(s, sf).blacklist.read()
+    q["ad_stat_stream"] = lambda s, sf: streamed_ad_tables(s, sf).stat.read()
+    q["ad_province_top3_stream"] = lambda s, sf: streamed_ad_tables(s, sf).top3.read()
+    q["ad_click_trend_stream"] = lambda s, sf: streamed_ad_tables(s, sf).trend.read()
     return q

@@ -136,10 +136,13 @@ def ad_non_click_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ad_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ad log as text: ``epoch_ms province city user_id ad_id``."""
+def ad_log_lines(spark: SparkSession, sf_dir: str, with_date: bool = False) -> DataFrame:
+    """The ad log as text: ``epoch_ms province city user_id ad_id`` (plus the
+    click's ``date`` when asked, for staging one file per day)."""
     a = ad_clicks(spark, sf_dir)
+    extra = [F.date_format("ts", "yyyy-MM-dd").alias("date")] if with_date else []
     return a.select(
+        *extra,
         F.concat_ws(
             " ",
             F.unix_millis("ts").cast("string"),

@@ -21,6 +21,8 @@ SAMPLE_SEED = "clicklens"
 BLACKLIST_THRESHOLD = 2
 AD_OLD_LAST_DAY = "2024-01-15"
 AD_NEW_FIRST_DAY = "2024-01-10"
+AD_STREAM_ORIGIN = "2024-01-01"
+AD_STREAM_DAYS_PER_BATCH = 5
 
 CTES = r"""
 ev AS (
@@ -209,6 +211,17 @@ adf AS (
 astat AS (
   SELECT date, province, city, ad_id, count(*) AS click_count FROM adf GROUP BY date, province, city, ad_id
 ),
+adb AS (
+  SELECT *, date_diff('day', DATE '{origin}', CAST(date AS DATE)) // {days_per_batch} AS grp FROM adk
+),
+bl_grp AS (
+  SELECT a.user_id, min(a.grp) AS grp
+  FROM (SELECT date, user_id, ad_id, min(grp) AS grp, count(*) AS click_count FROM adb GROUP BY date, user_id, ad_id) a
+  WHERE a.click_count >= {threshold} GROUP BY a.user_id
+),
+sadf AS (
+  SELECT a.* FROM adb a LEFT JOIN bl_grp b ON a.user_id = b.user_id WHERE b.grp IS NULL OR a.grp <= b.grp
+),
 old_ad AS (SELECT * FROM adk WHERE date <= '{old_last}'),
 new_ad AS (SELECT * FROM adk WHERE date >= '{new_first}')
 """
@@ -219,7 +232,7 @@ def with_fixtures(body: str) -> str:
     ctes = CTES.format(
         start=START_DATE, end=END_DATE, start_age=START_AGE, end_age=END_AGE, sample=SAMPLE_SIZE, seed=SAMPLE_SEED,
         steps=steps, first_page=FLOW[0], threshold=BLACKLIST_THRESHOLD, old_last=AD_OLD_LAST_DAY,
-        new_first=AD_NEW_FIRST_DAY,
+        new_first=AD_NEW_FIRST_DAY, origin=AD_STREAM_ORIGIN, days_per_batch=AD_STREAM_DAYS_PER_BATCH,
     )
     body = body.strip()
     if body.upper().startswith("WITH"):
@@ -436,6 +449,13 @@ def statements() -> dict[str, str]:
            )"""
     )
 
-    # streaming twins
+    # streaming: micro-batches of consecutive days in time order, so a user's
+    # clicks count up to and including the first batch in which one of their
+    # counts reached the threshold, and are dropped after it
     q["parse_ad_log"] = W(f"SELECT {AD_COLS} FROM ad")
+    q["ad_user_counts_stream"] = W(_ucount("sadf"))
+    q["blacklist_update"] = W("SELECT user_id FROM bl_grp")
+    q["ad_stat_stream"] = W(_stat("sadf"))
+    q["ad_province_top3_stream"] = W(_province_top3(_stat("sadf")))
+    q["ad_click_trend_stream"] = W(_trend("sadf"))
     return q
