@@ -354,6 +354,26 @@ def registry() -> dict[str, Query]:
             ["user_id"],
         )
 
+    def session_job(s, sf):
+        from clicklens.plans import jobs
+
+        src = jobs.SessionSources(fixtures.user_visit_action(s, sf), fixtures.user_info(s, sf))
+        return jobs.run_session(s, TASK, src, sample_size=SAMPLE_SIZE, top_k=TOP_CATEGORIES,
+                                top_n_sessions=TOP_SESSIONS, seed=SAMPLE_SEED)
+
+    def area_job(s, sf):
+        from clicklens.plans import jobs
+
+        return jobs.run_area_top3(s, TASK, fixtures.user_visit_action(s, sf), fixtures.city_info(s, sf),
+                                  fixtures.product_info(s, sf), TOP_PRODUCTS)
+
+    # the rows each batch job writes to its result tables
+    q["sink_session_aggr_stat"] = lambda s, sf: session_job(s, sf)["session_aggr_stat"]
+    q["sink_session_random_extract"] = lambda s, sf: session_job(s, sf)["session_random_extract"]
+    q["sink_session_detail"] = lambda s, sf: session_job(s, sf)["session_detail"]
+    q["sink_top10_category"] = lambda s, sf: session_job(s, sf)["top10_category"]
+    q["sink_top10_session"] = lambda s, sf: session_job(s, sf)["top10_category_session"]
+    q["sink_area_top3_product"] = lambda s, sf: area_job(s, sf)["area_top3_product"]
     q["sink_ad_user_click_count"] = upsert_counts
     q["sink_ad_stat"] = replace_stat
     q["sink_ad_click_trend"] = replace_trend
@@ -364,6 +384,7 @@ def registry() -> dict[str, Query]:
     q["parse_ad_log"] = lambda s, sf: ad_log(s, sf).select(*ad_click_columns())
     q["ad_user_counts_stream"] = lambda s, sf: streamed_ad_tables(s, sf).counts.read()
     q["blacklist_update"] = lambda s, sf: streamed_ad_tables(s, sf).blacklist.read()
+    q["blacklist_scan"] = lambda s, sf: tables.read_blacklist(s, streamed_ad_tables(s, sf).blacklist.read())
     q["ad_stat_stream"] = lambda s, sf: streamed_ad_tables(s, sf).stat.read()
     q["ad_province_top3_stream"] = lambda s, sf: streamed_ad_tables(s, sf).top3.read()
     q["ad_click_trend_stream"] = lambda s, sf: streamed_ad_tables(s, sf).trend.read()

@@ -419,6 +419,16 @@ def statements() -> dict[str, str]:
                   string_agg(page_split || '=' || coalesce(CAST(convert_rate AS VARCHAR), 'null'), '|' ORDER BY step) AS convert_rate
            FROM rates"""
     )
+    q["sink_session_aggr_stat"] = q["session_band_ratios"]
+    q["sink_session_random_extract"] = q["sample_sessions"]
+    q["sink_session_detail"] = W(
+        f"""SELECT {DETAIL_COLS} FROM acts WHERE session_id IN (SELECT session_id FROM sampled)
+           UNION ALL
+           SELECT {DETAIL_COLS} FROM acts WHERE session_id IN (SELECT session_id FROM topsess)"""
+    )
+    q["sink_top10_category"] = q["top10_category"]
+    q["sink_top10_session"] = q["top10_session"]
+    q["sink_area_top3_product"] = q["area_top3_product"]
     q["sink_ad_user_click_count"] = W(
         f"""SELECT date, user_id, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count FROM (
               {_ucount('old_ad')} UNION ALL {_ucount('new_ad')}
@@ -455,6 +465,7 @@ def statements() -> dict[str, str]:
     q["parse_ad_log"] = W(f"SELECT {AD_COLS} FROM ad")
     q["ad_user_counts_stream"] = W(_ucount("sadf"))
     q["blacklist_update"] = W("SELECT user_id FROM bl_grp")
+    q["blacklist_scan"] = W("SELECT DISTINCT user_id FROM bl_grp")
     q["ad_stat_stream"] = W(_stat("sadf"))
     q["ad_province_top3_stream"] = W(_province_top3(_stat("sadf")))
     q["ad_click_trend_stream"] = W(_trend("sadf"))
