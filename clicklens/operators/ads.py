@@ -39,7 +39,9 @@ def parse_ad_log(lines: DataFrame, value_column: str = "value") -> DataFrame:
 
 
 def with_time_keys(clicks: DataFrame) -> DataFrame:
-    """Add ``date`` (yyyy-MM-dd), ``hour`` (HH) and ``minute`` (mm)."""
+    """Add ``date`` (yyyy-MM-dd), ``hour`` (HH) and ``minute`` (mm) (once)."""
+    if "date" in clicks.columns:
+        return clicks
     return clicks.select(
         "*",
         F.date_format("ts", "yyyy-MM-dd").alias("date"),

@@ -13,11 +13,14 @@ micro-batch, inside ``foreachBatch``:
    touched and replace those groups wholly,
 7. add the batch's clicks to the per-minute ``ad_click_trend``.
 
-Every table is a :class:`~clicklens.sinks.writers.VersionedTable`; each
-commit carries the batch id, so a replayed batch (after a failure, or
-re-delivery) is skipped table by table and never double counts. Step 2
-reads the blacklist version written before this batch, so a replay filters
-exactly as the first attempt did.
+The four keyed tables are date-partitioned
+(:class:`~clicklens.sinks.writers.PartitionedTable`): a batch rewrites only
+the dates it contains, so its cost does not grow with the history kept. The
+blacklist (bounded by the number of users) is a
+:class:`~clicklens.sinks.writers.VersionedTable`. Every commit carries the
+batch id, so a replayed batch (after a failure, or re-delivery) is skipped
+table by table and never double counts. Step 2 reads the blacklist version
+written before this batch, so a replay filters exactly as the first attempt.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clicklens.operators import ads, upserts
-from clicklens.sinks.writers import VersionedTable
+from clicklens.sinks.writers import PartitionedTable, VersionedTable
 from clicklens.spark import ensure_checkpoint_dir
 
 COUNT_KEYS = ["date", "user_id", "ad_id"]
@@ -57,18 +60,25 @@ SCHEMAS = {
 
 @dataclass
 class AdTables:
-    counts: VersionedTable
+    counts: PartitionedTable
     blacklist: VersionedTable
-    stat: VersionedTable
-    top3: VersionedTable
-    trend: VersionedTable
+    stat: PartitionedTable
+    top3: PartitionedTable
+    trend: PartitionedTable
 
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "AdTables":
-        t = lambda name: VersionedTable(spark, f"{root.rstrip('/')}/{name}", SCHEMAS[name])
-        return cls(t("ad_user_click_count"), t("ad_blacklist"), t("ad_stat"), t("ad_province_top3"), t("ad_click_trend"))
-
-    def all(self) -> list[VersionedTable]:
+        base = root.rstrip("/")
+        part = lambda name: PartitionedTable(spark, f"{base}/{name}", SCHEMAS[name], "date")
+        return cls(
+            part("ad_user_click_count"),
+            VersionedTable(spark, f"{base}/ad_blacklist", SCHEMAS["ad_blacklist"]),
+            part("ad_stat"),
+            part("ad_province_top3"),
+            part("ad_click_trend"),
+        )
+
+    def all(self) -> list:
         return [self.counts, self.blacklist, self.stat, self.top3, self.trend]
 
 
@@ -92,33 +102,31 @@ def process_batch(batch: DataFrame, batch_id: int, tables: AdTables, threshold:
     """Apply one micro-batch to the five tables (idempotent per table)."""
     if all(t.last_batch() >= batch_id for t in tables.all()):
         return
-    spark = batch.sparkSession
     blacklist = tables.blacklist.read(before_batch=batch_id)
-    clicks = ads.parse_ad_log(batch)
+    clicks = ads.with_time_keys(ads.parse_ad_log(batch))
     allowed = ads.drop_blacklisted(clicks, blacklist).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # the days this batch touches: a handful per micro-batch
+        days = [r.date for r in allowed.select("date").distinct().collect()]
         if tables.counts.last_batch() < batch_id:
-            old = tables.counts.read(before_batch=batch_id)
-            tables.counts.commit(upserts.upsert_add(old, ads.ad_user_click_count(allowed), COUNT_KEYS, "click_count"), batch_id)
+            old = tables.counts.read_partitions(days)
+            delta = ads.ad_user_click_count(allowed)
+            tables.counts.commit(upserts.upsert_add(old, delta, COUNT_KEYS, "click_count"), batch_id)
         if tables.blacklist.last_batch() < batch_id:
-            counts = tables.counts.read()
-            reached = ads.ad_blacklist(counts, threshold)
+            reached = ads.ad_blacklist(tables.counts.read_partitions(days), threshold)
             tables.blacklist.commit(upserts.append_new(blacklist, reached, ["user_id"]), batch_id)
         if tables.stat.last_batch() < batch_id:
-            old = tables.stat.read(before_batch=batch_id)
+            old = tables.stat.read_partitions(days)
             tables.stat.commit(upserts.upsert_add(old, ads.ad_stat(allowed), STAT_KEYS, "click_count"), batch_id)
         if tables.top3.last_batch() < batch_id:
-            stat = tables.stat.read()
-            touched = ads.with_time_keys(allowed).select(*TOP_GROUP).distinct()
-            fresh = ads.ad_province_top3(stat.join(touched, TOP_GROUP, "left_semi"))
-            old = tables.top3.read(before_batch=batch_id)
-            tables.top3.commit(upserts.replace_groups(old, fresh, TOP_GROUP), batch_id)
+            # every province of a touched day is recomputed, so the touched
+            # days' partitions are replaced wholly
+            tables.top3.commit(ads.ad_province_top3(tables.stat.read_partitions(days)), batch_id)
         if tables.trend.last_batch() < batch_id:
-            old = tables.trend.read(before_batch=batch_id)
+            old = tables.trend.read_partitions(days)
             tables.trend.commit(upserts.upsert_add(old, ads.ad_click_trend(allowed), TREND_KEYS, "click_count"), batch_id)
     finally:
         allowed.unpersist()
-    del spark
 
 
 def start_ad_stream(spark: SparkSession, source: DataFrame, out_root: str, threshold: int,
