@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.functions.columns import elapsed_seconds, format_time, is_not_empty, sorted_join
+from clicklens.operators.joins import broadcast_bounded
 from clicklens.params import TaskParams
 
 SESSION_COLUMNS = [
@@ -125,16 +126,22 @@ def kept_sessions(actions: DataFrame, users: DataFrame, p: TaskParams) -> DataFr
     return filter_sessions(session_user_join(session_aggregate(actions), users), p)
 
 
-def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Actions of the given sessions (left semi join: each action once; AQE
-    splits a hot session's partition)."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+def session_detail(actions: DataFrame, sessions: DataFrame, max_sessions: int | None = None) -> DataFrame:
+    """Actions of the given sessions (left semi join: each action once).
+
+    With ``max_sessions`` (a proven bound: a sample of n, a top k x n) the
+    session list is broadcast and the action log is filtered where it is
+    read, without being shuffled. Otherwise the join is a sort-merge join in
+    which AQE splits a hot session's partition.
+    """
+    ids = broadcast_bounded(sessions.select("session_id"), max_sessions)
+    return actions.join(ids, "session_id", "left_semi")
 
 
-def detail_with_multiplicity(actions: DataFrame, picks: DataFrame) -> DataFrame:
+def detail_with_multiplicity(actions: DataFrame, picks: DataFrame, max_picks: int | None = None) -> DataFrame:
     """Actions joined to every pick row of their session (a session picked
     for k categories yields its actions k times)."""
-    return actions.join(picks.select("session_id"), "session_id", "inner")
+    return actions.join(broadcast_bounded(picks.select("session_id"), max_picks), "session_id", "inner")
 
 
 DETAIL_COLUMNS = [

@@ -249,10 +249,10 @@ def registry() -> dict[str, Query]:
         "category_id", "session_id", "click_count"
     )
     q["top10_session_detail"] = lambda s, sf: sessions.detail_rows(
-        sessions.session_detail(actions(s, sf), top_sessions(s, sf)), TASK.task_id
+        sessions.session_detail(actions(s, sf), top_sessions(s, sf), TOP_CATEGORIES * TOP_SESSIONS), TASK.task_id
     )
     q["sample_session_detail"] = lambda s, sf: sessions.detail_rows(
-        sessions.session_detail(actions(s, sf), sampled(s, sf)), TASK.task_id
+        sessions.session_detail(actions(s, sf), sampled(s, sf), SAMPLE_SIZE), TASK.task_id
     )
     q["sample_index_lookup"] = lambda s, sf: sampling.with_date_hour(kept(s, sf)).join(
         sampling.sample_quota(kept(s, sf), SAMPLE_SIZE).select("date", "hour", "quota"), ["date", "hour"]

@@ -40,12 +40,13 @@ def run_session(spark: SparkSession, params: TaskParams, src: SessionSources, sa
     per_session = categories.for_sessions(categories.session_category_counts(acts), kept)
     top = categories.top_categories(categories.category_counts(per_session, visited), top_k)
     top_sessions = categories.top_sessions_per_category(per_session, top, top_n_sessions, top_k, tid)
+    top_bound = top_k * top_n_sessions
     top_detail = (
-        sessions.detail_with_multiplicity(acts, top_sessions)
+        sessions.detail_with_multiplicity(acts, top_sessions, top_bound)
         if detail_duplicates
-        else sessions.session_detail(acts, top_sessions)
+        else sessions.session_detail(acts, top_sessions, top_bound)
     )
-    detail = sessions.detail_rows(sessions.session_detail(acts, sampled), tid).unionByName(
+    detail = sessions.detail_rows(sessions.session_detail(acts, sampled, sample_size), tid).unionByName(
         sessions.detail_rows(top_detail, tid)
     )
     return {

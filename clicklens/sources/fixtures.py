@@ -37,15 +37,19 @@ def _events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("k"),
         F.date_format("ts", "yyyy-MM-dd").alias("session_date"),
         sec.alias("sec"),
+        (epoch_s - epoch_s % 86400).alias("day_start"),
         F.col("ts").cast("timestamp").alias("ts"),
     )
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The behaviour log: 13 columns of the model plus ``event_id`` (tie key).
+    """The behaviour log: 13 columns of the model plus ``event_id`` (tie key)
+    and ``action_ts``.
 
     ``action_time`` is text ``yyyy-MM-dd H:mm:ss`` with an unpadded hour, as
-    the model's producers write it.
+    the model's producers write it; ``action_ts`` is the same instant as a
+    timestamp, as a typed store would keep it (readers parse the text only
+    when no typed column exists).
     """
     b = _events_base(spark, sf_dir)
     k, et, sec = F.col("k"), F.col("event_type"), F.col("sec")
@@ -72,6 +76,7 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(et == "purchase", pair(k, 3, 100)).alias("pay_product_ids"),
         (F.col("user_id") % 25).alias("city_id"),
         "event_id",
+        F.timestamp_seconds(F.col("day_start") + sec).alias("action_ts"),
     )
 
 

@@ -60,3 +60,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="clicklens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits of 512 MiB keep the task count manageable (100 TB gives
+    about 200k scan tasks). The shuffle starts with enough partitions for
+    ~256 MiB each (at least 2 waves of the cluster, at most 200k) and AQE
+    coalesces small ones to the advisory size and splits skewed ones, so a
+    partition always fits in executor memory and spills only past it.
+    """
+    mib = 1024 * 1024
+    shuffle = max(2 * total_cores, min(200_000, input_bytes // (256 * mib) + 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(512 * mib),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mib),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mib),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * mib),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mib),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, total_cores: int) -> None:
+    apply_job_conf(spark)
+    for k, v in scale_conf(input_bytes, total_cores).items():
+        spark.conf.set(k, v)

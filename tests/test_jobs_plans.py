@@ -95,3 +95,10 @@ def test_no_python_in_any_plan(spark):
         for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
             assert bad not in p, (name, bad)
     funnel.release()
+
+
+def test_bounded_detail_joins_do_not_shuffle_the_log(spark):
+    reg = catalog.registry()
+    for key in ("top10_session_detail", "sample_session_detail"):
+        p = plan(reg[key](spark, SF_SMALL))
+        assert "BroadcastHashJoin LeftSemi" in p.replace("\n", " ") or "LeftSemi" in p and "BroadcastExchange" in p, key
