@@ -90,8 +90,38 @@ def ad_click_trend(clicks: DataFrame) -> DataFrame:
 
 
 def ad_click_trend_window(clicks: DataFrame, length: str, slide: str | None = None) -> DataFrame:
-    """Clicks per ad in event-time windows of ``length`` sliding by ``slide``."""
-    win = F.window("ts", length, slide) if slide else F.window("ts", length)
-    return clicks.groupBy(win.alias("window"), "ad_id").agg(F.count(F.lit(1)).alias("click_count")).select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "ad_id", "click_count"
+    """Clicks per ad in event-time windows of ``length`` sliding by ``slide``
+    (``window()`` semantics: windows aligned to the epoch, only windows that
+    hold a click are returned).
+
+    Clicks are first counted per (slide slot, ad) with partial aggregation;
+    only these small per-slot rows are expanded to the ``length / slide``
+    windows containing them, so raw clicks are never multiplied by the
+    number of windows.
+    """
+    slide = slide or length
+    n = _seconds(length) // _seconds(slide)
+    if _seconds(length) % _seconds(slide):
+        win = F.window("ts", length, slide)
+        return clicks.groupBy(win.alias("w"), "ad_id").agg(F.count(F.lit(1)).alias("click_count")).select(
+            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ad_id", "click_count"
+        )
+    step = _seconds(slide)
+    slot = F.floor(F.unix_seconds("ts") / step).cast("bigint")
+    per_slot = clicks.groupBy(slot.alias("slot"), "ad_id").agg(F.count(F.lit(1)).alias("n"))
+    expanded = per_slot.select("ad_id", "n", F.explode(F.sequence(F.col("slot") - (n - 1), F.col("slot"))).alias("start_slot"))
+    out = expanded.groupBy("start_slot", "ad_id").agg(F.sum("n").cast("bigint").alias("click_count"))
+    return out.select(
+        F.timestamp_seconds(F.col("start_slot") * step).alias("window_start"),
+        F.timestamp_seconds((F.col("start_slot") + n) * step).alias("window_end"),
+        "ad_id",
+        "click_count",
     )
+
+
+def _seconds(text: str) -> int:
+    """Seconds of an interval text such as ``1 minute`` or ``2 hours``."""
+    amount, unit = text.strip().split()[:2]
+    unit = unit.lower().rstrip("s")
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit]
+    return int(amount) * mult

@@ -67,10 +67,11 @@ def release() -> None:
         _PERSISTED.pop().unpersist()
 
 
-def page_transitions(actions: DataFrame, num_ranges: int | None = None) -> DataFrame:
+def page_transitions(actions: DataFrame, num_ranges: int | None = None, ranged: DataFrame | None = None) -> DataFrame:
     """Every consecutive pair ``(session_id, page_id, next_page_id)`` of a
     session ordered by (action_ts, tie)."""
-    ranged = _ranged(actions, num_ranges)
+    if ranged is None:
+        ranged = _ranged(actions, num_ranges)
     w = Window.partitionBy("rng", "session_id").orderBy("action_ts", "tie")
     inner = ranged.select(
         "session_id", "page_id", F.lead("page_id").over(w).alias("next_page_id")
@@ -140,8 +141,11 @@ def page_convert_rate(actions: DataFrame, flow: list[int], task_id: int | None =
     """
     spark = actions.sparkSession
     steps = flow_steps(spark, flow)
-    pv = page_split_pv(page_transitions(actions, num_ranges), steps, len(flow))
-    start = start_page_pv(actions, flow)
+    # one persisted range-partitioned projection serves the pairs and the
+    # first page's views (no second pass over the log)
+    ranged = _ranged(actions, num_ranges)
+    pv = page_split_pv(page_transitions(actions, ranged=ranged), steps, len(flow))
+    start = start_page_pv(ranged, flow)
     per_step = steps.join(broadcast_bounded(pv, len(flow)), "page_split", "left").select(
         "step", "page_split", F.coalesce("split_pv", F.lit(0).cast("bigint")).alias("split_pv")
     )

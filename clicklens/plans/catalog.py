@@ -51,6 +51,8 @@ AD_BLACKLIST_THRESHOLD = 2
 # two overlapping ad batches for the write-rule queries
 AD_OLD_LAST_DAY = "2024-01-15"
 AD_NEW_FIRST_DAY = "2024-01-10"
+# sliding trend window
+TREND_WINDOW, TREND_SLIDE = "1 hour", "1 minute"
 # the ad stream reads the log in micro-batches of this many days
 AD_STREAM_ORIGIN = "2024-01-01"
 AD_STREAM_DAYS_PER_BATCH = 5
@@ -299,6 +301,14 @@ def registry() -> dict[str, Query]:
     q["ad_blacklist"] = ad_blacklist
     q["ad_stat"] = lambda s, sf: ads.ad_stat(ad_allowed(s, sf))
     q["ad_click_trend"] = lambda s, sf: ads.ad_click_trend(ad_allowed(s, sf))
+    q["ad_click_trend_window"] = lambda s, sf: ads.ad_click_trend_window(
+        ad_allowed(s, sf), TREND_WINDOW, TREND_SLIDE
+    ).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+        "ad_id",
+        "click_count",
+    )
 
     # per-group operators
     q["top10_session"] = top_sessions

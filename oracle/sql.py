@@ -386,6 +386,13 @@ def statements() -> dict[str, str]:
     q["ad_blacklist"] = W("SELECT user_id FROM abl")
     q["ad_stat"] = W("SELECT * FROM astat")
     q["ad_click_trend"] = W(_trend("adf"))
+    q["ad_click_trend_window"] = W(
+        """SELECT strftime(make_timestamp(ws * 60000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+                  strftime(make_timestamp((ws + 60) * 60000000), '%Y-%m-%d %H:%M:%S') AS window_end,
+                  ad_id, count(*) AS click_count
+           FROM (SELECT ad_id, epoch_ms // 60000 - t.k AS ws FROM adf, range(0, 60) t(k))
+           GROUP BY ws, ad_id"""
+    )
 
     # per-group operators
     q["top10_session"] = W(f"SELECT CAST({TASK_ID} AS BIGINT) AS task_id, category_id, session_id, click_count FROM topsess")
