@@ -22,7 +22,7 @@ SESSION_COLUMNS = [
 ]
 
 
-def session_aggregate(actions: DataFrame) -> DataFrame:
+def session_aggregate(actions: DataFrame, p: TaskParams | None = None) -> DataFrame:
     """One row per session from normalized actions.
 
     user id (``min``: a session has one user), distinct search keywords and
@@ -30,8 +30,23 @@ def session_aggregate(actions: DataFrame) -> DataFrame:
     first/last action time, ``visit_length`` in whole seconds,
     ``step_length`` = number of actions. Every aggregate is partial-mergeable,
     so a hot session is pre-aggregated per map task before the shuffle.
+
+    With task parameters, the keyword and category conditions are also
+    computed here as boolean aggregates (``keyword_match``,
+    ``category_match``): a session's pass/fail needs constant memory, and
+    the distinct lists are only built when a result outputs them (Catalyst
+    drops unused aggregates).
     """
     keyword = F.when(is_not_empty("search_keyword"), F.col("search_keyword"))
+    flags = []
+    if p is not None and p.keywords:
+        flags.append(F.coalesce(F.bool_or(F.col("search_keyword").isin(list(p.keywords))), F.lit(False)).alias("keyword_match"))
+    if p is not None and p.category_ids:
+        flags.append(
+            F.coalesce(F.bool_or(F.col("click_category_id").isin([int(c) for c in p.category_ids])), F.lit(False)).alias(
+                "category_match"
+            )
+        )
     agg = actions.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.array_sort(F.collect_set(keyword)).alias("keyword_list"),
@@ -39,6 +54,7 @@ def session_aggregate(actions: DataFrame) -> DataFrame:
         F.min("action_ts").alias("start_ts"),
         F.max("action_ts").alias("end_ts"),
         F.count(F.lit(1)).alias("step_length"),
+        *flags,
     )
     return agg.select(
         "session_id",
@@ -51,6 +67,7 @@ def session_aggregate(actions: DataFrame) -> DataFrame:
         "keyword_list",
         "category_list",
         "start_ts",
+        *[c for c in ("keyword_match", "category_match") if c in agg.columns],
     )
 
 
@@ -94,20 +111,29 @@ def equal_predicate(column: str, value) -> Column | None:
     return F.col(column) == F.lit(value)
 
 
-def session_predicates(p: TaskParams) -> list[Column]:
+def session_predicates(p: TaskParams, columns: list[str] | None = None) -> list[Column]:
     """The six session conditions in order: age, professional, city, sex,
     keywords, categories. Absent parameters add no condition.
 
     The predicates are plain comparisons (a NULL rejects the row in a
     filter), so the user-column ones translate into Parquet pushed filters.
     """
+    cols = set(columns or [])
+    keywords = (
+        F.col("keyword_match") if p.keywords and "keyword_match" in cols
+        else overlap_predicate("keyword_list", p.keywords, "string")
+    )
+    cats = (
+        F.col("category_match") if p.category_ids and "category_match" in cols
+        else overlap_predicate("category_list", p.category_ids, "bigint")
+    )
     preds = [
         age_predicate(p),
         in_predicate("professional", p.professionals),
         in_predicate("city", p.cities),
         in_predicate("sex", p.sex),
-        overlap_predicate("keyword_list", p.keywords, "string"),
-        overlap_predicate("category_list", p.category_ids, "bigint"),
+        keywords,
+        cats,
     ]
     return [c for c in preds if c is not None]
 
@@ -115,7 +141,7 @@ def session_predicates(p: TaskParams) -> list[Column]:
 def filter_sessions(enriched: DataFrame, p: TaskParams) -> DataFrame:
     """AND of all given conditions; Catalyst pushes the user-column parts
     below the join into the user scan."""
-    preds = session_predicates(p)
+    preds = session_predicates(p, enriched.columns)
     if not preds:
         return enriched
     return enriched.where(reduce(lambda a, b: a & b, preds))
@@ -123,7 +149,7 @@ def filter_sessions(enriched: DataFrame, p: TaskParams) -> DataFrame:
 
 def kept_sessions(actions: DataFrame, users: DataFrame, p: TaskParams) -> DataFrame:
     """Aggregate, enrich, filter: the sessions a task keeps."""
-    return filter_sessions(session_user_join(session_aggregate(actions), users), p)
+    return filter_sessions(session_user_join(session_aggregate(actions, p), users), p)
 
 
 def session_detail(actions: DataFrame, sessions: DataFrame, max_sessions: int | None = None) -> DataFrame:

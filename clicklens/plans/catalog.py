@@ -154,7 +154,9 @@ def ad_click_columns() -> list:
 
 def _filter(key: str) -> Query:
     def run(spark, sf):
-        return sessions.filter_sessions(enriched(spark, sf), FILTER_TASKS[key]).select(*sessions.SESSION_COLUMNS)
+        return sessions.kept_sessions(actions(spark, sf), users(spark, sf), FILTER_TASKS[key]).select(
+            *sessions.SESSION_COLUMNS
+        )
 
     return run
 
@@ -228,7 +230,7 @@ def registry() -> dict[str, Query]:
     q["filter_equal"] = lambda s, sf: enriched(s, sf).where(
         sessions.equal_predicate(*FILTER_EQUAL)
     ).select(*sessions.SESSION_COLUMNS)
-    q["filter_all"] = lambda s, sf: sessions.filter_sessions(enriched(s, sf), FILTER_ALL_TASK).select(
+    q["filter_all"] = lambda s, sf: sessions.kept_sessions(actions(s, sf), users(s, sf), FILTER_ALL_TASK).select(
         *sessions.SESSION_COLUMNS
     )
     q["clicks_only"] = _only("click_category_id")

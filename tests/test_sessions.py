@@ -158,3 +158,25 @@ def test_detail_keeps_null_clicks_and_semi_join(spark):
     dup = sessions.detail_with_multiplicity(acts, kept).count()
     assert dup == 4
     assert acts.where(F.col("session_id") == "a").count() == 2
+
+
+def test_flags_replace_lists_in_filters(spark):
+    rows = [
+        action("a", 1, "0:00:00", keyword="kw1", click=1),
+        action("b", 2, "0:00:00", keyword="kw2", click=12),
+        action("c", 3, "0:00:00"),
+    ]
+    users = users_df(spark, [(1, 20, "B", "X", "male"), (2, 50, "M", "Y", "female"), (3, 35, "B", "Y", "male")])
+    acts = read_actions(spark, actions_df(spark, rows))
+    p = TaskParams(keywords=["kw2"], category_ids=[12])
+    kept = sessions.kept_sessions(acts, users, p)
+    assert _ids(kept) == ["b"]
+    # counting kept sessions never builds the distinct lists
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        bands.session_band_counts(kept).explain()
+    text = buf.getvalue()
+    assert "collect_set" not in text and "max((search_keyword" in text  # bool_or plans as max
