@@ -97,11 +97,12 @@ def ad_click_trend_window(clicks: DataFrame, length: str, slide: str | None = No
     Clicks are first counted per (slide slot, ad) with partial aggregation;
     only these small per-slot rows are expanded to the ``length / slide``
     windows containing them, so raw clicks are never multiplied by the
-    number of windows.
+    number of windows. A streaming input uses Spark's stateful ``window()``
+    aggregation instead (one aggregation per streaming query).
     """
     slide = slide or length
     n = _seconds(length) // _seconds(slide)
-    if _seconds(length) % _seconds(slide):
+    if clicks.isStreaming or _seconds(length) % _seconds(slide):
         win = F.window("ts", length, slide)
         return clicks.groupBy(win.alias("w"), "ad_id").agg(F.count(F.lit(1)).alias("click_count")).select(
             F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ad_id", "click_count"

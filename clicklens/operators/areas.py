@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklens.functions.columns import sorted_join
+from clicklens.operators import cache
+from clicklens.operators.joins import broadcast_bounded
 
 
 def _mapping(column: str, mapping: dict[str, str] | None) -> Column:
@@ -39,12 +41,18 @@ def top_products_per_area(per_product: DataFrame, n: int = 3) -> DataFrame:
     return per_product.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).drop("rn")
 
 
-def area_product_join(top: DataFrame, products: DataFrame) -> DataFrame:
+def area_product_join(top: DataFrame, products: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Top rows with product name and status (left: unknown products keep
-    NULLs). The product dimension is first cut to the top ids with a semi
-    join, so the final join is between two small tables; AQE broadcasts the
-    id list after measuring it."""
-    ids = top.select("product_id")
+    NULLs).
+
+    The top rows are computed once (shared by both branches) and the product
+    dimension is first cut to their ids with a semi join; with ``max_rows``
+    (a proven bound on the top rows) the ids are broadcast, so the dimension
+    is filtered where it is read and never shuffled. The final join is
+    between two small tables.
+    """
+    top = cache.share(top)
+    ids = broadcast_bounded(top.select("product_id"), max_rows)
     prods = products.select("product_id", "product_name", "product_status").join(ids, "product_id", "left_semi")
     return top.join(prods, "product_id", "left")
 
@@ -59,7 +67,9 @@ def area_top3_product(clicks: DataFrame, cities: DataFrame, products: DataFrame,
     ``status_text`` maps the raw status to a text (raw when not given).
     """
     top = top_products_per_area(area_product_clicks(area_city_join(clicks, cities)), n)
-    joined = area_product_join(top, products)
+    # at most n rows per area: bound the broadcast by the city dimension's areas
+    bound = n * cities.select("area").distinct().count()
+    joined = area_product_join(top, products, bound)
     status = F.col("product_status")
     if status_text:
         status = F.coalesce(_mapping("product_status", status_text), status)

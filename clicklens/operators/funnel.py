@@ -13,12 +13,12 @@ each range (a table of at most two rows per range).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicklens.functions.columns import half_up_ratio
+from clicklens.operators import cache
 from clicklens.operators.joins import broadcast_bounded
 
 ORDER = ("session_id", "action_ts", "tie")
@@ -52,19 +52,13 @@ def _ranged(actions: DataFrame, num_ranges: int | None) -> DataFrame:
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = actions.select("session_id", "page_id", "action_ts", "tie")
     ranged = cols.repartitionByRange(n, *ORDER).withColumn("rng", F.spark_partition_id())
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(ranged)
-    return ranged
-
-
-_PERSISTED: list[DataFrame] = []
+    return cache.share(ranged)
 
 
 def release() -> None:
-    """Unpersist the range-partitioned frames built so far (call after the
-    results that use them are written)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+    """Unpersist the shared frames built so far (call after the results that
+    use them are written)."""
+    cache.release()
 
 
 def page_transitions(actions: DataFrame, num_ranges: int | None = None, ranged: DataFrame | None = None) -> DataFrame:

@@ -273,6 +273,7 @@ def registry() -> dict[str, Query]:
             areas.area_product_clicks(areas.area_city_join(clicks_scan(s, sf), cities(s, sf))), TOP_PRODUCTS
         ),
         products(s, sf),
+        TOP_PRODUCTS * cities(s, sf).select("area").distinct().count(),
     ).select("area", "product_id", "click_count", "city_infos", "product_name", "product_status")
     q["ad_blacklist_filter"] = lambda s, sf: ad_allowed(s, sf).select(*ad_click_columns())
 

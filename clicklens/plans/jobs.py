@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from clicklens.operators import areas, bands, categories, funnel, sampling, sessions
+from clicklens.operators import areas, bands, cache, categories, funnel, sampling, sessions
 from clicklens.params import TaskParams
 from clicklens.sinks.writers import write_task_result
 from clicklens.sources.tables import Source, load, read_actions_for, read_click_products, read_products, read_users
@@ -108,4 +108,7 @@ def execute_page_flow(spark: SparkSession, params: TaskParams, actions: Source,
 
 def execute_area_top3(spark: SparkSession, params: TaskParams, actions: Source, cities: Source, products: Source,
                       out_root: str, **options) -> None:
-    write_results(run_area_top3(spark, params, actions, cities, products, **options), out_root)
+    try:
+        write_results(run_area_top3(spark, params, actions, cities, products, **options), out_root)
+    finally:
+        cache.release()
