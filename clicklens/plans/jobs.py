@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clicklens.operators import areas, bands, cache, categories, funnel, sampling, sessions
 from clicklens.params import TaskParams
@@ -36,9 +37,12 @@ def run_session(spark: SparkSession, params: TaskParams, src: SessionSources, sa
     if kept is None:
         kept = sessions.kept_sessions(acts, read_users(spark, src.users), params)
     stat = bands.session_band_ratios(bands.session_band_counts(kept), tid)
-    sampled = sampling.sample_sessions(kept, sample_size, seed, params.num_days())
-    per_session = categories.for_sessions(categories.session_category_counts(acts), kept)
-    top = categories.top_categories(categories.category_counts(per_session, visited), top_k)
+    # intermediates read by several results are computed once (all are far
+    # smaller than the log: one row per session and category, at most
+    # sample_size sessions, at most top_k categories)
+    sampled = cache.share(sampling.sample_sessions(kept, sample_size, seed, params.num_days()))
+    per_session = cache.share(categories.for_sessions(categories.session_category_counts(acts), kept))
+    top = cache.share(categories.top_categories(categories.category_counts(per_session, visited), top_k))
     top_sessions = categories.top_sessions_per_category(per_session, top, top_n_sessions, top_k, tid)
     top_bound = top_k * top_n_sessions
     top_detail = (
@@ -53,7 +57,7 @@ def run_session(spark: SparkSession, params: TaskParams, src: SessionSources, sa
         "session_aggr_stat": stat,
         "session_random_extract": sampling.random_extract_rows(sampled, tid),
         "session_detail": detail,
-        "top10_category": categories.top_categories(categories.category_counts(per_session, visited), top_k, tid),
+        "top10_category": top.select(F.lit(tid).cast("bigint").alias("task_id"), *top.columns),
         "top10_category_session": top_sessions,
     }
 
@@ -97,6 +101,7 @@ def execute_session_job(spark: SparkSession, params: TaskParams, src: SessionSou
         write_results(run_session(spark, params, src, kept=kept, **options), out_root)
     finally:
         kept.unpersist()
+        cache.release()
 
 
 def execute_page_flow(spark: SparkSession, params: TaskParams, actions: Source, out_root: str) -> None:
