@@ -157,3 +157,17 @@ def ad_log_lines(spark: SparkSession, sf_dir: str, with_date: bool = False) -> D
             F.col("ad_id").cast("string"),
         ).alias("value")
     )
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Register the model's tables as temporary views for ``spark.sql``."""
+    views = {
+        "user_visit_action": user_visit_action(spark, sf_dir),
+        "user_info": user_info(spark, sf_dir),
+        "product_info": product_info(spark, sf_dir),
+        "city_info": city_info(spark, sf_dir),
+        "ad_log": ad_log_lines(spark, sf_dir),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)

@@ -89,3 +89,16 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int, total_cores: int) ->
     apply_job_conf(spark)
     for k, v in scale_conf(input_bytes, total_cores).items():
         spark.conf.set(k, v)
+
+
+def cluster_session(app: str = "clicklens", hive: bool = False) -> SparkSession:
+    """The job session on a cluster (master and resources come from
+    spark-submit); ``hive=True`` reads catalog tables from the metastore."""
+    builder = SparkSession.builder.appName(app)
+    if hive:
+        builder = builder.enableHiveSupport()
+    for k, v in JOB_CONF.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark

@@ -86,3 +86,13 @@ def test_column_helpers(spark):
     assert (r.e1, r.e2) == (True, False)
     assert (r.g, r.s) == ("v2", "k1=z|k2=v2")
     assert r.pdk == dt.datetime(2024, 1, 2)
+
+
+def test_sql_views(spark):
+    from clicklens.sources.fixtures import register_views
+
+    names = register_views(spark, "/root/testdata/sf0.001")
+    assert "user_visit_action" in names
+    n = spark.sql("SELECT count(DISTINCT session_id) AS n FROM user_visit_action WHERE session_date BETWEEN "
+                  "'2024-01-01' AND '2024-01-30'").first().n
+    assert n > 0
