@@ -35,22 +35,28 @@ def _in_band(column: str, lo: int, hi: int | None):
     return (c >= lo) if hi is None else c.between(lo, hi)
 
 
-def band_count_columns() -> list[str]:
-    return [f"visit_length_{n}" for n, _, _ in VISIT_BANDS] + [f"step_length_{n}" for n, _, _ in STEP_BANDS]
+Band = tuple[str, int, "int | None"]
 
 
-def session_band_counts(sessions: DataFrame) -> DataFrame:
+def band_count_columns(visit_bands: list[Band] = VISIT_BANDS, step_bands: list[Band] = STEP_BANDS) -> list[str]:
+    return [f"visit_length_{n}" for n, _, _ in visit_bands] + [f"step_length_{n}" for n, _, _ in step_bands]
+
+
+def session_band_counts(sessions: DataFrame, visit_bands: list[Band] = VISIT_BANDS,
+                        step_bands: list[Band] = STEP_BANDS) -> DataFrame:
     """One row: ``session_count`` and one count per band, in one pass
-    (partial counts per task, one final merge)."""
+    (partial counts per task, one final merge). Bands are (name, low, high)
+    with inclusive limits, ``None`` for an open end."""
     aggs = [F.count(F.lit(1)).alias("session_count")]
-    aggs += [F.count_if(_in_band("visit_length", lo, hi)).alias(f"visit_length_{n}") for n, lo, hi in VISIT_BANDS]
-    aggs += [F.count_if(_in_band("step_length", lo, hi)).alias(f"step_length_{n}") for n, lo, hi in STEP_BANDS]
+    aggs += [F.count_if(_in_band("visit_length", lo, hi)).alias(f"visit_length_{n}") for n, lo, hi in visit_bands]
+    aggs += [F.count_if(_in_band("step_length", lo, hi)).alias(f"step_length_{n}") for n, lo, hi in step_bands]
     return sessions.agg(*aggs)
 
 
-def session_band_ratios(counts: DataFrame, task_id: int) -> DataFrame:
+def session_band_ratios(counts: DataFrame, task_id: int, visit_bands: list[Band] = VISIT_BANDS,
+                        step_bands: list[Band] = STEP_BANDS) -> DataFrame:
     """The ``session_aggr_stat`` row: each band / session count, two decimals
     half-up (exact on integers); NULL when there is no session."""
     n = F.col("session_count")
-    ratios = [half_up_ratio(c, n).alias(f"{c}_ratio") for c in band_count_columns()]
+    ratios = [half_up_ratio(c, n).alias(f"{c}_ratio") for c in band_count_columns(visit_bands, step_bands)]
     return counts.select(F.lit(task_id).cast("bigint").alias("task_id"), n, *ratios)

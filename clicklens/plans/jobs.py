@@ -28,7 +28,8 @@ class SessionSources:
 def run_session(spark: SparkSession, params: TaskParams, src: SessionSources, sample_size: int = 100,
                 top_k: int = 10, top_n_sessions: int = 10, visited: tuple[str, ...] = categories.KINDS,
                 detail_duplicates: bool = False, seed: str = sampling.DEFAULT_SEED,
-                kept: DataFrame | None = None) -> dict[str, DataFrame]:
+                kept: DataFrame | None = None, visit_bands: list = bands.VISIT_BANDS,
+                step_bands: list = bands.STEP_BANDS) -> dict[str, DataFrame]:
     """Session analysis: band ratios, time-proportional sample, top
     categories, their most active sessions, and the details of the sampled
     and top sessions."""
@@ -36,7 +37,8 @@ def run_session(spark: SparkSession, params: TaskParams, src: SessionSources, sa
     acts = read_actions_for(spark, src.actions, params)
     if kept is None:
         kept = sessions.kept_sessions(acts, read_users(spark, src.users), params)
-    stat = bands.session_band_ratios(bands.session_band_counts(kept), tid)
+    stat = bands.session_band_ratios(bands.session_band_counts(kept, visit_bands, step_bands), tid, visit_bands,
+                                     step_bands)
     # intermediates read by several results are computed once (all are far
     # smaller than the log: one row per session and category, at most
     # sample_size sessions, at most top_k categories)
@@ -117,3 +119,11 @@ def execute_area_top3(spark: SparkSession, params: TaskParams, actions: Source,
         write_results(run_area_top3(spark, params, actions, cities, products, **options), out_root)
     finally:
         cache.release()
+
+
+def run_ad_stream(spark: SparkSession, source, out_root: str, threshold: int, **options):
+    """The real-time ad job: start the ad-click pipeline on a streaming
+    source (see :mod:`clicklens.streaming.ad_stream`); returns the query."""
+    from clicklens.streaming.ad_stream import start_ad_stream
+
+    return start_ad_stream(spark, source, out_root, threshold, **options)

@@ -180,3 +180,11 @@ def test_flags_replace_lists_in_filters(spark):
         bands.session_band_counts(kept).explain()
     text = buf.getvalue()
     assert "collect_set" not in text and "max((search_keyword" in text  # bool_or plans as max
+
+
+def test_custom_bands(spark):
+    rows = session_with_length("a", 1, 5) + session_with_length("b", 1, 100)
+    s = sessions.session_aggregate(read_actions(spark, actions_df(spark, rows)))
+    vb, sb = [("short", 0, 59), ("long", 60, None)], [("any", 1, None)]
+    r = bands.session_band_ratios(bands.session_band_counts(s, vb, sb), 1, vb, sb).first().asDict()
+    assert (r["visit_length_short_ratio"], r["visit_length_long_ratio"], r["step_length_any_ratio"]) == (0.5, 0.5, 1.0)
