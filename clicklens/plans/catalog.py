@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import uuid
 
 from clicklens.operators import ads, areas, bands, categories, funnel, sampling, sessions, upserts
+from clicklens.operators.joins import broadcast_bounded
 from clicklens.params import TaskParams
 from clicklens.sources import fixtures, tables
 from clicklens.spark import ensure_checkpoint_dir
@@ -259,7 +260,9 @@ def registry() -> dict[str, Query]:
         sessions.session_detail(actions(s, sf), sampled(s, sf), SAMPLE_SIZE), TASK.task_id
     )
     q["sample_index_lookup"] = lambda s, sf: sampling.with_date_hour(kept(s, sf)).join(
-        sampling.sample_quota(kept(s, sf), SAMPLE_SIZE).select("date", "hour", "quota"), ["date", "hour"]
+        broadcast_bounded(sampling.sample_quota(kept(s, sf), SAMPLE_SIZE).select("date", "hour", "quota"),
+                          24 * TASK.num_days()),
+        ["date", "hour"],
     ).select("session_id", "date", "hour", "quota")
     q["flow_broadcast"] = lambda s, sf: transitions(s, sf).join(
         F.broadcast(steps(s)),

@@ -25,6 +25,7 @@ written before this batch, so a replay filters exactly as the first attempt.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -141,7 +142,10 @@ def start_ad_stream(spark: SparkSession, source: DataFrame, out_root: str, thres
         raise ValueError("a blacklist threshold is required")
     tables = AdTables.at(spark, out_root)
     if checkpoint is None:
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ad-stream-{abs(hash(out_root))}"
+        # a stable name (not Python's per-process hash), so a restarted
+        # driver resumes from the same checkpoint
+        digest = hashlib.sha1(out_root.rstrip("/").encode()).hexdigest()[:16]
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ad-stream-{digest}"
     writer = source.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, tables, threshold)).option(
         "checkpointLocation", checkpoint
     )
