@@ -163,9 +163,13 @@ def _filter(key: str) -> Query:
 
 
 def _kind_count(kind: str) -> Query:
+    """Count of one kind per category over the kept sessions' actions, read
+    from the pre-aggregated (session, category) counts (no raw detail join)."""
     def run(spark, sf):
-        detail = sessions.session_detail(actions(spark, sf), kept(spark, sf))
-        return categories.kind_count(detail, kind)
+        counts = kept_category_counts(spark, sf).groupBy("category_id").agg(
+            F.sum(f"{kind}_count").cast("bigint").alias(f"{kind}_count")
+        )
+        return counts.where(F.col(f"{kind}_count") > 0)
 
     return run
 
@@ -286,8 +290,9 @@ def registry() -> dict[str, Query]:
     q["session_band_ratios"] = lambda s, sf: bands.session_band_ratios(
         bands.session_band_counts(kept(s, sf)), TASK.task_id
     )
-    q["total_detail_count"] = lambda s, sf: sessions.session_detail(actions(s, sf), kept(s, sf)).agg(
-        F.count(F.lit(1)).alias("detail_count")
+    # a session's detail rows are its steps: no join with the log needed
+    q["total_detail_count"] = lambda s, sf: kept(s, sf).agg(
+        F.coalesce(F.sum("step_length"), F.lit(0)).cast("bigint").alias("detail_count")
     )
     q["visited_categories"] = lambda s, sf: categories.visited_categories(kept_category_counts(s, sf))
     q["category_click_count"] = _kind_count("click")

@@ -178,3 +178,18 @@ def test_sliding_window_trend_stream(spark, scratch):
     got = spark.sql("SELECT ad_id, sum(click_count) n FROM trend_t GROUP BY ad_id ORDER BY ad_id").collect()
     # every click falls in two sliding windows
     assert [(r.ad_id, r.n) for r in got] == [(7, 4), (8, 2)]
+
+
+def test_restart_with_default_checkpoint_resumes(spark, scratch):
+    src = os.path.join(scratch, "in2")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(BATCHES[0]) + "\n")
+    out = os.path.join(scratch, "out2")
+    for _ in range(2):
+        q = ad_stream.start_ad_stream(spark, ad_stream.read_ad_log(spark, src), out, 2)
+        q.awaitTermination(120)
+    tables = ad_stream.AdTables.at(spark, out)
+    assert tables.counts.last_batch() == 0
+    got = {(r.user_id, r.ad_id): r.click_count for r in tables.counts.read().collect()}
+    assert got == {(1, 7): 2, (2, 7): 1}
