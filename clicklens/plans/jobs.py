@@ -87,9 +87,9 @@ def run_area_top3(spark: SparkSession, params: TaskParams, actions: Source, citi
     return {"area_top3_product": top}
 
 
-def write_results(results: dict[str, DataFrame], out_root: str) -> None:
+def write_results(results: dict[str, DataFrame], out_root: str, task_id: int) -> None:
     for name, df in results.items():
-        write_task_result(df, f"{out_root.rstrip('/')}/{name}")
+        write_task_result(df, f"{out_root.rstrip('/')}/{name}", task_id)
 
 
 def execute_session_job(spark: SparkSession, params: TaskParams, src: SessionSources, out_root: str,
@@ -100,7 +100,7 @@ def execute_session_job(spark: SparkSession, params: TaskParams, src: SessionSou
     acts = read_actions_for(spark, src.actions, params)
     kept = sessions.kept_sessions(acts, read_users(spark, src.users), params).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_results(run_session(spark, params, src, kept=kept, **options), out_root)
+        write_results(run_session(spark, params, src, kept=kept, **options), out_root, params.task_id)
     finally:
         kept.unpersist()
         cache.release()
@@ -108,7 +108,7 @@ def execute_session_job(spark: SparkSession, params: TaskParams, src: SessionSou
 
 def execute_page_flow(spark: SparkSession, params: TaskParams, actions: Source, out_root: str) -> None:
     try:
-        write_results(run_page_flow(spark, params, actions), out_root)
+        write_results(run_page_flow(spark, params, actions), out_root, params.task_id)
     finally:
         funnel.release()
 
@@ -116,7 +116,7 @@ def execute_page_flow(spark: SparkSession, params: TaskParams, actions: Source,
 def execute_area_top3(spark: SparkSession, params: TaskParams, actions: Source, cities: Source, products: Source,
                       out_root: str, **options) -> None:
     try:
-        write_results(run_area_top3(spark, params, actions, cities, products, **options), out_root)
+        write_results(run_area_top3(spark, params, actions, cities, products, **options), out_root, params.task_id)
     finally:
         cache.release()
 

@@ -1,8 +1,8 @@
 """Result writers.
 
 * Task results: one Parquet table per result, partitioned by ``task_id``;
-  a rerun replaces only its own task's partition (dynamic partition
-  overwrite), so reruns never duplicate rows.
+  a rerun replaces only its own task's partition, so reruns never duplicate
+  rows and never keep stale ones.
 * Keyed tables (ad statistics): every update writes a complete new version
   into its own folder ``v=<version>-b=<batch>``; a version is visible once
   its ``_SUCCESS`` marker exists. Readers always read a finished version and
@@ -18,24 +18,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def write_task_result(df: DataFrame, path: str, task_id: int | None = None) -> None:
-    """Replace this task's partition of the table at ``path``.
+def write_task_result(df: DataFrame, path: str, task_id: int) -> None:
+    """Replace task ``task_id``'s rows in the table at ``path`` (partitioned
+    by ``task_id``).
 
-    ``df`` must carry a ``task_id`` column (or ``task_id`` is given and
-    added). Only the partitions present in ``df`` are replaced.
+    The task's partition folder is removed first and the new rows appended,
+    so a rerun leaves exactly the new result even when it is empty (a
+    dynamic partition overwrite would keep the old rows of a partition the
+    new result does not contain). Other tasks' partitions are untouched.
     """
     from pyspark.sql import functions as F
 
-    if "task_id" not in df.columns:
-        if task_id is None:
-            raise ValueError("task_id column or argument required")
-        df = df.withColumn("task_id", F.lit(task_id).cast("bigint"))
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("task_id")
-        .parquet(path)
-    )
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    part = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/task_id={int(task_id)}")
+    fs = part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(part):
+        fs.delete(part, True)
+    out = df.withColumn("task_id", F.lit(int(task_id)).cast("bigint"))
+    out.write.mode("append").partitionBy("task_id").parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append",

@@ -50,6 +50,11 @@ def test_session_job_writes_and_reruns_without_duplicates(spark, stored, scratch
         assert df.where("task_id = 12").count() == c, n
     assert first["session_aggr_stat"] == 1 and first["top10_category"] == 10
     assert 0 < first["session_random_extract"] <= 500
+    # a rerun whose sample is empty leaves no stale sample rows
+    jobs.execute_session_job(spark, TASK, src, out, sample_size=1)
+    sample = spark.read.parquet(f"{out}/session_random_extract")
+    assert sample.where("task_id = 11").count() == 0
+    assert sample.where("task_id = 12").count() == first["session_random_extract"]
 
 
 def test_page_and_area_jobs(spark, stored, scratch):
