@@ -193,3 +193,14 @@ def test_restart_with_default_checkpoint_resumes(spark, scratch):
     assert tables.counts.last_batch() == 0
     got = {(r.user_id, r.ad_id): r.click_count for r in tables.counts.read().collect()}
     assert got == {(1, 7): 2, (2, 7): 1}
+
+
+def test_sliding_window_batch_equals_spark_window(spark):
+    lines = [line(i * 7919 % 7200000, "P", "C", i % 5, i % 3) for i in range(400)]
+    clicks = ads.parse_ad_log(_lines(spark, lines))
+    for length, slide in (("1 hour", "1 minute"), ("10 minutes", "5 minutes"), ("7 minutes", "3 minutes")):
+        mine = ads.ad_click_trend_window(clicks, length, slide)
+        w = F.window("ts", length, slide)
+        ref = clicks.groupBy(w.alias("w"), "ad_id").agg(F.count(F.lit(1)).alias("click_count")).select(
+            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ad_id", "click_count")
+        assert mine.exceptAll(ref).count() == 0 and ref.exceptAll(mine).count() == 0, (length, slide)
