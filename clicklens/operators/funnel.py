@@ -7,8 +7,8 @@ partitioning instead: ``repartitionByRange(session_id, action_ts, tie)``
 samples the keys and cuts even ranges, splitting any large session across
 partitions. Pairs inside a range come from a window over
 ``(range, session_id)`` groups (each bounded by one range), and the pairs
-that cross a range boundary are stitched from the first and last row of
-each range (a table of at most two rows per range).
+that cross a range boundary are stitched from the first and last page of
+each piece of a cut session.
 """
 
 from __future__ import annotations
@@ -40,19 +40,35 @@ def flow_steps(spark: SparkSession, flow: list[int]) -> DataFrame:
 
 
 def _ranged(actions: DataFrame, num_ranges: int | None) -> DataFrame:
-    """The four ordering columns, range-partitioned, tagged with their range.
+    """Session pieces in time order: the four ordering columns,
+    range-partitioned and tagged with their range, then ordered within each
+    (range, session) piece by one window pass that adds ``next_page_id``,
+    ``local_pos`` (1-based position in the piece) and ``piece_rows``.
 
     Range bounds come from a sample whose seed depends on the exchange, so
-    two separately planned exchanges may cut different ranges. Both branches
-    below (pairs inside a range, and the range ends) must see the same cut;
-    the tagged projection is therefore persisted once and read by both (a
-    lost block is recomputed from the same shuffle, hence the same cut).
+    two separately planned exchanges may cut different ranges. The cut is
+    therefore consumed once (by the window's shuffle) and the window output
+    is persisted; every branch below (pairs, piece ends, positions, first
+    page views) reads that one frame. A lost block is recomputed from the
+    same shuffles, hence the same cut.
     """
     spark = actions.sparkSession
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = actions.select("session_id", "page_id", "action_ts", "tie")
     ranged = cols.repartitionByRange(n, *ORDER).withColumn("rng", F.spark_partition_id())
-    return cache.share(ranged)
+    ordered = Window.partitionBy("rng", "session_id").orderBy("action_ts", "tie")
+    piece = Window.partitionBy("rng", "session_id")
+    windowed = ranged.select(
+        "rng",
+        "session_id",
+        "page_id",
+        "action_ts",
+        "tie",
+        F.lead("page_id").over(ordered).alias("next_page_id"),
+        F.row_number().over(ordered).alias("local_pos"),
+        F.count(F.lit(1)).over(piece).alias("piece_rows"),
+    )
+    return cache.share(windowed)
 
 
 def release() -> None:
@@ -63,22 +79,29 @@ def release() -> None:
 
 def page_transitions(actions: DataFrame, num_ranges: int | None = None, ranged: DataFrame | None = None) -> DataFrame:
     """Every consecutive pair ``(session_id, page_id, next_page_id)`` of a
-    session ordered by (action_ts, tie)."""
+    session ordered by (action_ts, tie).
+
+    Pairs inside a piece come straight from the ordered pieces. A session
+    cut by range bounds is stitched from its pieces: each piece's first and
+    last page (a hash aggregate over the two end rows of each piece), then
+    the last page of a piece pairs with the first page of the session's next
+    piece (a window per session over its pieces, at most one row per range).
+    """
     if ranged is None:
         ranged = _ranged(actions, num_ranges)
-    w = Window.partitionBy("rng", "session_id").orderBy("action_ts", "tie")
-    inner = ranged.select(
-        "session_id", "page_id", F.lead("page_id").over(w).alias("next_page_id")
-    ).where(F.col("next_page_id").isNotNull())
-
-    row = F.struct(*[F.col(c) for c in ORDER], F.col("page_id"))
-    ends = ranged.groupBy("rng").agg(F.min(row).alias("head"), F.max(row).alias("tail"))
-    # one row per non-empty range: a small table, ordered globally
-    nxt = ends.select("rng", "tail", F.lead("head").over(Window.orderBy("rng")).alias("next_head"))
-    cross = nxt.where(F.col("tail.session_id") == F.col("next_head.session_id")).select(
-        F.col("tail.session_id").alias("session_id"),
-        F.col("tail.page_id").alias("page_id"),
-        F.col("next_head.page_id").alias("next_page_id"),
+    inner = ranged.where(F.col("next_page_id").isNotNull()).select("session_id", "page_id", "next_page_id")
+
+    first = F.col("local_pos") == 1
+    last = F.col("local_pos") == F.col("piece_rows")
+    pieces = ranged.where(first | last).groupBy("rng", "session_id").agg(
+        F.max(F.when(first, F.col("page_id"))).alias("first_page"),
+        F.max(F.when(last, F.col("page_id"))).alias("last_page"),
+    )
+    nxt = pieces.select(
+        "session_id", "last_page", F.lead("first_page").over(Window.partitionBy("session_id").orderBy("rng")).alias("next_first")
+    )
+    cross = nxt.where(F.col("next_first").isNotNull()).select(
+        "session_id", F.col("last_page").alias("page_id"), F.col("next_first").alias("next_page_id")
     )
     return inner.unionByName(cross)
 
@@ -87,18 +110,15 @@ def session_positions(actions: DataFrame, num_ranges: int | None = None) -> Data
     """Actions with ``step_index`` (1-based position within the session in
     (action_ts, tie) order), without gathering a session in one task.
 
-    Local positions come from a window over (range, session); the offset of
-    a session's piece in a later range is the number of its rows in earlier
-    ranges (a running sum over per-(range, session) counts, one row per
-    piece, so that window is small for every session).
+    A row's position is its position in its piece plus the rows of the
+    session's pieces in earlier ranges (a running sum over the pieces of a
+    session, one row per piece, so that window is small for every session).
     """
     ranged = _ranged(actions, num_ranges)
-    w = Window.partitionBy("rng", "session_id").orderBy("action_ts", "tie")
-    local = ranged.withColumn("local_pos", F.row_number().over(w))
-    pieces = ranged.groupBy("rng", "session_id").agg(F.count(F.lit(1)).alias("piece_rows"))
+    pieces = ranged.where(F.col("local_pos") == 1).select("rng", "session_id", "piece_rows")
     before = Window.partitionBy("session_id").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select("rng", "session_id", F.coalesce(F.sum("piece_rows").over(before), F.lit(0)).alias("offset"))
-    return local.join(offsets, ["rng", "session_id"]).select(
+    return ranged.join(offsets, ["rng", "session_id"]).select(
         "session_id", "page_id", "action_ts", "tie", (F.col("offset") + F.col("local_pos")).cast("bigint").alias("step_index")
     )
 
