@@ -157,8 +157,10 @@ def session_detail(actions: DataFrame, sessions: DataFrame, max_sessions: int |
 
     With ``max_sessions`` (a proven bound: a sample of n, a top k x n) the
     session list is broadcast and the action log is filtered where it is
-    read, without being shuffled. Otherwise the join is a sort-merge join in
-    which AQE splits a hot session's partition.
+    read, without being shuffled. Otherwise the join is a sort-merge join
+    over two shuffles on ``session_id``, in which AQE splits a hot session's
+    partition (tested with the kept sessions of a task, which arrive
+    partitioned by user).
     """
     ids = broadcast_bounded(sessions.select("session_id"), max_sessions)
     return actions.join(ids, "session_id", "left_semi")
