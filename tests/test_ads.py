@@ -204,3 +204,13 @@ def test_sliding_window_batch_equals_spark_window(spark):
         ref = clicks.groupBy(w.alias("w"), "ad_id").agg(F.count(F.lit(1)).alias("click_count")).select(
             F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ad_id", "click_count")
         assert mine.exceptAll(ref).count() == 0 and ref.exceptAll(mine).count() == 0, (length, slide)
+
+
+def test_batch_of_only_bad_lines_changes_nothing(spark, scratch):
+    tables = ad_stream.AdTables.at(spark, os.path.join(scratch, "out3"))
+    ad_stream.process_batch(_lines(spark, BATCHES[0]), 0, tables, threshold=2)
+    before = {t.root: sorted(tuple(r) for r in t.read().collect()) for t in tables.all()}
+    ad_stream.process_batch(_lines(spark, ["", "x y", "1 2 3 4 five"]), 1, tables, threshold=2)
+    after = {t.root: sorted(tuple(r) for r in t.read().collect()) for t in tables.all()}
+    assert before == after
+    assert all(t.last_batch() == 1 for t in tables.all())
