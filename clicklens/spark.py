@@ -49,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared filesystem folder and is used as
-    is. Only when it is unset (local tests) a scratch folder is created.
+    is. Only a local session (tests) gets a scratch folder when it is unset;
+    a cluster session without it is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) that every node can reach"
+            )
         conf_dir = tempfile.mkdtemp(prefix="clicklens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
