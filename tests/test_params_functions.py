@@ -96,3 +96,29 @@ def test_sql_views(spark):
     n = spark.sql("SELECT count(DISTINCT session_id) AS n FROM user_visit_action WHERE session_date BETWEEN "
                   "'2024-01-01' AND '2024-01-30'").first().n
     assert n > 0
+
+
+def test_checkpoint_dir_must_be_shared_on_a_cluster():
+    from clicklens.spark import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+        def setCheckpointDir(self, path):
+            raise AssertionError("must not pick a local folder")
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
