@@ -14,7 +14,8 @@ from check_oracle import duck, frame_hash  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 
-QUERIES = entry.queries()
+# the training-data operators have their own tests
+QUERIES = {k: v for k, v in entry.queries().items() if k != "pipeline" and not k.startswith("op")}
 SQL = entry.oracle_sql()
 
 
