@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.llm import quality, spans
+from clicklens.llm import quality, repeats, spans
 from clicklens.llm.exchange import documents
 
 
@@ -17,6 +17,10 @@ def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"))
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup_bytes(documents(spark, sf_dir)).drop("removed")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.judge(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
