@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.llm import quality, repeats, spans
+from clicklens.llm import jaccard, lm, quality, repeats, spans
 from clicklens.llm.exchange import documents
 
 
@@ -21,6 +21,14 @@ def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.dedup_bytes(documents(spark, sf_dir)).drop("removed")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
+def op8_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.judge(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
