@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.llm import jaccard, lm, quality, repeats, spans
+from clicklens.llm import decontaminate, jaccard, lm, quality, repeats, secrets, spans, sql
 from clicklens.llm.exchange import documents
 
 
@@ -21,10 +21,18 @@ def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.dedup_bytes(documents(spark, sf_dir)).drop("removed")
 
 
+def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir)).drop("found", "text_key")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir))
 
 
+def op7_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(documents(spark, sf_dir))
 
@@ -39,4 +47,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_secret_ownership": sql.SECRETS, "op7_prefix_decontamination": sql.DECONTAMINATION}
