@@ -114,30 +114,23 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs): ``(id, component)``
     for every id on an edge, component its smallest reachable id.
 
-    Large-star / small-star contraction: every round links each id's
-    neighbours to the smallest one, so path lengths shrink geometrically and
-    no list of neighbours is ever collected (min and join only). Each round
-    is a table in the shared folder; only its row count and checksum reach the
-    driver.
+    Each round lets every id take the smallest label among its neighbours and
+    itself, then that label's own label (pointer jumping), so labels travel
+    geometrically far. Neighbours are only ever reduced by ``min``, never
+    collected. Each round is a table in the shared folder; the driver reads
+    one number from it: how many labels moved.
     """
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                 "edges")
-    seen = None
+    e = edges.where("a <> b").select("a", "b")
+    both = stored(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    now = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("c")).select("id", F.least("id", "c").alias("c"))
+    now = stored(now, "labels")
     for _ in range(max_rounds):
-        both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        # large star: each larger neighbour b of a is linked to the smallest around a
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        # small star: a and its smaller neighbours are linked to the smallest of them
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
-                                              F.col("m").alias("b")).where("a <> b").distinct()
-        now = stored(small, "edges")
-        state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == seen:
-            break
-        seen = state
-    else:
-        raise RuntimeError("components did not settle")
-    roots = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+        near = both.join(now.select(F.col("id").alias("b"), "c"), "b").groupBy(F.col("a").alias("id")).agg(
+            F.min("c").alias("n"))
+        step = now.join(near, "id").select("id", "c", F.least("c", "n").alias("n"))
+        jump = now.select(F.col("id").alias("n"), F.col("c").alias("far"))
+        moved = stored(step.join(jump, "n").select("id", "far", (F.col("far") < F.col("c")).alias("moved")), "labels")
+        now = moved.select("id", F.col("far").alias("c"))
+        if not moved.where("moved").limit(1).count():
+            return now.select("id", F.col("c").alias("component"))
+    raise RuntimeError("components did not settle")

@@ -14,12 +14,13 @@ rest from being computed:
   agrees wholly in more than ``E`` of them. Rows meet by the hash of their
   content in a block (empty blocks too when a row has more than ``E``).
 
-Cells are then accumulated exactly: for candidate cells the overlap counts
-come from the two sorted shingle arrays. Groups of near copies are not
-expanded into all pairs: first each row is compared with its most frequent
-block partner (the smallest row of a block), components are formed, and then
-only pairs of one block that are still in different components are compared,
-all of them. So no link between different sets can change the components.
+Rows that share a block, directly or through others, form a family; every link
+lies inside one. The product is then accumulated exactly, family by family, in
+row blocks of at most ``BLOCK_ROWS`` rows and about ``BLOCK_SHINGLES`` shingles:
+a task holds two row blocks, adds up their overlap counts over slices of the
+shingles both have, drops cells below the bound, and emits a spanning forest
+of what is left. So all pairs are compared, none is emitted as a row, and a
+family of any size is spread over its block pairs.
 
 Defined cases: null and empty texts have no shingles and link with nothing;
 a text with fewer words than a shingle has one shingle, its word sequence;
@@ -37,10 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.llm import textbytes as tb
-from clicklens.llm.exchange import buckets, components, packed_shuffle, ready, stored
+from clicklens.llm.exchange import buckets, components, packed_shuffle, partitions, ready, stored
 
 WORDS, PERCENT = 3, 90
 FLUSH = 1_500_000  # block hashes held by a task before they are sent
+BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 512, 400_000, 2048
 CELL = (np.uint64, np.uint64, np.uint8)
 ALONE, MATES, SETTLED = 0, 1, 2
 
@@ -195,33 +197,79 @@ def block_members(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return packed_shuffle(docs.where("doc_id is not null").select("text"), send, meet, "block long, set_id long")
 
 
-def linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of doc_ids whose texts' sets are similar enough:
-    the candidate cells of the product, accumulated exactly."""
+def forest(link: np.ndarray) -> np.ndarray:
+    """Smallest index reachable from each index of a symmetric link matrix."""
+    label = np.arange(len(link))
+    link = link | np.eye(len(link), dtype=bool)
+    while True:
+        low = np.where(link, label[None, :], len(link)).min(axis=1)
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
+def product_links(key: np.ndarray, row: np.ndarray, n: int, percent: int) -> np.ndarray:
+    """Link matrix of ``n`` rows given by ``(shingle, row)``: overlap counts by
+    slices of the columns that at least two rows have."""
+    size = np.bincount(row, minlength=n)
+    column, place, count = np.unique(key, return_inverse=True, return_counts=True)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    use = shared[place]
+    place, row = number[place[use]], row[use]
+    order = np.argsort(place, kind="stable")
+    place, row = place[order], row[order]
+    overlap = np.zeros((n, n), dtype=np.float32)
+    for a in range(0, int(shared.sum()), COLUMNS):
+        lo, hi = np.searchsorted(place, [a, a + COLUMNS])
+        part = np.zeros((n, min(COLUMNS, int(shared.sum()) - a)), dtype=np.float32)
+        part[row[lo:hi], place[lo:hi] - a] = 1
+        overlap += part @ part.T
+    both = size[:, None] + size[None, :]
+    return (overlap > 0) & ((100 + percent) * overlap.astype(np.float64) >= percent * both)
+
+
+def family_links(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Spanning links ``(a, b)`` of all similar rows of every family.
+    ``members``: ``row, n_shingles, family``."""
+    spark = texts.sparkSession
+    size = members.groupBy("family").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = members.join(size.where("blocks > 0"), "family").withColumn(
+        "own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    with_text = placed.join(texts.withColumnRenamed("doc_id", "row"), "row")
+    spread = with_text.select("family", "row", "text", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = spread.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "row", "text")
+
+    def links(held):
+        ids = np.array([x[0] for x in held], dtype=np.int64)
+        keys, rows, at = [], [], 0
+        for _, buf, offsets in tb.text_chunks(pa.array([x[1] for x in held], pa.large_string())):
+            key, owner = shingles(buf, offsets, k)
+            keys.append(key)
+            rows.append(owner + at)
+            at += len(offsets) - 1
+        label = forest(product_links(np.concatenate(keys), np.concatenate(rows), len(ids), percent))
+        moved = np.flatnonzero(label != np.arange(len(ids)))
+        if len(moved):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[label[moved]]), pa.array(ids[moved])], names=["a", "b"])
 
     def run(batches):
+        current, held = None, []
         for batch in batches:
-            sides = []
-            for c in (2, 3):
-                got = []
-                for at, buf, offsets in tb.text_chunks(batch.column(c)):
-                    key, owner = shingles(buf, offsets, k)
-                    got.append((key, owner + at))
-                sides.append(tuple(np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
-            n = batch.num_rows
-            size = np.bincount(sides[0][1], minlength=n) + np.bincount(sides[1][1], minlength=n)
-            key, row = (np.concatenate(x) for x in zip(*sides))
-            order = np.lexsort((key, row))
-            key, row = key[order], row[order]
-            both = (key[1:] == key[:-1]) & (row[1:] == row[:-1])
-            overlap = np.bincount(row[1:][both], minlength=n)
-            ok = (overlap > 0) & (100 * overlap >= percent * (size - overlap))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))],
-                                             names=["a", "b"])
-
-    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+            columns = [batch.column(c).to_pylist() for c in range(5)]
+            for family, i, j, row, text in zip(*columns):
+                if (family, i, j) != current and held:
+                    yield from links(held)
+                    held = []
+                current = (family, i, j)
+                held.append((row, text))
+        if held:
+            yield from links(held)
+
+    return cells.repartition(partitions(spark), "family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(
+        run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -232,24 +280,12 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT)
         F.min("doc_id").alias("row"))
     members = stored(block_members(docs, k, percent).join(rows.select("set_id", "row"), "set_id")
                      .select("block", "row"), "blocks")
+    low = members.groupBy("block").agg(F.min("row").alias("a"))
+    stars = members.join(low, "block").where("row <> a").select("a", F.col("row").alias("b")).distinct()
+    families = components(stars).join(rows.select(F.col("row").alias("id"), "n_shingles"), "id").select(
+        F.col("id").alias("row"), "n_shingles", F.col("component").alias("family"))
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-
-    pivots = members.groupBy("block").agg(F.min("row").alias("a"), F.max("row").alias("z")).where("a < z").select("block", "a")
-    votes = members.join(pivots, "block").where("row <> a").groupBy(F.col("row").alias("b"), "a").agg(F.count("*").alias("n"))
-    best = votes.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
-    links = stored(linked(best.select("a", "b"), texts, k, percent), "links")
-    found = components(links)
-
-    grouped = members.join(found.select(F.col("id").alias("row"), "component"), "row", "left").select(
-        "block", "row", F.coalesce("component", "row").alias("component"))
-    open_ = grouped.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    left = grouped.join(open_.select("block"), "block", "left_semi")
-    pairs = left.select("block", F.col("row").alias("a"), F.col("component").alias("ca")).join(
-        left.select("block", F.col("row").alias("b"), F.col("component").alias("cb")), "block").where(
-        "a < b and ca <> cb").select("a", "b").distinct()
-    more = stored(linked(pairs, texts, k, percent), "links")
-    if not more.isEmpty():
-        found = components(links.unionByName(more))
+    found = components(family_links(families, texts, k, percent))
     named = sets.join(rows, ["set_id", "set_id2", "n_shingles"], "left").join(
         found.select(F.col("id").alias("row"), "component"), "row", "left")
     return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "row", "doc_id"))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.llm import decontaminate, jaccard, lm, quality, repeats, secrets, spans, sql
+from clicklens.llm import (decontaminate, jaccard, licenses, lm, pieces, quality, repeats, secrets, spans, sql,
+                            toxicity)
 from clicklens.llm.exchange import documents
 
 
@@ -29,6 +30,16 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir))
 
 
+def op5_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op6_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op7_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -37,6 +48,10 @@ def op8_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(documents(spark, sf_dir))
 
 
+def op9_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(documents(spark, sf_dir), with_ids=False)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.judge(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
