@@ -14,13 +14,19 @@ rest from being computed:
   agrees wholly in more than ``E`` of them. Rows meet by the hash of their
   content in a block (empty blocks too when a row has more than ``E``).
 
-Rows that share a block, directly or through others, form a family; every link
-lies inside one. The product is then accumulated exactly, family by family, in
-row blocks of at most ``BLOCK_ROWS`` rows and about ``BLOCK_SHINGLES`` shingles:
-a task holds two row blocks, adds up their overlap counts over slices of the
-shingles both have, drops cells below the bound, and emits a spanning forest
-of what is left. So all pairs are compared, none is emitted as a row, and a
-family of any size is spread over its block pairs.
+Rows that agree with the smallest row of a block in ``STRONG`` blocks or more
+form families. Inside a family the product is accumulated exactly, in row
+blocks of at most ``BLOCK_ROWS`` rows and about ``BLOCK_SHINGLES`` shingles: a task
+holds two row blocks, adds up their overlap counts over slices of the shingles
+both have, drops cells below the bound, and emits a spanning forest of what is
+left. So all pairs of a group of near copies are compared and none is emitted,
+and a family of any size is spread over its block pairs.
+
+Pairs of one block that are in different families (they share a passage, say)
+are the other cells that can be above the bound. Parity sketches of the sets
+prune them: the sketches differ in at most as many bits as the sets differ in
+shingles, so a pair that differs in more bits than the bound allows is out. The
+rest is compared exactly. Every link is inside a family or such a pair.
 
 Defined cases: null and empty texts have no shingles and link with nothing;
 a text with fewer words than a shingle has one shingle, its word sequence;
@@ -43,6 +49,8 @@ from clicklens.llm.exchange import buckets, components, packed_shuffle, partitio
 WORDS, PERCENT = 3, 90
 FLUSH = 1_500_000  # block hashes held by a task before they are sent
 BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 512, 400_000, 2048
+STRONG = 2
+SKETCH_BITS = (64, 4096)
 CELL = (np.uint64, np.uint64, np.uint8)
 ALONE, MATES, SETTLED = 0, 1, 2
 
@@ -80,6 +88,25 @@ def set_ids(key: np.ndarray, owner: np.ndarray, n: int):
     return np.bincount(owner, minlength=n), tb.mix(one), tb.mix(two)
 
 
+def sketches(key: np.ndarray, owner: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Parity of the shingles per bit, bits a power of two near the size; a
+    longer sketch folds to a shorter one by exclusive or of its halves."""
+    bits = np.clip(1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64), *SKETCH_BITS)
+    at = np.concatenate([[0], np.cumsum(bits)])
+    bit = at[owner] + (tb.mix(key ^ np.uint64(0xB7)) % bits[owner].astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(bit, minlength=at[-1]) & 1).astype(bool)).tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(at[:-1], at[1:])]
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Least number of shingles that two sets differ in, by their sketches."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        half = len(y) // 2
+        y = y[:half] ^ y[half:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 @lru_cache(maxsize=8)
 def size_classes(percent: int, largest: int = 1 << 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First size of every class, and per class pair (c with c or c + 1) the
@@ -122,20 +149,22 @@ def block_hashes(key: np.ndarray, owner: np.ndarray, size: np.ndarray, percent:
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, n_shingles, set_id, set_id2`` per row."""
+    """``doc_id, n_shingles, set_id, set_id2, sketch`` per row."""
     ready(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
             for at, buf, offsets in tb.text_chunks(batch.column(1)):
                 n = len(offsets) - 1
-                size, one, two = set_ids(*shingles(buf, offsets, k), n)
+                key, owner = shingles(buf, offsets, k)
+                size, one, two = set_ids(key, owner, n)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, n), pa.array(size.astype(np.int64)), pa.array(one.view(np.int64)),
-                     pa.array(two.view(np.int64))], names=["doc_id", "n_shingles", "set_id", "set_id2"])
+                     pa.array(two.view(np.int64)), pa.array(sketches(key, owner, size), pa.binary())],
+                    names=["doc_id", "n_shingles", "set_id", "set_id2", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_id long, set_id2 long")
+        run, "doc_id long, n_shingles long, set_id long, set_id2 long, sketch binary")
 
 
 def block_members(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -272,21 +301,78 @@ def family_links(members: DataFrame, texts: DataFrame, k: int, percent: int) ->
         run, "a long, b long")
 
 
+def near_enough(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sketches do not rule out a link. ``rows``: ``row,
+    n_shingles, sketch``."""
+
+    def run(batches):
+        for batch in batches:
+            na, nb = (batch.column(c).to_numpy() for c in (2, 3))
+            limit = (100 - percent) * (na + nb) // (100 + percent)
+            far = np.array([sketch_distance(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())])
+            keep = pa.array(far <= limit)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+
+    def side(name):
+        return rows.select(F.col("row").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = both.where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
+    return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+
+
+def pair_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose overlap, accumulated exactly, is above the
+    bound."""
+
+    def run(batches):
+        for batch in batches:
+            keys, rows, n = [], [], batch.num_rows
+            size = np.zeros(n, np.int64)
+            for c in (2, 3):
+                for at, buf, offsets in tb.text_chunks(batch.column(c)):
+                    key, owner = shingles(buf, offsets, k)
+                    keys.append(key)
+                    rows.append(owner + at)
+                    size += np.bincount(owner + at, minlength=n)
+            key, row = np.concatenate(keys), np.concatenate(rows)
+            order = np.lexsort((key, row))
+            key, row = key[order], row[order]
+            overlap = np.bincount(row[1:][(key[1:] == key[:-1]) & (row[1:] == row[:-1])], minlength=n)
+            ok = pa.array((overlap > 0) & ((100 + percent) * overlap >= percent * size))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+
+    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id`` (the smallest
     doc_id reachable by links of similarity ``percent`` / 100)."""
     sets = stored(shingle_sets(docs, k), "sets")
     rows = sets.where("doc_id is not null and n_shingles > 0").groupBy("set_id", "set_id2", "n_shingles").agg(
-        F.min("doc_id").alias("row"))
+        F.min("doc_id").alias("row"), F.first("sketch").alias("sketch"))
     members = stored(block_members(docs, k, percent).join(rows.select("set_id", "row"), "set_id")
-                     .select("block", "row"), "blocks")
-    low = members.groupBy("block").agg(F.min("row").alias("a"))
-    stars = members.join(low, "block").where("row <> a").select("a", F.col("row").alias("b")).distinct()
-    families = components(stars).join(rows.select(F.col("row").alias("id"), "n_shingles"), "id").select(
-        F.col("id").alias("row"), "n_shingles", F.col("component").alias("family"))
+                     .select("block", "row").distinct(), "blocks")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    found = components(family_links(families, texts, k, percent))
-    named = sets.join(rows, ["set_id", "set_id2", "n_shingles"], "left").join(
+
+    low = members.groupBy("block").agg(F.min("row").alias("a"))
+    strong = members.join(low, "block").where("row <> a").groupBy("a", F.col("row").alias("b")).agg(
+        F.count("*").alias("n")).where(F.col("n") >= STRONG)
+    families = stored(components(strong).select(F.col("id").alias("row"), F.col("component").alias("family")), "families")
+    inside = family_links(families.join(rows.select("row", "n_shingles"), "row"), texts, k, percent)
+
+    placed = members.join(families, "row", "left").select("block", "row", F.coalesce("family", "row").alias("family"))
+    mixed = placed.groupBy("block").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).where("lo < hi")
+    open_ = placed.join(mixed.select("block"), "block")
+    pairs = open_.select("block", F.col("row").alias("a"), F.col("family").alias("fa")).join(
+        open_.select("block", F.col("row").alias("b"), F.col("family").alias("fb")), "block").where(
+        "a < b and fa <> fb").select("a", "b").distinct()
+    near = stored(near_enough(pairs, rows, percent), "near")
+    links = inside.unionByName(pair_links(near, texts, k, percent))
+    found = components(links)
+    named = sets.drop("sketch").join(rows.drop("sketch"), ["set_id", "set_id2", "n_shingles"], "left").join(
         found.select(F.col("id").alias("row"), "component"), "row", "left")
     return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "row", "doc_id"))
                         .alias("component_id"))
