@@ -78,11 +78,8 @@ def minus_seconds(t1: Column | str, t2: Column | str) -> Column:
 
 
 def int_div(num: Column, den: Column) -> Column:
-    """Exact integer division for non-negative operands (NULL when ``den`` is
-    0): ``num - num mod den`` is a multiple of ``den``, so the division below
-    is exact."""
-    den = F.nullif(den, F.lit(0))
-    return ((num - F.pmod(num, den)) / den).cast("bigint")
+    """Integer division (NULL when ``den`` is 0), exact for all of bigint."""
+    return F.call_function("div", num, F.nullif(den, F.lit(0)))
 
 
 def elapsed_seconds(start: Column | str, end: Column | str) -> Column:

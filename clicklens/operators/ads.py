@@ -14,11 +14,27 @@ AD_LOG_FIELDS = ["epoch_ms", "province", "city", "user_id", "ad_id"]
 
 def parse_ad_log(lines: DataFrame, value_column: str = "value") -> DataFrame:
     """Text lines ``epoch_ms province city user_id ad_id`` (one space apart)
-    to typed columns. Lines without exactly five fields or with a field that
-    does not parse are dropped (``try_cast`` gives NULL, never an error)."""
+    to typed columns. Lines without exactly five fields, with a field that does
+    not parse or with a time outside the years 1 to 9999 are left out, never an
+    error; ``ad_line_counts`` counts them."""
+    return _parsed(lines, value_column).where("ok").drop("ok")
+
+
+def ad_line_counts(lines: DataFrame, value_column: str = "value") -> DataFrame:
+    """One row: lines, parsed lines and bad lines."""
+    return _parsed(lines, value_column).agg(
+        F.count("*").alias("n_lines"), F.count_if("ok").alias("n_parsed"), F.count_if(~F.col("ok")).alias("n_bad"))
+
+
+# fixed values: first and last millisecond of the years 1 to 9999
+_FIRST_MS, _LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def _parsed(lines: DataFrame, value_column: str) -> DataFrame:
     parts = F.split(F.trim(F.col(value_column)), " ")
     ok = F.size(parts) == 5
     ms = parts.getItem(0).try_cast("bigint")
+    ms = F.when(ms.between(_FIRST_MS, _LAST_MS), ms)
     parsed = lines.select(
         ok.alias("ok"),
         F.timestamp_millis(ms).alias("ts"),
@@ -35,7 +51,7 @@ def parse_ad_log(lines: DataFrame, value_column: str = "value") -> DataFrame:
         & (F.col("province") != "")
         & (F.col("city") != "")
     )
-    return parsed.where(good).drop("ok")
+    return parsed.withColumn("ok", F.coalesce(good, F.lit(False)))
 
 
 def with_time_keys(clicks: DataFrame) -> DataFrame:

@@ -290,8 +290,9 @@ def registry() -> dict[str, Query]:
     q["session_band_ratios"] = lambda s, sf: bands.session_band_ratios(
         bands.session_band_counts(kept(s, sf)), TASK.task_id
     )
-    # a session's detail rows are its steps: no join with the log needed
-    q["total_detail_count"] = lambda s, sf: kept(s, sf).agg(
+    # a session's detail rows are its steps: no join with the log needed (rows
+    # without a session have no detail)
+    q["total_detail_count"] = lambda s, sf: kept(s, sf).where("session_id is not null").agg(
         F.coalesce(F.sum("step_length"), F.lit(0)).cast("bigint").alias("detail_count")
     )
     q["visited_categories"] = lambda s, sf: categories.visited_categories(kept_category_counts(s, sf))

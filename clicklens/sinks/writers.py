@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -22,21 +23,27 @@ def write_task_result(df: DataFrame, path: str, task_id: int) -> None:
     """Replace task ``task_id``'s rows in the table at ``path`` (partitioned
     by ``task_id``).
 
-    The task's partition folder is removed first and the new rows appended,
-    so a rerun leaves exactly the new result even when it is empty (a
-    dynamic partition overwrite would keep the old rows of a partition the
-    new result does not contain). Other tasks' partitions are untouched.
+    The rows are first written to a staging folder of this call, then the
+    partition is swapped by rename. A failing plan leaves the old result as it
+    is, tasks that write at the same time share no folder, and a rerun leaves
+    exactly the new result, also when it is empty. Other tasks' partitions are
+    untouched.
     """
-    from pyspark.sql import functions as F
-
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    part = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/task_id={int(task_id)}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root, token = path.rstrip("/"), uuid.uuid4().hex
+    staged, old = (hadoop.Path(f"{root}/_{name}/{token}") for name in ("staging", "old"))
+    part = hadoop.Path(f"{root}/task_id={int(task_id)}")
     fs = part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df.write.parquet(staged.toString())
     if fs.exists(part):
-        fs.delete(part, True)
-    out = df.withColumn("task_id", F.lit(int(task_id)).cast("bigint"))
-    out.write.mode("append").partitionBy("task_id").parquet(path)
+        fs.mkdirs(old.getParent())
+        if not fs.rename(part, old):
+            raise RuntimeError(f"cannot replace {part.toString()}")
+    if not fs.rename(staged, part):
+        fs.rename(old, part)
+        raise RuntimeError(f"cannot publish {part.toString()}")
+    fs.delete(old, True)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append",
@@ -175,16 +182,20 @@ class PartitionedTable:
         return df.select(*[f.name for f in self.schema.fields])
 
     def read_partitions(self, values: list) -> DataFrame:
-        """Rows of the given partitions only (static partition pruning)."""
-        from pyspark.sql import functions as F
-
-        return self.read().where(F.col(self.part_col).isin(values)) if values else self.read().limit(0)
+        """Rows of the given partitions only; no other folder is listed."""
+        fs, jvm = self._fs()
+        paths = [f"{self.root}/data/{self.part_col}={v}" for v in values]
+        paths = [p for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
+        if not paths or self.last_batch() < 0:
+            return self.spark.createDataFrame([], self.schema)
+        df = self.spark.read.schema(self.schema).option("basePath", f"{self.root}/data").parquet(*paths)
+        return df.select(*[f.name for f in self.schema.fields])
 
     def commit(self, new_partitions: DataFrame, batch_id: int) -> bool:
         """Replace the partitions present in ``new_partitions`` for batch
         ``batch_id``; False when the batch was already committed."""
         fs, _ = self._fs()
-        if fs.exists(self._path("_commits", f"b={batch_id}")):
+        if self.last_batch() >= batch_id:
             return False
         staged = f"{self.root}/_staging/b={batch_id}"
         if not fs.exists(self._path("_staging", f"b={batch_id}", "_SUCCESS")):

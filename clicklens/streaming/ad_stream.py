@@ -25,7 +25,7 @@ written before this batch, so a replay filters exactly as the first attempt.
 
 from __future__ import annotations
 
-import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -36,7 +36,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clicklens.operators import ads, upserts
 from clicklens.sinks.writers import PartitionedTable, VersionedTable
-from clicklens.spark import ensure_checkpoint_dir
 
 COUNT_KEYS = ["date", "user_id", "ad_id"]
 STAT_KEYS = ["date", "province", "city", "ad_id"]
@@ -135,17 +134,17 @@ def start_ad_stream(spark: SparkSession, source: DataFrame, out_root: str, thres
                     processing_time: str | None = None, name: str | None = None) -> StreamingQuery:
     """Start the ad pipeline on a streaming ``source`` (``value`` column).
 
-    The streaming checkpoint lives under the shared checkpoint folder
-    (``spark.checkpoint.dir``) unless given.
+    The checkpoint lives beside the tables (``<out_root>/_checkpoint``) unless
+    given, so a restarted driver, in any application, resumes from it. The
+    query id is kept with the tables: a checkpoint that is not the one that
+    filled them is an error, because its batch ids would begin again and be
+    skipped as already applied.
     """
     if threshold is None:
         raise ValueError("a blacklist threshold is required")
     tables = AdTables.at(spark, out_root)
-    if checkpoint is None:
-        # a stable name (not Python's per-process hash), so a restarted
-        # driver resumes from the same checkpoint
-        digest = hashlib.sha1(out_root.rstrip("/").encode()).hexdigest()[:16]
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ad-stream-{digest}"
+    checkpoint = checkpoint or f"{out_root.rstrip('/')}/_checkpoint"
+    _same_stream(spark, tables, out_root, checkpoint)
     writer = source.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, tables, threshold)).option(
         "checkpointLocation", checkpoint
     )
@@ -155,7 +154,43 @@ def start_ad_stream(spark: SparkSession, source: DataFrame, out_root: str, thres
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    query = writer.start()
+    _write_text(spark, f"{out_root.rstrip('/')}/_stream_id", str(query.id))
+    return query
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _same_stream(spark: SparkSession, tables: AdTables, out_root: str, checkpoint: str) -> None:
+    """Raise when the tables hold batches of another stream than the
+    checkpoint's."""
+    if all(t.last_batch() < 0 for t in tables.all()):
+        return
+    known = _read_text(spark, f"{out_root.rstrip('/')}/_stream_id")
+    metadata = _read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+    if metadata is None or (known is not None and json.loads(metadata)["id"] != known):
+        raise RuntimeError(f"{checkpoint} is not the checkpoint of the stream that filled {out_root}")
 
 
 def click_trend_stream(source: DataFrame, length: str, slide: str | None = None, watermark: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from clicklens.operators import ads, upserts
@@ -214,3 +215,26 @@ def test_batch_of_only_bad_lines_changes_nothing(spark, scratch):
     after = {t.root: sorted(tuple(r) for r in t.read().collect()) for t in tables.all()}
     assert before == after
     assert all(t.last_batch() == 1 for t in tables.all())
+
+
+def test_overlong_epoch_is_a_counted_bad_line(spark):
+    from clicklens.operators import ads
+
+    lines = spark.createDataFrame(
+        [("1704067200000 P C 1 2",), ("9999999999999999999 P C 1 2",), ("9223372036854775807 P C 1 2",), ("x",), (None,)],
+        "value string")
+    assert ads.parse_ad_log(lines).count() == 1
+    assert tuple(ads.ad_line_counts(lines).first()) == (5, 1, 4)
+
+
+def test_fresh_checkpoint_on_old_tables_raises(spark, scratch):
+    from clicklens.streaming import ad_stream
+
+    spark.createDataFrame([("1704067200000 P C 1 2",)], "value string").coalesce(1).write.text(f"{scratch}/in/a")
+    source = ad_stream.read_ad_log(spark, f"{scratch}/in/*")
+    ad_stream.start_ad_stream(spark, source, f"{scratch}/out", 100).awaitTermination()
+    with pytest.raises(RuntimeError, match="not the checkpoint"):
+        ad_stream.start_ad_stream(spark, source, f"{scratch}/out", 100, f"{scratch}/other")
+    spark.createDataFrame([("1704067200001 P C 1 2",)] * 3, "value string").coalesce(1).write.text(f"{scratch}/in/b")
+    ad_stream.start_ad_stream(spark, source, f"{scratch}/out", 100).awaitTermination()
+    assert ad_stream.AdTables.at(spark, f"{scratch}/out").counts.read().first()["click_count"] == 4

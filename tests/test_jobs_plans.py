@@ -109,3 +109,19 @@ def test_bounded_detail_joins_do_not_shuffle_the_log(spark):
     for key in ("top10_session_detail", "sample_session_detail"):
         p = plan(reg[key](spark, SF_SMALL))
         assert "BroadcastHashJoin LeftSemi" in p.replace("\n", " ") or "LeftSemi" in p and "BroadcastExchange" in p, key
+
+
+def test_failing_rerun_keeps_the_old_result(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from clicklens.sinks.writers import write_task_result
+
+    path = f"{scratch}/result"
+    write_task_result(spark.range(3), path, 1)
+    write_task_result(spark.range(5), path, 2)
+    with pytest.raises(Exception):
+        write_task_result(spark.range(3).select(F.raise_error(F.lit("no")).alias("id")), path, 1)
+    assert {(r.task_id, r.n) for r in spark.read.parquet(path).groupBy("task_id").agg(F.count("*").alias("n")).collect()} == {
+        (1, 3), (2, 5)}
+    write_task_result(spark.range(0), path, 1)
+    assert spark.read.parquet(path).where("task_id = 1").count() == 0
