@@ -38,7 +38,6 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from clicklens.operators import funnel
     from clicklens.plans import catalog
     from clicklens.spark import local_session
 
@@ -51,24 +50,19 @@ def main() -> None:
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
         for name in HEADLINE:
             reg[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
-            funnel.release()
 
     def session_job(d: str) -> None:
         """The whole session job: all five results, kept sessions shared."""
-        from pyspark import StorageLevel
-
-        from clicklens.operators import sessions
+        from clicklens.operators import cache, sessions
         from clicklens.plans import jobs
         from clicklens.sources import fixtures
 
         p = catalog.TASK
         acts = catalog.actions(spark, d)
-        kept = sessions.kept_sessions(acts, catalog.users(spark, d), p).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = cache.share(sessions.kept_sessions(acts, catalog.users(spark, d), p))
         src = jobs.SessionSources(fixtures.user_visit_action(spark, d), fixtures.user_info(spark, d))
         for df in jobs.run_session(spark, p, src, sample_size=catalog.SAMPLE_SIZE, kept=kept).values():
             df.write.format("noop").mode("overwrite").save()
-        kept.unpersist()
-        funnel.release()
 
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
         session_job(warm_dir)
@@ -78,7 +72,6 @@ def main() -> None:
         t0 = time.perf_counter()
         reg[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
-        funnel.release()
     t0 = time.perf_counter()
     session_job(sf_dir)
     times["session_job_all_results"] = round(time.perf_counter() - t0, 3)

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklens.functions.columns import sorted_join
-from clicklens.operators import cache
 from clicklens.operators.joins import broadcast_bounded
 
 
@@ -26,10 +25,12 @@ def area_city_join(clicks: DataFrame, cities: DataFrame) -> DataFrame:
 
 def area_product_clicks(area_clicks: DataFrame) -> DataFrame:
     """Per (area, product): click count and the sorted distinct
-    ``city_id:city_name`` list of the cities the clicks came from."""
+    ``city_id:city_name`` list of the cities the clicks came from. A
+    ``click_count`` column in the input counts for that many clicks."""
+    clicks = F.sum("click_count") if "click_count" in area_clicks.columns else F.count(F.lit(1))
     city = F.concat(F.col("city_id").cast("string"), F.lit(":"), F.col("city_name"))
     return area_clicks.groupBy("area", "product_id").agg(
-        F.count(F.lit(1)).alias("click_count"),
+        clicks.cast("bigint").alias("click_count"),
         sorted_join(F.collect_set(city)).alias("city_infos"),
     )
 
@@ -41,17 +42,23 @@ def top_products_per_area(per_product: DataFrame, n: int = 3) -> DataFrame:
     return per_product.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).drop("rn")
 
 
+def top_clicked(clicks: DataFrame, cities: DataFrame, n: int = 3) -> DataFrame:
+    """Top products per area from raw clicks. They are counted per (city,
+    product) before the city join and the city lists, so whoever reads the
+    result twice shares that one shuffle of the log."""
+    per_city = clicks.groupBy("city_id", "product_id").agg(F.count(F.lit(1)).alias("click_count"))
+    return top_products_per_area(area_product_clicks(area_city_join(per_city, cities)), n)
+
+
 def area_product_join(top: DataFrame, products: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Top rows with product name and status (left: unknown products keep
     NULLs).
 
-    The top rows are computed once (shared by both branches) and the product
-    dimension is first cut to their ids with a semi join; with ``max_rows``
-    (a proven bound on the top rows) the ids are broadcast, so the dimension
-    is filtered where it is read and never shuffled. The final join is
-    between two small tables.
+    The product dimension is first cut to the top rows' ids with a semi join;
+    with ``max_rows`` (a proven bound on the top rows) the ids are broadcast,
+    else AQE decides by their measured size. The final join is between two
+    small tables.
     """
-    top = cache.share(top)
     ids = broadcast_bounded(top.select("product_id"), max_rows)
     prods = products.select("product_id", "product_name", "product_status").join(ids, "product_id", "left_semi")
     return top.join(prods, "product_id", "left")
@@ -66,10 +73,7 @@ def area_top3_product(clicks: DataFrame, cities: DataFrame, products: DataFrame,
     ``area_levels`` maps an area to its level text (NULL when not given);
     ``status_text`` maps the raw status to a text (raw when not given).
     """
-    top = top_products_per_area(area_product_clicks(area_city_join(clicks, cities)), n)
-    # at most n rows per area: bound the broadcast by the city dimension's areas
-    bound = n * cities.select("area").distinct().count()
-    joined = area_product_join(top, products, bound)
+    joined = area_product_join(top_clicked(clicks, cities, n), products)
     status = F.col("product_status")
     if status_text:
         status = F.coalesce(_mapping("product_status", status_text), status)

@@ -1,24 +1,24 @@
 """Frames that several branches of one plan must share.
 
-A frame persisted here is computed once and read by every branch (a lost
-block is recomputed from the same lineage). ``release()`` unpersists them
-after the results that use them have been written.
+A shared frame is written once, as Parquet, to a folder of its own under the
+shared checkpoint folder and read back: every branch sees the same rows, whatever
+other jobs of the driver do, and a lost executor costs no recomputation. As with
+Spark's own checkpoints the files stay until the checkpoint folder is cleared;
+they are grouped by application id.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 
-_SHARED: list[DataFrame] = []
+from clicklens.spark import ensure_checkpoint_dir
 
 
 def share(df: DataFrame) -> DataFrame:
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _SHARED.append(df)
-    return df
-
-
-def release() -> None:
-    while _SHARED:
-        _SHARED.pop().unpersist()
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/shared/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

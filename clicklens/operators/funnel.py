@@ -43,14 +43,15 @@ def _ranged(actions: DataFrame, num_ranges: int | None) -> DataFrame:
     """Session pieces in time order: the four ordering columns,
     range-partitioned and tagged with their range, then ordered within each
     (range, session) piece by one window pass that adds ``next_page_id``,
-    ``local_pos`` (1-based position in the piece) and ``piece_rows``.
+    ``last_page`` of the piece, ``local_pos`` (1-based position in the piece)
+    and ``piece_rows``.
 
     Range bounds come from a sample whose seed depends on the exchange, so
     two separately planned exchanges may cut different ranges. The cut is
-    therefore consumed once (by the window's shuffle) and the window output
-    is persisted; every branch below (pairs, piece ends, positions, first
-    page views) reads that one frame. A lost block is recomputed from the
-    same shuffles, hence the same cut.
+    therefore consumed once (by the window's shuffle), and a plan with several
+    branches over the result writes it as a table first (``cache.share``). The
+    range count is the session's shuffle partition count, which ``scale_conf``
+    sizes by the input.
     """
     spark = actions.sparkSession
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -67,14 +68,9 @@ def _ranged(actions: DataFrame, num_ranges: int | None) -> DataFrame:
         F.lead("page_id").over(ordered).alias("next_page_id"),
         F.row_number().over(ordered).alias("local_pos"),
         F.count(F.lit(1)).over(piece).alias("piece_rows"),
+        F.last("page_id").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("last_page"),
     )
-    return cache.share(windowed)
-
-
-def release() -> None:
-    """Unpersist the shared frames built so far (call after the results that
-    use them are written)."""
-    cache.release()
+    return windowed
 
 
 def page_transitions(actions: DataFrame, num_ranges: int | None = None, ranged: DataFrame | None = None) -> DataFrame:
@@ -82,28 +78,24 @@ def page_transitions(actions: DataFrame, num_ranges: int | None = None, ranged:
     session ordered by (action_ts, tie).
 
     Pairs inside a piece come straight from the ordered pieces. A session
-    cut by range bounds is stitched from its pieces: each piece's first and
-    last page (a hash aggregate over the two end rows of each piece), then
-    the last page of a piece pairs with the first page of the session's next
-    piece (a window per session over its pieces, at most one row per range).
+    cut by range bounds is stitched from its pieces: the last page of a piece
+    pairs with the first page of the session's next piece. Both come from one
+    pass over the cut: the first row of a piece also emits the piece's ends,
+    which meet per session (at most one row per range), while the pairs stay
+    dealt by piece.
     """
     if ranged is None:
         ranged = _ranged(actions, num_ranges)
-    inner = ranged.where(F.col("next_page_id").isNotNull()).select("session_id", "page_id", "next_page_id")
-
-    first = F.col("local_pos") == 1
-    last = F.col("local_pos") == F.col("piece_rows")
-    pieces = ranged.where(first | last).groupBy("rng", "session_id").agg(
-        F.max(F.when(first, F.col("page_id"))).alias("first_page"),
-        F.max(F.when(last, F.col("page_id"))).alias("last_page"),
-    )
-    nxt = pieces.select(
-        "session_id", "last_page", F.lead("first_page").over(Window.partitionBy("session_id").orderBy("rng")).alias("next_first")
-    )
-    cross = nxt.where(F.col("next_first").isNotNull()).select(
-        "session_id", F.col("last_page").alias("page_id"), F.col("next_first").alias("next_page_id")
-    )
-    return inner.unionByName(cross)
+    none = F.lit(None).cast("bigint")
+    pair = F.struct(F.col("rng").alias("part"), F.col("page_id").alias("page"), F.col("next_page_id").alias("following"),
+                    none.alias("first_page"), F.col("next_page_id").isNotNull().alias("wanted"))
+    ends = F.struct(F.lit(-1).alias("part"), F.col("last_page").alias("page"), none.alias("following"),
+                    F.col("page_id").alias("first_page"), (F.col("local_pos") == 1).alias("wanted"))
+    rows = ranged.select("session_id", "rng", F.explode(F.array(pair, ends)).alias("x")).where("x.wanted").select(
+        "session_id", "rng", "x.*")
+    across = F.lead("first_page").over(Window.partitionBy("session_id", "part").orderBy("rng"))
+    return rows.select("session_id", F.col("page").alias("page_id"), F.coalesce("following", across).alias("next_page_id")).where(
+        F.col("next_page_id").isNotNull())
 
 
 def session_positions(actions: DataFrame, num_ranges: int | None = None) -> DataFrame:
@@ -114,7 +106,7 @@ def session_positions(actions: DataFrame, num_ranges: int | None = None) -> Data
     session's pieces in earlier ranges (a running sum over the pieces of a
     session, one row per piece, so that window is small for every session).
     """
-    ranged = _ranged(actions, num_ranges)
+    ranged = cache.share(_ranged(actions, num_ranges))
     pieces = ranged.where(F.col("local_pos") == 1).select("rng", "session_id", "piece_rows")
     before = Window.partitionBy("session_id").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select("rng", "session_id", F.coalesce(F.sum("piece_rows").over(before), F.lit(0)).alias("offset"))
@@ -155,9 +147,9 @@ def page_convert_rate(actions: DataFrame, flow: list[int], task_id: int | None =
     """
     spark = actions.sparkSession
     steps = flow_steps(spark, flow)
-    # one persisted range-partitioned projection serves the pairs and the
+    # one written range-partitioned projection serves the pairs and the
     # first page's views (no second pass over the log)
-    ranged = _ranged(actions, num_ranges)
+    ranged = cache.share(_ranged(actions, num_ranges))
     pv = page_split_pv(page_transitions(actions, ranged=ranged), steps, len(flow))
     start = start_page_pv(ranged, flow)
     per_step = steps.join(broadcast_bounded(pv, len(flow)), "page_split", "left").select(

@@ -16,6 +16,7 @@ from clicklens.operators.joins import broadcast_bounded
 
 DEFAULT_SAMPLE_SIZE = 100
 DEFAULT_SEED = "clicklens"
+SALTS = 64  # parts that an hour's sessions are ranked in first
 
 
 def with_date_hour(sessions: DataFrame) -> DataFrame:
@@ -60,16 +61,21 @@ def sample_sessions(sessions: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: str
     """The sampled sessions (all session columns kept).
 
     The quota table has at most ``24 * max_days`` rows, which bounds the
-    broadcast. A quota never exceeds ``n``, so ``rn <= n`` is added as a
-    literal bound: Catalyst turns it into a WindowGroupLimit that keeps at
-    most ``n`` sessions per hour in each map task before the shuffle.
+    broadcast. Sessions are ranked in two exact steps: within a salted part of
+    their hour, then within the hour among the parts' first ``quota``, so a hot
+    hour meets in one task with at most ``SALTS * quota`` sessions. A quota
+    never exceeds ``n``, so ``rn <= n`` is added as a literal bound: Catalyst
+    turns it into a WindowGroupLimit before each shuffle.
     """
     quota = sample_quota(sessions, n).select("date", "hour", "quota")
     bound = 24 * max_days if max_days is not None else None
     s = with_date_hour(sessions).join(broadcast_bounded(quota, bound), ["date", "hour"])
-    w = Window.partitionBy("date", "hour").orderBy(F.md5(F.concat(F.lit(seed), F.col("session_id"))), "session_id")
-    ranked = s.withColumn("rn", F.row_number().over(w))
-    return ranked.where((F.col("rn") <= F.lit(n)) & (F.col("rn") <= F.col("quota"))).drop("rn", "quota")
+    order = (F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.col("session_id"))
+    s = s.withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(SALTS)))
+    for keys in (("date", "hour", "salt"), ("date", "hour")):
+        ranked = s.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        s = ranked.where((F.col("rn") <= F.lit(n)) & (F.col("rn") <= F.col("quota"))).drop("rn")
+    return s.drop("quota", "salt")
 
 
 def random_extract_rows(sampled: DataFrame, task_id: int) -> DataFrame:

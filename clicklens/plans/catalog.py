@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import uuid
 
-from clicklens.operators import ads, areas, bands, categories, funnel, sampling, sessions, upserts
+from clicklens.operators import ads, areas, bands, cache, categories, funnel, sampling, sessions, upserts
 from clicklens.operators.joins import broadcast_bounded
 from clicklens.params import TaskParams
 from clicklens.sources import fixtures, tables
@@ -86,18 +86,33 @@ def kept_category_counts(spark: SparkSession, sf: str) -> DataFrame:
     return categories.for_sessions(categories.session_category_counts(actions(spark, sf)), kept(spark, sf))
 
 
-def top10(spark: SparkSession, sf: str) -> DataFrame:
-    return categories.top_categories(categories.category_counts(kept_category_counts(spark, sf)), TOP_CATEGORIES)
+def top10(counts: DataFrame) -> DataFrame:
+    return categories.top_categories(categories.category_counts(counts), TOP_CATEGORIES)
 
 
 def top_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    return categories.top_sessions_per_category(
-        kept_category_counts(spark, sf), top10(spark, sf), TOP_SESSIONS, TOP_CATEGORIES, TASK.task_id
+    counts = cache.share(kept_category_counts(spark, sf))
+    return categories.top_sessions_per_category(counts, top10(counts), TOP_SESSIONS, TOP_CATEGORIES, TASK.task_id)
+
+
+def clicks_on_top(spark: SparkSession, sf: str) -> DataFrame:
+    counts = cache.share(kept_category_counts(spark, sf))
+    top = broadcast_bounded(top10(counts).select("category_id"), TOP_CATEGORIES)
+    return counts.where(F.col("click_count") > 0).join(top, "category_id", "left_semi").select(
+        "category_id", "session_id", "click_count"
     )
 
 
 def sampled(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.sample_sessions(kept(spark, sf), SAMPLE_SIZE, SAMPLE_SEED, TASK.num_days())
+    return sampling.sample_sessions(cache.share(kept(spark, sf)), SAMPLE_SIZE, SAMPLE_SEED, TASK.num_days())
+
+
+def sample_index(spark: SparkSession, sf: str) -> DataFrame:
+    sessions_ = cache.share(kept(spark, sf).select("session_id", "start_ts"))
+    quota = sampling.sample_quota(sessions_, SAMPLE_SIZE).select("date", "hour", "quota")
+    return sampling.with_date_hour(sessions_).join(
+        broadcast_bounded(quota, 24 * TASK.num_days()), ["date", "hour"]
+    ).select("session_id", "date", "hour", "quota")
 
 
 def transitions(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,22 +267,14 @@ def registry() -> dict[str, Query]:
         sessions.session_detail(actions(s, sf), kept(s, sf)), TASK.task_id
     )
     q["category_counts"] = lambda s, sf: categories.category_counts(kept_category_counts(s, sf))
-    q["top_category_session_join"] = lambda s, sf: kept_category_counts(s, sf).where(
-        F.col("click_count") > 0
-    ).join(F.broadcast(top10(s, sf).select("category_id")), "category_id", "left_semi").select(
-        "category_id", "session_id", "click_count"
-    )
+    q["top_category_session_join"] = clicks_on_top
     q["top10_session_detail"] = lambda s, sf: sessions.detail_rows(
         sessions.session_detail(actions(s, sf), top_sessions(s, sf), TOP_CATEGORIES * TOP_SESSIONS), TASK.task_id
     )
     q["sample_session_detail"] = lambda s, sf: sessions.detail_rows(
         sessions.session_detail(actions(s, sf), sampled(s, sf), SAMPLE_SIZE), TASK.task_id
     )
-    q["sample_index_lookup"] = lambda s, sf: sampling.with_date_hour(kept(s, sf)).join(
-        broadcast_bounded(sampling.sample_quota(kept(s, sf), SAMPLE_SIZE).select("date", "hour", "quota"),
-                          24 * TASK.num_days()),
-        ["date", "hour"],
-    ).select("session_id", "date", "hour", "quota")
+    q["sample_index_lookup"] = sample_index
     q["flow_broadcast"] = lambda s, sf: transitions(s, sf).join(
         F.broadcast(steps(s)),
         (F.col("page_id") == F.col("from_page")) & (F.col("next_page_id") == F.col("to_page")),
@@ -276,11 +283,8 @@ def registry() -> dict[str, Query]:
         "city_id", "product_id", "city_name", "area"
     )
     q["area_product_join"] = lambda s, sf: areas.area_product_join(
-        areas.top_products_per_area(
-            areas.area_product_clicks(areas.area_city_join(clicks_scan(s, sf), cities(s, sf))), TOP_PRODUCTS
-        ),
+        areas.top_clicked(clicks_scan(s, sf), cities(s, sf), TOP_PRODUCTS),
         products(s, sf),
-        TOP_PRODUCTS * cities(s, sf).select("area").distinct().count(),
     ).select("area", "product_id", "click_count", "city_infos", "product_name", "product_status")
     q["ad_blacklist_filter"] = lambda s, sf: ad_allowed(s, sf).select(*ad_click_columns())
 

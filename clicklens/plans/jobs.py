@@ -1,15 +1,14 @@
 """The three batch jobs: session analysis, page flow, area top-3.
 
-``run_*`` returns one lazy DataFrame per result table; only the writers
-trigger work. ``execute_*`` persists the frames several results share,
-writes every result into its ``task_id`` partition and releases the cache.
+``run_*`` returns one DataFrame per result table; frames that several results
+share are written to the shared folder first (see :mod:`clicklens.operators.cache`).
+``execute_*`` writes every result into its ``task_id`` partition.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,30 +94,19 @@ def write_results(results: dict[str, DataFrame], out_root: str, task_id: int) ->
 def execute_session_job(spark: SparkSession, params: TaskParams, src: SessionSources, out_root: str,
                         **options) -> None:
     """Run and write the session job. The kept sessions feed four results,
-    so they are persisted (memory, spilling to disk) for the duration and
-    recomputed from lineage if an executor is lost."""
+    so they are written once."""
     acts = read_actions_for(spark, src.actions, params)
-    kept = sessions.kept_sessions(acts, read_users(spark, src.users), params).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_results(run_session(spark, params, src, kept=kept, **options), out_root, params.task_id)
-    finally:
-        kept.unpersist()
-        cache.release()
+    kept = cache.share(sessions.kept_sessions(acts, read_users(spark, src.users), params))
+    write_results(run_session(spark, params, src, kept=kept, **options), out_root, params.task_id)
 
 
 def execute_page_flow(spark: SparkSession, params: TaskParams, actions: Source, out_root: str) -> None:
-    try:
-        write_results(run_page_flow(spark, params, actions), out_root, params.task_id)
-    finally:
-        funnel.release()
+    write_results(run_page_flow(spark, params, actions), out_root, params.task_id)
 
 
 def execute_area_top3(spark: SparkSession, params: TaskParams, actions: Source, cities: Source, products: Source,
                       out_root: str, **options) -> None:
-    try:
-        write_results(run_area_top3(spark, params, actions, cities, products, **options), out_root, params.task_id)
-    finally:
-        cache.release()
+    write_results(run_area_top3(spark, params, actions, cities, products, **options), out_root, params.task_id)
 
 
 def run_ad_stream(spark: SparkSession, source, out_root: str, threshold: int, **options):

@@ -19,6 +19,3 @@ def test_area_top3_ties_and_missing_dimensions(spark):
         (5, "A", "first", 11, "1:C1,2:C2", 2, "p11", "1"),
         (5, "A", "first", 12, "1:C1,2:C2", 2, None, None),
     ]
-    from clicklens.operators import cache
-
-    cache.release()

@@ -21,7 +21,6 @@ def test_documented_counts(spark):
     assert (steps[0], steps[1]) == (1, 10)
     pv = {r.page_split: r.split_pv for r in funnel.page_split_pv(
         funnel.page_transitions(acts), funnel.flow_steps(spark, [1, 2, 3, 4]), 4).collect()}
-    funnel.release()
     assert pv == {"1_2": 63, "2_3": 49, "3_4": 56}
     kept = sessions.kept_sessions(acts, catalog.users(spark, SF_CHECK),
                                   TaskParams(start_age=20, end_age=50, sex=["male"], category_ids=list(range(1, 9))))

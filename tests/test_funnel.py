@@ -52,7 +52,6 @@ def test_transitions_equal_python_twin_for_any_range_count(spark):
     for n in (1, 3, 16, 64):
         got = sorted(tuple(r) for r in funnel.page_transitions(acts, n).collect())
         assert got == want, n
-    funnel.release()
 
 
 def test_positions_equal_python_twin(spark):
@@ -62,7 +61,6 @@ def test_positions_equal_python_twin(spark):
     for n in (1, 7, 32):
         got = sorted((r.session_id, r.step_index, r.tie) for r in funnel.session_positions(acts, n).collect())
         assert got == want, n
-    funnel.release()
 
 
 def test_hot_session_is_split_across_ranges(spark):
@@ -71,13 +69,11 @@ def test_hot_session_is_split_across_ranges(spark):
     ranged = funnel._ranged(acts, 8)
     per_range = {r.rng: r.n for r in ranged.where("session_id = 'hot'").groupBy("rng").count().withColumnRenamed("count", "n").collect()}
     assert len(per_range) >= 4  # the hot session is cut into several ranges
-    funnel.release()
 
 
 def _rates(spark, rows, flow):
     acts = read_actions(spark, actions_df(spark, rows))
     out = [tuple(r) for r in funnel.page_convert_rate(acts, flow).orderBy("step").collect()]
-    funnel.release()
     return out
 
 
@@ -107,7 +103,6 @@ def test_equal_times_ordered_by_tie(spark):
     rows = [action("a", 1, "0:00:00", page=p, event_id=e) for p, e in [(3, 2), (1, 0), (2, 1)]]
     acts = read_actions(spark, actions_df(spark, rows))
     got = sorted(tuple(r) for r in funnel.page_transitions(acts).collect())
-    funnel.release()
     assert got == [("a", 1, 2), ("a", 2, 3)]
 
 
@@ -116,5 +111,4 @@ def test_rendered_rate_string(spark):
     rows = [action("a", 1, f"0:00:{i:02d}", page=p, event_id=i) for i, p in enumerate(seq)]
     acts = read_actions(spark, actions_df(spark, rows))
     r = funnel.render_convert_rate(funnel.page_convert_rate(acts, [1, 2, 3, 9]), 4).first()
-    funnel.release()
     assert (r.task_id, r.convert_rate) == (4, "1_2=1.0|2_3=1.0|3_9=0.0")

@@ -93,7 +93,6 @@ def test_physical_operators(spark):
         p = plan(reg[key](spark, SF_SMALL))
         assert p.count("WindowGroupLimit (") >= 2 and "Partial" in p and "Final" in p, key
     assert "rangepartitioning" in plan(reg["page_splits"](spark, SF_SMALL))
-    funnel.release()
 
 
 def test_no_python_in_any_plan(spark):
@@ -101,7 +100,6 @@ def test_no_python_in_any_plan(spark):
         p = plan(q(spark, SF_SMALL))
         for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
             assert bad not in p, (name, bad)
-    funnel.release()
 
 
 def test_bounded_detail_joins_do_not_shuffle_the_log(spark):

@@ -29,7 +29,6 @@ KEYS = [
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    from clicklens.operators import cache
     from clicklens.plans import catalog
     from clicklens.spark import local_session
 
@@ -45,7 +44,6 @@ def main() -> None:
         text = re.sub(r"#\d+L?", "", buf.getvalue())
         text = re.sub(r", \[plan_id=\d+\]", "", text)
         out += [f"## {key}", "", note, "", "```", text.strip(), "```", ""]
-        cache.release()
     with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(out))
     spark.stop()
