@@ -22,11 +22,13 @@ both have, drops cells below the bound, and emits a spanning forest of what is
 left. So all pairs of a group of near copies are compared and none is emitted,
 and a family of any size is spread over its block pairs.
 
-Pairs of one block that are in different families (they share a passage, say)
+Rows of one block that are in different families (they share a passage, say)
 are the other cells that can be above the bound. Parity sketches of the sets
 prune them: the sketches differ in at most as many bits as the sets differ in
 shingles, so a pair that differs in more bits than the bound allows is out. The
-rest is compared exactly. Every link is inside a family or such a pair.
+sketches of a block are compared inside tasks, in row blocks too, and a pair
+that stays merges its families (a spanning forest is emitted, no pairs). So every
+link is inside a merged family, where the exact product finds it.
 
 Defined cases: null and empty texts have no shingles and link with nothing;
 a text with fewer words than a shingle has one shingle, its word sequence;
@@ -98,13 +100,13 @@ def sketches(key: np.ndarray, owner: np.ndarray, size: np.ndarray) -> list[bytes
     return [packed[a // 8 : b // 8] for a, b in zip(at[:-1], at[1:])]
 
 
-def sketch_distance(a: bytes, b: bytes) -> int:
-    """Least number of shingles that two sets differ in, by their sketches."""
-    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
-    while len(y) > len(x):
-        half = len(y) // 2
-        y = y[:half] ^ y[half:]
-    return int(np.bitwise_count(x ^ y).sum())
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch folded to ``size`` bytes (a power of two part of its length)."""
+    x = np.frombuffer(sketch, np.uint8)
+    while len(x) > size:
+        half = len(x) // 2
+        x = x[:half] ^ x[half:]
+    return x
 
 
 @lru_cache(maxsize=8)
@@ -301,50 +303,45 @@ def family_links(members: DataFrame, texts: DataFrame, k: int, percent: int) ->
         run, "a long, b long")
 
 
-def near_enough(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sketches do not rule out a link. ``rows``: ``row,
+def family_merges(members: DataFrame, percent: int) -> DataFrame:
+    """Spanning links ``(a, b)`` of families that hold rows of one block whose
+    sketches do not rule out a link. ``members``: ``block, row, family,
     n_shingles, sketch``."""
+    spark = members.sparkSession
+    size = members.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    placed = members.join(size, "block").withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = spread.select("block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                          "family", "n_shingles", "sketch")
+
+    def merges(held):
+        family, n = (np.array([x[c] for x in held], dtype=np.int64) for c in (0, 1))
+        least = min(len(x[2]) for x in held)
+        bits = np.stack([folded(x[2], least) for x in held])
+        near = (family[:, None] != family) & (100 * np.minimum.outer(n, n) >= percent * np.maximum.outer(n, n))
+        for i in np.flatnonzero(near.any(axis=1)):
+            far = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
+            near[i] &= far <= (100 - percent) * (n + n[i]) // (100 + percent)
+        label = forest(near)
+        moved = np.flatnonzero(label != np.arange(len(n)))
+        if len(moved):
+            yield pa.RecordBatch.from_arrays([pa.array(family[label[moved]]), pa.array(family[moved])], names=["a", "b"])
 
     def run(batches):
+        current, held = None, []
         for batch in batches:
-            na, nb = (batch.column(c).to_numpy() for c in (2, 3))
-            limit = (100 - percent) * (na + nb) // (100 + percent)
-            far = np.array([sketch_distance(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())])
-            keep = pa.array(far <= limit)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
-
-    def side(name):
-        return rows.select(F.col("row").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
-
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-    return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
-
-
-def pair_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose overlap, accumulated exactly, is above the
-    bound."""
+            columns = [batch.column(c).to_pylist() for c in range(6)]
+            for block, i, j, *row in zip(*columns):
+                if (block, i, j) != current and held:
+                    yield from merges(held)
+                    held = []
+                current = (block, i, j)
+                held.append(row)
+        if held:
+            yield from merges(held)
 
-    def run(batches):
-        for batch in batches:
-            keys, rows, n = [], [], batch.num_rows
-            size = np.zeros(n, np.int64)
-            for c in (2, 3):
-                for at, buf, offsets in tb.text_chunks(batch.column(c)):
-                    key, owner = shingles(buf, offsets, k)
-                    keys.append(key)
-                    rows.append(owner + at)
-                    size += np.bincount(owner + at, minlength=n)
-            key, row = np.concatenate(keys), np.concatenate(rows)
-            order = np.lexsort((key, row))
-            key, row = key[order], row[order]
-            overlap = np.bincount(row[1:][(key[1:] == key[:-1]) & (row[1:] == row[:-1])], minlength=n)
-            ok = pa.array((overlap > 0) & ((100 + percent) * overlap >= percent * size))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
-
-    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return cells.repartition(partitions(spark), "block", "i", "j").sortWithinPartitions("block", "i", "j").mapInArrow(
+        run, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -361,17 +358,13 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT)
     strong = members.join(low, "block").where("row <> a").groupBy("a", F.col("row").alias("b")).agg(
         F.count("*").alias("n")).where(F.col("n") >= STRONG)
     families = stored(components(strong).select(F.col("id").alias("row"), F.col("component").alias("family")), "families")
-    inside = family_links(families.join(rows.select("row", "n_shingles"), "row"), texts, k, percent)
-
     placed = members.join(families, "row", "left").select("block", "row", F.coalesce("family", "row").alias("family"))
     mixed = placed.groupBy("block").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).where("lo < hi")
-    open_ = placed.join(mixed.select("block"), "block")
-    pairs = open_.select("block", F.col("row").alias("a"), F.col("family").alias("fa")).join(
-        open_.select("block", F.col("row").alias("b"), F.col("family").alias("fb")), "block").where(
-        "a < b and fa <> fb").select("a", "b").distinct()
-    near = stored(near_enough(pairs, rows, percent), "near")
-    links = inside.unionByName(pair_links(near, texts, k, percent))
-    found = components(links)
+    open_ = placed.join(mixed.select("block"), "block").join(rows.select("row", "n_shingles", "sketch"), "row")
+    merged = components(family_merges(open_, percent)).select(F.col("id").alias("family"), F.col("component").alias("into"))
+    known = families.unionByName(merged.select(F.col("family").alias("row"), "family")).distinct()
+    whole = known.join(merged, "family", "left").select("row", F.coalesce("into", "family").alias("family"))
+    found = components(family_links(whole.distinct().join(rows.select("row", "n_shingles"), "row"), texts, k, percent))
     named = sets.drop("sketch").join(rows.drop("sketch"), ["set_id", "set_id2", "n_shingles"], "left").join(
         found.select(F.col("id").alias("row"), "component"), "row", "left")
     return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "row", "doc_id"))
