@@ -3,8 +3,8 @@
 A text's paragraphs are its sentences and lines. A multinomial logistic
 regression on hashed word one- and two-grams tells licence families and
 ``unknown``; it is trained on windows of the templates below with words left
-out, and on corpus paragraphs without licence words as ``unknown`` (from at most
-``SAMPLE`` documents, the first by hash order of the id). Probabilities are
+out, and on corpus lines without licence words as ``unknown`` (at most
+``SAMPLE``, the first of all lines by hash order). Probabilities are
 calibrated by a temperature fitted on a held-out part. A family counts only
 when it is likelier than ``THRESHOLD`` and the template comparison confirms it: at
 least ``CONFIRM`` of the paragraph's two-grams stand in that family's templates.
@@ -28,7 +28,7 @@ from clicklens.llm import textbytes as tb
 from clicklens.llm.exchange import ready
 from clicklens.llm.spans import sentences
 
-SAMPLE, ROWS, THRESHOLD, CONFIRM = 2_000, 1 << 13, 0.8, 0.5
+SAMPLE, ROWS, THRESHOLD, CONFIRM = 4_000, 1 << 13, 0.8, 0.5
 UNKNOWN = "unknown"
 # fixed values: opening words of the public licence texts and usual notices
 TEMPLATES = {
@@ -141,10 +141,9 @@ def _examples(rng: np.random.Generator, unknown: list[str]) -> tuple[list[str],
 
 
 def train(docs: DataFrame) -> Model:
-    sample = docs.where("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", F.substring_index(
-        "text", "\n", 3).alias("t")).limit(SAMPLE)  # the first lines of sampled texts, as examples only
-    unknown = [r for (t,) in sample.where(~F.col("t").rlike(CUES)).select("t").toLocalIterator() for r in t.split("\n") if r.strip()]
-    rows, y = _examples(np.random.default_rng(17), unknown[: 2 * SAMPLE])
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("t")).where(~F.col("t").rlike(CUES) & (F.trim("t") != ""))
+    unknown = [t for (t,) in lines.orderBy(F.xxhash64("doc_id", "t")).limit(SAMPLE).select("t").toLocalIterator()]
+    rows, y = _examples(np.random.default_rng(17), unknown)
     key, owner, _, para_doc = grams(*_texts([r.replace("\n", " ") + "\n" for r in rows]))
     y = y[para_doc]
     slot = (key % np.uint64(ROWS)).astype(np.int64)
