@@ -348,8 +348,8 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT)
     """Per row of ``docs``: ``doc_id, n_shingles, component_id`` (the smallest
     doc_id reachable by links of similarity ``percent`` / 100)."""
     sets = stored(shingle_sets(docs, k), "sets")
-    rows = sets.where("doc_id is not null and n_shingles > 0").groupBy("set_id", "set_id2", "n_shingles").agg(
-        F.min("doc_id").alias("row"), F.first("sketch").alias("sketch"))
+    rows = stored(sets.where("doc_id is not null and n_shingles > 0").groupBy("set_id", "set_id2", "n_shingles").agg(
+        F.min("doc_id").alias("row"), F.first("sketch").alias("sketch")), "rows")
     members = stored(block_members(docs, k, percent).join(rows.select("set_id", "row"), "set_id")
                      .select("block", "row").distinct(), "blocks")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
