@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.llm import textbytes as tb
-from clicklens.llm.exchange import ready
+from clicklens.llm.exchange import first_by_hash, ready
 from clicklens.llm.spans import sentences
 
 SAMPLE, ROWS, THRESHOLD, CONFIRM = 4_000, 1 << 13, 0.8, 0.5
@@ -142,7 +142,7 @@ def _examples(rng: np.random.Generator, unknown: list[str]) -> tuple[list[str],
 
 def train(docs: DataFrame) -> Model:
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("t")).where(~F.col("t").rlike(CUES) & (F.trim("t") != ""))
-    unknown = [t for (t,) in lines.orderBy(F.xxhash64("doc_id", "t")).limit(SAMPLE).select("t").toLocalIterator()]
+    unknown = [t for (t,) in first_by_hash(lines, ["doc_id", "t"], SAMPLE).select("t").toLocalIterator()]
     rows, y = _examples(np.random.default_rng(17), unknown)
     key, owner, _, para_doc = grams(*_texts([r.replace("\n", " ") + "\n" for r in rows]))
     y = y[para_doc]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.llm import textbytes as tb
-from clicklens.llm.exchange import ready
+from clicklens.llm.exchange import first_by_hash, ready
 from clicklens.llm.lm import with_fold
 
 LABELLED, TRAINED, TERMS, VOTERS = 8_000, 20_000, 192, 8
@@ -182,12 +182,11 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5) -> Classifier:
     gold = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
-    first = gold.where(fold != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    first = first_by_hash(gold.where(fold != 0), ["doc_id"], LABELLED)
     known = texts.where("train").join(F.broadcast(first), "doc_id")
     vocabulary = induce(known)
     posterior = label_model(vote_table(texts.where("train"), vocabulary))
-    others = texts.where("train and doc_id is not null").select("doc_id").orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(TRAINED - LABELLED)
+    others = first_by_hash(texts.where("train and doc_id is not null").select("doc_id"), ["doc_id"], TRAINED - LABELLED)
     sample = known.select("doc_id", "text", "toxic").unionByName(texts.join(F.broadcast(others), "doc_id").join(
         F.broadcast(first.select("doc_id")), "doc_id", "left_anti").select("doc_id", "text", F.lit(-1).alias("toxic")))
 

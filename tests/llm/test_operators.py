@@ -308,3 +308,14 @@ def test_arrow_helpers_cut_whole_texts():
     col = pa.array(["ab", None, "", "c" * 10, "d"])
     got = [(at, bytes(buf), off.tolist()) for at, buf, off in tb.text_chunks(col.slice(1), 4)]
     assert got == [(0, b"", [0, 0, 0]), (2, b"c" * 10, [0, 10]), (3, b"d", [0, 1])]
+
+
+def test_first_by_hash(spark):
+    from pyspark.sql import functions as F
+
+    from clicklens.llm.exchange import first_by_hash
+
+    rows = spark.range(50_000)
+    want = {r.id for r in rows.orderBy(F.xxhash64("id")).limit(300).collect()}
+    assert {r.id for r in first_by_hash(rows, ["id"], 300).collect()} == want
+    assert first_by_hash(rows.limit(0), ["id"], 300).count() == 0
