@@ -120,27 +120,30 @@ def packed_shuffle(df: DataFrame, to_blobs: Callable, from_bucket: Callable, sch
     return blobs.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(read, schema)
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs): ``(id, component)``
     for every id on an edge, component its smallest reachable id.
 
-    Each round lets every id take the smallest label among its neighbours and
-    itself, then that label's own label (pointer jumping), so labels travel
-    geometrically far. Neighbours are only ever reduced by ``min``, never
-    collected. Each round is a table in the shared folder; the driver reads
-    one number from it: how many labels moved.
+    Each round every id takes the smallest label its neighbours' labels have,
+    and hands it to its own label too (hooking), so whole clusters move at
+    once; then labels jump to their own label. Rounds grow with the logarithm
+    of the longest path; labels only ever fall, so the loop ends without a cap.
+    Neighbours are only ever reduced by ``min``, never collected. Each round is
+    two tables in the shared folder; the driver reads one number from them:
+    whether a label moved.
     """
     e = edges.where("a <> b").select("a", "b")
     both = stored(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     now = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("c")).select("id", F.least("id", "c").alias("c"))
     now = stored(now, "labels")
-    for _ in range(max_rounds):
-        near = both.join(now.select(F.col("id").alias("b"), "c"), "b").groupBy(F.col("a").alias("id")).agg(
-            F.min("c").alias("n"))
-        step = now.join(near, "id").select("id", "c", F.least("c", "n").alias("n"))
-        jump = now.select(F.col("id").alias("n"), F.col("c").alias("far"))
-        moved = stored(step.join(jump, "n").select("id", "far", (F.col("far") < F.col("c")).alias("moved")), "labels")
-        now = moved.select("id", F.col("far").alias("c"))
+    while True:
+        now = stored(now.join(now.select(F.col("id").alias("c"), F.col("c").alias("far")), "c"), "labels")
+        near = both.join(now.select(F.col("id").alias("b"), "far"), "b").groupBy(F.col("a").alias("id")).agg(
+            F.min("far").alias("n"))
+        step = now.join(near, "id").select("id", "c", F.least("c", "far", "n").alias("n"))
+        hook = step.groupBy(F.col("c").alias("id")).agg(F.min("n").alias("h"))
+        moved = stored(step.join(hook, "id", "left").select("id", F.least("n", "h").alias("to"), "c")
+                       .select("id", F.col("to").alias("c"), (F.col("to") < F.col("c")).alias("moved")), "labels")
+        now = moved.select("id", "c")
         if not moved.where("moved").limit(1).count():
             return now.select("id", F.col("c").alias("component"))
-    raise RuntimeError("components did not settle")

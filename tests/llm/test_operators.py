@@ -319,3 +319,15 @@ def test_first_by_hash(spark):
     want = {r.id for r in rows.orderBy(F.xxhash64("id")).limit(300).collect()}
     assert {r.id for r in first_by_hash(rows, ["id"], 300).collect()} == want
     assert first_by_hash(rows.limit(0), ["id"], 300).count() == 0
+
+
+def test_components_of_shuffled_chains(spark):
+    """Rounds follow the logarithm of a chain's length, not the length."""
+    from clicklens.llm.exchange import components
+
+    ids = np.random.default_rng(3).permutation(3000)
+    falling = [10_000, *range(12_999, 10_000, -1)]
+    edges = [(int(a), int(b)) for p in (ids, falling) for a, b in zip(p[:-1], p[1:])] + [(20_000, 20_001), (7, 7)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = dict.fromkeys(range(3000), 0) | dict.fromkeys(range(10_000, 13_000), 10_000)
+    assert got == want | {20_000: 20_000, 20_001: 20_000}
