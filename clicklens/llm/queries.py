@@ -13,7 +13,7 @@ from clicklens.llm.exchange import documents
 
 
 def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = spans.dedup_spans(documents(spark, sf_dir))
+    out = spans.dedup_spans(documents(spark, sf_dir), whole=True)
     return out.select("doc_id", "n_sentences", "n_removed", F.size("removed").cast("long").alias("n_spans"),
                       F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"))
 

@@ -1,11 +1,15 @@
 """Sentence-span deduplication.
 
 A text is cut into sentences (after ``.``, ``!``, ``?`` before white space, and
-at line ends). A span is a run of consecutive sentences: from every sentence
-the shortest run with at least ``min_sentences`` sentences and ``min_words``
-words, hashed as a byte range. Spans meet by hash over the whole corpus; the
-first occurrence (smallest doc_id, then position) stays, and every sentence
-covered by another occurrence is removed.
+at line ends). A span is any run of consecutive sentences with at least
+``min_sentences`` sentences and ``min_words`` words; the first occurrence
+(smallest doc_id, then position) of each stays, and every sentence covered by
+another occurrence is removed. Hashed as byte ranges are only the shortest span
+from every sentence and, with ``whole``, the shortest span up to every
+sentence. The spans inside a later occurrence are later occurrences too, and
+these two kinds cover it: what lies beyond the shortest span from its first
+sentence ends a shortest span that starts no earlier. Without ``whole``
+sentences at the end of a repeated run can stay.
 
 Each task first settles equal spans among its own documents and sends one
 first occurrence per hash, so a passage that a third of all rows share costs
@@ -61,6 +65,17 @@ def span_runs(start, end, doc, n_words, min_sentences: int, min_words: int):
     return first[ok], last[ok]
 
 
+def span_runs_up_to(start, end, doc, n_words, min_sentences: int, min_words: int):
+    """First and last sentence of the span up to each sentence that has one."""
+    total = np.concatenate([[0], np.cumsum(n_words)])
+    last = np.arange(len(start))
+    first = np.minimum(last - min_sentences + 1, np.searchsorted(total, total[1:] - min_words, side="right") - 1)
+    ok = first >= 0
+    first, last = first[ok], last[ok]
+    ok = doc[first] == doc[last]
+    return first[ok], last[ok]
+
+
 def _settle(key, doc, start, stop):
     """Sort occurrences by hash, document and place; tell the first of each
     hash from the others (a place met twice is the same occurrence)."""
@@ -72,8 +87,10 @@ def _settle(key, doc, start, stop):
     return key, doc, start, stop, first, heads
 
 
-def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, start, stop)``: byte ranges of all non-first repeated spans."""
+def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS,
+                   whole: bool = False) -> DataFrame:
+    """``(doc_id, start, stop)``: byte ranges of non-first repeated spans that,
+    with ``whole``, cover all of them."""
     spark = docs.sparkSession
     ready(spark)
     n = buckets(spark)
@@ -92,6 +109,10 @@ def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_word
             for at, buf, offsets in tb.text_chunks(batch.column(1)):
                 s, e, d, w = sentences(buf, offsets)
                 i, j = span_runs(s, e, d, w, min_sentences, min_words)
+                if whole:
+                    i2, j2 = span_runs_up_to(s, e, d, w, min_sentences, min_words)
+                    both = np.unique(np.concatenate([i * len(s) + j, i2 * len(s) + j2]))
+                    i, j = both // max(len(s), 1), both % max(len(s), 1)
                 if not len(i):
                     continue
                 key = tb.RangeHash(buf)(s[i], e[j]) | np.uint64(1)
@@ -139,10 +160,11 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").join(lists, "doc_id", "left")
 
 
-def dedup_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS,
+                whole: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, kept text, sentence counts and the removed
     byte ranges of whole sentences."""
-    joined = with_spans(docs, repeated_spans(docs, min_sentences, min_words))
+    joined = with_spans(docs, repeated_spans(docs, min_sentences, min_words, whole))
     schema = "doc_id long, kept_text string, n_sentences long, n_removed long, removed array<struct<start:int,stop:int>>"
     types = pa.schema([("doc_id", pa.int64()), ("kept_text", pa.string()), ("n_sentences", pa.int64()),
                        ("n_removed", pa.int64()),

@@ -331,3 +331,26 @@ def test_components_of_shuffled_chains(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = dict.fromkeys(range(3000), 0) | dict.fromkeys(range(10_000, 13_000), 10_000)
     assert got == want | {20_000: 20_000, 20_001: 20_000}
+
+
+def test_op1_matches_brute_force_over_all_runs(spark, tmp_path):
+    """Every run of sentences, not the shortest ones only (texts cut for speed)."""
+    s = "One two three four five six seven eight nine ten eleven. Alpha beta gamma delta epsilon zeta eta theta iota. Short tail. "
+    rows = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "substr(text, 1, 3000) text").unionByName(
+        rows_of(spark, [s + "Left side.", s + "Right side."], [10**6, 10**6 + 1]).select("doc_id", "text"))
+    rows.coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    first, want = {}, {}
+    for d, t in sorted(pairs(rows)):
+        raw = (t or "").encode()
+        b, e, _, w = spans.sentences(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        held = []
+        for i in range(len(b)):
+            for j in range(i + spans.MIN_SENTENCES - 1, len(b)):
+                run = hashlib.md5(raw[b[i] : e[j]]).digest()
+                if w[i : j + 1].sum() >= spans.MIN_WORDS and first.setdefault(run, (d, i)) != (d, i):
+                    held.append((int(b[i]), int(e[j])))
+        merged, left = spans.cut(raw, held)
+        gone = sum(any(x <= p and q <= y for x, y in merged) for p, q in zip(b, e))
+        want[d] = (len(b), gone, len(merged), hashlib.sha256(left).hexdigest())
+    got = {r[0]: tuple(r)[1:] for r in queries.op1_sentence_spans(spark, str(tmp_path)).collect()}
+    assert got == want and got[10**6 + 1][1] == 3
