@@ -28,23 +28,26 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # runs of 24 or more; shorter runs would be dropped
 PROVIDER = (r"gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|[sr]k_live_[A-Za-z0-9]{16,}"
             r"|AIza[A-Za-z0-9_-]{35}|-----BEGIN [A-Z ]*PRIVATE KEY-----")
+# a private key up to its END line; without one, the lines of key text that follow
+KEY_REST = (r"(?:[^-]*+(?:-{1,4}[^-]++)*+-----END [A-Z ]*PRIVATE KEY-----|(?:\s++[A-Za-z0-9+/=]{16,})*+)")
 KINDS = {"assign": (ASSIGN, 2, 6), "access": (ACCESS, 0, 20), "hex": (HEX, 0, 24), "provider": (PROVIDER, 0, 1)}
+WHOLE_KEYS = KINDS | {"provider": (PROVIDER + KEY_REST, 0, 1)}  # the key is the last alternative
 BASE = ("assign", "access", "hex")
 ANY = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|gh[pousr]_|xox[abprs]-|[sr]k_live_|AIza|-----BEGIN "
 EXAMPLE_OWNERS = 3
 LIVE_CHARACTERS = 8  # distinct characters of a live-looking value
 
 
-def matches(docs: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, kinds: dict = KINDS) -> DataFrame:
     """One row per span: ``doc_id, text_key, repo, owner, rank, kind, start,
-    stop, value`` from ``docs(doc_id, text, text_key, repo, owner)``."""
+    stop, value`` (which ends the span) from ``docs(doc_id, text, text_key, repo, owner)``."""
     hit = docs.where(F.col("text").rlike(ANY)).dropDuplicates(["doc_id", "text_key"])
-    kinds = F.array(*(F.struct(
+    all_kinds = F.array(*(F.struct(
         F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), F.lit(least).alias("least"),
         F.split("text", pattern, -1).alias("between"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("found"),
         F.regexp_extract_all("text", F.lit(pattern), F.lit(group)).alias("value"))
-        for rank, (kind, (pattern, group, least)) in enumerate(KINDS.items())))
-    each = hit.select("doc_id", "text_key", "repo", "owner", F.explode(kinds).alias("k")).where("size(k.found) > 0")
+        for rank, (kind, (pattern, group, least)) in enumerate(kinds.items())))
+    each = hit.select("doc_id", "text_key", "repo", "owner", F.explode(all_kinds).alias("k")).where("size(k.found) > 0")
     one = each.select("doc_id", "text_key", "repo", "owner", "k.rank", "k.kind", "k.least", F.posexplode(F.arrays_zip(
         F.col("k.found").alias("found"), F.col("k.value").alias("value"),
         F.slice("k.between", F.lit(1), F.size("k.found")).alias("between"))).alias("n", "m"))
@@ -66,23 +69,33 @@ def _joined(spans: Column) -> Column:
         ":", x["kind"], x["start"].cast("string"), x["stop"].cast("string"))))
 
 
-def scan(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
-    """Per row of ``docs``: counts, digest of the base spans, all spans as
-    text and as an array, and how many values are live-looking or examples."""
-    keyed = docs.select(
+def keyed_docs(docs: DataFrame, repo_col: str, owner_col: str) -> DataFrame:
+    return docs.select(
         F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.col(repo_col).cast("string").alias("repo"),
         F.col(owner_col).cast("string").alias("owner")).withColumn("text_key", F.xxhash64("text"))
-    found = matches(keyed).withColumn("key", F.sha2(F.col("value").cast("binary"), 256))
+
+
+def verdicts(keyed: DataFrame, kinds: dict = KINDS) -> DataFrame:
+    """``d, t, found``: the judged spans of each (doc_id, text_key) that has
+    some, in order."""
+    found = matches(keyed, kinds).withColumn("key", F.sha2(F.col("value").cast("binary"), 256))
     judged = found.join(ownership(found), "key").withColumn("example", F.col("n_owners") >= EXAMPLE_OWNERS).withColumn(
         "live", ~F.col("example") & F.col("value").rlike("[0-9]")
         & (F.size(F.array_distinct(F.split("value", ""))) >= LIVE_CHARACTERS))
-    span = F.struct("start", "rank", "kind", "stop", "live", "example")
+    span = F.struct("start", "rank", "kind", "stop", "live", "example", (F.col("stop") - F.length("value")).alias("value_start"))
     lists = judged.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(span)).alias("found"))
-    lists = lists.withColumnsRenamed({"doc_id": "d", "text_key": "t"})
+    return lists.withColumnsRenamed({"doc_id": "d", "text_key": "t"})
+
+
+def scan(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
+    """Per row of ``docs``: counts, digest of the base spans, all spans as
+    text and as an array, and how many values are live-looking or examples."""
+    keyed = keyed_docs(docs, repo_col, owner_col)
+    lists = verdicts(keyed)
     rows = keyed.select("doc_id", "text_key").join(
         lists, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")), "left")
     spans = F.coalesce("found", F.expr(
-        "cast(array() as array<struct<start:bigint,rank:int,kind:string,stop:bigint,live:boolean,example:boolean>>)"))
+        "cast(array() as array<struct<start:bigint,rank:int,kind:string,stop:bigint,live:boolean,example:boolean,value_start:bigint>>)"))
     out = rows.select("doc_id", "text_key", spans.alias("found"))
 
     def count(test) -> Column:
@@ -95,15 +108,23 @@ def scan(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source") -
         count(lambda x: x["live"]).alias("n_live"), count(lambda x: x["example"]).alias("n_example"), "found", "text_key")
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span of every kind replaced by ``mark`` in ``text``
-    and ``n_chars`` brought up to date; all rows and columns stay."""
+def redact(docs: DataFrame, mark: str = "[SECRET]", repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
+    """``docs`` with the value of every span, as ``scan`` finds and judges it
+    (private keys up to their END line), replaced by ``mark`` in ``text`` and
+    ``n_chars`` brought up to date; all rows and columns stay. Names before
+    values stay, and so do widely copied examples, which are nobody's secret;
+    values that only do not look random go like live ones."""
+    lists = verdicts(keyed_docs(docs, repo_col, owner_col), WHOLE_KEYS).withColumnsRenamed(
+        {"d": "__d", "t": "__t", "found": "__found"})
     text = F.col("text")
-    for pattern, group, least in KINDS.values():
-        if group:  # keep the name, replace the value
-            pattern = pattern.replace("([A-Za-z0-9+/_.=-]+)", "[A-Za-z0-9+/_.=-]{%d,}" % least)
-        elif least > 1 and pattern.endswith("+"):
-            pattern = pattern[:-1] + "{%d,}" % (least - 4)
-        text = F.regexp_replace(text, pattern, mark)
-    out = docs.withColumn("text", F.when(F.col("text").rlike(ANY), text).otherwise(F.col("text")))
+    rows = docs.join(lists, F.col("doc_id").cast("long").eqNullSafe(F.col("__d"))
+                     & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__t")), "left")
+    spans = F.sort_array(F.transform(F.filter("__found", lambda x: ~x["example"]), lambda x: F.struct(
+        x["value_start"].cast("int").alias("start"), x["stop"].cast("int").alias("stop"))))
+    cut = F.aggregate(
+        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda a, x: F.struct(F.greatest(a["at"], x["stop"]).alias("at"), F.when(x["start"] < a["at"], a["out"]).otherwise(
+            F.concat(a["out"], F.substring(text, a["at"] + 1, x["start"] - a["at"]), F.lit(mark))).alias("out")),
+        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    out = rows.withColumn("text", F.when(F.col("__found").isNotNull(), cut).otherwise(text)).select(docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
