@@ -12,7 +12,7 @@ words there are then compared exactly.
 The documents are exploded word by word and joined in the same stage, so only
 candidate places are ever written. The windows are broadcast only while their
 counted number is below ``BROADCAST_ROWS``; beyond it the planner joins them by
-shuffle, and AQE splits frequent words.
+shuffle, each place with its next words only, and AQE splits frequent words.
 
 Defined cases: null and empty texts have no words and no hits; an item without
 words has no window; repeated rows are reported alike, repeated items have one
@@ -76,14 +76,20 @@ def prefixes(docs: DataFrame, wins: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """``doc_id, start, n, item_id`` of every window occurrence."""
-    keys = _small(prefixes(docs, windows(items, size)).select(
-        "word", "back", "n", "item_id", F.col("words").alias("window")))
+    keys = prefixes(docs, windows(items, size)).select("word", "back", "n", "item_id", F.col("words").alias("window"))
     words = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), split_words(F.col("text")).alias("words"))
-    each = words.select("doc_id", "words", F.posexplode("words").alias("at", "word"))
+    each = words.select("doc_id", "words", F.posexplode("words").alias("at", "word")).withColumn("skip", F.lit(0))
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    else:  # a shuffled row carries the words that a window through its place can have
+        skip = F.greatest(F.col("at") - (size - 1), F.lit(0))
+        each = each.select("doc_id", F.slice("words", skip + 1, F.lit(2 * size - 1)).alias("words"), "at", "word",
+                           skip.alias("skip"))
     start = F.col("at") - F.col("back")
+    place = start - F.col("skip")
     return each.join(keys, "word").where(
-        (start >= 0) & (start + F.col("n") <= F.size("words"))
-        & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("n")) == F.col("window"))
+        (start >= 0) & (place + F.col("n") <= F.size("words"))
+        & (F.slice("words", F.greatest(place, F.lit(0)) + 1, F.col("n")) == F.col("window"))
     ).select("doc_id", start.alias("start"), "n", "item_id")
 
 

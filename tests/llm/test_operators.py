@@ -372,3 +372,16 @@ def test_redaction_cuts_judged_values(spark):
     tail = next(t for d, t, _ in got if d == 6)
     assert tail.startswith("d [SECRET]") and tail.endswith("- e") and len(tail) < 40
     assert [x for x in got if x[0] != 6] == sorted(((d, t, t and len(t)) for d, t in want if d != 6), key=str)
+
+
+def test_decontamination_by_shuffle(spark, sample, monkeypatch):
+    """Without a broadcast: the same places, and no row carries a whole text."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    want = sorted(map(tuple, decontaminate.occurrences(sample, items).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    found = decontaminate.occurrences(sample, items)
+    assert want and sorted(map(tuple, found.collect())) == want
+    lines = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, x in enumerate(lines) if "Join Inner" in x)
+    left = next(x for x in lines[join + 1 :] if "Project" in x)
+    assert "slice(words" in left and not re.search(r"[\[,] ?words#\d+[,\]]", left)
