@@ -46,7 +46,7 @@ def _char_codes(points: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int):
-    return tb._radix_powers(n + 1)
+    return tb.radix_powers(n + 1)
 
 
 class Known:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.llm import (decontaminate, jaccard, licenses, lm, pieces, quality, repeats, secrets, spans, sql,
+from clicklens.llm import (decontaminate, jaccard, licenses, lm, periods, pieces, quality, repeats, secrets, spans, sql,
                             toxicity)
 from clicklens.llm.exchange import documents
 
@@ -57,6 +57,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(periods.find_runs(periods.with_loops(documents(spark, sf_dir))))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 

@@ -41,7 +41,7 @@ IS_ALNUM[0x30:0x3A] = IS_ALNUM[0x61:0x7B] = IS_ALNUM[0x80:] = True
 _powers = {"n": 0}
 
 
-def _radix_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def radix_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the radix and of its inverse, kept for the largest n asked."""
     if _powers["n"] < n:
         size = max(n, CHUNK_BYTES + 1)
@@ -58,7 +58,7 @@ class RangeHash:
     """64-bit hash of any byte range of a buffer in O(1), vectorised."""
 
     def __init__(self, buf: np.ndarray):
-        up, self.down = _radix_powers(len(buf) + 1)
+        up, self.down = radix_powers(len(buf) + 1)
         self.prefix = np.zeros(len(buf) + 1, dtype=_U64)
         np.cumsum(_BYTE_CODE[buf] * up[: len(buf)], out=self.prefix[1:])
 
