@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.llm import (decontaminate, jaccard, licenses, lm, periods, pieces, quality, repeats, secrets, spans, sql,
-                            toxicity)
+from clicklens.llm import (decontaminate, jaccard, licenses, lm, minhash, periods, pieces, quality, repeats, secrets, spans, sql,
+                            toxicity, trie)
 from clicklens.llm.exchange import documents
 
 
@@ -61,9 +61,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.digest(periods.find_runs(periods.with_loops(documents(spark, sf_dir))))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("n_chars")
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secret_ownership": sql.SECRETS, "op7_prefix_decontamination": sql.DECONTAMINATION}
+    return {"op3_secret_ownership": sql.SECRETS, "op7_prefix_decontamination": sql.DECONTAMINATION,
+            "op12_prefix_trie": sql.TRIE, "op4_jaccard_join": sql.similar_sets(3, 90),
+            "op13_minhash_dedup": sql.similar_sets(2, 80, ", doc_id = component_id AS kept")}

@@ -57,3 +57,56 @@ SELECT t.doc_id, coalesce(na, 0) AS n_assign, coalesce(nc, 0) AS n_access, coale
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(nl, 0) AS n_live, coalesce(ne, 0) AS n_example
 FROM t LEFT JOIN a ON t.doc_id = a.doc_id
 """
+
+# the usual reflected polynomial of crc32, bit by bit over the decimal id
+_CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+    string_split({0}, ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a % 2) * 3988292384) END), 4294967295)"""
+
+TRIE = f"""
+WITH t AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, w, {_CRC32.format("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM t),
+r AS (SELECT h.conv_id, list_concat(coalesce(list_slice(b.w, 1, h), []), list_slice(h.w, h + 1, len(h.w))) AS w
+      FROM h LEFT JOIN t b ON b.conv_id = h.conv_id - h.conv_id % 100),
+q AS (SELECT conv_id, len(w) AS length, d, list_slice(w, 1, d) AS s FROM (SELECT *, unnest(range(0, len(w) + 1)) AS d FROM r)),
+nodes AS (
+  SELECT d, s, count(*) AS n_convs, min(conv_id) AS conv_id, max(length) = d AS leaf,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (length = d) AS ends
+  FROM q GROUP BY d, s),
+kids AS (SELECT d - 1 AS d, list_slice(s, 1, d - 1) AS s, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+subs AS (
+  SELECT a AS d, list_slice(s, 1, a) AS s, count(*) FILTER (leaf) AS leaves,
+    sum(CASE WHEN d > 0 THEN (n_convs - 1) * length(s[d].x) ELSE 0 END) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM nodes) GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN subs ON subs.d = n.d AND subs.s = n.s LEFT JOIN kids ON kids.d = n.d AND kids.s = n.s
+LEFT JOIN nodes up ON up.d = n.d - 1 AND up.s = list_slice(n.s, 1, n.d - 1)
+"""
+
+
+def similar_sets(words: int, percent: int, more: str = "") -> str:
+    """Components of links between the documents' sets of word shingles."""
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - {words} + 2), lambda i: array_to_string(list_slice(w, i, i + {words} - 1), ' ')) END) AS g
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+sets AS (SELECT n, sha256(string_agg(g, chr(10) ORDER BY g)) AS content, doc_id FROM s JOIN n USING (doc_id) GROUP BY doc_id, n),
+one AS (SELECT content, n, min(doc_id) AS a FROM sets GROUP BY content, n),
+o AS (SELECT a, n, g FROM one JOIN s ON doc_id = a),
+pairs AS (SELECT x.a AS a, y.a AS b, any_value(x.n + y.n) AS total, count(*) AS shared FROM o x JOIN o y
+         ON x.g = y.g AND x.a < y.a AND 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) GROUP BY x.a, y.a),
+link AS (SELECT a, b FROM pairs WHERE 100 * shared >= {percent} * (total - shared)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+walk AS (SELECT a, a AS b FROM one UNION SELECT walk.a, edge.b FROM walk JOIN edge ON walk.b = edge.a),
+low AS (SELECT a, min(b) AS low FROM walk GROUP BY a)
+SELECT *{more} FROM (
+  SELECT d.doc_id, CAST(coalesce(sets.n, 0) AS BIGINT) AS n_shingles, coalesce(low.low, d.doc_id) AS component_id
+  FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN one USING (content) LEFT JOIN low ON low.a = one.a)
+"""

@@ -151,7 +151,7 @@ def test_jaccard_product_of_a_large_family(spark):
     assert got == {0}
 
 
-@pytest.mark.parametrize("key", ["op3_secret_ownership", "op7_prefix_decontamination"])
+@pytest.mark.parametrize("key", ["op3_secret_ownership", "op7_prefix_decontamination", "op12_prefix_trie", "op4_jaccard_join", "op13_minhash_dedup"])
 def test_sql_twins(spark, key):
     df = queries.registry()[key](spark, SF)
     rows, res = [tuple(r) for r in df.collect()], duck(SF).execute(queries.oracle_sql()[key])
@@ -285,7 +285,7 @@ def test_trees_are_monotonic_and_accurate():
 
 @pytest.mark.parametrize("name", sorted(queries.registry()))
 def test_empty_tables(spark, tmp_path, name):
-    for table in ("documents", "labels", "benchmark"):
+    for table in ("documents", "labels", "benchmark", "conversations"):
         spark.read.parquet(f"{SF}/{table}.parquet").limit(0).coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
     assert queries.registry()[name](spark, str(tmp_path)).count() == 0
 
