@@ -17,12 +17,12 @@ def parse_ad_log(lines: DataFrame, value_column: str = "value") -> DataFrame:
     to typed columns. Lines without exactly five fields, with a field that does
     not parse or with a time outside the years 1 to 9999 are left out, never an
     error; ``ad_line_counts`` counts them."""
-    return _parsed(lines, value_column).where("ok").drop("ok")
+    return ad_lines(lines, value_column).where("ok").drop("ok", "value")
 
 
 def ad_line_counts(lines: DataFrame, value_column: str = "value") -> DataFrame:
     """One row: lines, parsed lines and bad lines."""
-    return _parsed(lines, value_column).agg(
+    return ad_lines(lines, value_column).agg(
         F.count("*").alias("n_lines"), F.count_if("ok").alias("n_parsed"), F.count_if(~F.col("ok")).alias("n_bad"))
 
 
@@ -30,18 +30,20 @@ def ad_line_counts(lines: DataFrame, value_column: str = "value") -> DataFrame:
 _FIRST_MS, _LAST_MS = -62_135_596_800_000, 253_402_300_799_999
 
 
-def _parsed(lines: DataFrame, value_column: str) -> DataFrame:
+def ad_lines(lines: DataFrame, value_column: str = "value") -> DataFrame:
+    """Every line with its typed columns, its text ``value`` and whether it is ``ok``."""
     parts = F.split(F.trim(F.col(value_column)), " ")
     ok = F.size(parts) == 5
-    ms = parts.getItem(0).try_cast("bigint")
+    ms = F.get(parts, F.lit(0)).try_cast("bigint")
     ms = F.when(ms.between(_FIRST_MS, _LAST_MS), ms)
     parsed = lines.select(
+        F.col(value_column).alias("value"),
         ok.alias("ok"),
         F.timestamp_millis(ms).alias("ts"),
-        parts.getItem(1).alias("province"),
-        parts.getItem(2).alias("city"),
-        parts.getItem(3).try_cast("bigint").alias("user_id"),
-        parts.getItem(4).try_cast("bigint").alias("ad_id"),
+        F.get(parts, F.lit(1)).alias("province"),
+        F.get(parts, F.lit(2)).alias("city"),
+        F.get(parts, F.lit(3)).try_cast("bigint").alias("user_id"),
+        F.get(parts, F.lit(4)).try_cast("bigint").alias("ad_id"),
     )
     good = (
         F.col("ok")
@@ -93,9 +95,14 @@ def ad_stat(clicks: DataFrame) -> DataFrame:
 def ad_province_top3(stat: DataFrame, n: int = 3) -> DataFrame:
     """Per (date, province) the ``n`` ads with most clicks (ties by ad id),
     from the per-city stat rolled up to provinces."""
-    prov = stat.groupBy("date", "province", "ad_id").agg(F.sum("click_count").cast("bigint").alias("click_count"))
+    return top_per_province(stat.groupBy("date", "province", "ad_id").agg(F.sum("click_count").cast("bigint").alias("click_count")), n)
+
+
+def top_per_province(totals: DataFrame, n: int = 3) -> DataFrame:
+    """The ``n`` ads with most clicks of every (date, province), ties by ad id, from
+    totals per (date, province, ad)."""
     w = Window.partitionBy("date", "province").orderBy(F.desc("click_count"), F.asc("ad_id"))
-    return prov.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).drop("rn")
+    return totals.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).drop("rn")
 
 
 def ad_click_trend(clicks: DataFrame) -> DataFrame:
@@ -117,13 +124,13 @@ def ad_click_trend_window(clicks: DataFrame, length: str, slide: str | None = No
     aggregation instead (one aggregation per streaming query).
     """
     slide = slide or length
-    n = _seconds(length) // _seconds(slide)
-    if clicks.isStreaming or _seconds(length) % _seconds(slide):
+    if clicks.isStreaming or None in (_seconds(length), _seconds(slide)) or _seconds(length) % _seconds(slide):
         win = F.window("ts", length, slide)
         return clicks.groupBy(win.alias("w"), "ad_id").agg(F.count(F.lit(1)).alias("click_count")).select(
             F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ad_id", "click_count"
         )
     step = _seconds(slide)
+    n = _seconds(length) // step
     slot = F.floor(F.unix_seconds("ts") / step).cast("bigint")
     per_slot = clicks.groupBy(slot.alias("slot"), "ad_id").agg(F.count(F.lit(1)).alias("n"))
     expanded = per_slot.select("ad_id", "n", F.explode(F.sequence(F.col("slot") - (n - 1), F.col("slot"))).alias("start_slot"))
@@ -136,9 +143,9 @@ def ad_click_trend_window(clicks: DataFrame, length: str, slide: str | None = No
     )
 
 
-def _seconds(text: str) -> int:
-    """Seconds of an interval text such as ``1 minute`` or ``2 hours``."""
-    amount, unit = text.strip().split()[:2]
-    unit = unit.lower().rstrip("s")
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit]
-    return int(amount) * mult
+def _seconds(text: str) -> int | None:
+    """Seconds of an interval text such as ``1 minute`` or ``2 hours``; None for texts
+    of other units or several parts, which are left to Spark."""
+    amount, _, unit = text.strip().lower().partition(" ")
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}.get(unit.strip().rstrip("s"))
+    return int(amount) * mult if mult and amount.isdigit() else None

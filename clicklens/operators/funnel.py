@@ -1,27 +1,24 @@
 """Page flow: consecutive page pairs within sessions and step conversion rates.
 
-Pairs need the actions of a session in time order. A plain
-``lead().over(partitionBy(session_id))`` would put a hot session (say a
-third of all rows) into one task, so the order is established by range
-partitioning instead: ``repartitionByRange(session_id, action_ts, tie)``
-samples the keys and cuts even ranges, splitting any large session across
-partitions. Pairs inside a range come from a window over
-``(range, session_id)`` groups (each bounded by one range), and the pairs
-that cross a range boundary are stitched from the first and last page of
-each piece of a cut session.
+Pairs need the actions of a session in time order. A window over
+``partitionBy(session_id)`` would put a hot session (say a third of all rows) into
+one task, so sessions of more than ``HOT_ROWS`` actions are cut by the minute: the
+window runs over (session, minute) pieces, and only for these sessions the pieces'
+sizes and first pages are counted beside it and joined back. The cut follows from
+the rows alone, so both sides agree without a written table, and all other sessions
+are one piece.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicklens.functions.columns import half_up_ratio
-from clicklens.operators import cache
 from clicklens.operators.joins import broadcast_bounded
 
-ORDER = ("session_id", "action_ts", "tie")
+HOT_ROWS = 1_000_000  # actions of one session that a task orders
 
 
 def flow_steps(spark: SparkSession, flow: list[int]) -> DataFrame:
@@ -39,80 +36,65 @@ def flow_steps(spark: SparkSession, flow: list[int]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def _ranged(actions: DataFrame, num_ranges: int | None) -> DataFrame:
-    """Session pieces in time order: the four ordering columns,
-    range-partitioned and tagged with their range, then ordered within each
-    (range, session) piece by one window pass that adds ``next_page_id``,
-    ``last_page`` of the piece, ``local_pos`` (1-based position in the piece)
-    and ``piece_rows``.
+def _ordered_columns(actions: DataFrame) -> DataFrame:
+    """The ordering columns, with ``key``: the session id, or a stand-in that joins for
+    the rows without one."""
+    return actions.select(F.coalesce("session_id", F.lit(_NO_SESSION)).alias("key"), "session_id", "page_id", "action_ts", "tie")
+
+
+_NO_SESSION = "\0"
+_FIRST_PIECE = -(2**62)
+
+
+def hot_sessions(rows: DataFrame, hot_rows: int) -> DataFrame:
+    """Sessions of more than ``hot_rows`` actions: at most ``rows / hot_rows`` of them,
+    a million in a log of 10^12 actions."""
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > hot_rows).select("key", F.lit(True).alias("hot"))
+
+
+def _cut(actions: DataFrame, hot_rows: int) -> DataFrame:
+    """The ordering columns and each row's ``piece``: 0, or in hot sessions the
+    minute of its time (times that are missing come first, as in the order)."""
+    rows = _ordered_columns(actions)
+    minute = F.coalesce(F.floor(F.unix_seconds("action_ts") / 60), F.lit(_FIRST_PIECE)).cast("bigint")
+    return rows.join(F.broadcast(hot_sessions(rows, hot_rows)), "key", "left").withColumn(
+        "piece", F.when(F.col("hot"), minute).otherwise(F.lit(0)))
 
-    Range bounds come from a sample whose seed depends on the exchange, so
-    two separately planned exchanges may cut different ranges. The cut is
-    therefore consumed once (by the window's shuffle), and a plan with several
-    branches over the result writes it as a table first (``cache.share``). The
-    range count is the session's shuffle partition count, which ``scale_conf``
-    sizes by the input.
-    """
-    spark = actions.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = actions.select("session_id", "page_id", "action_ts", "tie")
-    ranged = cols.repartitionByRange(n, *ORDER).withColumn("rng", F.spark_partition_id())
-    ordered = Window.partitionBy("rng", "session_id").orderBy("action_ts", "tie")
-    piece = Window.partitionBy("rng", "session_id")
-    windowed = ranged.select(
-        "rng",
-        "session_id",
-        "page_id",
-        "action_ts",
-        "tie",
-        F.lead("page_id").over(ordered).alias("next_page_id"),
-        F.row_number().over(ordered).alias("local_pos"),
-        F.count(F.lit(1)).over(piece).alias("piece_rows"),
-        F.last("page_id").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("last_page"),
-    )
-    return windowed
 
+def _hot_pieces(cut: DataFrame) -> DataFrame:
+    """Per piece of the hot sessions: the rows before it and the first page after it."""
+    pieces = cut.where("hot").groupBy("key", "piece").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("page_id", F.struct("action_ts", "tie")).alias("first_page"))
+    order = Window.partitionBy("key").orderBy("piece")
+    return pieces.select("key", "piece", F.lead("first_page").over(order).alias("following_page"),
+                         F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("offset"))
 
-def page_transitions(actions: DataFrame, num_ranges: int | None = None, ranged: DataFrame | None = None) -> DataFrame:
+
+def _in_piece() -> WindowSpec:
+    return Window.partitionBy("key", "piece").orderBy("action_ts", "tie")
+
+
+def page_transitions(actions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every consecutive pair ``(session_id, page_id, next_page_id)`` of a
-    session ordered by (action_ts, tie).
-
-    Pairs inside a piece come straight from the ordered pieces. A session
-    cut by range bounds is stitched from its pieces: the last page of a piece
-    pairs with the first page of the session's next piece. Both come from one
-    pass over the cut: the first row of a piece also emits the piece's ends,
-    which meet per session (at most one row per range), while the pairs stay
-    dealt by piece.
-    """
-    if ranged is None:
-        ranged = _ranged(actions, num_ranges)
-    none = F.lit(None).cast("bigint")
-    pair = F.struct(F.col("rng").alias("part"), F.col("page_id").alias("page"), F.col("next_page_id").alias("following"),
-                    none.alias("first_page"), F.col("next_page_id").isNotNull().alias("wanted"))
-    ends = F.struct(F.lit(-1).alias("part"), F.col("last_page").alias("page"), none.alias("following"),
-                    F.col("page_id").alias("first_page"), (F.col("local_pos") == 1).alias("wanted"))
-    rows = ranged.select("session_id", "rng", F.explode(F.array(pair, ends)).alias("x")).where("x.wanted").select(
-        "session_id", "rng", "x.*")
-    across = F.lead("first_page").over(Window.partitionBy("session_id", "part").orderBy("rng"))
-    return rows.select("session_id", F.col("page").alias("page_id"), F.coalesce("following", across).alias("next_page_id")).where(
-        F.col("next_page_id").isNotNull())
-
-
-def session_positions(actions: DataFrame, num_ranges: int | None = None) -> DataFrame:
-    """Actions with ``step_index`` (1-based position within the session in
-    (action_ts, tie) order), without gathering a session in one task.
+    session ordered by (action_ts, tie)."""
+    cut = _cut(actions, hot_rows)
+    rows = cut.select("key", "piece", "session_id", "page_id", F.lead("page_id").over(_in_piece()).alias("inside"),
+                      F.lead(F.lit(True)).over(_in_piece()).alias("goes_on"))
+    return rows.join(_hot_pieces(cut), ["key", "piece"], "left").select(
+        "session_id", "page_id", F.when(F.col("goes_on"), F.col("inside")).otherwise(F.col("following_page")).alias("next_page_id")
+    ).where(F.col("next_page_id").isNotNull())
 
-    A row's position is its position in its piece plus the rows of the
-    session's pieces in earlier ranges (a running sum over the pieces of a
-    session, one row per piece, so that window is small for every session).
-    """
-    ranged = cache.share(_ranged(actions, num_ranges))
-    pieces = ranged.where(F.col("local_pos") == 1).select("rng", "session_id", "piece_rows")
-    before = Window.partitionBy("session_id").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select("rng", "session_id", F.coalesce(F.sum("piece_rows").over(before), F.lit(0)).alias("offset"))
-    return ranged.join(offsets, ["rng", "session_id"]).select(
-        "session_id", "page_id", "action_ts", "tie", (F.col("offset") + F.col("local_pos")).cast("bigint").alias("step_index")
-    )
+
+def session_positions(actions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Actions with ``step_index`` (1-based position within the session in
+    (action_ts, tie) order): the position in the piece plus, in hot sessions, the rows
+    of the earlier pieces."""
+    cut = _cut(actions, hot_rows)
+    rows = cut.select("key", "piece", "session_id", "page_id", "action_ts", "tie", F.row_number().over(_in_piece()).alias("local"))
+    return rows.join(_hot_pieces(cut), ["key", "piece"], "left").select(
+        "session_id", "page_id", "action_ts", "tie",
+        (F.coalesce("offset", F.lit(0)) + F.col("local")).cast("bigint").alias("step_index"))
 
 
 def matched_splits(transitions: DataFrame, steps: DataFrame, flow_len: int) -> DataFrame:
@@ -137,7 +119,7 @@ def start_page_pv(actions: DataFrame, flow: list[int]) -> DataFrame:
 
 
 def page_convert_rate(actions: DataFrame, flow: list[int], task_id: int | None = None,
-                      num_ranges: int | None = None) -> DataFrame:
+                      hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per flow step: ``step, page_split, split_pv, convert_rate``.
 
     Step 1 divides by the first page's views, step i by the pv of step i-1;
@@ -147,11 +129,8 @@ def page_convert_rate(actions: DataFrame, flow: list[int], task_id: int | None =
     """
     spark = actions.sparkSession
     steps = flow_steps(spark, flow)
-    # one written range-partitioned projection serves the pairs and the
-    # first page's views (no second pass over the log)
-    ranged = cache.share(_ranged(actions, num_ranges))
-    pv = page_split_pv(page_transitions(actions, ranged=ranged), steps, len(flow))
-    start = start_page_pv(ranged, flow)
+    pv = page_split_pv(page_transitions(actions, hot_rows), steps, len(flow))
+    start = start_page_pv(actions, flow)
     per_step = steps.join(broadcast_bounded(pv, len(flow)), "page_split", "left").select(
         "step", "page_split", F.coalesce("split_pv", F.lit(0).cast("bigint")).alias("split_pv")
     )

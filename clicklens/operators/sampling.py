@@ -9,6 +9,8 @@ and the same on any engine.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def sessions_per_day(per_hour: DataFrame) -> DataFrame:
 
 def sample_quota(sessions: DataFrame, n: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
     """(date, hour, hour_count, day_total, quota) for a target of ``n``."""
-    per_hour = sessions_per_hour(sessions)
+    per_hour = sessions_per_hour(sessions).where("date is not null")
     per_day = sessions_per_day(per_hour)
     q = per_hour.join(per_day, "date")
     per_day_target = F.floor(F.lit(n) / F.col("num_days")).cast("bigint")
@@ -56,26 +58,31 @@ def sample_quota(sessions: DataFrame, n: int = DEFAULT_SAMPLE_SIZE) -> DataFrame
     )
 
 
-def sample_sessions(sessions: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: str = DEFAULT_SEED,
-                    max_days: int | None = None) -> DataFrame:
+def sample_sessions(sessions: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: str = DEFAULT_SEED) -> DataFrame:
     """The sampled sessions (all session columns kept).
 
-    The quota table has at most ``24 * max_days`` rows, which bounds the
-    broadcast. Sessions are ranked in two exact steps: within a salted part of
-    their hour, then within the hour among the parts' first ``quota``, so a hot
-    hour meets in one task with at most ``SALTS * quota`` sessions. A quota
-    never exceeds ``n``, so ``rn <= n`` is added as a literal bound: Catalyst
-    turns it into a WindowGroupLimit before each shuffle.
+    An hour's quota never exceeds ``n``, so the first ``n`` sessions of every hour are
+    ranked before any quota is known: within a salted part of the hour, then among
+    the parts' firsts. The literal bound becomes a WindowGroupLimit before each
+    shuffle, and only these at most ``n`` sessions an hour meet the quotas. Sessions
+    without a time belong to no hour (``sessions_per_hour`` counts them under a null
+    one) and are never drawn.
     """
-    quota = sample_quota(sessions, n).select("date", "hour", "quota")
-    bound = 24 * max_days if max_days is not None else None
-    s = with_date_hour(sessions).join(broadcast_bounded(quota, bound), ["date", "hour"])
     order = (F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.col("session_id"))
-    s = s.withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(SALTS)))
+    s = with_date_hour(sessions).where("date is not null").withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(SALTS)))
     for keys in (("date", "hour", "salt"), ("date", "hour")):
-        ranked = s.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-        s = ranked.where((F.col("rn") <= F.lit(n)) & (F.col("rn") <= F.col("quota"))).drop("rn")
-    return s.drop("quota", "salt")
+        s = s.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rn") <= n)
+    quota = sample_quota(sessions, n).select("date", "hour", "quota")
+    return s.join(quota, ["date", "hour"]).where(F.col("rn") <= F.col("quota")).drop("quota", "salt", "rn")
+
+
+def sample_of_kept(ids: DataFrame, actions: DataFrame, aggregate: Callable[[DataFrame], DataFrame], n: int = DEFAULT_SAMPLE_SIZE,
+                   seed: str = DEFAULT_SEED) -> DataFrame:
+    """The sample of the kept sessions ``ids`` (``session_id, start_ts``) with all session
+    columns: only ids and times are ranked, and the lists are built by ``aggregate``
+    from the actions of the at most ``n`` winners."""
+    winners = broadcast_bounded(sample_sessions(ids.select("session_id", "start_ts"), n, seed).select("session_id"), n)
+    return aggregate(actions.join(winners, "session_id", "left_semi"))
 
 
 def random_extract_rows(sampled: DataFrame, task_id: int) -> DataFrame:

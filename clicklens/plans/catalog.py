@@ -7,16 +7,20 @@ parameters below are the conditions of the demonstration task, not row caps.
 
 from __future__ import annotations
 
+import dataclasses
+import time
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import uuid
-
-from clicklens.operators import ads, areas, bands, cache, categories, funnel, sampling, sessions, upserts
+from clicklens.operators import ads, areas, bands, cache, categories, funnel, sampling, sessions
 from clicklens.operators.joins import broadcast_bounded
 from clicklens.params import TaskParams
+from clicklens.sinks import action_log
+from clicklens.sinks.files import Folder
+from clicklens.sinks.snapshots import MergeTable, ResultStore
 from clicklens.sources import fixtures, tables
 from clicklens.spark import ensure_checkpoint_dir
 from clicklens.streaming import ad_stream
@@ -57,6 +61,12 @@ TREND_WINDOW, TREND_SLIDE = "1 hour", "1 minute"
 # the ad stream reads the log in micro-batches of this many days
 AD_STREAM_ORIGIN = "2024-01-01"
 AD_STREAM_DAYS_PER_BATCH = 5
+# the second delivery begins with this batch; files that a rollup takes at once
+AD_STREAM_SECOND_DELIVERY, AD_ROLLUP_FILES = 4, 6
+# late clicks come this many batches after their own; the trend's watermark
+AD_LATE_BATCHES, AD_WATERMARK = 3, "7 days"
+# a date range inside the data, and the buckets of the stored log
+STORED_START, STORED_END, STORED_BUCKETS = "2024-01-08", "2024-01-14", 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 TASK = SESSION_TASK
@@ -104,15 +114,13 @@ def clicks_on_top(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sampled(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.sample_sessions(cache.share(kept(spark, sf)), SAMPLE_SIZE, SAMPLE_SEED, TASK.num_days())
+    return sampling.sample_of_kept(kept(spark, sf), actions(spark, sf), sessions.session_aggregate, SAMPLE_SIZE, SAMPLE_SEED)
 
 
 def sample_index(spark: SparkSession, sf: str) -> DataFrame:
-    sessions_ = cache.share(kept(spark, sf).select("session_id", "start_ts"))
+    sessions_ = kept(spark, sf).select("session_id", "start_ts")
     quota = sampling.sample_quota(sessions_, SAMPLE_SIZE).select("date", "hour", "quota")
-    return sampling.with_date_hour(sessions_).join(
-        broadcast_bounded(quota, 24 * TASK.num_days()), ["date", "hour"]
-    ).select("session_id", "date", "hour", "quota")
+    return sampling.with_date_hour(sessions_).join(quota, ["date", "hour"]).select("session_id", "date", "hour", "quota")
 
 
 def transitions(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,34 +204,123 @@ def _only(column: str) -> Query:
     return run
 
 
-_STREAM_OUTPUTS: dict[tuple[str, str], str] = {}
+_MADE: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, sf: str, what: str, make: Callable[[str], object]):
+    """What several keys of one session read, made once: ``make`` gets a folder of its
+    own under the shared checkpoint folder."""
+    key = (spark.sparkContext.applicationId, sf, what)
+    if key not in _MADE:
+        _MADE[key] = make(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}")
+    return _MADE[key]
+
+
+def stage_lines(lines: DataFrame, batch: Column, path: str, first_time: float) -> None:
+    """Text files of ``value`` under ``path``, one per ``batch`` (a number), with times in
+    the order of the batches, so that a stream of one file a trigger reads them so."""
+    lines.select(batch.alias("batch"), "value").repartition("batch").write.partitionBy("batch").text(path)
+    folder = Folder(lines.sparkSession, path)
+    for name in folder.names():
+        if name.startswith("batch="):
+            for file in folder.names(name):
+                folder.set_time(f"{name}/{file}", first_time + int(name[6:]))
+
+
+def batch_of(date: str = "date") -> Column:
+    return F.floor(F.datediff(F.col(date), F.lit(AD_STREAM_ORIGIN)) / AD_STREAM_DAYS_PER_BATCH).cast("int")
 
 
 def streamed_ad_tables(spark: SparkSession, sf: str) -> ad_stream.AdTables:
-    """Run the ad stream once over the whole ad log and return its tables.
-
-    The log is staged as one text file per group of
-    ``AD_STREAM_DAYS_PER_BATCH`` days (written in time order under the shared
-    checkpoint folder) and read with ``maxFilesPerTrigger=1``, so every
-    micro-batch is one group and the blacklist grows batch by batch. The run
-    is shared by the streaming keys of one session.
-    """
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STREAM_OUTPUTS:
-        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ad-stream-{uuid.uuid4().hex}"
-        lines = fixtures.ad_log_lines(spark, sf, with_date=True).withColumn(
-            "grp", F.floor(F.datediff(F.col("date"), F.lit(AD_STREAM_ORIGIN)) / AD_STREAM_DAYS_PER_BATCH).cast("int")
-        )
-        groups = [r.grp for r in lines.select("grp").distinct().orderBy("grp").collect()]  # one per batch
-        for g in groups:
-            lines.where(F.col("grp") == g).select("value").coalesce(1).write.text(f"{base}/in/{g:06d}")
-        source = ad_stream.read_ad_log(spark, f"{base}/in/*", max_files_per_trigger=1)
-        q = ad_stream.start_ad_stream(spark, source, f"{base}/out", AD_BLACKLIST_THRESHOLD, f"{base}/ckpt")
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-        _STREAM_OUTPUTS[key] = f"{base}/out"
-    return ad_stream.AdTables.at(spark, _STREAM_OUTPUTS[key])
+    """The tables after the ad stream has read the whole raw log, bad lines included,
+    in micro-batches of ``AD_STREAM_DAYS_PER_BATCH`` days in time order. The log comes in
+    two deliveries, and all queries are restarted from their checkpoints for the
+    second."""
+    def make(base: str) -> ad_stream.AdTables:
+        lines = fixtures.ad_stream_lines(spark, sf).withColumn("n", batch_of())
+        for delivery, part in enumerate((F.col("n") < AD_STREAM_SECOND_DELIVERY, F.col("n") >= AD_STREAM_SECOND_DELIVERY)):
+            stage_lines(lines.where(part), F.col("n"), f"{base}/in/delivery={delivery}", time.time() - 1000)
+            source = ad_stream.read_ad_log(spark, f"{base}/in", max_files_per_trigger=1)
+            ad_stream.run_available(spark, source, f"{base}/out", AD_BLACKLIST_THRESHOLD, max_files_per_trigger=AD_ROLLUP_FILES)
+        return ad_stream.AdTables.at(spark, f"{base}/out")
+
+    return _once(spark, sf, "ad-stream", make)
+
+
+def late_trend(spark: SparkSession, sf: str) -> DataFrame:
+    """The trend of a log whose late clicks come ``AD_LATE_BATCHES`` batches after their
+    day's: those of minutes that the watermark has passed are left out."""
+    def make(base: str) -> ad_stream.AdTables:
+        lines = fixtures.late_ad_lines(spark, sf)
+        batch = batch_of() + F.when(F.col("late"), AD_LATE_BATCHES).otherwise(0)
+        stage_lines(lines, batch, f"{base}/in", time.time() - 1000)
+        clicks = ads.parse_ad_log(ad_stream.read_ad_log(spark, f"{base}/in", max_files_per_trigger=1))
+        ad_stream.start_trend_stream(spark, clicks, f"{base}/out", AD_WATERMARK).awaitTermination()
+        return ad_stream.AdTables.at(spark, f"{base}/out")
+
+    return _once(spark, sf, "late-trend", make).trend.read()
+
+
+def published(spark: SparkSession, sf: str, job: str) -> ResultStore:
+    """The store after a job has run for two tasks, the first one's twice (the first
+    run with other results, which the second replaces)."""
+    from clicklens.plans import jobs
+
+    log = fixtures.user_visit_action(spark, sf)
+
+    def make(root: str) -> ResultStore:
+        for task in (dataclasses.replace(TASK, start_date=STORED_START, end_date=STORED_END), TASK,
+                     dataclasses.replace(TASK, task_id=TASK.task_id + 1)):
+            if job == jobs.SESSION_JOB:
+                jobs.execute_session_job(spark, task, jobs.SessionSources(log, fixtures.user_info(spark, sf)), root,
+                                         sample_size=SAMPLE_SIZE, top_k=TOP_CATEGORIES, top_n_sessions=TOP_SESSIONS, seed=SAMPLE_SEED)
+            elif job == jobs.PAGE_FLOW_JOB:
+                jobs.execute_page_flow(spark, task, log, root)
+            else:
+                jobs.execute_area_top3(spark, task, log, fixtures.city_info(spark, sf), fixtures.product_info(spark, sf), root, n=TOP_PRODUCTS)
+        return ResultStore(spark, root)
+
+    return _once(spark, sf, f"results-{job}", make)
+
+
+def _result(job: str, name: str) -> Query:
+    """A task's rows as they stand in the result table."""
+    return lambda s, sf: published(s, sf, job).read(job, name, TASK.task_id)
+
+
+def _upserted(name: str, table: Callable[[SparkSession, str], MergeTable], rows: Callable[[DataFrame], DataFrame]) -> Query:
+    """A keyed table after the rows of two overlapping batches were committed to it,
+    the second one twice."""
+    def run(spark, sf):
+        def make(root: str) -> MergeTable:
+            made = table(spark, root)
+            for batch, clicks in enumerate(ad_batches(spark, sf)):
+                made.commit(rows(clicks), batch)
+            made.commit(rows(ad_batches(spark, sf)[1]), 1)
+            return made
+
+        return _once(spark, sf, f"table-{name}", make).read()
+
+    return run
+
+
+def stored_log(spark: SparkSession, sf: str) -> str:
+    """The name of the action log's table, by date and bucketed by session, in the text
+    form of its producers (no typed time)."""
+    def make(path: str) -> str:
+        name = f"actions_{uuid.uuid4().hex}"
+        action_log.write_action_log(fixtures.model_actions(spark, sf), name, path, STORED_BUCKETS)
+        return name
+
+    return _once(spark, sf, "action-log", make)
+
+
+def stored_actions(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read_actions(spark, stored_log(spark, sf), STORED_START, STORED_END)
+
+
+def stored_kept(spark: SparkSession, sf: str) -> DataFrame:
+    return sessions.kept_sessions(stored_actions(spark, sf), users(spark, sf), TASK)
 
 
 # ---- the registry ------------------------------------------------------------
@@ -345,66 +442,37 @@ def registry() -> dict[str, Query]:
         "session_id", "step_index", "page_id", F.col("tie").alias("event_id")
     )
 
-    # write rules
-    q["sink_page_split_convert_rate"] = lambda s, sf: funnel.render_convert_rate(
-        funnel.page_convert_rate(actions(s, sf), TASK.target_page_flow), TASK.task_id
-    )
-
-    def upsert_counts(s, sf):
-        old, new = ad_batches(s, sf)
-        return upserts.upsert_add(
-            ads.ad_user_click_count(old), ads.ad_user_click_count(new), ["date", "user_id", "ad_id"], "click_count"
-        )
-
-    def replace_stat(s, sf):
-        old, new = ad_batches(s, sf)
-        return upserts.upsert_replace(ads.ad_stat(old), ads.ad_stat(new), ["date", "province", "city", "ad_id"])
-
-    def replace_trend(s, sf):
-        old, new = ad_batches(s, sf)
-        return upserts.upsert_replace(
-            ads.ad_click_trend(old), ads.ad_click_trend(new), ["date", "hour", "minute", "ad_id"]
-        )
-
-    def replace_top3(s, sf):
-        old, new = ad_batches(s, sf)
-        return upserts.replace_groups(
-            ads.ad_province_top3(ads.ad_stat(old)), ads.ad_province_top3(ads.ad_stat(new)), ["date", "province"]
-        )
-
-    def append_blacklist(s, sf):
-        old, new = ad_batches(s, sf)
-        return upserts.append_new(
-            ads.ad_blacklist(ads.ad_user_click_count(old), AD_BLACKLIST_THRESHOLD),
-            ads.ad_blacklist(ads.ad_user_click_count(new), AD_BLACKLIST_THRESHOLD),
-            ["user_id"],
-        )
-
-    def session_job(s, sf):
-        from clicklens.plans import jobs
-
-        src = jobs.SessionSources(fixtures.user_visit_action(s, sf), fixtures.user_info(s, sf))
-        return jobs.run_session(s, TASK, src, sample_size=SAMPLE_SIZE, top_k=TOP_CATEGORIES,
-                                top_n_sessions=TOP_SESSIONS, seed=SAMPLE_SEED)
-
-    def area_job(s, sf):
-        from clicklens.plans import jobs
-
-        return jobs.run_area_top3(s, TASK, fixtures.user_visit_action(s, sf), fixtures.city_info(s, sf),
-                                  fixtures.product_info(s, sf), TOP_PRODUCTS)
-
-    # the rows each batch job writes to its result tables
-    q["sink_session_aggr_stat"] = lambda s, sf: session_job(s, sf)["session_aggr_stat"]
-    q["sink_session_random_extract"] = lambda s, sf: session_job(s, sf)["session_random_extract"]
-    q["sink_session_detail"] = lambda s, sf: session_job(s, sf)["session_detail"]
-    q["sink_top10_category"] = lambda s, sf: session_job(s, sf)["top10_category"]
-    q["sink_top10_session"] = lambda s, sf: session_job(s, sf)["top10_category_session"]
-    q["sink_area_top3_product"] = lambda s, sf: area_job(s, sf)["area_top3_product"]
-    q["sink_ad_user_click_count"] = upsert_counts
-    q["sink_ad_stat"] = replace_stat
-    q["sink_ad_click_trend"] = replace_trend
-    q["sink_ad_province_top3"] = replace_top3
-    q["sink_ad_blacklist"] = append_blacklist
+    # result tables: written by the jobs, read back through their manifests
+    from clicklens.plans import jobs
+
+    q["sink_session_aggr_stat"] = _result(jobs.SESSION_JOB, "session_aggr_stat")
+    q["sink_session_random_extract"] = _result(jobs.SESSION_JOB, "session_random_extract")
+    q["sink_session_detail"] = _result(jobs.SESSION_JOB, "session_detail")
+    q["sink_top10_category"] = _result(jobs.SESSION_JOB, "top10_category")
+    q["sink_top10_session"] = _result(jobs.SESSION_JOB, "top10_category_session")
+    q["sink_page_split_convert_rate"] = _result(jobs.PAGE_FLOW_JOB, "page_split_convert_rate")
+    q["sink_area_top3_product"] = _result(jobs.AREA_JOB, "area_top3_product")
+
+    # keyed tables: two batches committed and merged when read
+    at = lambda field: lambda s, root: getattr(ad_stream.AdTables.at(s, root), field)
+    q["sink_ad_user_click_count"] = _upserted("counts", at("counts"), ads.ad_user_click_count)
+    q["sink_ad_stat"] = _upserted("stat", at("stat"), ads.ad_stat)
+    q["sink_ad_click_trend"] = _upserted("trend", at("trend"), ads.ad_click_trend)
+    q["sink_ad_province_top3"] = _upserted("top3", at("top3"), lambda c: ads.ad_province_top3(ads.ad_stat(c)))
+    q["sink_ad_blacklist"] = _upserted(
+        "blacklist", at("blacklist"), lambda c: ads.ad_blacklist(ads.ad_user_click_count(c), AD_BLACKLIST_THRESHOLD))
+
+    # the stored log: a date range inside the data, times parsed from text
+    q["stored_actions_by_date"] = lambda s, sf: stored_actions(s, sf).select(
+        "session_date", *ACTION_COLUMNS, "city_id", F.date_format("action_ts", "yyyy-MM-dd HH:mm:ss").alias("parsed_time"))
+    q["stored_session_aggregate"] = lambda s, sf: sessions.session_aggregate(stored_actions(s, sf)).select(*sessions.SESSION_COLUMNS)
+    q["stored_session_detail"] = lambda s, sf: sessions.detail_rows(
+        sessions.session_detail(stored_actions(s, sf), stored_kept(s, sf)), TASK.task_id)
+
+    # optional forms
+    q["top10_session_detail_each"] = lambda s, sf: sessions.detail_rows(
+        sessions.detail_with_multiplicity(actions(s, sf), top_sessions(s, sf), TOP_CATEGORIES * TOP_SESSIONS), TASK.task_id)
+    q["category_counts_click_order"] = lambda s, sf: categories.category_counts(kept_category_counts(s, sf), ("click", "order"))
 
     # streaming: the batch twin of parsing, and the stream's own tables
     q["parse_ad_log"] = lambda s, sf: ad_log(s, sf).select(*ad_click_columns())
@@ -414,4 +482,8 @@ def registry() -> dict[str, Query]:
     q["ad_stat_stream"] = lambda s, sf: streamed_ad_tables(s, sf).stat.read()
     q["ad_province_top3_stream"] = lambda s, sf: streamed_ad_tables(s, sf).top3.read()
     q["ad_click_trend_stream"] = lambda s, sf: streamed_ad_tables(s, sf).trend.read()
+    q["ad_click_trend_late"] = late_trend
+    q["ad_stream_batches"] = lambda s, sf: streamed_ad_tables(s, sf).batches.read()
+    q["ad_bad_lines"] = lambda s, sf: streamed_ad_tables(s, sf).log.bad_lines().select(F.col("b").alias("batch"), "value")
+    q["ad_line_counts"] = lambda s, sf: ads.ad_line_counts(fixtures.ad_stream_lines(s, sf))
     return q

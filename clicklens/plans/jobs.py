@@ -2,7 +2,9 @@
 
 ``run_*`` returns one DataFrame per result table; frames that several results
 share are written to the shared folder first (see :mod:`clicklens.operators.cache`).
-``execute_*`` writes every result into its ``task_id`` partition.
+``execute_*`` publishes all results of a run in one step
+(:class:`~clicklens.sinks.snapshots.ResultStore`); a rerun replaces its own task's
+results only, and the shared tables of a run are removed with it.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from clicklens.operators import areas, bands, cache, categories, funnel, sampling, sessions
 from clicklens.params import TaskParams
-from clicklens.sinks.writers import write_task_result
+from clicklens.sinks.snapshots import ResultStore
 from clicklens.sources.tables import Source, load, read_actions_for, read_click_products, read_products, read_users
 
 
@@ -41,7 +43,7 @@ def run_session(spark: SparkSession, params: TaskParams, src: SessionSources, sa
     # intermediates read by several results are computed once (all are far
     # smaller than the log: one row per session and category, at most
     # sample_size sessions, at most top_k categories)
-    sampled = cache.share(sampling.sample_sessions(kept, sample_size, seed, params.num_days()))
+    sampled = cache.share(sampling.sample_of_kept(kept, acts, sessions.session_aggregate, sample_size, seed))
     per_session = cache.share(categories.for_sessions(categories.session_category_counts(acts), kept))
     top = cache.share(categories.top_categories(categories.category_counts(per_session, visited), top_k))
     top_sessions = categories.top_sessions_per_category(per_session, top, top_n_sessions, top_k, tid)
@@ -86,32 +88,41 @@ def run_area_top3(spark: SparkSession, params: TaskParams, actions: Source, citi
     return {"area_top3_product": top}
 
 
-def write_results(results: dict[str, DataFrame], out_root: str, task_id: int) -> None:
-    for name, df in results.items():
-        write_task_result(df, f"{out_root.rstrip('/')}/{name}", task_id)
+SESSION_JOB, PAGE_FLOW_JOB, AREA_JOB = "session", "page_flow", "area_top3"
 
 
 def execute_session_job(spark: SparkSession, params: TaskParams, src: SessionSources, out_root: str,
                         **options) -> None:
-    """Run and write the session job. The kept sessions feed four results,
+    """Run and publish the session job. The kept sessions feed four results,
     so they are written once."""
-    acts = read_actions_for(spark, src.actions, params)
-    kept = cache.share(sessions.kept_sessions(acts, read_users(spark, src.users), params))
-    write_results(run_session(spark, params, src, kept=kept, **options), out_root, params.task_id)
+    with cache.scope(spark):
+        acts = read_actions_for(spark, src.actions, params)
+        kept = cache.share(sessions.kept_sessions(acts, read_users(spark, src.users), params))
+        ResultStore(spark, out_root).publish(SESSION_JOB, params.task_id, run_session(spark, params, src, kept=kept, **options))
 
 
 def execute_page_flow(spark: SparkSession, params: TaskParams, actions: Source, out_root: str) -> None:
-    write_results(run_page_flow(spark, params, actions), out_root, params.task_id)
+    with cache.scope(spark):
+        ResultStore(spark, out_root).publish(PAGE_FLOW_JOB, params.task_id, run_page_flow(spark, params, actions))
 
 
 def execute_area_top3(spark: SparkSession, params: TaskParams, actions: Source, cities: Source, products: Source,
                       out_root: str, **options) -> None:
-    write_results(run_area_top3(spark, params, actions, cities, products, **options), out_root, params.task_id)
+    with cache.scope(spark):
+        ResultStore(spark, out_root).publish(AREA_JOB, params.task_id,
+                                             run_area_top3(spark, params, actions, cities, products, **options))
 
 
 def run_ad_stream(spark: SparkSession, source, out_root: str, threshold: int, **options):
-    """The real-time ad job: start the ad-click pipeline on a streaming
+    """The real-time ad job: start the intake on a streaming
     source (see :mod:`clicklens.streaming.ad_stream`); returns the query."""
     from clicklens.streaming.ad_stream import start_ad_stream
 
     return start_ad_stream(spark, source, out_root, threshold, **options)
+
+
+def run_ad_rollups(spark: SparkSession, out_root: str, **options):
+    """The rollup streams over the accepted clicks of a running or finished intake."""
+    from clicklens.streaming.ad_stream import start_ad_rollups
+
+    return start_ad_rollups(spark, out_root, **options)

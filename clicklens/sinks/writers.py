@@ -1,216 +1,11 @@
-"""Result writers.
-
-* Task results: one Parquet table per result, partitioned by ``task_id``;
-  a rerun replaces only its own task's partition, so reruns never duplicate
-  rows and never keep stale ones.
-* Keyed tables (ad statistics): every update writes a complete new version
-  into its own folder ``v=<version>-b=<batch>``; a version is visible once
-  its ``_SUCCESS`` marker exists. Readers always read a finished version and
-  writers never overwrite a folder that is being read. The batch id in the
-  folder name makes a replayed micro-batch a no-op.
-"""
+"""Writers to databases. Files are written by :mod:`clicklens.sinks.snapshots`."""
 
 from __future__ import annotations
 
-import re
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
-
-def write_task_result(df: DataFrame, path: str, task_id: int) -> None:
-    """Replace task ``task_id``'s rows in the table at ``path`` (partitioned
-    by ``task_id``).
-
-    The rows are first written to a staging folder of this call, then the
-    partition is swapped by rename. A failing plan leaves the old result as it
-    is, tasks that write at the same time share no folder, and a rerun leaves
-    exactly the new result, also when it is empty. Other tasks' partitions are
-    untouched.
-    """
-    spark = df.sparkSession
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root, token = path.rstrip("/"), uuid.uuid4().hex
-    staged, old = (hadoop.Path(f"{root}/_{name}/{token}") for name in ("staging", "old"))
-    part = hadoop.Path(f"{root}/task_id={int(task_id)}")
-    fs = part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    df.write.parquet(staged.toString())
-    if fs.exists(part):
-        fs.mkdirs(old.getParent())
-        if not fs.rename(part, old):
-            raise RuntimeError(f"cannot replace {part.toString()}")
-    if not fs.rename(staged, part):
-        fs.rename(old, part)
-        raise RuntimeError(f"cannot publish {part.toString()}")
-    fs.delete(old, True)
+from pyspark.sql import DataFrame
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append",
                batch_size: int = 1000) -> None:
     """Batched JDBC insert (the writer groups rows per partition)."""
     df.write.mode(mode).option("batchsize", str(batch_size)).jdbc(url, table, properties=properties)
-
-
-_VERSION = re.compile(r"^v=(\d+)-b=(-?\d+)$")
-
-
-class VersionedTable:
-    """A keyed table kept as immutable versions on a shared filesystem."""
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keep: int = 3):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.schema = schema
-        self.keep = keep
-
-    # -- filesystem (Hadoop API, so the same code works on HDFS/S3/local) --
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-    def versions(self) -> list[tuple[int, int, str]]:
-        """Finished versions as (version, batch_id, path), oldest first."""
-        fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            m = _VERSION.match(name)
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append((int(m.group(1)), int(m.group(2)), st.getPath().toString()))
-        return sorted(out)
-
-    def last_batch(self) -> int:
-        v = self.versions()
-        return v[-1][1] if v else -1
-
-    def read(self, before_batch: int | None = None) -> DataFrame:
-        """The newest finished version (or the newest one written by a batch
-        before ``before_batch``); an empty frame when there is none."""
-        vs = self.versions()
-        if before_batch is not None:
-            vs = [v for v in vs if v[1] < before_batch]
-        if not vs:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(vs[-1][2])
-
-    def commit(self, df: DataFrame, batch_id: int) -> bool:
-        """Write ``df`` as the next version for ``batch_id``. Returns False
-        (and writes nothing) when this batch was already committed."""
-        vs = self.versions()
-        if vs and vs[-1][1] >= batch_id:
-            return False
-        version = vs[-1][0] + 1 if vs else 0
-        target = f"{self.root}/v={version:09d}-b={batch_id}"
-        df.select(*[f.name for f in self.schema.fields]).write.mode("overwrite").parquet(target)
-        self._prune()
-        return True
-
-    def _prune(self) -> None:
-        vs = self.versions()
-        if len(vs) <= self.keep:
-            return
-        fs, jvm = self._fs()
-        for _, _, p in vs[: len(vs) - self.keep]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
-
-
-class PartitionedTable:
-    """A keyed table partitioned by ``part_col`` whose batches rewrite only
-    the partitions they touch.
-
-    Commit protocol for batch ``b`` (each step idempotent, so a replay after a
-    failure at any point converges and never applies a batch twice):
-
-    1. if the marker ``_commits/b=<b>`` exists, the batch is done;
-    2. unless ``_staging/b=<b>`` is complete, write the new full contents of
-       the touched partitions there (computed from the table before ``b``);
-    3. replace those partitions of ``data/`` from the staged copy (dynamic
-       partition overwrite: untouched partitions are not rewritten, and the
-       path being read is never the path being overwritten);
-    4. write the marker and drop older staging folders.
-
-    The per-batch cost is proportional to the touched partitions, not to
-    the whole table.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, part_col: str = "date",
-                 keep_markers: int = 20):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.schema = schema
-        self.part_col = part_col
-        self.keep_markers = keep_markers
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-    def _path(self, *parts: str):
-        _, jvm = self._fs()
-        return jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
-
-    def _batches(self, folder: str, need_success: bool) -> list[int]:
-        fs, jvm = self._fs()
-        p = self._path(folder)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("b="):
-                if need_success and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    continue
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def last_batch(self) -> int:
-        b = self._batches("_commits", need_success=False)
-        return b[-1] if b else -1
-
-    def read(self) -> DataFrame:
-        fs, _ = self._fs()
-        data = self._path("data")
-        if not fs.exists(data) or self.last_batch() < 0:
-            return self.spark.createDataFrame([], self.schema)
-        df = self.spark.read.schema(self.schema).parquet(f"{self.root}/data")
-        return df.select(*[f.name for f in self.schema.fields])
-
-    def read_partitions(self, values: list) -> DataFrame:
-        """Rows of the given partitions only; no other folder is listed."""
-        fs, jvm = self._fs()
-        paths = [f"{self.root}/data/{self.part_col}={v}" for v in values]
-        paths = [p for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
-        if not paths or self.last_batch() < 0:
-            return self.spark.createDataFrame([], self.schema)
-        df = self.spark.read.schema(self.schema).option("basePath", f"{self.root}/data").parquet(*paths)
-        return df.select(*[f.name for f in self.schema.fields])
-
-    def commit(self, new_partitions: DataFrame, batch_id: int) -> bool:
-        """Replace the partitions present in ``new_partitions`` for batch
-        ``batch_id``; False when the batch was already committed."""
-        fs, _ = self._fs()
-        if self.last_batch() >= batch_id:
-            return False
-        staged = f"{self.root}/_staging/b={batch_id}"
-        if not fs.exists(self._path("_staging", f"b={batch_id}", "_SUCCESS")):
-            new_partitions.select(*[f.name for f in self.schema.fields]).write.mode("overwrite").parquet(staged)
-        (
-            self.spark.read.schema(self.schema).parquet(staged)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.part_col)
-            .parquet(f"{self.root}/data")
-        )
-        fs.create(self._path("_commits", f"b={batch_id}"), True).close()
-        for b in self._batches("_staging", need_success=False):
-            if b < batch_id:
-                fs.delete(self._path("_staging", f"b={b}"), True)
-        for b in self._batches("_commits", need_success=False)[: -self.keep_markers]:
-            fs.delete(self._path("_commits", f"b={b}"), True)
-        return True

@@ -159,6 +159,33 @@ def ad_log_lines(spark: SparkSession, sf_dir: str, with_date: bool = False) -> D
     )
 
 
+def ad_stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw ad stream, ``day`` (of the event) and ``value``: the ad log and, for every
+    ``error`` event, a line that is malformed in one of three ways (a field missing,
+    a user id that is no number, a time that is no number)."""
+    b = _events_base(spark, sf_dir).where("event_type = 'error'")
+    ms, k = F.unix_millis("ts").cast("string"), F.col("k") % 3
+    user, ad = F.col("user_id").cast("string"), (F.col("k") % 10).cast("string")
+    bad = F.when(k == 0, F.concat_ws(" ", ms, F.lit("P"), F.lit("C"), user)).when(
+        k == 1, F.concat_ws(" ", ms, F.lit("P"), F.lit("C"), F.concat(F.lit("u"), user), ad)).otherwise(
+        F.concat_ws(" ", F.concat(ms, F.lit("x")), F.lit("P"), F.lit("C"), user, ad))
+    days = b.select(F.date_format("ts", "yyyy-MM-dd").alias("date"), bad.alias("value"))
+    return ad_log_lines(spark, sf_dir, with_date=True).unionByName(days)
+
+
+def late_ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ad log, ``date``, ``late`` and ``value``: every fifth click (by its
+    millisecond) arrives late."""
+    lines = ad_log_lines(spark, sf_dir, with_date=True)
+    return lines.withColumn("late", F.split("value", " ")[0].cast("bigint") % 5 == 0)
+
+
+def model_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The behaviour log as its producers write it: the 13 text and number columns of
+    the model and ``event_id``, no typed time."""
+    return user_visit_action(spark, sf_dir).drop("action_ts")
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
     """Register the model's tables as temporary views for ``spark.sql``."""
     views = {

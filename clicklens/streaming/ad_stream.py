@@ -1,41 +1,50 @@
 """Real-time ad-click statistics with Structured Streaming.
 
-The log arrives as text lines (Kafka ``value`` or text files). Each
-micro-batch, inside ``foreachBatch``:
-
-1. parse the lines (malformed ones are dropped),
-2. drop clicks of users on the blacklist as it was at the start of the batch,
-3. add the batch's per (date, user, ad) counts to ``ad_user_click_count``,
-4. append users whose count reached the threshold to ``ad_blacklist``,
-5. add the batch's clicks to the running ``ad_stat`` totals (the stored
-   value is the total, i.e. the sink "sets" it),
-6. recompute ``ad_province_top3`` for the (date, province) groups the batch
-   touched and replace those groups wholly,
-7. add the batch's clicks to the per-minute ``ad_click_trend``.
-
-The four keyed tables are date-partitioned
-(:class:`~clicklens.sinks.writers.PartitionedTable`): a batch rewrites only
-the dates it contains, so its cost does not grow with the history kept. The
-blacklist (bounded by the number of users) is a
-:class:`~clicklens.sinks.writers.VersionedTable`. Every commit carries the
-batch id, so a replayed batch (after a failure, or re-delivery) is skipped
-table by table and never double counts. Step 2 reads the blacklist version
-written before this batch, so a replay filters exactly as the first attempt.
+Two layers, each restartable by itself:
+
+**Intake** (:func:`start_ad_stream`). The log arrives as text lines (Kafka ``value`` or
+text files). Each micro-batch, inside ``foreachBatch``:
+
+1. parse the lines and mark clicks of users on the blacklist as it was at the start
+   of the batch,
+2. append all lines to the click log, by kind: ``click``, ``blocked``, ``bad`` (the side
+   output of malformed lines),
+3. append the batch's per (date, user, ad) counts to ``ad_user_click_count``,
+4. total the batch's changed keys, and no others; users of a total that reaches the
+   threshold go to ``ad_blacklist``,
+5. append the batch's line counts to ``ad_stream_batches``.
+
+**Rollups** (:func:`start_ad_rollups`) are three streams over the accepted clicks that
+keep running totals in Spark's state store and emit the keys that a batch changed;
+the sink *sets* their values:
+
+* ``ad_stat`` per (date, province, city, ad);
+* ``ad_province_top3``: totals per (date, province, ad); a changed group's new top 3 are
+  among its old ones and the changed ads, as totals never fall, so nothing else is read;
+* ``ad_click_trend``: event-time windows of a minute with a watermark, after which
+  late clicks are left out and the minute's state is dropped.
+
+All tables are :class:`~clicklens.sinks.snapshots.MergeTable`: a batch appends its
+changed keys, so what it writes does not grow with the day or the history. Every
+commit carries the batch id, and every step of the intake finds out whether it was
+done, so a replayed batch changes nothing; step 1 reads the blacklist as of before
+the batch, so a replay marks exactly the same clicks.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, fields
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from clicklens.operators import ads, upserts
-from clicklens.sinks.writers import PartitionedTable, VersionedTable
+from clicklens.operators import ads
+from clicklens.sinks.files import Folder
+from clicklens.sinks.snapshots import ADD, GROUPS, INSERT, SET, MergeTable
 
 COUNT_KEYS = ["date", "user_id", "ad_id"]
 STAT_KEYS = ["date", "province", "city", "ad_id"]
@@ -45,8 +54,8 @@ TOP_GROUP = ["date", "province"]
 _L, _S = T.LongType(), T.StringType()
 
 
-def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType([T.StructField(n, t, True) for n, t in fields])
+def _schema(*fields_: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t, True) for n, t in fields_])
 
 
 SCHEMAS = {
@@ -55,31 +64,83 @@ SCHEMAS = {
     "ad_stat": _schema(("date", _S), ("province", _S), ("city", _S), ("ad_id", _L), ("click_count", _L)),
     "ad_province_top3": _schema(("date", _S), ("province", _S), ("ad_id", _L), ("click_count", _L)),
     "ad_click_trend": _schema(("date", _S), ("hour", _S), ("minute", _S), ("ad_id", _L), ("click_count", _L)),
+    "ad_stream_batches": _schema(("batch", _L), ("n_lines", _L), ("n_clicks", _L), ("n_blocked", _L), ("n_bad", _L)),
 }
 
 
+class ClickLog:
+    """The lines of every batch by kind, ``log/b=<batch>/kind=<kind>``. A batch's
+    folder appears by a rename, once and whole, so streams that read the log see every
+    file exactly once."""
+
+    SCHEMA = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("province", _S), T.StructField("city", _S),
+                           T.StructField("user_id", _L), T.StructField("ad_id", _L), T.StructField("value", _S),
+                           T.StructField("b", _L), T.StructField("kind", _S)])
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.folder = Folder(spark, self.root)
+
+    def write(self, lines: DataFrame, batch_id: int) -> None:
+        if self.folder.exists(f"b={batch_id}"):
+            return
+        draft = f"_draft/{uuid.uuid4().hex}"
+        lines.write.partitionBy("kind").parquet(f"{self.root}/{draft}")
+        if not self.folder.publish(draft, f"b={batch_id}"):
+            raise RuntimeError(f"batch {batch_id} of {self.root} was written by another query")
+
+    def lines(self, batch_id: int | None = None) -> DataFrame:
+        rows = self.spark.read.schema(self.SCHEMA).option("basePath", self.root)
+        if batch_id is not None:
+            return rows.parquet(f"{self.root}/b={batch_id}")
+        return rows.parquet(self.root) if self.folder.names() else self.spark.createDataFrame([], self.SCHEMA)
+
+    def clicks(self, batch_id: int | None = None) -> DataFrame:
+        return self.lines(batch_id).where("kind = 'click'").drop("value", "b", "kind")
+
+    def bad_lines(self) -> DataFrame:
+        return self.lines().where("kind = 'bad'").select("b", "value")
+
+    def click_stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
+        """The accepted clicks as a stream."""
+        if not self.folder.exists():
+            self.folder.write("_log", "")
+        reader = self.spark.readStream.schema(self.SCHEMA)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        return reader.parquet(self.root).where("kind = 'click'").drop("value", "b", "kind")
+
+
 @dataclass
 class AdTables:
-    counts: PartitionedTable
-    blacklist: VersionedTable
-    stat: PartitionedTable
-    top3: PartitionedTable
-    trend: PartitionedTable
+    log: ClickLog
+    counts: MergeTable
+    blacklist: MergeTable
+    batches: MergeTable
+    stat: MergeTable
+    top3: MergeTable
+    trend: MergeTable
 
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "AdTables":
         base = root.rstrip("/")
-        part = lambda name: PartitionedTable(spark, f"{base}/{name}", SCHEMAS[name], "date")
+
+        def table(name: str, rule: str, keys: list[str], **more) -> MergeTable:
+            return MergeTable(spark, f"{base}/{name}", SCHEMAS[name], rule, keys, **more)
+
         return cls(
-            part("ad_user_click_count"),
-            VersionedTable(spark, f"{base}/ad_blacklist", SCHEMAS["ad_blacklist"]),
-            part("ad_stat"),
-            part("ad_province_top3"),
-            part("ad_click_trend"),
+            ClickLog(spark, f"{base}/log"),
+            table("ad_user_click_count", ADD, COUNT_KEYS, measure="click_count", part_col="date"),
+            table("ad_blacklist", INSERT, ["user_id"]),
+            table("ad_stream_batches", SET, ["batch"]),
+            table("ad_stat", SET, STAT_KEYS, part_col="date"),
+            table("ad_province_top3", GROUPS, TOP_GROUP, part_col="date"),
+            table("ad_click_trend", SET, TREND_KEYS, part_col="date"),
         )
 
-    def all(self) -> list:
-        return [self.counts, self.blacklist, self.stat, self.top3, self.trend]
+    def all(self) -> list[MergeTable]:
+        return [t for f in fields(self) if isinstance(t := getattr(self, f.name), MergeTable)]
 
 
 def read_ad_log(spark: SparkSession, path: str | None = None, kafka: dict[str, str] | None = None,
@@ -95,44 +156,53 @@ def read_ad_log(spark: SparkSession, path: str | None = None, kafka: dict[str, s
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    return reader.load(path).select("value")
+
+
+def _days(rows: DataFrame) -> list[str]:
+    """The dates of a batch's rows: a handful per micro-batch."""
+    return [r.date for r in rows.select("date").distinct().collect()]
+
+
+# ---- intake ------------------------------------------------------------------
+
+
+def marked_lines(batch: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """Parsed lines with their ``kind``: ``click``, ``blocked`` (user on the list) or
+    ``bad`` (malformed; ``value`` keeps the text)."""
+    listed = blacklist.select("user_id").distinct().withColumn("listed", F.lit(True))
+    kind = F.when(~F.col("ok"), "bad").when(F.col("listed"), "blocked").otherwise("click")
+    return ads.ad_lines(batch).join(listed, "user_id", "left").select(
+        "ts", "province", "city", "user_id", "ad_id", F.when(~F.col("ok"), F.col("value")).alias("value"), kind.alias("kind"))
+
+
+def crossed(delta: DataFrame, counts: MergeTable, threshold: int) -> DataFrame:
+    """Users with a key of ``delta`` whose total has reached the threshold: only the
+    rows of these keys, on their days, are merged."""
+    totals = counts.read(parts=_days(delta), keys=delta)
+    return ads.ad_blacklist(totals, threshold)
 
 
 def process_batch(batch: DataFrame, batch_id: int, tables: AdTables, threshold: int) -> None:
-    """Apply one micro-batch to the five tables (idempotent per table)."""
-    if all(t.last_batch() >= batch_id for t in tables.all()):
+    """Apply one micro-batch (each step once, whatever is replayed)."""
+    if tables.batches.last_batch() >= batch_id:
         return
     blacklist = tables.blacklist.read(before_batch=batch_id)
-    clicks = ads.with_time_keys(ads.parse_ad_log(batch))
-    allowed = ads.drop_blacklisted(clicks, blacklist).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # the days this batch touches: a handful per micro-batch
-        days = [r.date for r in allowed.select("date").distinct().collect()]
-        if tables.counts.last_batch() < batch_id:
-            old = tables.counts.read_partitions(days)
-            delta = ads.ad_user_click_count(allowed)
-            tables.counts.commit(upserts.upsert_add(old, delta, COUNT_KEYS, "click_count"), batch_id)
-        if tables.blacklist.last_batch() < batch_id:
-            reached = ads.ad_blacklist(tables.counts.read_partitions(days), threshold)
-            tables.blacklist.commit(upserts.append_new(blacklist, reached, ["user_id"]), batch_id)
-        if tables.stat.last_batch() < batch_id:
-            old = tables.stat.read_partitions(days)
-            tables.stat.commit(upserts.upsert_add(old, ads.ad_stat(allowed), STAT_KEYS, "click_count"), batch_id)
-        if tables.top3.last_batch() < batch_id:
-            # every province of a touched day is recomputed, so the touched
-            # days' partitions are replaced wholly
-            tables.top3.commit(ads.ad_province_top3(tables.stat.read_partitions(days)), batch_id)
-        if tables.trend.last_batch() < batch_id:
-            old = tables.trend.read_partitions(days)
-            tables.trend.commit(upserts.upsert_add(old, ads.ad_click_trend(allowed), TREND_KEYS, "click_count"), batch_id)
-    finally:
-        allowed.unpersist()
+    tables.log.write(marked_lines(batch, blacklist), batch_id)
+    delta = ads.ad_user_click_count(tables.log.clicks(batch_id))
+    tables.counts.commit(delta, batch_id)
+    if tables.blacklist.last_batch() < batch_id:
+        fresh = crossed(delta, tables.counts, threshold).join(blacklist, "user_id", "left_anti")
+        tables.blacklist.commit(fresh, batch_id)
+    kinds = {f"n_{n}": F.count_if(F.col("kind") == k) for n, k in (("clicks", "click"), ("blocked", "blocked"), ("bad", "bad"))}
+    tables.batches.commit(tables.log.lines(batch_id).agg(
+        F.lit(batch_id).cast("long").alias("batch"), F.count("*").alias("n_lines"), *(c.alias(n) for n, c in kinds.items())), batch_id)
 
 
 def start_ad_stream(spark: SparkSession, source: DataFrame, out_root: str, threshold: int,
                     checkpoint: str | None = None, available_now: bool = True,
                     processing_time: str | None = None, name: str | None = None) -> StreamingQuery:
-    """Start the ad pipeline on a streaming ``source`` (``value`` column).
+    """Start the intake on a streaming ``source`` (``value`` column).
 
     The checkpoint lives beside the tables (``<out_root>/_checkpoint``) unless
     given, so a restarted driver, in any application, resumes from it. The
@@ -143,11 +213,81 @@ def start_ad_stream(spark: SparkSession, source: DataFrame, out_root: str, thres
     if threshold is None:
         raise ValueError("a blacklist threshold is required")
     tables = AdTables.at(spark, out_root)
-    checkpoint = checkpoint or f"{out_root.rstrip('/')}/_checkpoint"
-    _same_stream(spark, tables, out_root, checkpoint)
-    writer = source.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, tables, threshold)).option(
-        "checkpointLocation", checkpoint
-    )
+    writer = source.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, tables, threshold))
+    return _start(spark, writer, out_root, "", [tables.counts, tables.blacklist, tables.batches], checkpoint,
+                  available_now, processing_time, name)
+
+
+# ---- rollups -----------------------------------------------------------------
+
+
+def running_counts(clicks: DataFrame, keys: list[str]) -> DataFrame:
+    """Clicks per key, as running totals in the state store."""
+    return ads.with_time_keys(clicks).groupBy(*keys).agg(F.count(F.lit(1)).alias("click_count"))
+
+
+def running_trend(clicks: DataFrame, watermark: str) -> DataFrame:
+    """Clicks per (date, hour, minute, ad) in event-time windows of a minute. Clicks
+    of minutes that the watermark has passed are left out; the state of a minute goes
+    when the watermark passes it."""
+    counts = clicks.withWatermark("ts", watermark).groupBy(F.window("ts", "1 minute").alias("w"), "ad_id").agg(
+        F.count(F.lit(1)).alias("click_count"))
+    return ads.with_time_keys(counts.withColumn("ts", F.col("w.start"))).select(*TREND_KEYS, "click_count")
+
+
+def update_top(changed: DataFrame, batch_id: int, table: MergeTable, n: int = 3) -> None:
+    """Replace the top ``n`` of the groups that a batch's changed totals touch. An ad
+    that did not change and was not among the top cannot enter: totals only rise."""
+    if table.last_batch() >= batch_id:
+        return
+    old = table.read(parts=_days(changed), before_batch=batch_id, keys=changed.select(*TOP_GROUP).distinct())
+    ads_of = [*TOP_GROUP, "ad_id"]
+    merged = old.join(changed.select(*ads_of), ads_of, "left_anti").unionByName(changed.select(*old.columns))
+    table.commit(ads.top_per_province(merged, n), batch_id)
+
+
+def start_trend_stream(spark: SparkSession, clicks: DataFrame, out_root: str, watermark: str, **options) -> StreamingQuery:
+    """The trend rollup on any stream of parsed clicks."""
+    table = AdTables.at(spark, out_root).trend
+    writer = running_trend(clicks, watermark).writeStream.outputMode("update").foreachBatch(lambda df, bid: table.commit(df, bid))
+    return _start(spark, writer, out_root, "_ad_click_trend", [table], **options)
+
+
+def start_ad_rollups(spark: SparkSession, out_root: str, trend_watermark: str = "2 days", available_now: bool = True,
+                     processing_time: str | None = None, max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
+    """Start the three rollups over the accepted clicks of ``out_root``."""
+    tables = AdTables.at(spark, out_root)
+    options = {"available_now": available_now, "processing_time": processing_time}
+    clicks = lambda: tables.log.click_stream(max_files_per_trigger)
+    stat = running_counts(clicks(), STAT_KEYS).writeStream.outputMode("update").foreachBatch(
+        lambda df, bid: tables.stat.commit(df, bid))
+    top = running_counts(clicks(), [*TOP_GROUP, "ad_id"]).writeStream.outputMode("update").foreachBatch(
+        lambda df, bid: update_top(df, bid, tables.top3))
+    return [_start(spark, stat, out_root, "_ad_stat", [tables.stat], **options),
+            _start(spark, top, out_root, "_ad_province_top3", [tables.top3], **options),
+            start_trend_stream(spark, clicks(), out_root, trend_watermark, **options)]
+
+
+def run_available(spark: SparkSession, source: DataFrame, out_root: str, threshold: int, trend_watermark: str = "2 days",
+                  max_files_per_trigger: int | None = None) -> AdTables:
+    """Take in all that the source holds now, then roll it up."""
+    queries = [start_ad_stream(spark, source, out_root, threshold)]
+    queries[0].awaitTermination()
+    queries += start_ad_rollups(spark, out_root, trend_watermark, max_files_per_trigger=max_files_per_trigger)
+    for q in queries:
+        q.awaitTermination()
+    return AdTables.at(spark, out_root)
+
+
+# ---- restarts ----------------------------------------------------------------
+
+
+def _start(spark: SparkSession, writer, out_root: str, which: str, tables: list[MergeTable], checkpoint: str | None = None,
+           available_now: bool = True, processing_time: str | None = None, name: str | None = None) -> StreamingQuery:
+    root = Folder(spark, out_root)
+    checkpoint = checkpoint or f"{root.path}/_checkpoint{which}"
+    _same_stream(spark, tables, root, f"_stream_id{which}", checkpoint)
+    writer = writer.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if processing_time:
@@ -155,42 +295,18 @@ def start_ad_stream(spark: SparkSession, source: DataFrame, out_root: str, thres
     elif available_now:
         writer = writer.trigger(availableNow=True)
     query = writer.start()
-    _write_text(spark, f"{out_root.rstrip('/')}/_stream_id", str(query.id))
+    root.write(f"_stream_id{which}", str(query.id))
     return query
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-
-
-def _same_stream(spark: SparkSession, tables: AdTables, out_root: str, checkpoint: str) -> None:
+def _same_stream(spark: SparkSession, tables: list[MergeTable], root: Folder, id_file: str, checkpoint: str) -> None:
     """Raise when the tables hold batches of another stream than the
     checkpoint's."""
-    if all(t.last_batch() < 0 for t in tables.all()):
+    if all(t.last_batch() < 0 for t in tables):
         return
-    known = _read_text(spark, f"{out_root.rstrip('/')}/_stream_id")
-    metadata = _read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+    known, metadata = root.read(id_file), Folder(spark, checkpoint).read("metadata")
     if metadata is None or (known is not None and json.loads(metadata)["id"] != known):
-        raise RuntimeError(f"{checkpoint} is not the checkpoint of the stream that filled {out_root}")
+        raise RuntimeError(f"{checkpoint} is not the checkpoint of the stream that filled {root.path}")
 
 
 def click_trend_stream(source: DataFrame, length: str, slide: str | None = None, watermark: str | None = None) -> DataFrame:

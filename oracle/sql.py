@@ -23,6 +23,8 @@ AD_OLD_LAST_DAY = "2024-01-15"
 AD_NEW_FIRST_DAY = "2024-01-10"
 AD_STREAM_ORIGIN = "2024-01-01"
 AD_STREAM_DAYS_PER_BATCH = 5
+AD_LATE_BATCHES, AD_WATERMARK_DAYS = 3, 7
+STORED_START, STORED_END = "2024-01-08", "2024-01-14"
 
 CTES = r"""
 ev AS (
@@ -222,15 +224,30 @@ bl_grp AS (
 sadf AS (
   SELECT a.* FROM adb a LEFT JOIN bl_grp b ON a.user_id = b.user_id WHERE b.grp IS NULL OR a.grp <= b.grp
 ),
+bad AS (
+  SELECT date_diff('day', DATE '{origin}', CAST(session_date AS DATE)) // {days_per_batch} AS grp,
+         CASE k % 3
+           WHEN 0 THEN ms || ' P C ' || user_id
+           WHEN 1 THEN ms || ' P C u' || user_id || ' ' || k % 10
+           ELSE ms || 'x P C ' || user_id || ' ' || k % 10 END AS value
+  FROM (SELECT *, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS ms FROM ev WHERE event_type = 'error')
+),
+late AS (
+  SELECT *, grp + CASE WHEN epoch_ms % 5 = 0 THEN {late_batches} ELSE 0 END AS b FROM adb
+),
+marks AS (
+  SELECT o.b, max(l.epoch_ms) - {watermark_days} * 86400000 AS mark
+  FROM (SELECT DISTINCT b FROM late) o JOIN late l ON l.b <= o.b - 2 GROUP BY o.b
+),
 old_ad AS (SELECT * FROM adk WHERE date <= '{old_last}'),
 new_ad AS (SELECT * FROM adk WHERE date >= '{new_first}')
 """
 
 
-def with_fixtures(body: str) -> str:
+def with_fixtures(body: str, start: str = START_DATE, end: str = END_DATE) -> str:
     steps = ", ".join(f"({i}, {FLOW[i - 1]}, {FLOW[i]}, '{FLOW[i - 1]}_{FLOW[i]}')" for i in range(1, len(FLOW)))
     ctes = CTES.format(
-        start=START_DATE, end=END_DATE, start_age=START_AGE, end_age=END_AGE, sample=SAMPLE_SIZE, seed=SAMPLE_SEED,
+        start=start, end=end, late_batches=AD_LATE_BATCHES, watermark_days=AD_WATERMARK_DAYS, start_age=START_AGE, end_age=END_AGE, sample=SAMPLE_SIZE, seed=SAMPLE_SEED,
         steps=steps, first_page=FLOW[0], threshold=BLACKLIST_THRESHOLD, old_last=AD_OLD_LAST_DAY,
         new_first=AD_NEW_FIRST_DAY, origin=AD_STREAM_ORIGIN, days_per_batch=AD_STREAM_DAYS_PER_BATCH,
     )
@@ -476,4 +493,32 @@ def statements() -> dict[str, str]:
     q["ad_stat_stream"] = W(_stat("sadf"))
     q["ad_province_top3_stream"] = W(_province_top3(_stat("sadf")))
     q["ad_click_trend_stream"] = W(_trend("sadf"))
+    # a late click is left out when its minute had ended at the watermark: the
+    # newest time of the batches up to the last but one, less the delay
+    q["ad_click_trend_late"] = W(_trend(
+        "(SELECT late.* FROM late LEFT JOIN marks USING (b) "
+        "WHERE mark IS NULL OR (epoch_ms // 60000 + 1) * 60000 > mark)"))
+    q["ad_stream_batches"] = W(
+        """SELECT grp AS batch, count(*) AS n_lines, count(*) FILTER (kind = 'click') AS n_clicks,
+                  count(*) FILTER (kind = 'blocked') AS n_blocked, count(*) FILTER (kind = 'bad') AS n_bad
+           FROM (SELECT a.grp, CASE WHEN b.grp < a.grp THEN 'blocked' ELSE 'click' END AS kind
+                 FROM adb a LEFT JOIN bl_grp b ON a.user_id = b.user_id
+                 UNION ALL SELECT grp, 'bad' FROM bad) GROUP BY grp""")
+    q["ad_bad_lines"] = W("SELECT grp AS batch, value FROM bad")
+    q["ad_line_counts"] = W(
+        """SELECT (SELECT count(*) FROM ad) + (SELECT count(*) FROM bad) AS n_lines, (SELECT count(*) FROM ad) AS n_parsed,
+                  (SELECT count(*) FROM bad) AS n_bad""")
+
+    # the stored log: dates inside the data
+    in_range = lambda body: with_fixtures(body, STORED_START, STORED_END)
+    q["stored_actions_by_date"] = in_range(
+        f"SELECT session_date, {ACTION_COLS}, city_id, strftime(action_ts, '%Y-%m-%d %H:%M:%S') AS parsed_time FROM acts")
+    q["stored_session_aggregate"] = in_range(f"SELECT {SESSION_COLS} FROM sess")
+    q["stored_session_detail"] = in_range(f"SELECT {DETAIL_COLS} FROM detail")
+
+    # optional forms
+    q["top10_session_detail_each"] = W(
+        f"SELECT {DETAIL_COLS} FROM acts JOIN (SELECT session_id FROM topsess) t USING (session_id)")
+    q["category_counts_click_order"] = W(
+        "SELECT category_id, click_count, order_count, pay_count FROM catc WHERE click_count > 0 OR order_count > 0")
     return q

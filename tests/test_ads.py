@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clicklens.operators import ads, upserts
-from clicklens.sinks.writers import VersionedTable
+from clicklens.sinks.snapshots import Manifest
 from clicklens.streaming import ad_stream
 
 T0 = 1704067200000  # 2024-01-01 00:00:00 UTC in ms
@@ -68,37 +68,6 @@ def test_write_rules(spark):
     assert sorted(r.user_id for r in upserts.append_new(b_old, b_new, ["user_id"]).collect()) == [1, 2, 3]
 
 
-def test_versioned_table_replay_is_noop(spark, scratch):
-    t = VersionedTable(spark, os.path.join(scratch, "t"), ad_stream.SCHEMAS["ad_blacklist"])
-    assert t.read().count() == 0 and t.last_batch() == -1
-    assert t.commit(spark.createDataFrame([(1,)], "user_id long"), 0)
-    assert not t.commit(spark.createDataFrame([(2,)], "user_id long"), 0)
-    assert t.commit(spark.createDataFrame([(1,), (2,)], "user_id long"), 1)
-    assert sorted(r.user_id for r in t.read().collect()) == [1, 2]
-    assert [r.user_id for r in t.read(before_batch=1).collect()] == [1]
-
-
-def test_partitioned_table_rewrites_touched_days_and_survives_replay(spark, scratch):
-    from clicklens.sinks.writers import PartitionedTable
-
-    schema = ad_stream.SCHEMAS["ad_user_click_count"]
-    t = PartitionedTable(spark, os.path.join(scratch, "p"), schema)
-    rows = lambda *r: spark.createDataFrame(list(r), schema)
-    assert t.commit(rows(("d1", 1, 1, 1), ("d2", 1, 1, 2)), 0)
-    assert t.commit(rows(("d2", 1, 1, 5)), 1)  # only d2 is rewritten
-    assert sorted(tuple(r) for r in t.read().collect()) == [("d1", 1, 1, 1), ("d2", 1, 1, 5)]
-    assert not t.commit(rows(("d2", 1, 1, 99)), 1)  # replay of a finished batch
-    # a crash after the partitions were swapped but before the marker: the
-    # replay uses the staged copy, not the (now different) input
-    staged_only = PartitionedTable(spark, os.path.join(scratch, "p"), schema)
-    staged_only.commit(rows(("d3", 2, 2, 7)), 2)
-    fs_marker = os.path.join(scratch, "p", "_commits", "b=2")
-    os.remove(fs_marker)
-    assert staged_only.commit(rows(("d3", 2, 2, 1000)), 2)
-    assert sorted(tuple(r) for r in t.read_partitions(["d3"]).collect()) == [("d3", 2, 2, 7)]
-    assert t.last_batch() == 2
-
-
 def _batch_twin(spark, batches, threshold):
     """Apply the per-batch rule with plain batch operators in a loop."""
     counts = blacklist = stat = trend = None
@@ -125,6 +94,18 @@ BATCHES = [
 ]
 
 
+def _same(a, b):
+    cols = sorted(a.columns)
+    return sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+
+
+def _stage(folder, lines, name, at):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    os.utime(os.path.join(folder, name), (at, at))
+
+
 def test_process_batch_matches_batch_twin_and_replays(spark, scratch):
     root = os.path.join(scratch, "out")
     tables = ad_stream.AdTables.at(spark, root)
@@ -132,40 +113,117 @@ def test_process_batch_matches_batch_twin_and_replays(spark, scratch):
         ad_stream.process_batch(_lines(spark, lines), bid, tables, threshold=2)
     # a replayed batch changes nothing
     ad_stream.process_batch(_lines(spark, BATCHES[1]), 1, tables, threshold=2)
-    counts, blacklist, stat, trend = _batch_twin(spark, BATCHES, 2)
-    same = lambda a, b: sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
-    assert same(tables.counts.read(), counts)
-    assert same(tables.blacklist.read(), blacklist)
-    assert same(tables.stat.read(), stat)
-    assert same(tables.trend.read(), trend)
+    counts, blacklist, _, _ = _batch_twin(spark, BATCHES, 2)
+    assert _same(tables.counts.read(), counts)
+    assert _same(tables.blacklist.read(), blacklist)
     # user 1 reaches the threshold inside batch 0 (both clicks counted there,
-    # later clicks filtered); user 2 reaches it in batch 1, user 3 in batch 2
+    # later clicks blocked); user 2 reaches it in batch 1, user 3 in batch 2
     assert sorted(r.user_id for r in tables.blacklist.read().collect()) == [1, 2, 3]
     c = {(r.user_id, r.ad_id): r.click_count for r in tables.counts.read().collect()}
     assert c[(1, 7)] == 2 and c[(2, 7)] == 2 and c[(3, 8)] == 3
-    top = sorted(tuple(r) for r in tables.top3.read().collect())
-    assert top == [("2024-01-01", "P", 7, 4), ("2024-01-01", "Q", 8, 3)]
+    # line counts per batch are kept, and the bad lines themselves
+    assert sorted(map(tuple, tables.batches.read().collect())) == [(0, 4, 3, 0, 1), (1, 3, 2, 1, 0), (2, 3, 2, 1, 0)]
+    assert [tuple(r) for r in tables.log.bad_lines().collect()] == [(0, "bad line")]
 
 
-def test_stream_end_to_end_with_restart(spark, scratch):
-    src = os.path.join(scratch, "in")
-    os.makedirs(src)
-    for i, lines in enumerate(BATCHES):
-        with open(os.path.join(src, f"part-{i}.txt"), "w") as f:
-            f.write("\n".join(lines) + "\n")
-        os.utime(os.path.join(src, f"part-{i}.txt"), (time.time() + i, time.time() + i))
-    out = os.path.join(scratch, "out")
-    ckpt = os.path.join(scratch, "ckpt")
-    q = ad_stream.start_ad_stream(spark, ad_stream.read_ad_log(spark, src, max_files_per_trigger=1), out, 2, ckpt)
-    q.awaitTermination(120)
-    tables = ad_stream.AdTables.at(spark, out)
-    assert tables.counts.last_batch() == 2
-    # restart from the checkpoint: nothing new, nothing re-applied
-    q2 = ad_stream.start_ad_stream(spark, ad_stream.read_ad_log(spark, src, max_files_per_trigger=1), out, 2, ckpt)
-    q2.awaitTermination(120)
-    counts, blacklist, stat, _ = _batch_twin(spark, BATCHES, 2)
-    assert sorted(tuple(r) for r in tables.stat.read().collect()) == sorted(tuple(r) for r in stat.collect())
-    assert sorted(tuple(r) for r in tables.counts.read().collect()) == sorted(tuple(r) for r in counts.collect())
+@pytest.mark.parametrize("stop_after", range(4))
+def test_a_batch_stopped_at_any_step_is_finished_by_its_replay(spark, scratch, monkeypatch, stop_after):
+    """Stops after the log, the counts or the blacklist, or before the last commit."""
+    tables = ad_stream.AdTables.at(spark, os.path.join(scratch, f"out{stop_after}"))
+    ad_stream.process_batch(_lines(spark, BATCHES[0]), 0, tables, threshold=2)
+    left, publish = [stop_after], Manifest.publish
+
+    def stopping(self, number, content):
+        if not left[0]:
+            raise RuntimeError("stopped")
+        left[0] -= 1
+        publish(self, number, content)
+
+    with monkeypatch.context() as m:
+        m.setattr(Manifest, "publish", stopping)
+        try:
+            ad_stream.process_batch(_lines(spark, BATCHES[1]), 1, tables, threshold=2)
+        except RuntimeError:
+            pass
+    for bid in (1, 2):
+        ad_stream.process_batch(_lines(spark, BATCHES[bid]), bid, tables, threshold=2)
+    counts, blacklist, _, _ = _batch_twin(spark, BATCHES, 2)
+    assert _same(tables.counts.read(), counts) and _same(tables.blacklist.read(), blacklist)
+    assert tables.log.lines().count() == sum(map(len, BATCHES))
+
+
+def test_only_changed_keys_are_totalled(spark, scratch):
+    """The crossing check merges the rows of the batch's own keys."""
+    tables = ad_stream.AdTables.at(spark, os.path.join(scratch, "out"))
+    ad_stream.process_batch(_lines(spark, [line(i, "P", "C", u, 7) for i in range(2) for u in range(50)]), 0, tables, threshold=3)
+    delta = ads.ad_user_click_count(ads.parse_ad_log(_lines(spark, [line(9, "P", "C", 4, 7)])))
+    tables.counts.commit(delta, 1)
+    assert tables.counts.read(parts=["2024-01-01"], keys=delta).count() == 1
+    assert [r.user_id for r in ad_stream.crossed(delta, tables.counts, 3).collect()] == [4]
+
+
+def test_stream_end_to_end_with_restarts(spark, scratch):
+    """Two deliveries; intake and rollups resume from their checkpoints, with the
+    running totals in their state."""
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    now = time.time() - 100
+    for i in range(2):
+        _stage(src, BATCHES[i], f"part-{i}.txt", now + i)
+    source = lambda: ad_stream.read_ad_log(spark, src, max_files_per_trigger=1)
+    tables = ad_stream.run_available(spark, source(), out, 2)
+    assert tables.batches.last_batch() == 1 and tables.stat.last_batch() == 0
+    ad_stream.run_available(spark, source(), out, 2)  # nothing new
+    assert tables.stat.last_batch() == 0
+    _stage(src, BATCHES[2], "part-2.txt", now + 2)
+    ad_stream.run_available(spark, source(), out, 2)
+    counts, blacklist, stat, trend = _batch_twin(spark, BATCHES, 2)
+    assert _same(tables.counts.read(), counts) and _same(tables.blacklist.read(), blacklist)
+    assert _same(tables.stat.read(), stat) and _same(tables.trend.read(), trend)
+    assert _same(tables.top3.read(), ads.ad_province_top3(stat))
+    # the rollups' second batch held changed keys only
+    assert tables.stat.last_batch() == 1
+    newest = tables.stat._rows(tables.stat.segments()).where("seq = 1")
+    assert sorted(tuple(r) for r in newest.select("city", "ad_id", "click_count").collect()) == [("E", 8, 3)]
+
+
+def test_top3_is_kept_from_changed_totals(spark, scratch):
+    """Random running totals: old tops and changed ads are enough, ties included."""
+    import random
+
+    rng, table = random.Random(3), ad_stream.AdTables.at(spark, os.path.join(scratch, "top")).top3
+    totals = {}
+    schema = "date string, province string, ad_id long, click_count long"
+    for batch in range(8):
+        changed = {}
+        for _ in range(12):
+            key = (f"d{rng.randint(1, 2)}", rng.choice("PQ"), rng.randint(1, 6))
+            totals[key] = changed[key] = totals.get(key, 0) + rng.randint(1, 3)
+        df = spark.createDataFrame([(*k, v) for k, v in changed.items()], schema)
+        ad_stream.update_top(df, batch, table)
+        ad_stream.update_top(df, batch, table)  # replay
+        want = ads.top_per_province(spark.createDataFrame([(*k, v) for k, v in totals.items()], schema))
+        assert _same(table.read(), want)
+    touched = spark.createDataFrame([("d1", "P", 1, 10**6)], schema)
+    ad_stream.update_top(touched, 8, table)
+    newest = {(r.date, r.province) for r in table._rows(table.segments()).where("seq = 8").collect()}
+    assert newest == {("d1", "P")}  # no other group is written
+
+
+def test_late_clicks_are_left_out_and_state_is_dropped(spark, scratch):
+    src, out, now = os.path.join(scratch, "in"), os.path.join(scratch, "out"), time.time() - 100
+    hour = 3_600_000
+    for i, batch in enumerate([[line(0, "P", "C", 1, 7)], [line(3 * hour, "P", "C", 1, 7)], [line(3 * hour + 1, "P", "C", 1, 8)],
+                               [line(1, "P", "C", 2, 7), line(3 * hour + 2, "P", "C", 2, 7)]]):
+        _stage(src, batch, f"{i}.txt", now + i)
+    clicks = ads.parse_ad_log(ad_stream.read_ad_log(spark, src, max_files_per_trigger=1))
+    q = ad_stream.start_trend_stream(spark, clicks, out, "1 hour")
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in ad_stream.AdTables.at(spark, out).trend.read().collect())
+    assert got == [("2024-01-01", "00", "00", 7, 1), ("2024-01-01", "03", "00", 7, 2), ("2024-01-01", "03", "00", 8, 1)]
+    state = [p["stateOperators"][0] for p in map(lambda p: p if isinstance(p, dict) else __import__("json").loads(p.json), q.recentProgress)
+             if p["stateOperators"]]
+    assert sum(s["numRowsDroppedByWatermark"] for s in state) == 1 and sum(s["numRowsRemoved"] for s in state) >= 1
+    assert state[-1]["numRowsTotal"] == 2
 
 
 def test_sliding_window_trend_stream(spark, scratch):
@@ -210,11 +268,17 @@ def test_sliding_window_batch_equals_spark_window(spark):
 def test_batch_of_only_bad_lines_changes_nothing(spark, scratch):
     tables = ad_stream.AdTables.at(spark, os.path.join(scratch, "out3"))
     ad_stream.process_batch(_lines(spark, BATCHES[0]), 0, tables, threshold=2)
-    before = {t.root: sorted(tuple(r) for r in t.read().collect()) for t in tables.all()}
+    before = [sorted(tuple(r) for r in t.read().collect()) for t in (tables.counts, tables.blacklist)]
     ad_stream.process_batch(_lines(spark, ["", "x y", "1 2 3 4 five"]), 1, tables, threshold=2)
-    after = {t.root: sorted(tuple(r) for r in t.read().collect()) for t in tables.all()}
-    assert before == after
-    assert all(t.last_batch() == 1 for t in tables.all())
+    ad_stream.process_batch(_lines(spark, []), 2, tables, threshold=2)
+    assert before == [sorted(tuple(r) for r in t.read().collect()) for t in (tables.counts, tables.blacklist)]
+    assert sorted(map(tuple, tables.batches.read().collect()))[1:] == [(1, 3, 0, 0, 3), (2, 0, 0, 0, 0)]
+
+
+def test_trend_windows_of_other_units(spark):
+    clicks = ads.parse_ad_log(_lines(spark, [line(0, "P", "C", 1, 7)]))
+    assert ads.ad_click_trend_window(clicks, "1500 milliseconds").count() == 1
+    assert ads.ad_click_trend_window(clicks, "1 hour 30 minutes", "30 minutes").count() == 3
 
 
 def test_overlong_epoch_is_a_counted_bad_line(spark):

@@ -1,4 +1,4 @@
-"""Page transitions (range-partitioned) against a Python twin, and rates."""
+"""Page transitions (hot sessions cut by the minute) against a Python twin, and rates."""
 
 import random
 
@@ -45,11 +45,11 @@ def _python_positions(rows):
     return sorted(out)
 
 
-def test_transitions_equal_python_twin_for_any_range_count(spark):
+def test_transitions_equal_python_twin_for_any_hot_bound(spark):
     rows = _rows()
     acts = read_actions(spark, actions_df(spark, rows))
     want = _python_pairs(rows)
-    for n in (1, 3, 16, 64):
+    for n in (0, 1, 3, 100, 10**6):
         got = sorted(tuple(r) for r in funnel.page_transitions(acts, n).collect())
         assert got == want, n
 
@@ -58,17 +58,28 @@ def test_positions_equal_python_twin(spark):
     rows = _rows(hot_rows=300)
     acts = read_actions(spark, actions_df(spark, rows))
     want = _python_positions(rows)
-    for n in (1, 7, 32):
+    for n in (0, 5, 100, 10**6):
         got = sorted((r.session_id, r.step_index, r.tie) for r in funnel.session_positions(acts, n).collect())
         assert got == want, n
 
 
-def test_hot_session_is_split_across_ranges(spark):
-    rows = _rows(hot_rows=2000)
+def test_only_hot_sessions_are_cut(spark):
+    acts = read_actions(spark, actions_df(spark, _rows(hot_rows=2000)))
+    pieces = {(r.key, r.piece) for r in funnel._cut(acts, 100).select("key", "piece").distinct().collect()}
+    assert len([p for p in pieces if p[0] == "hot"]) == 4  # four minutes
+    assert all(p == 0 for k, p in pieces if k != "hot")
+    assert {r.key for r in funnel._hot_pieces(funnel._cut(acts, 100)).collect()} == {"hot"}
+
+
+def test_rows_without_session_or_time(spark):
+    """Rows without a session are one more sequence; missing times come first."""
+    rows = [action(None, 1, f"0:{i:02d}:00", page=i, event_id=i) for i in range(5)]
+    rows += [action("s", 1, t, page=p, event_id=p) for p, t in ((1, "bad"), (2, "0:01:00"), (3, "0:09:00"), (4, "worse"))]
     acts = read_actions(spark, actions_df(spark, rows))
-    ranged = funnel._ranged(acts, 8)
-    per_range = {r.rng: r.n for r in ranged.where("session_id = 'hot'").groupBy("rng").count().withColumnRenamed("count", "n").collect()}
-    assert len(per_range) >= 4  # the hot session is cut into several ranges
+    for hot in (0, 2, 10**6):
+        got = sorted((tuple(r) for r in funnel.page_transitions(acts, hot).collect()), key=str)
+        assert got == sorted([(None, i, i + 1) for i in range(4)] + [("s", 1, 4), ("s", 4, 2), ("s", 2, 3)], key=str)
+        assert {(r.session_id, r.tie): r.step_index for r in funnel.session_positions(acts, hot).collect()}[("s", 2)] == 3
 
 
 def _rates(spark, rows, flow):

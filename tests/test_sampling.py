@@ -42,7 +42,7 @@ def test_sample_takes_exactly_quota_per_hour_under_any_partitioning(spark):
     picks = []
     for parts in (1, 4, 16):
         spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-        got = sampling.sample_sessions(s.repartition(parts), 200, "seed", max_days=3)
+        got = sampling.sample_sessions(s.repartition(parts), 200, "seed")
         rows = got.collect()
         per = {}
         for r in rows:
@@ -69,3 +69,12 @@ def test_seed_changes_pick(spark):
     a = {r.session_id for r in sampling.sample_sessions(s, 300, "a").collect()}
     b = {r.session_id for r in sampling.sample_sessions(s, 300, "b").collect()}
     assert len(a) == len(b) and a != b
+
+
+def test_sessions_without_a_time_are_counted_and_never_drawn(spark):
+    s = _sessions(spark)
+    lost = spark.createDataFrame([("lost", None)], "session_id string, start_ts timestamp").selectExpr(
+        "session_id", "start_ts", "'' start_time", "'' search_keywords", "'' click_category_ids")
+    both = s.unionByName(lost)
+    assert [r.hour_count for r in sampling.sessions_per_hour(both).where("date is null").collect()] == [1]
+    assert sampling.sample_sessions(both, 10_000).where("session_id = 'lost'").count() == 0
