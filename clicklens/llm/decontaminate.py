@@ -14,9 +14,13 @@ candidate places are ever written. The windows are broadcast only while their
 counted number is below ``BROADCAST_ROWS``; beyond it the planner joins them by
 shuffle, each place with its next words only, and AQE splits frequent words.
 
+The documents are read three times: for the word frequencies, the occurrences and
+the result; windows and occurrences are written tables.
+
 Defined cases: null and empty texts have no words and no hits; an item without
-words has no window; repeated rows are reported alike, repeated items have one
-id; an empty benchmark contaminates nothing; an empty table gives no rows;
+words has no window; rows without doc_id are searched like others, rows of one
+doc_id each by their own text; repeated rows are reported alike, repeated items have
+one id; an empty benchmark contaminates nothing; an empty table gives no rows;
 other columns are ignored.
 """
 
@@ -25,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.exchange import stored
+
 WINDOW = 10
 BROADCAST_ROWS = 200_000
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -75,34 +81,44 @@ def prefixes(docs: DataFrame, wins: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``doc_id, start, n, item_id`` of every window occurrence."""
-    keys = prefixes(docs, windows(items, size)).select("word", "back", "n", "item_id", F.col("words").alias("window"))
-    words = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), split_words(F.col("text")).alias("words"))
-    each = words.select("doc_id", "words", F.posexplode("words").alias("at", "word")).withColumn("skip", F.lit(0))
+    """``doc_id, text_key, start, n, item_id`` of every window occurrence
+    (``text_key``, the text's hash, tells rows of one doc_id apart)."""
+    keys = stored(prefixes(docs, windows(items, size)).select("word", "back", "n", "item_id", F.col("words").alias("window")), "windows")
+    words = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), split_words(F.col("text")).alias("words"))
+    each = words.select("doc_id", "text_key", "words", F.posexplode("words").alias("at", "word")).withColumn("skip", F.lit(0))
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
     else:  # a shuffled row carries the words that a window through its place can have
         skip = F.greatest(F.col("at") - (size - 1), F.lit(0))
-        each = each.select("doc_id", F.slice("words", skip + 1, F.lit(2 * size - 1)).alias("words"), "at", "word",
+        each = each.select("doc_id", "text_key", F.slice("words", skip + 1, F.lit(2 * size - 1)).alias("words"), "at", "word",
                            skip.alias("skip"))
     start = F.col("at") - F.col("back")
     place = start - F.col("skip")
     return each.join(keys, "word").where(
         (start >= 0) & (place + F.col("n") <= F.size("words"))
         & (F.slice("words", F.greatest(place, F.lit(0)) + 1, F.col("n")) == F.col("window"))
-    ).select("doc_id", start.alias("start"), "n", "item_id")
+    ).select("doc_id", "text_key", start.alias("start"), "n", "item_id")
+
+
+def with_found(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with rows of ``found`` for the same doc_id and text."""
+    return docs.join(found, (F.xxhash64(docs["text"]) == found["text_key"])
+                     & docs["doc_id"].cast("long").eqNullSafe(found["doc_id"]), how)
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_words, n_hit, n_items, items_sha256,
     contaminated``."""
-    found = occurrences(docs, items, size).distinct()
-    hit = found.select("doc_id", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("at")).distinct().groupBy(
-        "doc_id").agg(F.count("*").alias("n_hit"))
-    ids = found.select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
-    rows = docs.select(F.col("doc_id").cast("long"), count_words(split_words(F.col("text"))).alias("n_words"))
-    both = rows.join(hit, "doc_id", "left").join(ids, "doc_id", "left")
-    return both.select(
+    found = stored(occurrences(docs, items, size).distinct(), "occurrences")
+    key = ["doc_id", "text_key"]
+    hit = found.select(*key, F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("at")).distinct().groupBy(
+        *key).agg(F.count("*").alias("n_hit"))
+    ids = found.select(*key, "item_id").distinct().groupBy(*key).agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
+    both = hit.join(ids.withColumnsRenamed({"doc_id": "id"}), (hit["text_key"] == ids["text_key"]) & hit["doc_id"].eqNullSafe(F.col("id"))).select(
+        hit["doc_id"], hit["text_key"], "n_hit", "ids")
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    every = with_found(rows, both, "left").select(rows["doc_id"], count_words(split_words(rows["text"])).alias("n_words"), "n_hit", "ids")
+    return every.select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.concat_ws(",", "ids"), F.lit("")).cast("binary"), 256).alias("items_sha256"),

@@ -47,14 +47,15 @@ def buckets(spark: SparkSession) -> int:
     return BUCKETS_PER_PARTITION * partitions(spark)
 
 
-def first_by_hash(df: DataFrame, columns: list[str], n: int) -> DataFrame:
-    """At most ``n`` rows, the first by hash order of ``columns``. A hash bound
-    from the count of all rows leaves about ``2 n`` for the last task to sort,
-    whatever the input's size."""
+def first_by_hash(df: DataFrame, columns: list[str], n: int, distinct: bool = False) -> DataFrame:
+    """At most ``n`` rows, the first by hash order of ``columns`` (with ``distinct``
+    each row once). A hash bound from the count of all rows (of about all different
+    ones) leaves some ``2 n`` for the last task to sort, whatever the input's size."""
     order = F.xxhash64(*columns)
-    share = (2 * n + 1000) / max(df.count(), 1)
+    rows = df.agg(F.approx_count_distinct(order)).first()[0] if distinct else df.count()
+    share = (2 * n + 1000) / max(rows, 1)
     kept = df.where(order < F.lit(int(share * 2.0**64) - 2**63)) if share < 0.99 else df
-    return kept.orderBy(order, *columns).limit(n)
+    return (kept.distinct() if distinct else kept).orderBy(order, *columns).limit(n)
 
 
 _shipped: set[str] = set()

@@ -17,7 +17,9 @@
 Labels, language, source and id are never inputs of a score.
 
 Defined cases: null and empty texts have no hits and get the intercept's
-score; repeated rows score alike; a null doc_id is held out; without labels of
+score, texts with equal hits score alike (no ties to break); repeated rows score
+alike, and of the rows of one doc_id one is trained on, the first by its text's
+hash; a null doc_id is held out; without labels of
 both classes the seed list alone votes; an empty table gives no rows; other
 columns are ignored.
 """
@@ -183,12 +185,14 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5) -> Classifier:
         "doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
     first = first_by_hash(gold.where(fold != 0), ["doc_id"], LABELLED)
-    known = texts.where("train").join(F.broadcast(first), "doc_id")
+    rows_of = lambda ids: texts.where("train").join(F.broadcast(ids), "doc_id").groupBy(*ids.columns).agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))  # one row per id, however often it is repeated
+    known = rows_of(first)
     vocabulary = induce(known)
     posterior = label_model(vote_table(texts.where("train"), vocabulary))
-    others = first_by_hash(texts.where("train and doc_id is not null").select("doc_id"), ["doc_id"], TRAINED - LABELLED)
-    sample = known.select("doc_id", "text", "toxic").unionByName(texts.join(F.broadcast(others), "doc_id").join(
-        F.broadcast(first.select("doc_id")), "doc_id", "left_anti").select("doc_id", "text", F.lit(-1).alias("toxic")))
+    others = first_by_hash(texts.where("train and doc_id is not null").select("doc_id"), ["doc_id"], TRAINED - LABELLED, distinct=True)
+    fresh = others.join(F.broadcast(first.select("doc_id")), "doc_id", "left_anti")
+    sample = known.select("doc_id", "text", "toxic").unionByName(rows_of(fresh).withColumn("toxic", F.lit(-1)))
 
     def run(batches):
         hits = Hits(vocabulary)
