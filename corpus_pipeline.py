@@ -9,6 +9,7 @@ it back for the next, so a lost executor repeats one stage at most.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clicklens.llm import decontaminate, jaccard, pieces, secrets, toxicity
 from clicklens.llm.exchange import documents, stored
@@ -17,30 +18,38 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more go. Null and empty texts get the model's base
+    score and stay unless most labelled texts are toxic."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, similarity 0.8 or
-    more, by links) the document with the smallest id stays."""
-    groups = jaccard.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    more, by links) the document with the smallest id stays. Rows without doc_id take
+    part behind all others, under a number from their text's hash. Repeated rows are
+    one document and stay or go together, as do all rows of one doc_id."""
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**62) + F.pmod(F.xxhash64("text"), F.lit(2**61)))
+    groups = jaccard.jaccard_components(docs.select(number.alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, number == F.col("gone_id"), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with an occurrence of a benchmark window go."""
+    """Documents with an occurrence of a benchmark window go; rows of one doc_id by
+    their own texts, rows without doc_id too. Null and empty texts stay."""
     found = decontaminate.occurrences(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return decontaminate.with_found(docs, found.select("doc_id", "text_key").distinct(), "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the text; every document stays."""
+    """Secrets are replaced in the text; every document stays, repeated rows too, and
+    a null text stays null."""
     return secrets.redact(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per document: the pieces' ids; a null text has none."""
     return pieces.encode_documents(docs)
 
 
