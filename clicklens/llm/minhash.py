@@ -243,7 +243,8 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
 
     close = stored(leader_links(leads.where("lead < node"), texts, k, percent), "links")
     families = components(close).select(F.col("id").alias("node"), F.col("component").alias("family"))
-    more = band_links(open_bands(members, families, nodes), texts, k, percent)
+    # written, so that the joins of a hot band's rows start from it and can be split
+    more = band_links(stored(open_bands(members, families, nodes), "open"), texts, k, percent)
     found = components(close.unionByName(more)).select(F.col("id").alias("node"), "component")
     named = nodes.select("node", *same, F.col("doc_id").alias("low")).join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
