@@ -66,8 +66,12 @@ def sample_sessions(sessions: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: str
     the parts' firsts. The literal bound becomes a WindowGroupLimit before each
     shuffle, and only these at most ``n`` sessions an hour meet the quotas. Sessions
     without a time belong to no hour (``sessions_per_hour`` counts them under a null
-    one) and are never drawn.
+    one) and are never drawn. A sample beyond Spark's bound for such limits is refused:
+    without them a hot hour would meet in one task.
     """
+    limit = int(sessions.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n > limit:
+        raise ValueError(f"for a sample of {n}, set spark.sql.optimizer.windowGroupLimitThreshold (now {limit}) to as much")
     order = (F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.col("session_id"))
     s = with_date_hour(sessions).where("date is not null").withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(SALTS)))
     for keys in (("date", "hour", "salt"), ("date", "hour")):

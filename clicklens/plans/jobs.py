@@ -47,15 +47,11 @@ def run_session(spark: SparkSession, params: TaskParams, src: SessionSources, sa
     per_session = cache.share(categories.for_sessions(categories.session_category_counts(acts), kept))
     top = cache.share(categories.top_categories(categories.category_counts(per_session, visited), top_k))
     top_sessions = categories.top_sessions_per_category(per_session, top, top_n_sessions, top_k, tid)
-    top_bound = top_k * top_n_sessions
-    top_detail = (
-        sessions.detail_with_multiplicity(acts, top_sessions, top_bound)
-        if detail_duplicates
-        else sessions.session_detail(acts, top_sessions, top_bound)
-    )
-    detail = sessions.detail_rows(sessions.session_detail(acts, sampled, sample_size), tid).unionByName(
-        sessions.detail_rows(top_detail, tid)
-    )
+    # one pass over the log for both details: a session that is sampled and top is
+    # picked twice, one that is top in k categories once, or k times when asked
+    picked = top_sessions.select("session_id")
+    picks = sampled.select("session_id").unionByName(picked if detail_duplicates else picked.distinct())
+    detail = sessions.detail_rows(sessions.detail_with_multiplicity(acts, picks, sample_size + top_k * top_n_sessions), tid)
     return {
         "session_aggr_stat": stat,
         "session_random_extract": sampling.random_extract_rows(sampled, tid),

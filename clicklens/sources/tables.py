@@ -9,6 +9,7 @@ gets partition pruning from the same date predicate.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from typing import Union
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,31 @@ from pyspark.sql import types as T
 from clicklens.functions.columns import parse_time
 from clicklens.params import TaskParams
 
-Source = Union[DataFrame, str]
+@dataclass(frozen=True)
+class JdbcTable:
+    """A table of a database. With ``column`` (a number), ``lower``, ``upper`` and ``parts``
+    it is read in that many ranges at once, else by one task."""
+
+    url: str
+    table: str
+    properties: dict[str, str] = field(default_factory=dict)
+    column: str | None = None
+    lower: int | None = None
+    upper: int | None = None
+    parts: int | None = None
+
+
+Source = Union[DataFrame, str, JdbcTable]
 
 
 def load(spark: SparkSession, src: Source) -> DataFrame:
-    """DataFrame as is; a name with a path separator as parquet; else a table."""
+    """DataFrame as is; a database table by JDBC (filters are pushed into its query);
+    a name with a path separator as parquet; else a table."""
     if isinstance(src, DataFrame):
         return src
+    if isinstance(src, JdbcTable):
+        return spark.read.jdbc(src.url, src.table, column=src.column, lowerBound=src.lower, upperBound=src.upper,
+                               numPartitions=src.parts, properties=src.properties)
     if "/" in src or src.endswith(".parquet"):
         return spark.read.parquet(src)
     return spark.table(src)

@@ -72,9 +72,9 @@ def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
 
     Scan splits of 512 MiB keep the task count manageable (100 TB gives
     about 200k scan tasks). The shuffle starts with enough partitions for
-    ~256 MiB each (at least 2 waves of the cluster, at most 200k) and AQE
-    coalesces small ones to the advisory size and splits skewed ones, so a
-    partition always fits in executor memory and spills only past it.
+    ~256 MiB each, at least 2 waves of the cluster and at most 200k, which the driver
+    can still track: beyond 50 TB they grow to input / 200k (100 TB: 500 MiB). AQE
+    coalesces small ones to the advisory size and splits skewed ones.
     """
     mib = 1024 * 1024
     shuffle = max(2 * total_cores, min(200_000, input_bytes // (256 * mib) + 1))

@@ -69,3 +69,10 @@ def test_top_sessions_ties_by_session_id(spark):
     assert [r.session_id for r in got if r.category_id == 1] == ["s%02d" % i for i in range(10)]
     assert all(r.category_id != 2 for r in got)
     assert all(r.category_id != 3 for r in got)  # no clicks on 3
+
+
+def test_long_form_of_odd_lists(spark):
+    """Blanks, empty items and words in the lists are no categories."""
+    rows = [action("s", 1, "0:00:00", click=3, orders="1,,2, 4 ,x", pays="", event_id=1), action("s", 1, "0:00:01", pays="7,7", event_id=2)]
+    got = sorted(tuple(r) for r in categories.category_events(read_actions(spark, actions_df(spark, rows))).collect())
+    assert got == [("s", 1, 0, 1, 0), ("s", 2, 0, 1, 0), ("s", 3, 1, 0, 0), ("s", 4, 0, 1, 0), ("s", 7, 0, 0, 1), ("s", 7, 0, 0, 1)]

@@ -122,3 +122,16 @@ def test_checkpoint_dir_must_be_shared_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_jdbc_source_reads_by_ranges(spark, monkeypatch):
+    """No database runs here: what reaches Spark's reader."""
+    from pyspark.sql import DataFrameReader
+
+    from clicklens.sources import tables
+
+    seen = {}
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, **more: seen.update(url=url, table=table, **more) or spark.range(1))
+    tables.load(spark, tables.JdbcTable("jdbc:x", "task", {"user": "u"}, "task_id", 1, 100, 4))
+    assert seen == {"url": "jdbc:x", "table": "task", "column": "task_id", "lowerBound": 1, "upperBound": 100, "numPartitions": 4,
+                    "properties": {"user": "u"}}

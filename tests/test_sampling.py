@@ -78,3 +78,10 @@ def test_sessions_without_a_time_are_counted_and_never_drawn(spark):
     both = s.unionByName(lost)
     assert [r.hour_count for r in sampling.sessions_per_hour(both).where("date is null").collect()] == [1]
     assert sampling.sample_sessions(both, 10_000).where("session_id = 'lost'").count() == 0
+
+
+def test_a_sample_beyond_the_limit_of_partial_ranks_is_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="windowGroupLimitThreshold"):
+        sampling.sample_sessions(_sessions(spark), 200_000)
