@@ -9,8 +9,6 @@ and the same on any engine.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,13 +78,10 @@ def sample_sessions(sessions: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: str
     return s.join(quota, ["date", "hour"]).where(F.col("rn") <= F.col("quota")).drop("quota", "salt", "rn")
 
 
-def sample_of_kept(ids: DataFrame, actions: DataFrame, aggregate: Callable[[DataFrame], DataFrame], n: int = DEFAULT_SAMPLE_SIZE,
-                   seed: str = DEFAULT_SEED) -> DataFrame:
-    """The sample of the kept sessions ``ids`` (``session_id, start_ts``) with all session
-    columns: only ids and times are ranked, and the lists are built by ``aggregate``
-    from the actions of the at most ``n`` winners."""
-    winners = broadcast_bounded(sample_sessions(ids.select("session_id", "start_ts"), n, seed).select("session_id"), n)
-    return aggregate(actions.join(winners, "session_id", "left_semi"))
+def sampled_ids(kept: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: str = DEFAULT_SEED) -> DataFrame:
+    """The ids of the sample, at most ``n``, ready to be broadcast: only ids and times of
+    the kept sessions are ranked, and the other columns fetched for the winners."""
+    return broadcast_bounded(sample_sessions(kept.select("session_id", "start_ts"), n, seed).select("session_id"), n)
 
 
 def random_extract_rows(sampled: DataFrame, task_id: int) -> DataFrame:

@@ -114,7 +114,8 @@ def clicks_on_top(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sampled(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.sample_of_kept(kept(spark, sf), actions(spark, sf), sessions.session_aggregate, SAMPLE_SIZE, SAMPLE_SEED)
+    winners = sampling.sampled_ids(kept(spark, sf), SAMPLE_SIZE, SAMPLE_SEED)
+    return sessions.session_aggregate(actions(spark, sf).join(winners, "session_id", "left_semi"))
 
 
 def sample_index(spark: SparkSession, sf: str) -> DataFrame:

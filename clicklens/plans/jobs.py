@@ -33,9 +33,10 @@ def run_session(spark: SparkSession, params: TaskParams, src: SessionSources, sa
                 step_bands: list = bands.STEP_BANDS) -> dict[str, DataFrame]:
     """Session analysis: band ratios, time-proportional sample, top
     categories, their most active sessions, and the details of the sampled
-    and top sessions."""
+    and top sessions. ``kept`` gives the kept sessions as a written table."""
     tid = params.task_id
     acts = read_actions_for(spark, src.actions, params)
+    stored = kept is not None
     if kept is None:
         kept = sessions.kept_sessions(acts, read_users(spark, src.users), params)
     stat = bands.session_band_ratios(bands.session_band_counts(kept, visit_bands, step_bands), tid, visit_bands,
@@ -43,7 +44,9 @@ def run_session(spark: SparkSession, params: TaskParams, src: SessionSources, sa
     # intermediates read by several results are computed once (all are far
     # smaller than the log: one row per session and category, at most
     # sample_size sessions, at most top_k categories)
-    sampled = cache.share(sampling.sample_of_kept(kept, acts, sessions.session_aggregate, sample_size, seed))
+    winners = sampling.sampled_ids(kept, sample_size, seed)
+    sampled = cache.share(kept.join(winners, "session_id", "left_semi") if stored
+                          else sessions.session_aggregate(acts.join(winners, "session_id", "left_semi")))
     per_session = cache.share(categories.for_sessions(categories.session_category_counts(acts), kept))
     top = cache.share(categories.top_categories(categories.category_counts(per_session, visited), top_k))
     top_sessions = categories.top_sessions_per_category(per_session, top, top_n_sessions, top_k, tid)
