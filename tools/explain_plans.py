@@ -18,9 +18,9 @@ KEYS = [
     ("session_band_ratios", "aggregate, user join with pushed filters, one-pass band counts"),
     ("top10_category", "long form, per-(session, category) partial aggregate, TakeOrderedAndProject"),
     ("top10_session", "broadcast top-k list, partial WindowGroupLimit before the shuffle"),
-    ("sample_sessions", "bounded quota broadcast, partial WindowGroupLimit"),
+    ("sample_sessions", "ids and times ranked under a partial WindowGroupLimit, then the quotas; winners broadcast"),
     ("sample_session_detail", "broadcast sample ids: the log is not shuffled"),
-    ("page_convert_rate", "range-partitioned, persisted projection; bounded steps broadcast"),
+    ("page_convert_rate", "hot sessions as a broadcast list, one shuffle of the log by (session, piece); bounded steps broadcast"),
     ("area_top3_product", "shared top-3, broadcast product ids"),
     ("ad_province_top3", "partial aggregates, blacklist anti join, partial WindowGroupLimit"),
     ("ad_click_trend_window", "per-slot counts expanded to windows"),
