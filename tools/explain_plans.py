@@ -42,7 +42,7 @@ def main() -> None:
         with contextlib.redirect_stdout(buf):
             reg[key](spark, sf_dir).explain()
         text = re.sub(r"#\d+L?", "", buf.getvalue())
-        text = re.sub(r", \[plan_id=\d+\]", "", text)
+        text = re.sub(r", \[plan_id=\d+\]", "", text).replace("\0", "\\0")
         out += [f"## {key}", "", note, "", "```", text.strip(), "```", ""]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(out))
