@@ -116,10 +116,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     ids = found.select(*key, "item_id").distinct().groupBy(*key).agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
     both = hit.join(ids.withColumnsRenamed({"doc_id": "id"}), (hit["text_key"] == ids["text_key"]) & hit["doc_id"].eqNullSafe(F.col("id"))).select(
         hit["doc_id"], hit["text_key"], "n_hit", "ids")
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    every = with_found(rows, both, "left").select(rows["doc_id"], count_words(split_words(rows["text"])).alias("n_words"), "n_hit", "ids")
+    # ids, keys and counts only: no text is shuffled
+    rows = docs.select(F.col("doc_id").cast("long").alias("row_id"), F.xxhash64("text").alias("row_key"),
+                       count_words(split_words(F.col("text"))).alias("n_words"))
+    every = rows.join(both, (rows["row_key"] == both["text_key"]) & rows["row_id"].eqNullSafe(both["doc_id"]), "left")
     return every.select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.col("row_id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.concat_ws(",", "ids"), F.lit("")).cast("binary"), 256).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"))
