@@ -32,8 +32,11 @@ link is inside a merged family, where the exact product finds it.
 
 Defined cases: null and empty texts have no shingles and link with nothing;
 a text with fewer words than a shingle has one shingle, its word sequence;
-repeated rows share a component; a null doc_id has a null component and never
-links; an empty table gives no rows; other columns are ignored.
+repeated rows share a component; rows of one doc_id with different texts are rows
+of their own; a null doc_id has a null component and never links, unless rows
+without doc_id are asked to take part (``unnamed``): then they link like others and
+get the component of the rows they resemble; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -151,22 +154,22 @@ def block_hashes(key: np.ndarray, owner: np.ndarray, size: np.ndarray, percent:
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, n_shingles, set_id, set_id2, sketch`` per row."""
+    """``doc_id, text_key, n_shingles, set_id, set_id2, sketch`` per row."""
     ready(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            for at, buf, offsets in tb.text_chunks(batch.column(1)):
+            for at, buf, offsets in tb.text_chunks(batch.column(2)):
                 n = len(offsets) - 1
                 key, owner = shingles(buf, offsets, k)
                 size, one, two = set_ids(key, owner, n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, n), pa.array(size.astype(np.int64)), pa.array(one.view(np.int64)),
-                     pa.array(two.view(np.int64)), pa.array(sketches(key, owner, size), pa.binary())],
-                    names=["doc_id", "n_shingles", "set_id", "set_id2", "sketch"])
+                    [batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(size.astype(np.int64)),
+                     pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(sketches(key, owner, size), pa.binary())],
+                    names=["doc_id", "text_key", "n_shingles", "set_id", "set_id2", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_id long, set_id2 long, sketch binary")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+        run, "doc_id long, text_key long, n_shingles long, set_id long, set_id2 long, sketch binary")
 
 
 def block_members(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -225,7 +228,7 @@ def block_members(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(b.view(np.int64)), pa.array(i.view(np.int64))],
                                              names=["block", "set_id"])
 
-    return packed_shuffle(docs.where("doc_id is not null").select("text"), send, meet, "block long, set_id long")
+    return packed_shuffle(docs.select("text"), send, meet, "block long, set_id long")
 
 
 def forest(link: np.ndarray) -> np.ndarray:
@@ -263,13 +266,13 @@ def product_links(key: np.ndarray, row: np.ndarray, n: int, percent: int) -> np.
 
 def family_links(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Spanning links ``(a, b)`` of all similar rows of every family.
-    ``members``: ``row, n_shingles, family``."""
+    ``members``: ``row, n_shingles, family``; ``texts``: ``row, text``."""
     spark = texts.sparkSession
     size = members.groupBy("family").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = members.join(size.where("blocks > 0"), "family").withColumn(
         "own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
-    with_text = placed.join(texts.withColumnRenamed("doc_id", "row"), "row")
+    with_text = placed.join(texts, "row")
     spread = with_text.select("family", "row", "text", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = spread.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "row", "text")
 
@@ -344,15 +347,19 @@ def family_merges(members: DataFrame, percent: int) -> DataFrame:
         run, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, unnamed: bool = False) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id`` (the smallest
-    doc_id reachable by links of similarity ``percent`` / 100)."""
+    doc_id reachable by links of similarity ``percent`` / 100). ``unnamed``: rows
+    without doc_id link too."""
+    same = ["set_id", "set_id2", "n_shingles"]
     sets = stored(shingle_sets(docs, k), "sets")
-    rows = stored(sets.where("doc_id is not null and n_shingles > 0").groupBy("set_id", "set_id2", "n_shingles").agg(
-        F.min("doc_id").alias("row"), F.first("sketch").alias("sketch")), "rows")
-    members = stored(block_members(docs, k, percent).join(rows.select("set_id", "row"), "set_id")
+    takes_part = "n_shingles > 0" if unnamed else "n_shingles > 0 and doc_id is not null"
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first")
+    rows = stored(sets.where(takes_part).groupBy(*same).agg(first, F.first("sketch").alias("sketch")).select(
+        *same, "sketch", "first.doc_id", "first.text_key").withColumn("row", F.monotonically_increasing_id()), "rows")
+    named_docs = docs if unnamed else docs.where("doc_id is not null")
+    members = stored(block_members(named_docs, k, percent).join(rows.select("set_id", "row"), "set_id")
                      .select("block", "row").distinct(), "blocks")
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
 
     low = members.groupBy("block").agg(F.min("row").alias("a"))
     strong = members.join(low, "block").where("row <> a").groupBy("a", F.col("row").alias("b")).agg(
@@ -363,9 +370,16 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT)
     open_ = placed.join(mixed.select("block"), "block").join(rows.select("row", "n_shingles", "sketch"), "row")
     merged = components(family_merges(open_, percent)).select(F.col("id").alias("family"), F.col("component").alias("into"))
     known = families.unionByName(merged.select(F.col("family").alias("row"), "family")).distinct()
-    whole = known.join(merged, "family", "left").select("row", F.coalesce("into", "family").alias("family"))
-    found = components(family_links(whole.distinct().join(rows.select("row", "n_shingles"), "row"), texts, k, percent))
-    named = sets.drop("sketch").join(rows.drop("sketch"), ["set_id", "set_id2", "n_shingles"], "left").join(
-        found.select(F.col("id").alias("row"), "component"), "row", "left")
-    return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "row", "doc_id"))
-                        .alias("component_id"))
+    whole = stored(known.join(merged, "family", "left").select("row", F.coalesce("into", "family").alias("family")).distinct(), "whole")
+    wanted = whole.select("row").distinct().join(rows.select("row", F.col("doc_id").alias("id"), F.col("text_key").alias("t")), "row")
+    texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key")).join(
+        wanted, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("id"))).groupBy("row").agg(F.first("text").alias("text"))
+    found = components(family_links(whole.join(rows.select("row", "n_shingles"), "row"), texts, k, percent))
+    placed = rows.join(found.select(F.col("id").alias("row"), "component"), "row", "left").withColumn(
+        "component", F.coalesce("component", "row"))
+    lowest = placed.groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    named = sets.select("doc_id", *same).join(placed.join(lowest, "component").select(*same, "lowest"), same, "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
+    if not unnamed:
+        component = F.when(F.col("doc_id").isNotNull(), component)
+    return named.select("doc_id", "n_shingles", component.alias("component_id"))

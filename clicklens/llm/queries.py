@@ -27,7 +27,7 @@ def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(documents(spark, sf_dir))
+    return jaccard.jaccard_components(documents(spark, sf_dir), unnamed=True)
 
 
 def op5_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
