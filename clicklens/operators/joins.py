@@ -23,3 +23,9 @@ def broadcast_bounded(df: DataFrame, max_rows: int | None) -> DataFrame:
     if max_rows is not None and max_rows <= MAX_BROADCAST_ROWS:
         return F.broadcast(df)
     return df
+
+
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast: for sides that grow with the
+    input, whose packed files or estimates look small. They do not pass the driver."""
+    return df.hint("merge")

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clicklens.operators.joins import by_shuffle
 from clicklens.sinks.files import Folder
 
 
@@ -164,7 +165,7 @@ class MergeTable:
             rest = [c for c in self.columns if c not in self.keys]
             return rows.groupBy(*self.keys).agg(*(F.max_by(c, "seq").alias(c) for c in rest), F.max("seq").alias("seq"))
         newest = rows.groupBy(*self.keys).agg(F.max("seq").alias("seq"))
-        return rows.join(newest, [*self.keys, "seq"], "left_semi")
+        return rows.join(by_shuffle(newest), [*self.keys, "seq"], "left_semi")
 
     def read(self, parts: Iterable | None = None, before_batch: int | None = None, keys: DataFrame | None = None) -> DataFrame:
         """The table, of some partitions, or of some keys only (``keys`` reach the
@@ -176,7 +177,7 @@ class MergeTable:
                 raise ValueError(f"{self.root} is past batch {before_batch}")
             rows = rows.where(F.col("seq") < before_batch)
         if keys is not None:
-            rows = rows.join(keys.select(*self.keys), self.keys, "left_semi")
+            rows = rows.join(by_shuffle(keys.select(*self.keys)), self.keys, "left_semi")
         return self.merged(rows).select(*self.columns)
 
     # -- writing -----------------------------------------------------------------

@@ -302,3 +302,37 @@ def test_fresh_checkpoint_on_old_tables_raises(spark, scratch):
     spark.createDataFrame([("1704067200001 P C 1 2",)] * 3, "value string").coalesce(1).write.text(f"{scratch}/in/b")
     ad_stream.start_ad_stream(spark, source, f"{scratch}/out", 100).awaitTermination()
     assert ad_stream.AdTables.at(spark, f"{scratch}/out").counts.read().first()["click_count"] == 4
+
+
+def test_stream_joins_broadcast_nothing_that_grows(spark, tmp_path):
+    """Events, blacklist, keys and changed totals never pass the driver, however small
+    their files look; only the cities that a remainder by 25 can name do."""
+    import datetime
+
+    from clicklens.sinks.snapshots import ADD, GROUPS, MergeTable
+    from clicklens.sources import fixtures
+    from clicklens.streaming import ad_stream
+
+    at = datetime.datetime(2024, 1, 1)
+    rows = [(i, at, i % 60, "click", 1.0, f"k{i}") for i in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    nations = [(i, f"N {i}", i % 5) for i in range(30)]
+    spark.createDataFrame(nations, "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(i, f"R {i}") for i in range(5)], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    clicks = fixtures.ad_clicks(spark, str(tmp_path))
+    join = clicks._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1]
+    assert "rightHint=(strategy=broadcast)" in join
+    assert sorted((r.user_id, r.city) for r in clicks.collect()) == sorted((i % 60, f"N_{i % 60 % 25}") for i in range(200))
+
+    lines = spark.createDataFrame([("1704067200000 p c 1 2",), ("1704067200000 p c 2 2",), ("bad",)], "value string")
+    listed = spark.createDataFrame([(1,)], "user_id long")
+    marked = ad_stream.marked_lines(lines, listed)
+    assert "BroadcastHashJoin" not in marked._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(r.kind for r in marked.collect()) == ["bad", "blocked", "click"]
+    for rule, keys, more in ((ADD, ["date", "user_id", "ad_id"], {"measure": "click_count"}), (GROUPS, ["date"], {})):
+        table = MergeTable(spark, f"{tmp_path}/{rule}", ad_stream.SCHEMAS["ad_user_click_count"], rule, keys, part_col="date", **more)
+        batch = spark.createDataFrame([("2024-01-01", 1, 2, 3)], ad_stream.SCHEMAS["ad_user_click_count"])
+        table.commit(batch, 0)
+        read = table.read(keys=batch)
+        assert "BroadcastHashJoin" not in read._jdf.queryExecution().sparkPlan().toString()
+        assert [tuple(r) for r in read.collect()] == [("2024-01-01", 1, 2, 3)]
