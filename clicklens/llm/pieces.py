@@ -3,9 +3,9 @@
 Text is cut before each run of spaces; a cut is a word with its leading spaces
 written as the piece file's space mark (a text starts with one extra mark).
 The distinct words of a batch are grouped by length and all words of a length
-advance together: for each end position, substring hashes of every piece length
-probe the sorted piece keys, and the best total score and its backpointer are
-kept (Viterbi). Characters without a piece become byte pieces, so decoding
+advance together: substring hashes of every piece length probe the sorted piece keys
+(those only whose first bits are some piece's), then for each end position the best
+total score and its backpointer are kept (Viterbi). Characters without a piece become byte pieces, so decoding
 gives back every text exactly, also texts that contain the space mark itself.
 
 The piece file is a parameter (``model_path``); its pieces and scores, a fixed
@@ -31,6 +31,7 @@ from clicklens.llm.exchange import ready
 
 MARK = 0x2581
 LITERAL_MARK = 0x110000  # stands for a mark that the text itself holds
+FIRST_BITS = np.uint64(18)  # of a hash, looked up before the piece keys are searched
 CELLS = 100_000  # words times characters that advance together
 KNOWN_WORDS = 500_000
 
@@ -85,6 +86,7 @@ class Pieces:
     keys: np.ndarray  # sorted hashes of normal pieces
     ids: np.ndarray
     scores: np.ndarray
+    seen: np.ndarray  # whether a piece's hash has these first bits
     longest: int
     byte_ids: np.ndarray  # id of the piece of each byte
     unknown: float  # score of a character that falls back to bytes
@@ -113,7 +115,9 @@ class Pieces:
         order = np.argsort(keys)
         scores = np.array([s for _, _, s in found])
         at = np.concatenate([[0], np.cumsum([len(d) for d in decoded])])
-        return Pieces(keys[order], np.array([i for i, _, _ in found], np.int32)[order], scores[order],
+        seen = np.zeros(1 << int(FIRST_BITS), bool)
+        seen[keys >> (np.uint64(64) - FIRST_BITS)] = True
+        return Pieces(keys[order], np.array([i for i, _, _ in found], np.int32)[order], scores[order], seen,
                       max(len(p) for _, p, _ in found), byte_ids, float(scores.min()) - 10.0,
                       np.frombuffer(b"".join(decoded), np.uint8), at)
 
@@ -128,18 +132,21 @@ class Pieces:
         best[:, 0] = 0
         step = np.ones((n, length + 1), np.int32)
         piece = np.zeros((n, length + 1), np.int32)
+        found = [self._places(prefix, down, size) for size in range(1, min(length, self.longest) + 1)]
         for j in range(1, length + 1):
             best[:, j] = best[:, j - 1] + self.unknown
             piece[:, j] = -1 - words[:, j - 1]
-            for size in range(1, min(j, self.longest) + 1):
-                a = j - size
-                key = _finish((prefix[:, j] - prefix[:, a]) * down[a], size)
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                total = np.where(self.keys[at] == key, best[:, a] + self.scores[at], -np.inf)
-                better = total > best[:, j]
-                best[better, j] = total[better]
-                step[better, j] = size
-                piece[better, j] = self.ids[at[better]]
+            for size, (row, at, bounds) in enumerate(found[:j], 1):
+                lo, hi = bounds[j - size], bounds[j - size + 1]
+                if lo == hi:
+                    continue
+                r, p = row[lo:hi], at[lo:hi]
+                total = best[r, j - size] + self.scores[p]
+                better = total > best[r, j]
+                r, p = r[better], p[better]
+                best[r, j] = total[better]
+                step[r, j] = size
+                piece[r, j] = self.ids[p]
         out = np.zeros((n, length), np.int32)
         count, pos, rows = np.zeros(n, np.int64), np.full(n, length), np.arange(n)
         while True:
@@ -153,6 +160,17 @@ class Pieces:
         filled = np.arange(length)[None, :] >= length - count[:, None]
         return out[filled], count
 
+    def _places(self, prefix: np.ndarray, down: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Where pieces of ``size`` characters occur: word and piece by start, and the
+        bounds of each start."""
+        starts = prefix.shape[1] - size
+        key = _finish((prefix[:, size:] - prefix[:, :starts]) * down[:starts], size).T
+        start, row = np.nonzero(self.seen[key >> (np.uint64(64) - FIRST_BITS)])
+        key = key[start, row]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = self.keys[at] == key
+        return row[hit], at[hit], np.searchsorted(start[hit], np.arange(starts + 1)).tolist()
+
     def expand(self, flat: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Replace negative pieces by the byte pieces of their characters."""
         point = np.where(flat < 0, -1 - flat, 0)

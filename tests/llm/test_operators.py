@@ -256,6 +256,28 @@ def test_pieces_round_trip_and_viterbi(docs, sample):
         assert total == pytest.approx(best[-1])
 
 
+def test_pieces_probe_few_keys(monkeypatch):
+    """Places of pieces are those of a plain search, few hashes reach the sorted keys."""
+    model = pieces.Pieces.load(pieces.default_model())
+    rng = np.random.default_rng(3)
+    words_ = rng.choice(np.array([ord(c) for c in "abeinrst▁é"]), (50, 12))
+    up, down = pieces._powers(12)
+    prefix = np.zeros((50, 13), np.uint64)
+    np.cumsum(pieces._char_codes(words_) * up[:12], axis=1, out=prefix[:, 1:])
+    table, probed, search = {int(k): i for i, k in enumerate(model.keys)}, [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *more, **kw: (a is model.keys and probed.append(np.size(v))) or search(a, v, *more, **kw))
+    for size in range(1, 13):
+        row, at, bounds = model._places(prefix, down, size)
+        want = []
+        for a in range(13 - size):
+            for n in range(50):
+                key = int(pieces._finish((prefix[n, a + size] - prefix[n, a]) * down[a], size)[0])
+                want += [(a, n, table[key])] if key in table else []
+        got = [(a, int(r), int(p)) for a in range(13 - size) for r, p in zip(row[bounds[a] : bounds[a + 1]], at[bounds[a] : bounds[a + 1]])]
+        assert got == want
+    assert sum(probed) < 50 * 78 // 2
+
+
 def test_quality_counts_match_brute_force(docs, sample):
     for df in (docs, sample):
         text = dict(pairs(df))
