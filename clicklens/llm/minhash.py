@@ -14,9 +14,12 @@ pair shares none of the 60 bands with probability ``(1 - 0.8^6)^60``, about 1e-8
 Bands never yield all their pairs. Equal sets are one node. First every node is
 compared with one leader, the smallest node it meets, on full sets; most groups of
 copies become one component by that. Only bands that still hold several components
-go on: there all pairs of different components are compared on full sets, in cells of
-at most ``CELL_ROWS`` rows a side, the largest component never with itself, and a
-cell emits a spanning forest of its links.
+go on. ``PASSES`` times the smallest node of such a band is compared with the band's
+other components, each pair once for all bands, and leaves the band; components merge.
+In the bands that are open after that (overlapping ones taken as one) all pairs of different components are compared
+on full sets, in cells of at most ``CELL_ROWS`` rows a side, the largest component
+never with itself, and a cell emits a spanning forest of its links. Links count once
+per pair of components, so a band's many links cost one edge.
 
 Defined cases: null and empty texts have no shingles and link with nothing; a text
 with fewer words than a shingle has one, its word sequence; rows without doc_id link
@@ -39,6 +42,7 @@ from clicklens.llm.jaccard import set_ids, shingles
 
 WORDS, PERCENT = 2, 80
 BINS, ROWS = 360, 6
+PASSES = 1  # times that the smallest node of an open band is compared with the band
 LEADER_ROWS = 512  # rows of one leader that a task compares
 CELL_ROWS, CELL_SHINGLES = 256, 400_000
 LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -173,16 +177,36 @@ def cell_links(texts: list[str], label: np.ndarray, skip: np.ndarray, k: int, pe
                 label[label == label[v]] = label[u]
 
 
-def open_bands(members: DataFrame, families: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``key, node, family, n_shingles`` of the bands that hold several families and
-    a pair not yet compared; of bands with the same members, one."""
-    placed = members.join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
+def open_bands(members: DataFrame, families: DataFrame) -> DataFrame:
+    """``key, lo, node, family`` of the bands ``members(key, node)`` that hold several
+    families, ``lo`` their smallest node; of bands with the same members, one."""
+    placed = members.join(families, "node")
     state = placed.groupBy("key").agg(
-        F.min("family").alias("f1"), F.max("family").alias("f2"), F.count("*").alias("n"), F.min("node").alias("n1"),
-        F.max("node").alias("n2"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bool_or((F.col("lo") == F.col("lead")) & (F.col("node") > F.col("lo"))).alias("met"))
-    state = state.where("f1 < f2 and not (n = 2 and met)").groupBy("n", "n1", "n2", "x").agg(F.min("key").alias("key"))
-    return placed.join(state.select("key"), "key").join(nodes.select("node", "n_shingles"), "node").select(
-        "key", "node", "family", "n_shingles")
+        F.min("family").alias("f1"), F.max("family").alias("f2"), F.count("*").alias("n"), F.min("node").alias("lo"),
+        F.max("node").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("x"))
+    state = state.where("f1 < f2").groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key"))
+    return placed.join(state.select("key", "lo"), "key").select("key", "lo", "node", "family")
+
+
+def overlapping(rest: DataFrame) -> DataFrame:
+    """``key, node, family`` of open bands, where bands of one smallest node are taken as
+    one, so that pairs they share meet once; not where that is more than twice as many
+    nodes as the largest of them has."""
+    bands = rest.groupBy("lo", "key").agg(F.count("*").alias("n"))
+    whole = rest.select("lo", "node").distinct().groupBy("lo").agg(F.count("*").alias("n"))
+    one = bands.groupBy("lo").agg(F.max("n").alias("most")).join(whole, "lo").select("lo", (F.col("n") <= 2 * F.col("most")).alias("one"))
+    # by band, as a smallest node's rows are those of all its bands
+    return rest.join(bands.select("key", "lo").join(one, "lo").drop("lo"), "key").select(F.when(F.col("one"), F.col("lo")).otherwise(F.col("key")).alias("key"), "node", "family").distinct()
+
+
+def absorb(families: DataFrame, links: DataFrame) -> DataFrame:
+    """``families(node, family)`` after ``links(a, b)`` between nodes: only links between
+    different families count, each pair of families once."""
+    side = lambda c: families.select(F.col("node").alias(c), F.col("family").alias(f"f{c}"))
+    edges = links.distinct().join(side("a"), "a").join(side("b"), "b").where("fa <> fb").select(
+        F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).distinct()
+    into = components(edges).select(F.col("id").alias("family"), "component")
+    return stored(families.join(into, "family", "left").select("node", F.coalesce("component", "family").alias("family")), "families")
 
 
 def band_links(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -235,19 +259,27 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     shared = bands.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key", "lo")
     met = stored(bands.join(shared, "key"), "bands")
     leads = stored(met.groupBy("node").agg(F.min("lo").alias("lead")), "leads")
-    members = met.join(leads, "node")
     wanted = leads.select("node").join(nodes.select("node", F.col("doc_id").alias("id"), F.col("text_key").alias("t")), "node")
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
     texts = stored(rows.join(wanted, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("id")))
                    .groupBy("node").agg(F.first("text").alias("text")), "texts")
 
-    close = stored(leader_links(leads.where("lead < node"), texts, k, percent), "links")
-    families = components(close).select(F.col("id").alias("node"), F.col("component").alias("family"))
-    # written, so that the joins of a hot band's rows start from it and can be split
-    more = band_links(stored(open_bands(members, families, nodes), "open"), texts, k, percent)
-    found = components(close.unionByName(more)).select(F.col("id").alias("node"), "component")
-    named = nodes.select("node", *same, F.col("doc_id").alias("low")).join(found, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
+    pairs = done = leads.where("lead < node")
+    families = absorb(leads.select("node", F.col("node").alias("family")), stored(leader_links(pairs, texts, k, percent), "links"))
+    members = met.select("key", "node")
+    for _ in range(PASSES):
+        # written, so that the joins of a hot band's rows start from it and can be split
+        rest = stored(open_bands(members, families), "open")
+        own = rest.where("node = lo").select("key", F.col("family").alias("own"))
+        pairs = stored(rest.join(own, "key").where("family <> own").select(F.col("lo").alias("lead"), "node").distinct()
+                       .join(done, ["lead", "node"], "left_anti"), "pairs")
+        families = absorb(families, stored(leader_links(pairs, texts, k, percent), "links"))
+        members, done = rest.where("node <> lo").select("key", "node"), done.unionByName(pairs)
+    rest = overlapping(stored(open_bands(members, families), "open"))
+    rest = stored(rest.join(nodes.select("node", "n_shingles"), "node"), "open")
+    families = absorb(families, stored(band_links(rest, texts, k, percent), "links"))
+    named = nodes.select("node", *same, F.col("doc_id").alias("low")).join(families, "node", "left").withColumn(
+        "component", F.coalesce("family", "node"))
     lowest = named.groupBy("component").agg(F.min("low").alias("lowest"))
     placed = named.join(lowest, "component").select(*same, "lowest")
     out = sets.select("doc_id", *same).join(placed, same, "left").withColumn(

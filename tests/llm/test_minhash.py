@@ -115,3 +115,26 @@ def test_cells_emit_a_forest():
     assert len(links) == 7
     assert list(minhash.cell_links(texts, np.arange(8), np.arange(8) < 7, 2, 80)) == [(7, 0)] + [(7, i) for i in range(1, 7)]
     assert list(minhash.cell_links(texts, np.zeros(8, int), np.zeros(8, bool), 2, 80)) == []
+
+
+def test_links_of_many_bands_cost_one_edge(spark):
+    """Pairs that many bands share meet once, and families merge by one edge."""
+    bands = [(key, node, node % 4) for key in range(1000, 1040) for node in range(1, 13) if node != key % 12 + 2]
+    rest = minhash.open_bands(spark.createDataFrame([b[:2] for b in bands], "key long, node long"),
+                              spark.createDataFrame([(n, n % 4) for n in range(1, 13)], "node long, family long"))
+    assert {r.lo for r in rest.collect()} == {1} and rest.select("key").distinct().count() == 12
+    met = minhash.overlapping(rest).collect()
+    assert sorted((r.key, r.node, r.family) for r in met) == [(1, n, n % 4) for n in range(1, 13)]
+    apart = [(k, 1 if n == 0 else 10 * k + n) for k in (5, 6, 7, 8) for n in range(3)]
+    rest = minhash.open_bands(spark.createDataFrame(apart, "key long, node long"),
+                              spark.createDataFrame(sorted({(n, n) for _, n in apart}), "node long, family long"))
+    assert {r.key for r in minhash.overlapping(rest).collect()} == {5, 6, 7, 8}
+    families = spark.createDataFrame([(n, n // 10) for n in range(40)], "node long, family long")
+    links = spark.createDataFrame([(a, b) for a in range(10) for b in range(10, 20)], "a long, b long")
+    kept, seen = minhash.components, []
+    try:
+        minhash.components = lambda e: seen.append(e.count()) or kept(e)
+        got = {r.node: r.family for r in minhash.absorb(families, links).collect()}
+    finally:
+        minhash.components = kept
+    assert seen == [1] and got == {n: 0 if n < 20 else n // 10 for n in range(40)}
