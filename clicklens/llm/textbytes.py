@@ -2,7 +2,7 @@
 
 A batch of texts is one byte buffer plus offsets. Everything here works on
 that buffer with numpy: no per-character Python. Callers walk a batch in
-chunks of a few MB (whole documents), so a task's memory follows the chunk and
+chunks of half a MB (whole documents), so a task's memory follows the chunk and
 its longest document, never the batch or partition.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 _U64 = np.uint64
 _RADIX = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
