@@ -1,21 +1,33 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-``P(token | context) = P(class | context) * P(token | class)``. The class of a
-token is a hash of its last two bytes (the end of a text has its own class).
-The class distribution is a softmax over hashed features of the context: the
-previous token, the one before it (skip) and both together (n-gram). Its
-weights are trained by distributed gradient updates: in each round every task
+``P(token | context) = P(class | context) * P(token | class, context)``. Both
+factors have hashed features of the context: the previous token, the one before
+it (skip) and both together (n-gram). The class of a token is a hash of its last
+two bytes (the end of a text has its own class).
+
+The class distribution is a softmax over ``ROWS`` hashed rows of each feature.
+Its weights are trained by distributed gradient updates: in each round every task
 runs mini-batch updates over all training texts it reads, from the weights of
-the round before, and the results are averaged by tokens. Inside a class the
-softmax has one free weight per token, whose optimum is the smoothed relative
-frequency ``(c + 0.1) / (N_class + 0.1 * (V_class + 1))``.
+the round before, and the results are averaged by tokens.
+
+Inside a class the softmax is factored on, down a binary tree of the class's
+tokens (Shannon's code of their frequencies), and every branch has the features of
+the context. Tokens go by class and hash of the previous token to ``group``s of
+about ``GROUP`` tokens (a frequent previous token is spread by the one before
+it), so groups grow in number with the input, and each fits and keeps the weights
+of its own contexts: a table whose rows follow the branches counted in it. Weights
+are fitted feature by feature, by Newton steps on the penalised likelihood of the
+group's training tokens. Tokens of the class that the group's training texts lack
+share one leaf, in which each has its smoothed relative frequency
+``(c + 0.1) / (N_class + 0.1 * (V_class + 1))``; so the probabilities sum to one.
 
 Token counts are over all training texts. Every task cuts its texts into
 flushes of about ``FLUSH`` tokens and asks for each flush's distinct tokens
 once (a request per hash bucket, with the flush's own counts); buckets add up
-the counts and answer each flush. So no vocabulary is broadcast, a token that
-is in every text costs one entry per flush, and scoring is vectorised per
-flush. Only the class totals and the weights, of fixed size, reach the driver.
+the counts and answer each flush, which sends its tokens on to the groups. So no
+vocabulary and no weight inside a class is broadcast, a token that is in every
+text costs one entry per flush, and scoring is vectorised. Only the class totals
+and the weights between classes, of fixed size, reach the driver.
 
 Defined cases: a null or empty text is one token (the end); repeated rows are
 repeated texts and count each; a null doc_id is held out; an empty table gives
@@ -33,9 +45,11 @@ from pyspark.sql import functions as F
 from clicklens.llm import textbytes as tb
 from clicklens.llm.exchange import buckets, partitions, ready, stored
 
-CLASSES, ROWS = 16, 1024  # classes; hashed rows of each of the three features
+CLASSES, ROWS = 16, 2048  # classes; hashed rows of each of the three features
 ROUNDS, BATCH, RATE = 2, 16_384, 0.3
-FLUSH = 1_000_000
+FLUSH = 2_000_000
+GROUP, BUCKET = 250_000, 1_000_000  # tokens fitted together inside a class; tokens of a bucket of groups
+SWEEPS, PENALTY = 1, 0.25  # Newton steps for each feature; weight of the squared weights
 ALPHA = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
 BEGIN = np.uint64(0x14057B7EF767814F)
@@ -60,14 +74,24 @@ def tokens(buf: np.ndarray, offsets: np.ndarray):
     return key, kind, owner
 
 
-def context(key: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
-    """Rows of the three feature tables for every token."""
-    one, two = np.full_like(key, BEGIN), np.full_like(key, BEGIN)
+def before(key: np.ndarray, owner: np.ndarray, begin=BEGIN) -> tuple[np.ndarray, np.ndarray]:
+    """The previous token and the one before it, for every token."""
+    one, two = np.full_like(key, begin), np.full_like(key, begin)
     same = owner[1:] == owner[:-1]
     one[1:][same] = key[:-1][same]
     same = owner[2:] == owner[:-2]
     two[2:][same] = key[:-2][same]
-    parts = (one, two, one + tb.mix(two))
+    return one, two
+
+
+def pair(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Previous token, skip and n-gram."""
+    return one, two, one + tb.mix(two)
+
+
+def context(key: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
+    """Rows of the three feature tables of the class softmax for every token."""
+    parts = pair(*before(key, owner))
     return [(tb.mix(p + seed) % np.uint64(ROWS)).astype(np.uint16) for p, seed in zip(parts, _KIND_SEED)]
 
 
@@ -123,26 +147,49 @@ def train(texts: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     return weights
 
 
+def squeezed(blob: bytes) -> bytes:
+    return len(blob).to_bytes(8, "little") + pa.compress(blob, codec="zstd", asbytes=True)
+
+
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """The arrays as one compressed blob."""
+    return squeezed(tb.pack(*arrays))
+
+
+def by_rank(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, the most frequent first, and the rank of each entry, which
+    compresses better than its value."""
+    value, at, count = np.unique(x, return_inverse=True, return_counts=True)
+    order = np.argsort(-count, kind="stable")
+    rank = np.empty(len(order), dtype=np.uint32)
+    rank[order] = np.arange(len(order))
+    return value[order], rank[at]
+
+
+def expand(blob: bytes, *dtypes) -> list[np.ndarray]:
+    plain = pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    return tb.unpack(plain, *dtypes)
+
+
 ASK = (np.uint64, np.uint32, np.uint32, np.uint8)  # token hash, place in the flush, training count, class
 DOC = (np.int64, np.uint8, np.uint8, np.uint32, np.float64)  # id, id is null, held out, tokens, class log10
 
 
 def requests(texts: DataFrame, weights: np.ndarray) -> DataFrame:
     """Per flush: requests by bucket (``bucket >= 0``) and one row of its
-    token sequence, documents and their class counts (``bucket = -1``)."""
+    token sequence, documents and distinct tokens (``bucket = -1``)."""
     n_buckets = buckets(texts.sparkSession)
     schema = pa.schema([("flush", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary()), ("docs", pa.binary()),
-                        ("classes", pa.binary())])
+                        ("keys", pa.binary())])
 
     def flush(number, held):
         key, kind, train_token = (np.concatenate([h[k] for h in held]) for k in range(3))
         distinct, first, place = np.unique(key, return_index=True, return_inverse=True)
         count = np.bincount(place, weights=train_token, minlength=len(distinct)).astype(np.uint32)
-        rows = [(number, b, blob, b"", b"") for b, blob in
+        rows = [(number, b, squeezed(blob), b"", b"") for b, blob in
                 tb.by_bucket(distinct, n_buckets, distinct, np.arange(len(distinct), dtype=np.uint32), count, kind[first])]
         docs = tb.pack(*(np.concatenate([h[3][k] for h in held]).astype(t) for k, t in enumerate(DOC)))
-        classes = np.concatenate([h[4] for h in held]).astype(np.uint32)
-        rows.append((number, -1, tb.pack(place.astype(np.uint32)), docs, tb.pack(classes.ravel())))
+        rows.append((number, -1, squeeze(place.astype(np.uint32)), docs, squeeze(distinct, kind[first])))
         for a in range(0, len(rows), 128):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 128]), schema.types)],
                                              schema=schema)
@@ -166,8 +213,7 @@ def requests(texts: DataFrame, weights: np.ndarray) -> DataFrame:
                 here = slice(at, at + n)
                 docs = (ids[here], null[here], ~trains[here], np.bincount(owner, minlength=n),
                         np.bincount(owner, weights=logp, minlength=n) / np.log(10))
-                classes = np.bincount(owner * CLASSES + kind, minlength=n * CLASSES).reshape(n, CLASSES)
-                held.append((key, kind, trains[here][owner], docs, classes))
+                held.append((key, kind, trains[here][owner], docs))
                 size += len(key)
                 if size >= FLUSH:
                     yield from flush(number, held)
@@ -176,7 +222,7 @@ def requests(texts: DataFrame, weights: np.ndarray) -> DataFrame:
             yield from flush(number, held)
 
     return texts.select("doc_id", "text", "train").mapInArrow(
-        run, "flush long, bucket int, blob binary, docs binary, classes binary")
+        run, "flush long, bucket int, blob binary, docs binary, keys binary")
 
 
 def answers(asked: DataFrame) -> DataFrame:
@@ -187,7 +233,7 @@ def answers(asked: DataFrame) -> DataFrame:
     schema = pa.schema([("flush", pa.int64()), ("blob", pa.binary()), ("n", pa.list_(pa.int64())), ("v", pa.list_(pa.int64()))])
 
     def bucket(rows):
-        parts = [tb.unpack(blob, *ASK) for _, blob in rows]
+        parts = [expand(blob, *ASK) for _, blob in rows]
         sizes = [len(p[0]) for p in parts]
         key, place, count, kind = (np.concatenate(x) for x in zip(*parts))
         distinct, first, group = np.unique(key, return_index=True, return_inverse=True)
@@ -198,7 +244,7 @@ def answers(asked: DataFrame) -> DataFrame:
                 np.bincount(k, minlength=CLASSES).tolist())]
         at = np.concatenate([[0], np.cumsum(sizes)])
         for (flush, _), a, b in zip(rows, at[:-1], at[1:]):
-            out.append((flush, tb.pack(place[a:b], total[group[a:b]]), None, None))
+            out.append((flush, squeeze(place[a:b], total[group[a:b]]), None, None))
         for a in range(0, len(out), 256):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[a : a + 256]), schema.types)],
                                              schema=schema)
@@ -220,46 +266,204 @@ def answers(asked: DataFrame) -> DataFrame:
         run, "flush long, blob binary, n array<long>, v array<long>")
 
 
-def scores(asked: DataFrame, answered: DataFrame, n_class: np.ndarray, v_class: np.ndarray) -> DataFrame:
-    total, distinct = int(n_class.sum()), int(v_class.sum())
-    base = np.log10(total + ALPHA * (distinct + 1))
-    inside = np.log10(n_class + ALPHA * (v_class + 1))
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-
-    def judge(rows):
-        sent = next(r for r in rows if r[2])
-        (place,) = tb.unpack(sent[1], np.uint32)
-        ids, null, held_out, n_tokens, class_log = tb.unpack(sent[2], *DOC)
-        classes = tb.unpack(sent[3], np.uint32)[0].reshape(len(ids), CLASSES)
-        count = np.zeros(int(place.max()) + 1, dtype=np.int64)
-        for r in rows:
-            if not r[2]:
-                at, c = tb.unpack(r[1], np.uint32, np.int64)
-                count[at] = c
-        doc = np.repeat(np.arange(len(ids)), n_tokens)
-        known = np.bincount(doc, weights=(count > 0)[place], minlength=len(ids)).astype(np.int64)
-        free = np.bincount(doc, weights=np.log10(count + ALPHA)[place], minlength=len(ids))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, mask=null.astype(bool)), pa.array(held_out.astype(bool)), pa.array(n_tokens.astype(np.int64)),
-             pa.array(known), pa.array(np.full(len(ids), total)), pa.array(free - n_tokens * base),
-             pa.array(free - classes @ inside + class_log)], names=names)
+def by_key(rows: DataFrame, key: str, n: int, per_key, schema: str) -> DataFrame:
+    """Rows ``(key, ...)`` of one key meet in one task, key after key, in the order of
+    ``flush``: ``per_key(list of rows)`` yields record batches of ``schema``."""
 
     def run(batches):
         current, held = None, []
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[0] != current and held:
-                    yield from judge(held)
+                    yield from per_key(held)
                     held = []
                 current = row[0]
                 held.append(row)
         if held:
-            yield from judge(held)
+            yield from per_key(held)
+
+    order = [key] if key == "flush" else [key, "flush"]
+    return rows.repartition(n, key).sortWithinPartitions(*order).mapInArrow(run, schema)
+
+
+WORD = (np.uint64, np.uint8, np.int64)  # token hash, class, training count
+EVENT = (np.uint32, np.uint32, np.uint32, np.uint32, np.uint32, np.uint8)  # word, previous, skip, group, doc, trains
+BASE = (np.int64, np.float64)  # known tokens, sum of log10(c + 0.1)
+
+
+def routed(asked: DataFrame, answered: DataFrame, n_class: np.ndarray) -> DataFrame:
+    """Per flush one row of its documents with their base counts (``bucket < 0``) and its tokens
+    with their contexts by bucket of groups."""
+    spark = asked.sparkSession
+    split = np.maximum(1, -(-n_class.astype(np.int64) // GROUP)).astype(np.uint64)
+    first_group = np.concatenate([[0], np.cumsum(split)[:-1]]).astype(np.uint64)
+    n_buckets = max(partitions(spark), int(n_class.sum()) // BUCKET)
+    schema = pa.schema([("flush", pa.int64()), ("bucket", pa.int64()), ("words", pa.list_(pa.binary())), ("blob", pa.binary()),
+                        ("base", pa.binary())])
+
+    def send(rows):
+        sent = next(r for r in rows if r[2])
+        (place,) = expand(sent[1], np.uint32)
+        key, kind = expand(sent[3], np.uint64, np.uint8)
+        docs = tb.unpack(sent[2], *DOC)
+        n_tokens = docs[3]
+        count = np.zeros(len(key), dtype=np.int64)
+        for r in rows:
+            if not r[2]:
+                at, c = expand(r[1], np.uint32, np.int64)
+                count[at] = c
+        doc = np.repeat(np.arange(len(n_tokens), dtype=np.uint32), n_tokens)
+        known = np.bincount(doc, weights=(count > 0)[place], minlength=len(n_tokens)).astype(np.int64)
+        free = np.bincount(doc, weights=np.log10(count + ALPHA)[place], minlength=len(n_tokens))
+        out = [(sent[0], -1 - sent[0], [], sent[2], tb.pack(known, free))]
+        one, two = before(place, doc, np.uint32(len(key)))  # by place; the begin of a text is behind all
+        hashed = np.append(key, BEGIN)
+        short = (hashed >> np.uint64(32)).astype(np.uint32)
+        often = np.append(count > GROUP, False)
+        share = tb.mix(hashed[one] + np.where(often[one], tb.mix(hashed)[two], np.uint64(0)))
+        c = kind[place]
+        group = (first_group[c] + share % split[c]).astype(np.uint32)
+        bucket = (tb.mix(group) % np.uint64(n_buckets)).astype(np.uint32)
+        del share, c
+        trains = (docs[2] == 0).astype(np.uint8)
+        order = np.argsort(bucket, kind="stable")
+        heads = tb.runs(bucket[order])
+        for a, b in zip(heads, np.append(heads[1:], len(order))):
+            here = order[a:b]
+            (used, at), (before_one, at_one), (before_two, at_two) = (by_rank(x[here]) for x in (place, one, two))
+            words = (squeeze(key[used], kind[used], count[used]), squeeze(short[before_one]), squeeze(short[before_two]))
+            out.append((sent[0], int(bucket[here[0]]), words,
+                        squeeze(at, at_one, at_two, group[here], doc[here], trains[doc[here]]), b""))
+        for a in range(0, len(out), 64):
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[a : a + 64]), schema.types)], schema=schema)
+
+    sent = asked.where("bucket < 0").select("flush", "blob", "docs", "keys")
+    got = answered.where("flush is not null").select("flush", "blob", F.lit(b"").alias("docs"), F.lit(b"").alias("keys"))
+    return by_key(sent.unionByName(got), "flush", partitions(spark), send,
+                  "flush long, bucket long, words array<binary>, blob binary, base binary")
+
+
+def tree(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shannon's code of leaves with these masses: per leaf (from ``at``) its branches and
+    turns, and per branch the log odds of turn 1."""
+    order = np.argsort(-mass, kind="stable")
+    share = mass[order] / mass.sum()
+    length = np.maximum(1, np.ceil(-np.log2(share) - 1e-9)).astype(np.int64)
+    length = np.maximum.accumulate(length)
+    units = np.int64(1) << (length.max() - length)
+    code = (np.cumsum(units) - units) >> (length.max() - length)
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = np.arange(len(order))
+    length, code = length[back], code[back]
+    leaf = np.repeat(np.arange(len(mass)), length)
+    depth = np.arange(len(leaf)) - np.repeat(np.cumsum(length) - length, length)
+    rest = length[leaf] - depth
+    node = (np.int64(1) << depth) | (code[leaf] >> rest)
+    turn = (code[leaf] >> (rest - 1)) & 1
+    _, branch = np.unique(node, return_inverse=True)
+    right = np.bincount(branch, weights=mass[leaf] * turn)
+    left = np.bincount(branch, weights=mass[leaf] * (1 - turn))
+    real = (right > 0) & (left > 0)  # the other branches have one way only
+    odds = np.log(right[real] / left[real])
+    keep = real[branch]
+    renumber = np.cumsum(real) - 1
+    at = np.concatenate([[0], np.cumsum(np.bincount(leaf[keep], minlength=len(mass)))])
+    return at, renumber[branch[keep]], turn[keep], odds
+
+
+def inside(word: np.ndarray, one: np.ndarray, two: np.ndarray, trains: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Natural log of ``P(token | class, context)`` of a group's tokens. ``word`` numbers
+    them, ``share`` is each word's smoothed relative frequency in the class."""
+    count = np.bincount(word[trains], minlength=len(share))
+    leaves = np.flatnonzero(count)
+    other = max(1.0 - share[leaves].sum(), 1e-12)
+    mass = np.append(count[leaves] + len(leaves) * share[leaves], max(len(leaves), 1) * other)
+    at, branch, turn, odds = tree(mass)
+    leaf = np.full(len(share), len(leaves))
+    leaf[leaves] = np.arange(len(leaves))
+    extra = np.where(count > 0, 0.0, np.log(share / other))
+    size = np.diff(at)[leaf[word]]
+    token = np.repeat(np.arange(len(word)), size)
+    step = at[leaf[word]][token] + np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
+    z, bit, fit = odds[branch[step]], turn[step].astype(np.float64), trains[token]
+    down = tb.mix(branch.astype(np.uint64) + END)[step]
+    bits = max(1, int(fit.sum()).bit_length())  # a row or more for each branch passed in training
+    keep = fit.astype(np.float64)
+    rows = [((tb.mix(c + seed)[token] + down) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+            for c, seed in zip(pair(one.astype(np.uint64), two.astype(np.uint64)), _KIND_SEED)]
+    weights = np.zeros((3, 1 << bits))
+    for _ in range(SWEEPS):
+        for w, r in zip(weights, rows):
+            p = 1 / (1 + np.exp(-z))
+            p_fit = p * keep
+            slope = np.bincount(r, weights=bit * keep - p_fit, minlength=len(w)) - PENALTY * w
+            move = np.clip(slope / (np.bincount(r, weights=p_fit * (1 - p), minlength=len(w)) + PENALTY), -4, 4)
+            w += move
+            z += move[r]
+    logp = -np.logaddexp(0, np.where(bit > 0, -z, z))
+    return np.bincount(token, weights=logp, minlength=len(word)) + extra[word]
+
+
+def inner(events: DataFrame, n_class: np.ndarray, v_class: np.ndarray) -> DataFrame:
+    """Per flush and bucket of groups the log10 probabilities of tokens inside their
+    class, summed by document; the rows of documents pass."""
+    below = n_class + ALPHA * (v_class + 1)
+    schema = pa.schema([("flush", pa.int64()), ("blob", pa.binary()), ("base", pa.binary())])
+
+    def bucket(rows):
+        if rows[0][0] < 0:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*((r[1], r[3], r[4]) for r in rows)), schema.types)],
+                                             schema=schema)
+            return
+        key, kind, count = (np.concatenate(x) for x in zip(*(expand(r[2][0], *WORD) for r in rows)))
+        parts = [expand(r[3], *EVENT) for r in rows]
+        words = np.cumsum([0] + [int(p[0].max()) + 1 for p in parts])
+        size = [len(p[0]) for p in parts]
+        one, two = (np.concatenate([expand(r[2][k], np.uint32)[0][p[k]] for r, p in zip(rows, parts)]) for k in (1, 2))
+        place, _, _, group, doc, trains = (np.concatenate(x) for x in zip(*parts))
+        place = place + np.repeat(words[:-1], size)
+        _, first, same = np.unique(key, return_index=True, return_inverse=True)
+        share = (count[first] + ALPHA) / below[kind[first]]
+        word = same[place]
+        order = np.argsort(group, kind="stable")
+        heads = tb.runs(group[order])
+        logp = np.empty(len(word))
+        for a, b in zip(heads, np.append(heads[1:], len(order))):
+            here = order[a:b]
+            used, local = np.unique(word[here], return_inverse=True)
+            logp[here] = inside(local, one[here], two[here], trains[here] > 0, share[used])
+        at = np.concatenate([[0], np.cumsum(size)])
+        out = []
+        for r, a, b in zip(rows, at[:-1], at[1:]):
+            docs, which = np.unique(doc[a:b], return_inverse=True)
+            out.append((r[1], squeeze(docs, (np.bincount(which, weights=logp[a:b]) / np.log(10)).astype(np.float32)), b""))
+        for a in range(0, len(out), 256):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[a : a + 256]), schema.types)], schema=schema)
+
+    return by_key(events.select("bucket", "flush", "words", "blob", "base"), "bucket", partitions(events.sparkSession), bucket,
+                  "flush long, blob binary, base binary")
+
+
+def scores(found: DataFrame, n_class: np.ndarray, v_class: np.ndarray) -> DataFrame:
+    total, distinct = int(n_class.sum()), int(v_class.sum())
+    base = np.log10(total + ALPHA * (distinct + 1))
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def judge(rows):
+        sent = next(r for r in rows if r[2])
+        ids, null, held_out, n_tokens, class_log = tb.unpack(sent[1], *DOC)
+        known, free = tb.unpack(sent[2], *BASE)
+        logs = np.array(class_log)
+        parts = [expand(r[1], np.uint32, np.float32) for r in rows if not r[2]]
+        doc, part = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((part, doc))  # one order of summing, whatever order the parts come in
+        logs = logs + np.bincount(doc[order], weights=part[order], minlength=len(ids))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, mask=null.astype(bool)), pa.array(held_out.astype(bool)), pa.array(n_tokens.astype(np.int64)),
+             pa.array(known), pa.array(np.full(len(ids), total)), pa.array(free - n_tokens * base), pa.array(logs)], names=names)
 
-    sent = asked.where("bucket < 0").select("flush", "blob", "docs", "classes")
-    got = answered.where("flush is not null").select("flush", "blob", F.lit(b"").alias("docs"), F.lit(b"").alias("classes"))
-    return sent.unionByName(got).repartition(partitions(asked.sparkSession), "flush").sortWithinPartitions("flush").mapInArrow(
-        run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return by_key(found, "flush", partitions(found.sparkSession), judge,
+                  "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def with_fold(docs: DataFrame, modulus: int) -> DataFrame:
@@ -278,4 +482,4 @@ def score_documents(docs: DataFrame, modulus: int = 10, rounds: int = ROUNDS) ->
               .groupBy("k").agg(F.sum("x.n").alias("n"), F.sum("x.v").alias("v")).toPandas())
     n_class, v_class = np.zeros(CLASSES), np.zeros(CLASSES)
     n_class[totals["k"]], v_class[totals["k"]] = totals["n"], totals["v"]
-    return scores(asked, answered, n_class, v_class)
+    return scores(inner(routed(asked, answered, n_class), n_class, v_class), n_class, v_class)

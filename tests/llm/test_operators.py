@@ -226,6 +226,36 @@ def test_language_model_edges(docs):
     assert got[0].n_tokens == got[1].n_tokens == 1 and got[None].held_out and len(got) == len(TEXTS) + 1
 
 
+def test_language_model_context_inside_class(spark):
+    """Two words of one class follow two others: only features inside the class tell them apart."""
+    turn = np.random.default_rng(5).integers(0, 2, (300, 40))
+    df = rows_of(spark, [" ".join("p xxab" if x else "q yyab" for x in row) for row in turn])
+    got = lm.score_documents(df).toPandas()
+    out = got[got.held_out]
+    free = 40 * math.log10(0.5)  # one free choice in two words; frequencies inside the class take another
+    classes = 40 * math.log10(0.5)  # more than the class factor loses, which learns in few batches here
+    assert len(out) > 10 and out.score.mean() > free + classes
+
+
+def test_language_model_inside_sums_to_one():
+    rng = np.random.default_rng(6)
+    share = rng.dirichlet(np.ones(50))
+    word = np.append(rng.choice(40, 3000, p=share[:40] / share[:40].sum()), np.arange(50))  # ten words have no training token
+    one, two = rng.integers(0, 9, (2, len(word)), dtype=np.uint32)
+    one[-50:], two[-50:] = 3, 4
+    logp = lm.inside(word, one, two, np.arange(len(word)) < 3000, share)
+    assert np.exp(logp[-50:]).sum() == pytest.approx(1, rel=1e-6)
+
+
+def test_language_model_groups_by_previous_word(sample, monkeypatch):
+    whole = lm.score_documents(sample, rounds=1).toPandas().set_index("doc_id")
+    monkeypatch.setattr(lm, "GROUP", 300)  # many groups, and words that are more frequent than one holds
+    split = lm.score_documents(sample, rounds=1).toPandas().set_index("doc_id").loc[whole.index]
+    assert (split.n_known == whole.n_known).all() and np.allclose(split.base_score, whole.base_score)
+    out = split[split.held_out]
+    assert np.isfinite(split.score).all() and out.score.sum() > out.base_score.sum()
+
+
 def test_pieces_round_trip_and_viterbi(docs, sample):
     for df in (docs, sample):
         assert all(r.round_trip for r in pieces.encode_documents(df).collect())
