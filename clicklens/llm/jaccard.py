@@ -306,13 +306,21 @@ def family_links(members: DataFrame, texts: DataFrame, k: int, percent: int) ->
         run, "a long, b long")
 
 
+def open_blocks(placed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of blocks with several families, with ``blocks``, the row blocks of their block.
+    ``placed``: ``block, row, family``. Families and rows of a block are counted in one pass and
+    joined once, a row to a block, so a block of n rows gives n."""
+    mixed = placed.groupBy("block").agg(F.min("family").alias("lo"), F.max("family").alias("hi"), F.ceil(
+        F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).where("lo < hi").select("block", "blocks")
+    return placed.join(mixed, "block").join(rows.select("row", "n_shingles", "sketch"), "row")
+
+
 def family_merges(members: DataFrame, percent: int) -> DataFrame:
     """Spanning links ``(a, b)`` of families that hold rows of one block whose
     sketches do not rule out a link. ``members``: ``block, row, family,
-    n_shingles, sketch``."""
+    n_shingles, sketch, blocks``."""
     spark = members.sparkSession
-    size = members.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    placed = members.join(size, "block").withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    placed = members.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = spread.select("block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                           "family", "n_shingles", "sketch")
@@ -366,9 +374,7 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
         F.count("*").alias("n")).where(F.col("n") >= STRONG)
     families = stored(components(strong).select(F.col("id").alias("row"), F.col("component").alias("family")), "families")
     placed = members.join(families, "row", "left").select("block", "row", F.coalesce("family", "row").alias("family"))
-    mixed = placed.groupBy("block").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).where("lo < hi")
-    open_ = placed.join(mixed.select("block"), "block").join(rows.select("row", "n_shingles", "sketch"), "row")
-    merged = components(family_merges(open_, percent)).select(F.col("id").alias("family"), F.col("component").alias("into"))
+    merged = components(family_merges(open_blocks(placed, rows), percent)).select(F.col("id").alias("family"), F.col("component").alias("into"))
     known = families.unionByName(merged.select(F.col("family").alias("row"), "family")).distinct()
     whole = stored(known.join(merged, "family", "left").select("row", F.coalesce("into", "family").alias("family")).distinct(), "whole")
     wanted = whole.select("row").distinct().join(rows.select("row", F.col("doc_id").alias("id"), F.col("text_key").alias("t")), "row")

@@ -151,6 +151,17 @@ def test_jaccard_product_of_a_large_family(spark):
     assert got == {0}
 
 
+def test_jaccard_open_blocks_are_joined_once(spark):
+    placed = spark.createDataFrame([*((7, i, i // 10) for i in range(40)), (8, 1, 0), (8, 2, 0)], "block long, row long, family long")
+    rows = spark.createDataFrame([(i, 64, bytes(8)) for i in range(40)], "row long, n_shingles long, sketch binary")
+    open_ = jaccard.open_blocks(placed, rows)
+    assert {(r.block, r.blocks) for r in open_.collect()} == {(7, 1)} and open_.count() == 40
+    merges = jaccard.family_merges(open_, 80)
+    links = merges.collect()
+    assert len({r.a for r in links}) == 1 and {x for r in links for x in r} == {0, 1, 2, 3}
+    assert merges._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2  # by block and by row
+
+
 @pytest.mark.parametrize("key", ["op3_secret_ownership", "op7_prefix_decontamination", "op12_prefix_trie", "op4_jaccard_join", "op13_minhash_dedup"])
 def test_sql_twins(spark, key):
     df = queries.registry()[key](spark, SF)
