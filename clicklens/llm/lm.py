@@ -156,14 +156,22 @@ def squeeze(*arrays: np.ndarray) -> bytes:
     return squeezed(tb.pack(*arrays))
 
 
-def by_rank(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values, the most frequent first, and the rank of each entry, which
-    compresses better than its value."""
-    value, at, count = np.unique(x, return_inverse=True, return_counts=True)
-    order = np.argsort(-count, kind="stable")
-    rank = np.empty(len(order), dtype=np.uint32)
-    rank[order] = np.arange(len(order))
-    return value[order], rank[at]
+def numbered(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and the number of each entry among them; entries are below ``n``."""
+    if n > 16 * len(x):
+        return np.unique(x, return_inverse=True)
+    seen = np.zeros(n, dtype=bool)
+    seen[x] = True
+    value = np.flatnonzero(seen)
+    number = np.empty(n, dtype=np.uint32)
+    number[value] = np.arange(len(value), dtype=np.uint32)
+    return value, number[x]
+
+
+def by_count(count: np.ndarray) -> np.ndarray:
+    """A flush's distinct tokens (ascending by hash) by their training count in it, the most frequent
+    first: their numbers are small, so sequences of them compress."""
+    return np.argsort(-count.astype(np.int64), kind="stable")
 
 
 def expand(blob: bytes, *dtypes) -> list[np.ndarray]:
@@ -171,25 +179,27 @@ def expand(blob: bytes, *dtypes) -> list[np.ndarray]:
     return tb.unpack(plain, *dtypes)
 
 
-ASK = (np.uint64, np.uint32, np.uint32, np.uint8)  # token hash, place in the flush, training count, class
+ASK = (np.uint64, np.uint32, np.uint8)  # token hash, training count in the flush, class
 DOC = (np.int64, np.uint8, np.uint8, np.uint32, np.float64)  # id, id is null, held out, tokens, class log10
 
 
 def requests(texts: DataFrame, weights: np.ndarray) -> DataFrame:
-    """Per flush: requests by bucket (``bucket >= 0``) and one row of its
-    token sequence, documents and distinct tokens (``bucket = -1``)."""
+    """Per flush: requests by bucket (``bucket >= 0``), which are all its distinct tokens, and one
+    row of its documents and its token sequence, by places in ``by_count`` (``bucket = -1``)."""
     n_buckets = buckets(texts.sparkSession)
-    schema = pa.schema([("flush", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary()), ("docs", pa.binary()),
-                        ("keys", pa.binary())])
+    schema = pa.schema([("flush", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary()), ("docs", pa.binary())])
 
     def flush(number, held):
         key, kind, train_token = (np.concatenate([h[k] for h in held]) for k in range(3))
-        distinct, first, place = np.unique(key, return_index=True, return_inverse=True)
+        distinct, place = np.unique(key, return_inverse=True)
         count = np.bincount(place, weights=train_token, minlength=len(distinct)).astype(np.uint32)
-        rows = [(number, b, squeezed(blob), b"", b"") for b, blob in
-                tb.by_bucket(distinct, n_buckets, distinct, np.arange(len(distinct), dtype=np.uint32), count, kind[first])]
+        kinds = np.empty(len(distinct), dtype=np.uint8)
+        kinds[place] = kind
+        rows = [(number, b, squeezed(blob), b"") for b, blob in tb.by_bucket(distinct, n_buckets, distinct, count, kinds)]
         docs = tb.pack(*(np.concatenate([h[3][k] for h in held]).astype(t) for k, t in enumerate(DOC)))
-        rows.append((number, -1, squeeze(place.astype(np.uint32)), docs, squeeze(distinct, kind[first])))
+        rank = np.empty(len(distinct), dtype=np.uint32)
+        rank[by_count(count)] = np.arange(len(distinct), dtype=np.uint32)
+        rows.append((number, -1, squeeze(rank[place]), docs))
         for a in range(0, len(rows), 128):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 128]), schema.types)],
                                              schema=schema)
@@ -222,29 +232,30 @@ def requests(texts: DataFrame, weights: np.ndarray) -> DataFrame:
             yield from flush(number, held)
 
     return texts.select("doc_id", "text", "train").mapInArrow(
-        run, "flush long, bucket int, blob binary, docs binary, keys binary")
+        run, "flush long, bucket int, blob binary, docs binary")
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """Per flush and bucket the corpus counts of its tokens, and per bucket a
+    """Per flush and bucket the corpus counts of its tokens in the order of the request, and per bucket a
     row (``flush`` null) with the training tokens and distinct training tokens
     of each class."""
     n = partitions(asked.sparkSession)
-    schema = pa.schema([("flush", pa.int64()), ("blob", pa.binary()), ("n", pa.list_(pa.int64())), ("v", pa.list_(pa.int64()))])
+    schema = pa.schema([("flush", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary()), ("n", pa.list_(pa.int64())),
+                        ("v", pa.list_(pa.int64()))])
 
-    def bucket(rows):
+    def bucket(number, rows):
         parts = [expand(blob, *ASK) for _, blob in rows]
         sizes = [len(p[0]) for p in parts]
-        key, place, count, kind = (np.concatenate(x) for x in zip(*parts))
+        key, count, kind = (np.concatenate(x) for x in zip(*parts))
         distinct, first, group = np.unique(key, return_index=True, return_inverse=True)
         total = np.bincount(group, weights=count, minlength=len(distinct)).astype(np.int64)
         known = total > 0
         k = kind[first][known]
-        out = [(None, b"", np.bincount(k, weights=total[known], minlength=CLASSES).astype(np.int64).tolist(),
+        out = [(None, number, b"", np.bincount(k, weights=total[known], minlength=CLASSES).astype(np.int64).tolist(),
                 np.bincount(k, minlength=CLASSES).tolist())]
         at = np.concatenate([[0], np.cumsum(sizes)])
         for (flush, _), a, b in zip(rows, at[:-1], at[1:]):
-            out.append((flush, squeeze(place[a:b], total[group[a:b]]), None, None))
+            out.append((flush, number, squeeze(total[group[a:b]]), None, None))
         for a in range(0, len(out), 256):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[a : a + 256]), schema.types)],
                                              schema=schema)
@@ -254,16 +265,16 @@ def answers(asked: DataFrame) -> DataFrame:
         for batch in batches:
             for b, flush, blob in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if b != current and held:
-                    yield from bucket(held)
+                    yield from bucket(current, held)
                     held = []
                 current = b
                 held.append((flush, blob))
         if held:
-            yield from bucket(held)
+            yield from bucket(current, held)
 
     asks = asked.where("bucket >= 0").select("bucket", "flush", "blob")
     return asks.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        run, "flush long, blob binary, n array<long>, v array<long>")
+        run, "flush long, bucket int, blob binary, n array<long>, v array<long>")
 
 
 def by_key(rows: DataFrame, key: str, n: int, per_key, schema: str) -> DataFrame:
@@ -287,58 +298,70 @@ def by_key(rows: DataFrame, key: str, n: int, per_key, schema: str) -> DataFrame
 
 
 WORD = (np.uint64, np.uint8, np.int64)  # token hash, class, training count
-EVENT = (np.uint32, np.uint32, np.uint32, np.uint32, np.uint32, np.uint8)  # word, previous, skip, group, doc, trains
+EVENT = (np.uint32, np.uint32, np.uint32, np.uint32)  # word, previous, skip, steps between doc numbers
+RUN = (np.uint32, np.uint32)  # group, tokens
 BASE = (np.int64, np.float64)  # known tokens, sum of log10(c + 0.1)
 
 
 def routed(asked: DataFrame, answered: DataFrame, n_class: np.ndarray) -> DataFrame:
     """Per flush one row of its documents with their base counts (``bucket < 0``) and its tokens
-    with their contexts by bucket of groups."""
+    with their contexts by bucket of groups. Neighbouring groups, mostly of one class, share a bucket,
+    and a blob is in the order of groups and documents: so it has few words and compresses."""
     spark = asked.sparkSession
     split = np.maximum(1, -(-n_class.astype(np.int64) // GROUP)).astype(np.uint64)
     first_group = np.concatenate([[0], np.cumsum(split)[:-1]]).astype(np.uint64)
-    n_buckets = max(partitions(spark), int(n_class.sum()) // BUCKET)
+    n_groups = int(split.sum())
+    width = max(1, n_groups // max(partitions(spark), int(n_class.sum()) // BUCKET))  # groups of a bucket
     schema = pa.schema([("flush", pa.int64()), ("bucket", pa.int64()), ("words", pa.list_(pa.binary())), ("blob", pa.binary()),
                         ("base", pa.binary())])
 
     def send(rows):
-        sent = next(r for r in rows if r[2])
-        (place,) = expand(sent[1], np.uint32)
-        key, kind = expand(sent[3], np.uint64, np.uint8)
-        docs = tb.unpack(sent[2], *DOC)
+        blobs = {(got, bucket): (blob, docs) for _, bucket, got, blob, docs in rows}
+        number, (blob, doc_blob) = rows[0][0], blobs[False, -1]
+        (place,) = expand(blob, np.uint32)
+        docs = tb.unpack(doc_blob, *DOC)
         n_tokens = docs[3]
-        count = np.zeros(len(key), dtype=np.int64)
-        for r in rows:
-            if not r[2]:
-                at, c = expand(r[1], np.uint32, np.int64)
-                count[at] = c
+        asked_in = [bucket for got, bucket in blobs if bucket >= 0 and not got]
+        key, here, kind = (np.concatenate(x) for x in zip(*(expand(blobs[False, b][0], *ASK) for b in asked_in)))
+        count = np.concatenate([expand(blobs[True, b][0], np.int64)[0] for b in asked_in])
+        order = np.argsort(key)
+        order = order[by_count(here[order])]
+        key, kind, count = key[order], kind[order], count[order]
         doc = np.repeat(np.arange(len(n_tokens), dtype=np.uint32), n_tokens)
         known = np.bincount(doc, weights=(count > 0)[place], minlength=len(n_tokens)).astype(np.int64)
         free = np.bincount(doc, weights=np.log10(count + ALPHA)[place], minlength=len(n_tokens))
-        out = [(sent[0], -1 - sent[0], [], sent[2], tb.pack(known, free))]
+        out = [(number, -1 - number, [], doc_blob, tb.pack(known, free))]
         one, two = before(place, doc, np.uint32(len(key)))  # by place; the begin of a text is behind all
         hashed = np.append(key, BEGIN)
         short = (hashed >> np.uint64(32)).astype(np.uint32)
         often = np.append(count > GROUP, False)
-        share = tb.mix(hashed[one] + np.where(often[one], tb.mix(hashed)[two], np.uint64(0)))
+        share = hashed[one]
+        spread = np.flatnonzero(often[one])
+        share[spread] += tb.mix(hashed)[two[spread]]
         c = kind[place]
-        group = (first_group[c] + share % split[c]).astype(np.uint32)
-        bucket = (tb.mix(group) % np.uint64(n_buckets)).astype(np.uint32)
-        del share, c
-        trains = (docs[2] == 0).astype(np.uint8)
-        order = np.argsort(bucket, kind="stable")
-        heads = tb.runs(bucket[order])
-        for a, b in zip(heads, np.append(heads[1:], len(order))):
-            here = order[a:b]
-            (used, at), (before_one, at_one), (before_two, at_two) = (by_rank(x[here]) for x in (place, one, two))
-            words = (squeeze(key[used], kind[used], count[used]), squeeze(short[before_one]), squeeze(short[before_two]))
-            out.append((sent[0], int(bucket[here[0]]), words,
-                        squeeze(at, at_one, at_two, group[here], doc[here], trains[doc[here]]), b""))
+        at = first_group[c] + tb.mix(share) % split[c]
+        at <<= np.uint64(32)
+        at |= np.arange(len(place), dtype=np.uint64)
+        at.sort()  # by group, in a group by place in the flush
+        group = (at >> np.uint64(32)).astype(np.uint32)
+        at = (at & np.uint64(0xFFFFFFFF)).astype(np.intp)
+        del share, spread, c
+        place, one, two, doc = place[at], one[at], two[at], doc[at]
+        trains = docs[2][doc] == 0
+        heads = tb.runs(group // np.uint32(width))
+        for a, b in zip(heads, np.append(heads[1:], len(group))):
+            first = tb.runs(group[a:b])
+            (used, word), (before_one, at_one), (before_two, at_two) = (numbered(x[a:b], len(hashed)) for x in (place, one, two))
+            words = (squeeze(key[used], kind[used], count[used]), squeeze(short[before_one]), squeeze(short[before_two]),
+                     squeeze(group[a:b][first], np.diff(np.append(first, b - a)).astype(np.uint32)), squeeze(np.packbits(trains[a:b])))
+            blob = squeeze(word.astype(np.uint32), at_one.astype(np.uint32), at_two.astype(np.uint32),
+                           np.diff(doc[a:b], prepend=np.uint32(0)))
+            out.append((number, int(group[a]) // width, words, blob, b""))
         for a in range(0, len(out), 64):
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[a : a + 64]), schema.types)], schema=schema)
 
-    sent = asked.where("bucket < 0").select("flush", "blob", "docs", "keys")
-    got = answered.where("flush is not null").select("flush", "blob", F.lit(b"").alias("docs"), F.lit(b"").alias("keys"))
+    sent = asked.select("flush", "bucket", F.lit(False).alias("got"), "blob", "docs")
+    got = answered.where("flush is not null").select("flush", "bucket", F.lit(True).alias("got"), "blob", F.lit(b"").alias("docs"))
     return by_key(sent.unionByName(got), "flush", partitions(spark), send,
                   "flush long, bucket long, words array<binary>, blob binary, base binary")
 
@@ -382,26 +405,57 @@ def inside(word: np.ndarray, one: np.ndarray, two: np.ndarray, trains: np.ndarra
     leaf = np.full(len(share), len(leaves))
     leaf[leaves] = np.arange(len(leaves))
     extra = np.where(count > 0, 0.0, np.log(share / other))
+    one, two = one.astype(np.uint64), two.astype(np.uint64)
+    order = np.argsort(one << np.uint64(32) | tb.mix(two << np.uint64(32) | word.astype(np.uint64)) >> np.uint64(32))
+    word, one, two = word[order], one[order], two[order]
+    new = np.ones(len(word), dtype=bool)
+    new[1:] = (word[1:] != word[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    heads = np.flatnonzero(new)  # equal tokens of equal contexts are fitted once, by their number
+    word, one, two = word[heads], one[heads], two[heads]
+    seen = np.add.reduceat(trains[order].astype(np.float64), heads)
     size = np.diff(at)[leaf[word]]
     token = np.repeat(np.arange(len(word)), size)
-    step = at[leaf[word]][token] + np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
-    z, bit, fit = odds[branch[step]], turn[step].astype(np.float64), trains[token]
-    down = tb.mix(branch.astype(np.uint64) + END)[step]
-    bits = max(1, int(fit.sum()).bit_length())  # a row or more for each branch passed in training
-    keep = fit.astype(np.float64)
-    rows = [((tb.mix(c + seed)[token] + down) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
-            for c, seed in zip(pair(one.astype(np.uint64), two.astype(np.uint64)), _KIND_SEED)]
-    weights = np.zeros((3, 1 << bits))
-    for _ in range(SWEEPS):
-        for w, r in zip(weights, rows):
-            p = 1 / (1 + np.exp(-z))
-            p_fit = p * keep
-            slope = np.bincount(r, weights=bit * keep - p_fit, minlength=len(w)) - PENALTY * w
-            move = np.clip(slope / (np.bincount(r, weights=p_fit * (1 - p), minlength=len(w)) + PENALTY), -4, 4)
-            w += move
+    step = np.arange(len(token))
+    step += np.repeat(at[leaf[word]] - np.cumsum(size) + size, size)
+    bits = max(1, int(seen @ size).bit_length())  # a row or more for each branch passed in training
+    branch, bit = branch[step], turn[step].astype(np.float64)
+    z, down = odds[branch], tb.mix(np.arange(len(odds), dtype=np.uint64) + END)[branch]
+    del step, branch
+    seen = seen[token]
+    rows = []
+    for c, seed in zip(pair(one, two), _KIND_SEED):
+        r = tb.mix(c + seed)[token]
+        r += down
+        r *= np.uint64(0x9E3779B97F4A7C15)
+        r >>= np.uint64(64 - bits)
+        rows.append(r.view(np.int64))
+    del down
+    weights: list = [0.0] * 3
+    for sweep in range(SWEEPS):
+        for k, r in enumerate(rows):
+            p = np.exp(-z)
+            p += 1
+            np.reciprocal(p, out=p)
+            slope = bit - p
+            slope *= seen
+            move = np.bincount(r, weights=slope, minlength=1 << bits)
+            p *= 1 - p
+            p *= seen
+            curve = np.bincount(r, weights=p, minlength=1 << bits)
+            curve += PENALTY
+            if sweep:
+                move -= PENALTY * weights[k]
+            move /= curve
+            np.clip(move, -4, 4, out=move)
+            weights[k] = weights[k] + move if sweep else move
             z += move[r]
-    logp = -np.logaddexp(0, np.where(bit > 0, -z, z))
-    return np.bincount(token, weights=logp, minlength=len(word)) + extra[word]
+    z *= 1 - 2 * bit
+    np.exp(z, out=z)
+    z += 1
+    logp = extra[word] - np.bincount(token, weights=np.log(z, out=z), minlength=len(word))
+    out = np.empty(len(order))
+    out[order] = np.repeat(logp, np.diff(np.append(heads, len(order))))
+    return out
 
 
 def inner(events: DataFrame, n_class: np.ndarray, v_class: np.ndarray) -> DataFrame:
@@ -415,28 +469,32 @@ def inner(events: DataFrame, n_class: np.ndarray, v_class: np.ndarray) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*((r[1], r[3], r[4]) for r in rows)), schema.types)],
                                              schema=schema)
             return
-        key, kind, count = (np.concatenate(x) for x in zip(*(expand(r[2][0], *WORD) for r in rows)))
+        known = [expand(r[2][0], *WORD) for r in rows]
+        first_word = np.cumsum([0] + [len(x[0]) for x in known])
+        key, kind, count = (np.concatenate(x) for x in zip(*known))
         parts = [expand(r[3], *EVENT) for r in rows]
-        words = np.cumsum([0] + [int(p[0].max()) + 1 for p in parts])
         size = [len(p[0]) for p in parts]
         one, two = (np.concatenate([expand(r[2][k], np.uint32)[0][p[k]] for r, p in zip(rows, parts)]) for k in (1, 2))
-        place, _, _, group, doc, trains = (np.concatenate(x) for x in zip(*parts))
-        place = place + np.repeat(words[:-1], size)
+        doc = [np.cumsum(p[3], dtype=np.uint32) for p in parts]
+        group = np.concatenate([np.repeat(*expand(r[2][3], *RUN)) for r in rows])
+        trains = np.concatenate([np.unpackbits(expand(r[2][4], np.uint8)[0], count=n) for r, n in zip(rows, size)]).astype(bool)
         _, first, same = np.unique(key, return_index=True, return_inverse=True)
         share = (count[first] + ALPHA) / below[kind[first]]
-        word = same[place]
-        order = np.argsort(group, kind="stable")
+        word = np.concatenate([same[a + p[0]] for a, p in zip(first_word, parts)])
+        del parts, known
+        order = np.argsort(group - group.min(), kind="stable")
         heads = tb.runs(group[order])
         logp = np.empty(len(word))
         for a, b in zip(heads, np.append(heads[1:], len(order))):
             here = order[a:b]
-            used, local = np.unique(word[here], return_inverse=True)
-            logp[here] = inside(local, one[here], two[here], trains[here] > 0, share[used])
+            used, local = numbered(word[here], len(share))
+            logp[here] = inside(local, one[here], two[here], trains[here], share[used])
         at = np.concatenate([[0], np.cumsum(size)])
         out = []
-        for r, a, b in zip(rows, at[:-1], at[1:]):
-            docs, which = np.unique(doc[a:b], return_inverse=True)
-            out.append((r[1], squeeze(docs, (np.bincount(which, weights=logp[a:b]) / np.log(10)).astype(np.float32)), b""))
+        for r, d, a, b in zip(rows, doc, at[:-1], at[1:]):
+            docs = np.flatnonzero(np.bincount(d))
+            total = np.bincount(d, weights=logp[a:b])[docs] / np.log(10)
+            out.append((r[1], squeeze(docs.astype(np.uint32), total.astype(np.float32)), b""))
         for a in range(0, len(out), 256):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[a : a + 256]), schema.types)], schema=schema)
 

@@ -267,6 +267,33 @@ def test_language_model_groups_by_previous_word(sample, monkeypatch):
     assert np.isfinite(split.score).all() and out.score.sum() > out.base_score.sum()
 
 
+def test_language_model_moves_few_bytes(spark):
+    """A flush's tokens are hashed once, a blob has its groups once."""
+    ranks = np.minimum(np.random.default_rng(7).zipf(1.3, (300, 400)), 3000)
+    df = spark.createDataFrame([(i, " ".join(f"w{x}" for x in row), i % 10 > 0) for i, row in enumerate(ranks.tolist())],
+                               "doc_id long, text string, train boolean").coalesce(1)
+    asked = lm.requests(df, lm.train(df, 0)).cache()
+    answered = lm.answers(asked).cache()
+    n_class = np.sum([r.n for r in answered.where("flush is null").collect()], axis=0).astype(float)
+    routed = lm.routed(asked, answered, n_class).where("bucket >= 0").collect()
+    moved = sum(len(v) for r in asked.drop("docs").collect() for v in r if isinstance(v, (bytes, bytearray)))
+    moved += sum(len(r.blob) + sum(map(len, r.words)) for r in routed)
+    assert moved < 4.2 * 300 * 401
+
+
+def test_language_model_fits_equal_contexts_by_number():
+    rng = np.random.default_rng(8)
+    share = rng.dirichlet(np.ones(12))
+    word, one, two = rng.integers(0, 12, 400), *rng.integers(0, 3, (2, 400), dtype=np.uint32)
+    trains = rng.random(400) < 0.8
+    got = lm.inside(word, one, two, trains, share)
+    order = rng.permutation(400)
+    assert np.allclose(lm.inside(word[order], one[order], two[order], trains[order], share), got[order], rtol=1e-9)
+    same = {}
+    for c, x in zip(zip(word.tolist(), one.tolist(), two.tolist()), got):
+        assert same.setdefault(c, x) == x  # whether it trains or not
+
+
 def test_pieces_round_trip_and_viterbi(docs, sample):
     for df in (docs, sample):
         assert all(r.round_trip for r in pieces.encode_documents(df).collect())
