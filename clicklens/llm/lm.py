@@ -43,23 +43,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.llm import textbytes as tb
-from clicklens.llm.exchange import buckets, partitions, ready, stored
+from clicklens.llm.exchange import buckets, partitions, ready, stored, stored_by
 
 CLASSES, ROWS = 16, 2048  # classes; hashed rows of each of the three features
 ROUNDS, BATCH, RATE = 2, 16_384, 0.3
-FLUSH = 2_000_000
-GROUP, BUCKET = 250_000, 1_000_000  # tokens fitted together inside a class; tokens of a bucket of groups
-SWEEPS, PENALTY = 1, 0.25  # Newton steps for each feature; weight of the squared weights
+PARTS = 16  # parts of the weights between classes, for the shuffle
+FLUSH = 5_000_000
+GROUP, BUCKET = 250_000, 1_500_000  # tokens fitted together inside a class; tokens of a bucket of groups
+PENALTY = 0.25  # weight of the squared weights
+PART = 1 << 16  # branches worked on at a time: they stay in the processor's cache
 ALPHA = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
 BEGIN = np.uint64(0x14057B7EF767814F)
+_CLASS_OF = (tb.mix(np.arange(1 << 16)) % np.uint64(CLASSES - 1) + np.uint64(1)).astype(np.uint8)  # by a token's last two bytes
 _KIND_SEED = [np.uint64(x) for x in (0x9E37, 0x79B9, 0x7F4A)]
 
 
 def tokens(buf: np.ndarray, offsets: np.ndarray):
     """``(hash, class, doc)`` of all tokens, each text closed by its end."""
     start, end, doc = tb.words(buf, offsets, ~tb.IS_SPACE)
-    lower = tb.ASCII_LOWER[buf]
+    lower = np.frombuffer(buf.tobytes().translate(tb.ASCII_LOWER.tobytes()), dtype=np.uint8)
     n = len(offsets) - 1
     at = np.arange(len(start)) + doc
     close = np.searchsorted(doc, np.arange(n), side="right") + np.arange(n)
@@ -69,8 +72,8 @@ def tokens(buf: np.ndarray, offsets: np.ndarray):
     owner[at], owner[close] = doc, np.arange(n)
     if len(start):
         key[at] = tb.RangeHash(lower)(start, end)
-        tail = lower[end - 1].astype(np.uint64) * np.uint64(256) + lower[np.maximum(end - 2, start)]
-        kind[at] = tb.mix(tail) % np.uint64(CLASSES - 1) + np.uint64(1)
+        tail = lower[end - 1].astype(np.uint16) * np.uint16(256) + lower[np.maximum(end - 2, start)]
+        kind[at] = _CLASS_OF[tail]
     return key, kind, owner
 
 
@@ -92,25 +95,33 @@ def pair(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 def context(key: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
     """Rows of the three feature tables of the class softmax for every token."""
     parts = pair(*before(key, owner))
-    return [(tb.mix(p + seed) % np.uint64(ROWS)).astype(np.uint16) for p, seed in zip(parts, _KIND_SEED)]
+    return [(tb.mix(p + seed) & np.uint64(ROWS - 1)).astype(np.uint16) for p, seed in zip(parts, _KIND_SEED)]
 
 
 def log_classes(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     """Natural log class probabilities, tokens by classes."""
-    z = weights[0][rows[0]] + weights[1][rows[1]] + weights[2][rows[2]]
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z = weights[0].take(rows[0], axis=0, mode="clip")
+    for w, r in zip(weights[1:], rows[1:]):
+        z += w.take(r, axis=0, mode="clip")
+    most = z
+    while most.shape[1] > 1:  # halves of the columns: faster than a maximum over short rows
+        half = most.shape[1] // 2
+        most = np.maximum(most[:, :half], most[:, half:])
+    z -= most
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
 
 
 def _update(weights, squares, rows, kind) -> None:
     """One AdaGrad step on a batch; sparse rows summed by sorted runs."""
-    g = np.exp(log_classes(weights, rows))
+    g = log_classes(weights, rows)
+    np.exp(g, out=g)
     g[np.arange(len(kind)), kind] -= 1
     for k, r in enumerate(rows):
         order = np.argsort(r, kind="stable")
         r = r[order]
         heads = tb.runs(r)
-        step = np.add.reduceat(g[order], heads, axis=0)
+        step = np.add.reduceat(g.take(order, axis=0, mode="clip"), heads, axis=0)
         hit = r[heads]
         squares[k][hit] += step**2
         weights[k][hit] -= RATE * step / np.sqrt(squares[k][hit] + 1)
@@ -134,15 +145,21 @@ def train(texts: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
                         _update(own, squares, [r[a : a + BATCH] for r in rows], kind[a : a + BATCH])
                     n += len(key)
             if n:
-                flat = own.ravel().astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * n), pa.array(np.full(len(flat), float(n)))],
-                    names=["i", "w", "n"])
-
-        mean = only.mapInArrow(run, "i int, w double, n double").groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w"))
-        found = mean.toPandas()
-        weights = np.zeros(weights.size, dtype=np.float32)
-        weights[found["i"].to_numpy(dtype=np.int64)] = found["w"].to_numpy(dtype=np.float32)
+                    [pa.array(range(PARTS), pa.int32()), pa.array([TaskContext.get().partitionId()] * PARTS, pa.int64()),
+                     pa.array([squeeze(part) for part in own.reshape(PARTS, -1)], pa.binary()), pa.array([float(n)] * PARTS)],
+                    names=["part", "flush", "blob", "n"])
+
+        def mean(rows):
+            total = sum(expand(blob, np.float32)[0].astype(np.float64) * n for _, _, blob, n in rows)
+            total /= sum(n for *_, n in rows)
+            yield pa.RecordBatch.from_arrays([pa.array([rows[0][0]], pa.int32()), pa.array([total.astype(np.float32).tobytes()])],
+                                             names=["part", "blob"])
+
+        own = only.mapInArrow(run, "part int, flush long, blob binary, n double")
+        weights = np.zeros((PARTS, weights.size // PARTS), dtype=np.float32)
+        for part, blob in by_key(own, "part", min(PARTS, partitions(texts.sparkSession)), mean, "part int, blob binary").collect():
+            weights[part] = np.frombuffer(blob, dtype=np.float32)
         weights = weights.reshape(3, ROWS, CLASSES)
     return weights
 
@@ -168,6 +185,25 @@ def numbered(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return value, number[x]
 
 
+def steps(x: np.ndarray) -> np.ndarray:
+    """The first value and the steps between neighbours; ``np.cumsum`` of them, in the type of ``x``, is ``x``."""
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
+def table(x: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of ``x`` and the number of each entry among them. Values go by the bits of their
+    count, the most frequent first, then by hash: so both numbers and steps between hashes compress."""
+    value, number = numbered(x, len(hashes))
+    _, bits = np.frexp(np.bincount(number, minlength=len(value)))
+    key = hashes[value].astype(np.uint64)
+    key >>= np.uint64(6 if hashes.itemsize == 8 else 0)
+    key |= (np.uint64(63) - bits.astype(np.uint64)) << np.uint64(58)
+    order = np.argsort(key)
+    place = np.empty(len(value), dtype=np.uint32)
+    place[order] = np.arange(len(value), dtype=np.uint32)
+    return value[order], place[number]
+
+
 def by_count(count: np.ndarray) -> np.ndarray:
     """A flush's distinct tokens (ascending by hash) by their training count in it, the most frequent
     first: their numbers are small, so sequences of them compress."""
@@ -179,7 +215,7 @@ def expand(blob: bytes, *dtypes) -> list[np.ndarray]:
     return tb.unpack(plain, *dtypes)
 
 
-ASK = (np.uint64, np.uint32, np.uint8)  # token hash, training count in the flush, class
+ASK = (np.uint64, np.uint32, np.uint8)  # step to the token hash, training count in the flush, class
 DOC = (np.int64, np.uint8, np.uint8, np.uint32, np.float64)  # id, id is null, held out, tokens, class log10
 
 
@@ -190,16 +226,21 @@ def requests(texts: DataFrame, weights: np.ndarray) -> DataFrame:
     schema = pa.schema([("flush", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary()), ("docs", pa.binary())])
 
     def flush(number, held):
-        key, kind, train_token = (np.concatenate([h[k] for h in held]) for k in range(3))
+        key, kind, trained = (np.concatenate([h[k] for h in held]) for k in range(3))
+        first = np.cumsum([0] + [len(h[0]) for h in held])
         distinct, place = np.unique(key, return_inverse=True)
-        count = np.bincount(place, weights=train_token, minlength=len(distinct)).astype(np.uint32)
+        count = np.bincount(place, weights=trained, minlength=len(distinct)).astype(np.uint32)
         kinds = np.empty(len(distinct), dtype=np.uint8)
         kinds[place] = kind
-        rows = [(number, b, squeezed(blob), b"") for b, blob in tb.by_bucket(distinct, n_buckets, distinct, count, kinds)]
-        docs = tb.pack(*(np.concatenate([h[3][k] for h in held]).astype(t) for k, t in enumerate(DOC)))
+        bucket = (distinct >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)  # rises with the hash
+        heads = tb.runs(bucket)
+        rows = [(number, int(bucket[a]), squeeze(steps(distinct[a:b]), count[a:b], kinds[a:b]), b"")
+                for a, b in zip(heads, np.append(heads[1:], len(distinct)))]
+        docs = tb.pack(*(np.concatenate([h[4][k] for h in held]).astype(t) for k, t in enumerate(DOC)))
         rank = np.empty(len(distinct), dtype=np.uint32)
         rank[by_count(count)] = np.arange(len(distinct), dtype=np.uint32)
-        rows.append((number, -1, squeeze(rank[place]), docs))
+        place = rank[place]
+        rows.append((number, -1, squeeze(np.concatenate([place[a + h[3]] for a, h in zip(first, held)])), docs))
         for a in range(0, len(rows), 128):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 128]), schema.types)],
                                              schema=schema)
@@ -223,7 +264,9 @@ def requests(texts: DataFrame, weights: np.ndarray) -> DataFrame:
                 here = slice(at, at + n)
                 docs = (ids[here], null[here], ~trains[here], np.bincount(owner, minlength=n),
                         np.bincount(owner, weights=logp, minlength=n) / np.log(10))
-                held.append((key, kind, trains[here][owner], docs))
+                distinct, first, place = np.unique(key, return_index=True, return_inverse=True)
+                trained = np.bincount(place, weights=trains[here][owner], minlength=len(distinct))
+                held.append((distinct, kind[first], trained, place.astype(np.uint32), docs))
                 size += len(key)
                 if size >= FLUSH:
                     yield from flush(number, held)
@@ -246,7 +289,8 @@ def answers(asked: DataFrame) -> DataFrame:
     def bucket(number, rows):
         parts = [expand(blob, *ASK) for _, blob in rows]
         sizes = [len(p[0]) for p in parts]
-        key, count, kind = (np.concatenate(x) for x in zip(*parts))
+        step, count, kind = zip(*parts)
+        key, count, kind = np.concatenate([np.cumsum(x) for x in step]), np.concatenate(count), np.concatenate(kind)
         distinct, first, group = np.unique(key, return_index=True, return_inverse=True)
         total = np.bincount(group, weights=count, minlength=len(distinct)).astype(np.int64)
         known = total > 0
@@ -284,7 +328,8 @@ def by_key(rows: DataFrame, key: str, n: int, per_key, schema: str) -> DataFrame
     def run(batches):
         current, held = None, []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for cells in zip(*batch.columns):
+                row = [x.as_py() for x in cells]  # a batch may hold several keys' blobs: one key's are copied
                 if row[0] != current and held:
                     yield from per_key(held)
                     held = []
@@ -297,7 +342,7 @@ def by_key(rows: DataFrame, key: str, n: int, per_key, schema: str) -> DataFrame
     return rows.repartition(n, key).sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
-WORD = (np.uint64, np.uint8, np.int64)  # token hash, class, training count
+WORD = (np.uint64, np.uint8, np.int64)  # step to the token hash, class, training count
 EVENT = (np.uint32, np.uint32, np.uint32, np.uint32)  # word, previous, skip, steps between doc numbers
 RUN = (np.uint32, np.uint32)  # group, tokens
 BASE = (np.int64, np.float64)  # known tokens, sum of log10(c + 0.1)
@@ -306,7 +351,8 @@ BASE = (np.int64, np.float64)  # known tokens, sum of log10(c + 0.1)
 def routed(asked: DataFrame, answered: DataFrame, n_class: np.ndarray) -> DataFrame:
     """Per flush one row of its documents with their base counts (``bucket < 0``) and its tokens
     with their contexts by bucket of groups. Neighbouring groups, mostly of one class, share a bucket,
-    and a blob is in the order of groups and documents: so it has few words and compresses."""
+    and a blob is in the order of groups and documents: so it has few words and compresses. Only the
+    answers are shuffled if ``asked`` is bucketed by flush."""
     spark = asked.sparkSession
     split = np.maximum(1, -(-n_class.astype(np.int64) // GROUP)).astype(np.uint64)
     first_group = np.concatenate([[0], np.cumsum(split)[:-1]]).astype(np.uint64)
@@ -315,17 +361,19 @@ def routed(asked: DataFrame, answered: DataFrame, n_class: np.ndarray) -> DataFr
     schema = pa.schema([("flush", pa.int64()), ("bucket", pa.int64()), ("words", pa.list_(pa.binary())), ("blob", pa.binary()),
                         ("base", pa.binary())])
 
-    def send(rows):
-        blobs = {(got, bucket): (blob, docs) for _, bucket, got, blob, docs in rows}
-        number, (blob, doc_blob) = rows[0][0], blobs[False, -1]
+    def send(sent, got):
+        number = sent["flush"][0].as_py()
+        blobs = dict(zip(sent["bucket"].to_pylist(), zip(sent["blob"].to_pylist(), sent["docs"].to_pylist())))
+        totals = dict(zip(got["bucket"].to_pylist(), got["blob"].to_pylist()))
+        blob, doc_blob = blobs.pop(-1)
         (place,) = expand(blob, np.uint32)
         docs = tb.unpack(doc_blob, *DOC)
         n_tokens = docs[3]
-        asked_in = [bucket for got, bucket in blobs if bucket >= 0 and not got]
-        key, here, kind = (np.concatenate(x) for x in zip(*(expand(blobs[False, b][0], *ASK) for b in asked_in)))
-        count = np.concatenate([expand(blobs[True, b][0], np.int64)[0] for b in asked_in])
-        order = np.argsort(key)
-        order = order[by_count(here[order])]
+        step, here, kind = zip(*(expand(blobs[b][0], *ASK) for b in sorted(blobs)))
+        key, here, kind = np.concatenate([np.cumsum(x) for x in step]), np.concatenate(here), np.concatenate(kind)
+        count = np.concatenate([expand(totals[b], np.int64)[0] for b in sorted(blobs)])
+        del blob, blobs, totals
+        order = by_count(here)
         key, kind, count = key[order], kind[order], count[order]
         doc = np.repeat(np.arange(len(n_tokens), dtype=np.uint32), n_tokens)
         known = np.bincount(doc, weights=(count > 0)[place], minlength=len(n_tokens)).astype(np.int64)
@@ -335,35 +383,36 @@ def routed(asked: DataFrame, answered: DataFrame, n_class: np.ndarray) -> DataFr
         hashed = np.append(key, BEGIN)
         short = (hashed >> np.uint64(32)).astype(np.uint32)
         often = np.append(count > GROUP, False)
-        share = hashed[one]
-        spread = np.flatnonzero(often[one])
-        share[spread] += tb.mix(hashed)[two[spread]]
-        c = kind[place]
-        at = first_group[c] + tb.mix(share) % split[c]
+        at = np.empty(len(place), dtype=np.uint64)
+        for a in range(0, len(at), 1 << 20):
+            part = slice(a, a + (1 << 20))
+            share = hashed[one[part]]
+            spread = np.flatnonzero(often[one[part]])
+            share[spread] += tb.mix(hashed)[two[part][spread]]
+            c = kind[place[part]]
+            at[part] = first_group[c] + tb.mix(share) % split[c]
         at <<= np.uint64(32)
         at |= np.arange(len(place), dtype=np.uint64)
         at.sort()  # by group, in a group by place in the flush
         group = (at >> np.uint64(32)).astype(np.uint32)
-        at = (at & np.uint64(0xFFFFFFFF)).astype(np.intp)
-        del share, spread, c
-        place, one, two, doc = place[at], one[at], two[at], doc[at]
-        trains = docs[2][doc] == 0
+        at &= np.uint64(0xFFFFFFFF)
+        at = at.astype(np.uint32)
+        trains = docs[2] == 0
         heads = tb.runs(group // np.uint32(width))
         for a, b in zip(heads, np.append(heads[1:], len(group))):
-            first = tb.runs(group[a:b])
-            (used, word), (before_one, at_one), (before_two, at_two) = (numbered(x[a:b], len(hashed)) for x in (place, one, two))
-            words = (squeeze(key[used], kind[used], count[used]), squeeze(short[before_one]), squeeze(short[before_two]),
-                     squeeze(group[a:b][first], np.diff(np.append(first, b - a)).astype(np.uint32)), squeeze(np.packbits(trains[a:b])))
-            blob = squeeze(word.astype(np.uint32), at_one.astype(np.uint32), at_two.astype(np.uint32),
-                           np.diff(doc[a:b], prepend=np.uint32(0)))
-            out.append((number, int(group[a]) // width, words, blob, b""))
-        for a in range(0, len(out), 64):
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[a : a + 64]), schema.types)], schema=schema)
-
-    sent = asked.select("flush", "bucket", F.lit(False).alias("got"), "blob", "docs")
-    got = answered.where("flush is not null").select("flush", "bucket", F.lit(True).alias("got"), "blob", F.lit(b"").alias("docs"))
-    return by_key(sent.unionByName(got), "flush", partitions(spark), send,
-                  "flush long, bucket long, words array<binary>, blob binary, base binary")
+            here, own = at[a:b], group[a:b]
+            first = tb.runs(own)
+            used, word = table(place[here], hashed)
+            (before_one, at_one), (before_two, at_two) = (table(x[here], short) for x in (one, two))
+            words = (squeeze(steps(key[used]), kind[used], count[used]), squeeze(steps(short[before_one])),
+                     squeeze(steps(short[before_two])),
+                     squeeze(own[first], np.diff(np.append(first, b - a)).astype(np.uint32)), squeeze(np.packbits(trains[doc[here]])))
+            out.append((number, int(own[0]) // width, words, squeeze(word, at_one, at_two, steps(doc[here])), b""))
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), schema.types)], schema=schema)
+
+    got = answered.where("flush is not null").select("flush", "bucket", "blob")
+    return asked.groupBy("flush").cogroup(got.groupBy("flush")).applyInArrow(
+        send, "flush long, bucket long, words array<binary>, blob binary, base binary")
 
 
 def tree(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -377,13 +426,19 @@ def tree(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     code = (np.cumsum(units) - units) >> (length.max() - length)
     back = np.empty(len(order), dtype=np.int64)
     back[order] = np.arange(len(order))
+    sorted_length, sorted_code = length, code
     length, code = length[back], code[back]
     leaf = np.repeat(np.arange(len(mass)), length)
     depth = np.arange(len(leaf)) - np.repeat(np.cumsum(length) - length, length)
     rest = length[leaf] - depth
-    node = (np.int64(1) << depth) | (code[leaf] >> rest)
     turn = (code[leaf] >> (rest - 1)) & 1
-    _, branch = np.unique(node, return_inverse=True)
+    branch, first, n = np.empty(len(leaf), dtype=np.int64), np.cumsum(length) - length, 0
+    for d in range(int(sorted_length[-1])):  # codes rise, so a depth's branches are runs of equal beginnings
+        deep = np.searchsorted(sorted_length, d, side="right")
+        begin = sorted_code[deep:] >> (sorted_length[deep:] - d)
+        number = np.cumsum(np.append(False, begin[1:] != begin[:-1]))
+        branch[first[order[deep:]] + d] = n + number
+        n += int(number[-1]) + 1
     right = np.bincount(branch, weights=mass[leaf] * turn)
     left = np.bincount(branch, weights=mass[leaf] * (1 - turn))
     real = (right > 0) & (left > 0)  # the other branches have one way only
@@ -414,45 +469,47 @@ def inside(word: np.ndarray, one: np.ndarray, two: np.ndarray, trains: np.ndarra
     word, one, two = word[heads], one[heads], two[heads]
     seen = np.add.reduceat(trains[order].astype(np.float64), heads)
     size = np.diff(at)[leaf[word]]
-    token = np.repeat(np.arange(len(word)), size)
-    step = np.arange(len(token))
-    step += np.repeat(at[leaf[word]] - np.cumsum(size) + size, size)
     bits = max(1, int(seen @ size).bit_length())  # a row or more for each branch passed in training
-    branch, bit = branch[step], turn[step].astype(np.float64)
-    z, down = odds[branch], tb.mix(np.arange(len(odds), dtype=np.uint64) + END)[branch]
-    del step, branch
-    seen = seen[token]
-    rows = []
-    for c, seed in zip(pair(one, two), _KIND_SEED):
-        r = tb.mix(c + seed)[token]
-        r += down
-        r *= np.uint64(0x9E3779B97F4A7C15)
-        r >>= np.uint64(64 - bits)
-        rows.append(r.view(np.int64))
-    del down
-    weights: list = [0.0] * 3
-    for sweep in range(SWEEPS):
-        for k, r in enumerate(rows):
-            p = np.exp(-z)
+    token = np.repeat(np.arange(len(word), dtype=np.uint32), size)  # of every branch passed
+    start = at[leaf[word]] - np.cumsum(size) + size
+    node, bit, z = np.empty(len(token), dtype=np.uint32), np.empty(len(token), dtype=bool), np.empty(len(token))
+    parts = [slice(a, min(a + PART, len(token))) for a in range(0, len(token), PART)]
+    for part in parts:
+        step = start.take(token[part].astype(np.intp), mode="clip")
+        step += np.arange(part.start, part.stop)
+        node[part], bit[part] = branch.take(step, mode="clip"), turn.take(step, mode="clip")
+        z[part] = odds.take(node[part].astype(np.intp), mode="clip")
+    down = tb.mix(np.arange(len(odds), dtype=np.uint64) + END)
+    row = np.empty(len(token), dtype=np.uint32)
+    sums = np.empty(1 << bits, dtype=np.complex128)  # slopes and curvatures of a row lie side by side
+    for c, seed in zip(pair(one, two), _KIND_SEED):  # a Newton step for each feature
+        hashes = tb.mix(c + seed)
+        sums[:] = 0
+        for part in parts:
+            owner = token[part].astype(np.intp)
+            r = hashes.take(owner, mode="clip")
+            r += down.take(node[part].astype(np.intp), mode="clip")
+            r *= np.uint64(0x9E3779B97F4A7C15)
+            r >>= np.uint64(64 - bits)
+            row[part] = r
+            number = seen.take(owner, mode="clip")
+            p = np.exp(-z[part])
             p += 1
             np.reciprocal(p, out=p)
-            slope = bit - p
-            slope *= seen
-            move = np.bincount(r, weights=slope, minlength=1 << bits)
+            both = np.empty(len(p), dtype=np.complex128)
+            both.real = (bit[part] - p) * number
             p *= 1 - p
-            p *= seen
-            curve = np.bincount(r, weights=p, minlength=1 << bits)
-            curve += PENALTY
-            if sweep:
-                move -= PENALTY * weights[k]
-            move /= curve
-            np.clip(move, -4, 4, out=move)
-            weights[k] = weights[k] + move if sweep else move
-            z += move[r]
-    z *= 1 - 2 * bit
-    np.exp(z, out=z)
-    z += 1
-    logp = extra[word] - np.bincount(token, weights=np.log(z, out=z), minlength=len(word))
+            both.imag = p * number
+            np.add.at(sums, r.view(np.int64), both)
+        for part in parts:
+            both = sums.take(row[part].astype(np.intp), mode="clip")
+            z[part] += np.clip(both.real / (both.imag + PENALTY), -4, 4)
+    cost = np.zeros(len(word))
+    for part in parts:
+        p = np.exp(z[part] * (1 - 2.0 * bit[part]))
+        p += 1
+        np.add.at(cost, token[part].astype(np.intp), np.log(p, out=p))
+    logp = extra[word] - cost
     out = np.empty(len(order))
     out[order] = np.repeat(logp, np.diff(np.append(heads, len(order))))
     return out
@@ -471,17 +528,20 @@ def inner(events: DataFrame, n_class: np.ndarray, v_class: np.ndarray) -> DataFr
             return
         known = [expand(r[2][0], *WORD) for r in rows]
         first_word = np.cumsum([0] + [len(x[0]) for x in known])
-        key, kind, count = (np.concatenate(x) for x in zip(*known))
+        step, kind, count = zip(*known)
+        key, kind, count = np.concatenate([np.cumsum(x) for x in step]), np.concatenate(kind), np.concatenate(count)
         parts = [expand(r[3], *EVENT) for r in rows]
         size = [len(p[0]) for p in parts]
-        one, two = (np.concatenate([expand(r[2][k], np.uint32)[0][p[k]] for r, p in zip(rows, parts)]) for k in (1, 2))
+        one, two = (np.concatenate([np.cumsum(expand(r[2][k], np.uint32)[0], dtype=np.uint32)[p[k]] for r, p in zip(rows, parts)])
+                    for k in (1, 2))
         doc = [np.cumsum(p[3], dtype=np.uint32) for p in parts]
         group = np.concatenate([np.repeat(*expand(r[2][3], *RUN)) for r in rows])
         trains = np.concatenate([np.unpackbits(expand(r[2][4], np.uint8)[0], count=n) for r, n in zip(rows, size)]).astype(bool)
         _, first, same = np.unique(key, return_index=True, return_inverse=True)
         share = (count[first] + ALPHA) / below[kind[first]]
+        same = same.astype(np.uint32)
         word = np.concatenate([same[a + p[0]] for a, p in zip(first_word, parts)])
-        del parts, known
+        del parts, known, step
         order = np.argsort(group - group.min(), kind="stable")
         heads = tb.runs(group[order])
         logp = np.empty(len(word))
@@ -494,7 +554,7 @@ def inner(events: DataFrame, n_class: np.ndarray, v_class: np.ndarray) -> DataFr
         for r, d, a, b in zip(rows, doc, at[:-1], at[1:]):
             docs = np.flatnonzero(np.bincount(d))
             total = np.bincount(d, weights=logp[a:b])[docs] / np.log(10)
-            out.append((r[1], squeeze(docs.astype(np.uint32), total.astype(np.float32)), b""))
+            out.append((r[1], squeeze(steps(docs.astype(np.uint32)), total.astype(np.float32)), b""))
         for a in range(0, len(out), 256):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[a : a + 256]), schema.types)], schema=schema)
 
@@ -513,7 +573,7 @@ def scores(found: DataFrame, n_class: np.ndarray, v_class: np.ndarray) -> DataFr
         known, free = tb.unpack(sent[2], *BASE)
         logs = np.array(class_log)
         parts = [expand(r[1], np.uint32, np.float32) for r in rows if not r[2]]
-        doc, part = (np.concatenate(x) for x in zip(*parts))
+        doc, part = np.concatenate([np.cumsum(p[0]) for p in parts]), np.concatenate([p[1] for p in parts])
         order = np.lexsort((part, doc))  # one order of summing, whatever order the parts come in
         logs = logs + np.bincount(doc[order], weights=part[order], minlength=len(ids))
         yield pa.RecordBatch.from_arrays(
@@ -534,7 +594,7 @@ def with_fold(docs: DataFrame, modulus: int) -> DataFrame:
 def score_documents(docs: DataFrame, modulus: int = 10, rounds: int = ROUNDS) -> DataFrame:
     """Train on the rows outside fold 0 and score every row."""
     texts = with_fold(docs, modulus)
-    asked = stored(requests(texts, train(texts, rounds)), "lm-requests")
+    asked = stored_by(requests(texts, train(texts, rounds)), "lm-requests", "flush")
     answered = stored(answers(asked), "lm-answers")
     totals = (answered.where("flush is null").select(F.posexplode(F.arrays_zip("n", "v")).alias("k", "x"))
               .groupBy("k").agg(F.sum("x.n").alias("n"), F.sum("x.v").alias("v")).toPandas())

@@ -281,6 +281,45 @@ def test_language_model_moves_few_bytes(spark):
     assert moved < 4.2 * 300 * 401
 
 
+def test_language_model_requests_stay_with_their_flush(spark):
+    """Stored requests are bucketed by flush: only the answers are shuffled to it, and blobs are small."""
+    from clicklens.llm.exchange import stored, stored_by
+
+    ranks = np.minimum(np.random.default_rng(7).zipf(1.3, (300, 400)), 3000)
+    df = spark.createDataFrame([(i, " ".join(f"w{x}" for x in row), i % 10 > 0) for i, row in enumerate(ranks.tolist())],
+                               "doc_id long, text string, train boolean").repartition(3)
+    tables = spark.catalog.listTables()
+    asked = stored_by(lm.requests(df, lm.train(df, 0)), "lm-requests", "flush")
+    assert spark.catalog.listTables() == tables
+    answered = stored(lm.answers(asked), "lm-answers")
+    n_class = np.sum([r.n for r in answered.where("flush is null").collect()], axis=0).astype(float)
+    routed = lm.routed(asked, answered, n_class)
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange") == 1
+    rows = routed.collect()
+    plain = lm.routed(asked.cache(), answered, n_class).collect()
+    key = lambda r: (r.flush, r.bucket)
+    assert sorted(rows, key=key) == sorted(plain, key=key)
+    asked.unpersist()
+    moved = sum(len(v) for r in asked.drop("docs").collect() for v in r if isinstance(v, (bytes, bytearray)))
+    moved += sum(len(r.blob) + sum(map(len, r.words)) for r in rows if r.bucket >= 0)
+    assert moved < 4.55 * 300 * 401
+
+
+def test_language_model_inside_keeps_little_in_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    share = rng.dirichlet(np.ones(2000))
+    word = rng.choice(2000, 60_000, p=share)
+    one, two = rng.integers(0, 500, (2, len(word)), dtype=np.uint32)
+    tracemalloc.start()
+    lm.inside(word, one, two, np.arange(len(word)) % 10 > 0, share)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 1000 * len(word)
+
+
 def test_language_model_fits_equal_contexts_by_number():
     rng = np.random.default_rng(8)
     share = rng.dirichlet(np.ones(12))
