@@ -17,6 +17,7 @@ from clicklens.spark import ensure_checkpoint_dir
 
 BUCKETS_PER_PARTITION = 8
 ROWS_PER_BATCH = 512
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,12 +30,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write the frame to the shared folder and read it back: lineage is cut
-    and a lost executor costs no recomputation of earlier stages."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    and a lost executor costs no recomputation of earlier stages. With ``free`` the
+    write's shuffle files go when it is done, not when the driver collects its garbage."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(FREE, None)
+    if free:
+        spark.conf.set(FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.unset(FREE) if before is None else spark.conf.set(FREE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:

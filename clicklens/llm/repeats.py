@@ -10,8 +10,11 @@ occurrence, the windows it owns form one short string (its stretch, at most
 1. ``anchors``: stretches of every document, vectorised. Occurrences meet by
    gram hash (packed shuffle). Equal stretches are settled at once: those
    outside the smallest document are repeats, first within each task, then
-   globally, so copies cost one entry per task. Grams with one stretch only,
-   or one document only, end here.
+   globally, so copies cost one entry per task. A window shared by two different
+   stretches around a gram reaches ``HALF`` bytes or more beyond it on one side in
+   both, so each entry carries a hash of the gram with ``HALF`` bytes before it and
+   one with ``HALF`` bytes behind it; a stretch that shares neither with a
+   stretch of another document ends here (most do: short strings are common).
 2. The remaining stretches, one class each with its first document, get their
    text, meet by gram, and ``maximal_repeats`` builds the enhanced suffix array
    (suffixes, common prefixes) of each bucket, scans the interval tree with a
@@ -40,19 +43,22 @@ from clicklens.llm.spans import SPAN, cut, with_spans
 
 LENGTH, GRAM = 50, 16
 STRETCH = 2 * LENGTH - GRAM
+HALF = (LENGTH - GRAM + 1) // 2
 FLUSH = 2_000_000  # anchors held by a task before they are sent
 SUFFIXES = 300_000  # suffixes of whole buckets sorted at a time
-DTYPES = (np.uint64, np.uint64, np.int64, np.int32, np.uint8)
+DTYPES = (np.uint64, np.uint64, np.uint32, np.uint32, np.int64, np.int32, np.uint8)
 _LOW = np.uint64(0xFFFFFFFF)
 _SETTLED = np.uint64(0)
 
 
 def anchors(buf: np.ndarray, offsets: np.ndarray):
-    """``(gram hash, stretch hash, doc, start, length)`` of all stretches."""
+    """``(gram hash, stretch hash, left, right, doc, start, length)`` of all stretches.
+    left: hash of the gram and ``HALF`` bytes before it, right: of it and those
+    behind it, 0 where the stretch ends earlier."""
     n, w = len(buf), LENGTH - GRAM + 1
     empty = np.zeros(0, dtype=np.int64)
     if n < LENGTH:
-        return empty.astype(np.uint64), empty.astype(np.uint64), empty, empty, empty
+        return *(empty.astype(t) for t in DTYPES[:4]), empty, empty, empty
     rng = tb.RangeHash(buf)
     gram = rng.fixed(GRAM) if n > GRAM else np.zeros(0, np.uint64)
     gram = np.append(gram, rng(np.array([n - GRAM]), np.array([n])))
@@ -73,44 +79,77 @@ def anchors(buf: np.ndarray, offsets: np.ndarray):
     start, stop = window[first], window[last] + LENGTH
     doc = np.searchsorted(offsets, start, side="right") - 1
     # a stretch is told by its bytes and by where the anchor stands in it
-    stretch = tb.mix(rng(start, stop) ^ (owner[first] - start).astype(np.uint64))
-    return gram[owner[first]] | np.uint64(1), stretch, doc, start, stop - start
+    at = owner[first]
+    stretch = tb.mix(rng(start, stop) ^ (at - start).astype(np.uint64))
 
+    def side(a, b):
+        inside = (a >= start) & (b <= stop)
+        return np.where(inside, (rng(np.where(inside, a, 0), np.where(inside, b, 0)) >> np.uint64(32)) | np.uint64(1), 0).astype(np.uint32)
 
-def settle(gram, stretch, doc, start, length):
+    return (gram[at] | np.uint64(1), stretch, side(at - HALF, at + GRAM), side(at, at + GRAM + HALF), doc, start, stop - start)
+
+
+def settle(gram, stretch, left, right, doc, start, length):
     """Group by (gram, stretch); tell occurrences in a class's smallest
-    document from the others. Returns sorted arrays, that mask and the starts
-    of the classes."""
+    document from the others. Returns sorted arrays and that mask."""
     order = np.lexsort((start, doc, stretch, gram))
-    gram, stretch, doc, start, length = (x[order] for x in (gram, stretch, doc, start, length))
+    sorted_ = [x[order] for x in (gram, stretch, left, right, doc, start, length)]
+    gram, stretch, doc = sorted_[0], sorted_[1], sorted_[4]
     heads = tb.runs(gram ^ tb.mix(stretch))
     group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(gram))))
-    return gram, stretch, doc, start, length, doc == doc[heads][group], heads
+    return *sorted_, doc == doc[heads][group]
+
+
+def in_several(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether several documents have an entry's key."""
+    if not len(key):
+        return np.zeros(0, bool)
+    order = np.argsort(key, kind="stable")
+    heads = tb.runs(key[order])
+    several = np.minimum.reduceat(doc[order], heads) != np.maximum.reduceat(doc[order], heads)
+    out = np.empty(len(key), bool)
+    out[order] = np.repeat(several, np.diff(np.append(heads, len(key))))
+    return out
+
+
+def may_share(gram, left, right, doc) -> np.ndarray:
+    """Whether a stretch can share a window with one of another document. One
+    entry's document is its class's smallest, so different documents are different
+    stretches."""
+    open_ = np.flatnonzero(in_several(gram, doc))
+    out = np.zeros(len(gram), bool)
+    for side in (left, right):
+        at = open_[side[open_] != 0]
+        out[at] |= in_several(gram[at] ^ tb.mix(side[at].astype(np.uint64)), doc[at])
+    return out
 
 
 def gram_classes(docs: DataFrame) -> DataFrame:
     """``(gram, doc_id, start, stop)``: gram 0 for settled repeats, otherwise
-    a stretch (in its class's smallest document) of a gram that several
-    documents share in different stretches."""
+    a stretch (in its class's smallest document) that may share a window with a
+    different one of another document."""
     spark = docs.sparkSession
     ready(spark)
     n = buckets(spark)
 
     def flush(held):
-        gram, stretch, doc, start, length, own, _ = settle(*(np.concatenate(x) for x in zip(*held)))
-        send = np.where(own, gram, _SETTLED)
-        yield from tb.by_bucket(gram, n, send, stretch, doc, start, length)
+        parts = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        gram, stretch, left, right, doc, start, length, own = settle(*parts)
+        del parts
+        left[~own] = right[~own] = 0
+        yield from tb.by_bucket(gram, n, np.where(own, gram, _SETTLED), stretch, left, right, doc, start, length)
 
     def send(batches):
         held, size = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for at, buf, offsets in tb.text_chunks(batch.column(1)):
-                gram, stretch, d, s, length = anchors(buf, offsets)
-                if len(gram):
-                    held.append((gram, stretch, ids[at + d].astype(np.int64), (s - offsets[d]).astype(np.int32),
+                *hashes, d, s, length = anchors(buf, offsets)
+                if len(d):
+                    held.append((*hashes, ids[at + d].astype(np.int64), (s - offsets[d]).astype(np.int32),
                                  length.astype(np.uint8)))
-                    size += len(gram)
+                    size += len(d)
                 if size >= FLUSH:
                     yield from flush(held)
                     held, size = [], 0
@@ -120,22 +159,11 @@ def gram_classes(docs: DataFrame) -> DataFrame:
     def meet(blobs):
         parts = [np.concatenate(x) for x in zip(*(tb.unpack(b, *DTYPES) for b in blobs))]
         done = parts[0] == _SETTLED
-        gram, stretch, doc, start, length, own, heads = settle(*(x[~done] for x in parts))
-        grams = tb.runs(gram)
-        in_gram = np.diff(np.append(grams, len(gram)))
-        classes = np.zeros(len(gram), np.int64)
-        classes[heads] = 1
-        one_doc = np.zeros(0, bool)
-        if len(grams):
-            several = np.add.reduceat(classes, grams) > 1
-            one_doc = np.minimum.reduceat(doc, grams) == np.maximum.reduceat(doc, grams)
-            open_ = np.repeat(several & ~one_doc, in_gram)
-        else:
-            open_ = np.zeros(0, bool)
-        keep = ~own | open_
+        gram, _, left, right, doc, start, length, own = settle(*(x[~done] for x in parts))
+        keep = ~own
+        keep[own] = may_share(gram[own], left[own], right[own], doc[own])
         out = (np.concatenate([np.zeros(done.sum(), np.uint64), np.where(own, gram, _SETTLED)[keep]]),
-               np.concatenate([parts[2][done], doc[keep]]), np.concatenate([parts[3][done], start[keep]]),
-               np.concatenate([parts[4][done], length[keep]]))
+               *(np.concatenate([x[done], y[keep]]) for x, y in zip(parts[4:], (doc, start, length))))
         if len(out[0]):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0].view(np.int64)), pa.array(out[1]), pa.array(out[2]),
@@ -156,7 +184,7 @@ def suffix_array(texts: list[bytes]):
     text = np.repeat(np.arange(len(texts)), count)
     offset = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
     at, size = begins[text] + offset, lengths[text] - offset
-    rows = flat[at[:, None] + np.arange(STRETCH)]
+    rows = np.lib.stride_tricks.sliding_window_view(flat, STRETCH)[at]
     rows[np.arange(STRETCH) >= size[:, None]] = 0
     order = np.argsort(rows.view(f"S{STRETCH}").ravel(), kind="stable")
     rows, text, offset, size = rows[order], text[order], offset[order], size[order]
@@ -211,7 +239,7 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     """``(doc_id, start, stop)``: byte ranges covered by ``LENGTH``-byte
     strings that also start in a document with a smaller doc_id."""
     spark = docs.sparkSession
-    met = stored(gram_classes(docs), "grams")
+    met = stored(gram_classes(docs), "grams", free=True)
     settled = met.where("gram = 0").select("doc_id", "start", "stop")
     wanted = met.where("gram <> 0").groupBy("doc_id").agg(F.collect_list(F.struct("gram", "start", "stop")).alias("at"))
     source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
@@ -284,5 +312,6 @@ def dedup_bytes(docs: DataFrame) -> DataFrame:
     keyed = with_spans(docs.where("doc_id is not null"), repeated_bytes(docs))
     no_id = docs.where("doc_id is null").select(F.col("doc_id").cast("long"), "text",
                                                 F.lit(None).cast(keyed.schema["spans"].dataType).alias("spans"))
-    return keyed.select("doc_id", "text", "spans").unionByName(no_id).mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<int>")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<int>"
+    # joined after the cut: so the texts shuffled for the stretches serve the spans too (ReusedExchange)
+    return keyed.select("doc_id", "text", "spans").mapInArrow(run, schema).unionByName(no_id.mapInArrow(run, schema))

@@ -6,8 +6,10 @@ import math
 import os
 import re
 import sys
+import time
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -110,6 +112,55 @@ def test_repeated_bytes_match_brute_force(request, which):
         assert got[None].n_removed == 0
 
 
+def passages(shared, n=60, seed=5):
+    """Texts that hold one of the ``shared`` strings each, or two, between letters of their own."""
+    rng = np.random.default_rng(seed)
+
+    def own():
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 90))
+
+    return [own() + shared[i % len(shared)] + own() + shared[i * 7 % len(shared)] + own() for i in range(n)]
+
+
+def test_repeats_open_only_stretches_that_may_share(spark):
+    """Strings of 24 bytes in different surroundings share grams, but no window."""
+    one = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    short = rows_of(spark, passages([one[i : i + 24] for i in range(0, 12, 3)]))
+    assert repeats.gram_classes(short).where("gram <> 0").count() == 0
+    cut = [one[i : i + n] for i, n in ((0, 49), (1, 50), (0, 51), (9, 50), (3, 59), (12, 50), (0, 60))]
+    test_repeated_bytes_match_brute_force(SimpleNamespace(getfixturevalue=lambda _: rows_of(spark, passages(cut))), "")
+    assert {r.n_removed > 0 for r in repeats.dedup_bytes(rows_of(spark, passages(cut))).collect()} == {True, False}
+
+
+def test_repeats_keep_little_on_disk(spark, tmp_path, monkeypatch):
+    """The grams' shuffle goes when they are stored, and texts are shuffled once."""
+    rows_of(spark, passages(["ABCDEFGHIJKLMNOPQRSTUVWXYZ" * 3])).write.parquet(f"{tmp_path}/docs")
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    left, stored = [], repeats.stored
+
+    def files():
+        return {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    def counted(*a, **b):
+        before = files()
+        out, end = stored(*a, **b), time.time() + 20
+        while files() - before and time.time() < end:  # Spark removes them beside
+            time.sleep(0.1)
+        left.append(files() - before)
+        return out
+
+    monkeypatch.setattr(repeats, "stored", counted)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = repeats.dedup_bytes(spark.read.parquet(f"{tmp_path}/docs"))
+        out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert left == [set()]
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
 def test_jaccard_components_match_brute_force(sample, k, percent):
     sets = {}
