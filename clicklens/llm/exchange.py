@@ -152,9 +152,14 @@ def components(edges: DataFrame) -> DataFrame:
     Neighbours are only ever reduced by ``min``, never collected. Each round is
     two tables in the shared folder; the driver reads one number from them:
     whether a label moved.
+
+    Both directions of an edge come from one row of ``edges``, which is computed
+    once: computed twice, a spanning forest can have other edges each time (its tasks
+    get their rows in another order), and a label without an edge of its own
+    would lose its whole component in the joins.
     """
-    e = edges.where("a <> b").select("a", "b")
-    both = stored(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    there, back = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = stored(edges.where("a <> b").select(F.explode(F.array(there, back)).alias("e")).select("e.a", "e.b").distinct(), "edges")
     now = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("c")).select("id", F.least("id", "c").alias("c"))
     now = stored(now, "labels")
     while True:

@@ -265,8 +265,8 @@ def product_links(key: np.ndarray, row: np.ndarray, n: int, percent: int) -> np.
 
 
 def family_links(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Spanning links ``(a, b)`` of all similar rows of every family.
-    ``members``: ``row, n_shingles, family``; ``texts``: ``row, text``."""
+    """Spanning links ``(a, b)`` of all similar rows of every family, the same ones in
+    whatever order rows come. ``members``: ``row, n_shingles, family``; ``texts``: ``row, text``."""
     spark = texts.sparkSession
     size = members.groupBy("family").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
@@ -302,7 +302,7 @@ def family_links(members: DataFrame, texts: DataFrame, k: int, percent: int) ->
         if held:
             yield from links(held)
 
-    return cells.repartition(partitions(spark), "family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(
+    return cells.repartition(partitions(spark), "family", "i", "j").sortWithinPartitions("family", "i", "j", "row").mapInArrow(
         run, "a long, b long")
 
 
@@ -351,7 +351,7 @@ def family_merges(members: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from merges(held)
 
-    return cells.repartition(partitions(spark), "block", "i", "j").sortWithinPartitions("block", "i", "j").mapInArrow(
+    return cells.repartition(partitions(spark), "block", "i", "j").sortWithinPartitions("block", "i", "j", "family").mapInArrow(
         run, "a long, b long").distinct()
 
 

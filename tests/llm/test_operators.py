@@ -202,6 +202,48 @@ def test_jaccard_product_of_a_large_family(spark):
     assert got == {0}
 
 
+def test_components_of_edges_that_come_out_anew(spark):
+    """A spanning forest may be another one each time it is computed."""
+    from clicklens.llm.exchange import components
+
+    def star(batches):
+        ids = np.arange(60)
+        for batch in batches:
+            for base in batch.column(0).to_pylist():
+                centre = int.from_bytes(os.urandom(4)) % 60  # another each time
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(60, 100 * base + centre)), pa.array(100 * base + ids)], names=["a", "b"])
+
+    edges = spark.range(20).mapInArrow(star, "a long, b long")
+    got = {r.id: r.component for r in components(edges).collect()}
+    assert got == {100 * base + i: 100 * base for base in range(20) for i in range(60)}
+
+
+def test_jaccard_links_do_not_depend_on_the_order(spark):
+    """However rows come, the smallest one of a cell is its forest's root."""
+    base = [f"w{i}" for i in range(60)]
+    texts = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1 :])) for i in range(40)]
+    for step in (1, -1):
+        members = spark.createDataFrame([(i, 58, 0) for i, _ in texts[::step]], "row long, n_shingles long, family long").coalesce(1)
+        links = jaccard.family_links(members, spark.createDataFrame(texts[::step], "row long, text string").coalesce(1), 3, 80)
+        assert {(r.a, r.b) for r in links.collect()} == {(0, i) for i in range(1, 40)}
+    rows = [(7, i // 2, 64, bytes(8), 1, i) for i in range(40)]
+    for step in (1, -1):
+        open_ = spark.createDataFrame(rows[::step], "block long, family long, n_shingles long, sketch binary, blocks int, row long").coalesce(1)
+        assert {(r.a, r.b) for r in jaccard.family_merges(open_, 80).collect() if r.a != r.b} == {(0, i) for i in range(1, 20)}
+
+
+def test_jaccard_many_large_groups(spark):
+    """50 groups of 20 near copies over many tasks: each group is one component."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for g in range(50):
+        base = [f"g{g}w{i}" for i in rng.integers(0, 5000, 200)]
+        texts += [" ".join(base[:i] + ["new"] + base[i + 1 :]) for i in range(0, 200, 10)]
+    df = rows_of(spark, texts).repartition(16)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df, 3, 90).collect()}
+    assert got == {i: i // 20 * 20 for i in range(1000)}
+
+
 def test_jaccard_open_blocks_are_joined_once(spark):
     placed = spark.createDataFrame([*((7, i, i // 10) for i in range(40)), (8, 1, 0), (8, 2, 0)], "block long, row long, family long")
     rows = spark.createDataFrame([(i, 64, bytes(8)) for i in range(40)], "row long, n_shingles long, sketch binary")
